@@ -12,6 +12,7 @@ import json
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -66,10 +67,16 @@ class PieceCounter:
             if new:
                 for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
                     cache[p] = len(e.ids)
-            out.append(n + sum(k * (frequent.get(p) or cache[p]) for p, k in seen.items()))
+            out.append(n + sum([k * (frequent.get(p) or cache[p]) for p, k in seen.items()]))
         return out
 
 
+@lru_cache(maxsize=2)
+def worker_counter(path: str) -> PieceCounter:
+    """One counter and cache per Python worker, for all tasks it runs."""
+    return PieceCounter(path, {})
+
+
 def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_rows: int = 1000, size: int = 65_536) -> dict[str, int]:
     """The broadcast tier: at most ``size`` pre-tokens and their token counts.
 
@@ -100,7 +107,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
     table = spark.sparkContext.broadcast(frequent_lengths(docs, path, text_col))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = PieceCounter(path, table.value)
+        counter = worker_counter(path)
+        counter.frequent = table.value
         for b in batches:
             texts = [t if isinstance(t, str) else "" for t in b["text"]]
             n = np.array(counter.counts(texts), np.int64)
