@@ -12,7 +12,9 @@ import hashlib
 import heapq
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -21,7 +23,9 @@ from pyspark.sql import functions as F
 #: The byte-level pre-token pattern (fixed values).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Entries of a worker's cache, after which it starts anew.
-CACHE = 300_000
+CACHE = 400_000
+#: Documents whose new pieces are merged together.
+GROUP = 2048
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -40,79 +44,86 @@ class PairIndexBPE:
         vocab = spec["model"]["vocab"]
         letters = byte_alphabet()
         value = {c: b for b, c in letters.items()}
-        self.of_byte = [vocab[letters[b]] for b in range(256)]
+        self.of_byte = np.array([vocab[letters[b]] for b in range(256)], np.int64)
         self.bytes_of = {i: bytes(value[c] for c in t) for t, i in vocab.items() if all(c in value for c in t)}
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
-        self.merge: dict[tuple[int, int], tuple[int, int]] = {}
-        self.pair_of: list[tuple[int, int]] = []
+        self.merges: list[tuple[int, int, int]] = []
         made: dict[int, int] = {}
         for rank, m in enumerate(spec["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
-            pair, new = (vocab[a], vocab[b]), vocab[a + b]
-            if made.get(pair[0], -1) >= rank or made.get(pair[1], -1) >= rank:
+            one = (vocab[a], vocab[b], vocab[a + b])
+            if made.get(one[0], -1) >= rank or made.get(one[1], -1) >= rank:
                 raise ValueError("a merge uses a symbol before it is made; ascending ranks would not be final")
-            made.setdefault(new, rank)
-            self.merge.setdefault(pair, (rank, new))
-            self.pair_of.append(pair)
+            made.setdefault(one[2], rank)
+            self.merges.append(one)
+        pairs = np.array([(a << 20) | b for a, b, _ in self.merges], np.int64)
+        self.keys, self.ranks = np.unique(pairs, return_index=True)
         self.piece = regex.compile(PIECES)
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.cache: dict[str, tuple[int, str, bytes]] = {}
 
+    def rank_of(self, sym: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs of symbols at left and right; -1 for pairs that never merge."""
+        key = (sym[left] << 20) | sym[right]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], -1)
+
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
         """Token ids of each piece, all pieces merged together through one pair index."""
-        merge = self.merge
-        sym: list[int] = []
-        starts = []
-        nxt: list[int] = []
-        prv: list[int] = []
-        for p in pieces:
-            s = len(sym)
-            starts.append(s)
-            sym += [self.of_byte[b] for b in p]
-            e = len(sym)
-            nxt += range(s + 1, e + 1)
-            prv += range(s - 1, e - 1)
-            if e > s:
-                nxt[-1] = -1
-                prv[s] = -1
-        where: dict[int, list[int]] = {}
-        for i, j in enumerate(nxt):
-            if j >= 0:
-                m = merge.get((sym[i], sym[j]))
-                if m:
-                    where.setdefault(m[0], []).append(i)
-        active = list(where)
-        heapq.heapify(active)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = np.cumsum(sizes)
+        sym = self.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        nxt = np.arange(1, len(sym) + 1)
+        prv = np.arange(-1, len(sym) - 1)
+        full = sizes > 0
+        nxt[ends[full] - 1] = -1
+        prv[(ends - sizes)[full]] = -1
+        where: dict[int, list[np.ndarray]] = {}
+        active: list[int] = []
+
+        def index(left: np.ndarray, right: np.ndarray) -> None:
+            """Add pairs to the lists of their ranks."""
+            rank = self.rank_of(sym, left, right)
+            left, rank = left[rank >= 0], rank[rank >= 0]
+            if not len(rank):
+                return
+            order = np.argsort(rank, kind="stable")
+            left, rank = left[order], rank[order]
+            cut = np.flatnonzero(rank[1:] != rank[:-1]) + 1
+            for r, at in zip(rank[np.r_[0, cut]].tolist(), np.split(left, cut), strict=True):
+                if r not in where:
+                    where[r] = []
+                    heapq.heappush(active, r)
+                where[r].append(at)
+
+        i = np.flatnonzero(nxt >= 0)
+        index(i, nxt[i])
         while active:
             rank = heapq.heappop(active)
-            a, b = self.pair_of[rank]
-            new = merge[a, b][1]
-            for i in sorted(where.pop(rank)):
-                j = nxt[i]
-                if sym[i] != a or j < 0 or sym[j] != b:
-                    continue  # an earlier merge took one of the two
-                k = nxt[j]
-                sym[i], sym[j] = new, -1
-                nxt[i] = k
-                if k >= 0:
-                    prv[k] = i
-                for left, right in ((prv[i], i), (i, k)):
-                    if left >= 0 and right >= 0:
-                        m = merge.get((sym[left], sym[right]))
-                        if m:
-                            if m[0] not in where:
-                                where[m[0]] = []
-                                heapq.heappush(active, m[0])
-                            where[m[0]].append(left)
-        out = []
-        for s, p in zip(starts, pieces, strict=True):
-            ids, i = [], s if p else -1
-            while i >= 0:
-                ids.append(sym[i])
-                i = nxt[i]
-            out.append(ids)
-        return out
+            a, b, new = self.merges[rank]
+            i = np.unique(np.concatenate(where.pop(rank)))
+            j = nxt[i]
+            i = i[(sym[i] == a) & (j >= 0) & (sym[j] == b)]  # an earlier merge may have taken one of the two
+            if a == b:  # of overlapping pairs in a row the left one goes first
+                taken, keep = -1, []
+                for x in i.tolist():
+                    if x != taken:
+                        keep.append(x)
+                        taken = nxt[x]
+                i = np.array(keep, np.int64)
+            if not len(i):
+                continue
+            j = nxt[i]
+            k = nxt[j]
+            sym[i], sym[j] = new, -1
+            nxt[i] = k
+            prv[k[k >= 0]] = i[k >= 0]
+            p = prv[i]
+            index(np.concatenate([p[p >= 0], i[k >= 0]]), np.concatenate([i[p >= 0], k[k >= 0]]))
+        alive = np.flatnonzero(sym >= 0)
+        ids, upto = sym[alive].tolist(), np.searchsorted(alive, ends).tolist()
+        return [ids[x:y] for x, y in zip([0, *upto], upto, strict=False)]
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens and special strings of a text, in order."""
@@ -143,6 +154,12 @@ class PairIndexBPE:
         return b"".join(self.bytes_of[i] for i in ids).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def worker_model(path: str) -> PairIndexBPE:
+    """One model and cache per Python worker, for all tasks it runs."""
+    return PairIndexBPE(path)
+
+
 def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256), one row per input row; ids only if asked for.
 
@@ -153,10 +170,10 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = PairIndexBPE(path)
+        model = worker_model(path)
         for big in batches:
-            for at in range(0, len(big), 512):
-                b = big.iloc[at : at + 512]
+            for at in range(0, len(big), GROUP):
+                b = big.iloc[at : at + GROUP]
                 found = [model.pieces(t) if isinstance(t, str) else [] for t in b["text"]]
                 model.learn(found)
                 n, ids, digest, back = [], [], [], []
@@ -181,7 +198,7 @@ def bpe_decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: s
     """(doc_id, text) from token ids; null ids give a null text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = PairIndexBPE(path)
+        model = worker_model(path)
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "text": [None if x is None else model.decode(list(x)) for x in b["ids"]]})
 
