@@ -38,6 +38,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def if_small(df: DataFrame, rows: int, most: int = 500_000) -> DataFrame:
+    """Broadcast a side whose counted rows are few; beyond that the join shuffles."""
+    return F.broadcast(df) if rows <= most else df
+
+
 def whole_runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Batches of rows sorted by keys, cut anew so that no run of equal keys is split."""
     held: list[pd.DataFrame] = []

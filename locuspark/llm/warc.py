@@ -1,27 +1,32 @@
 """WARC archives, index first: offsets are known before records are read back.
 
-Records are written through Spark's text writer with the WARC record end as its line end,
-one file per archive. The index (archive file, offset, length, URL, digest) is a table of
-its own. Reading takes the selected index rows in order of file and offset, joins ranges
-that touch or nearly touch, and reads each joined range once.
+Each task writes its rows as records, every record a gzip member of its own, to archive
+files of a bounded size in the shared folder, and returns one index row per record
+(archive file, offset, length, URL, digest). The index is a Spark table, so it lists what
+successful tasks wrote and nothing of an attempt that was lost. Reading takes the
+selected index rows in order of file and offset, joins ranges that touch or nearly
+touch, and reads each joined range once.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
+import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locuspark.llm.shared import shared_path
+from locuspark.llm.shared import checkpoint, if_small, shared_path
 
-_END = "\r\n\r\n"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_INDEX = "path string, offset long, length long, page_id long, url string, record_type string, payload_digest string"
 
 
 def sha1_base32(payload: Column) -> Column:
@@ -34,80 +39,91 @@ def sha1_base32(payload: Column) -> Column:
     return F.concat(*out)
 
 
+def _store(uri: str):
+    """The file system and path of a URI, for tasks that write or read byte ranges."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri if ":" in uri else f"file://{uri}"))
+
+
 @dataclass
 class Archives:
-    """A written set: the folder of the record files and the folder of the index."""
+    """A written set: the folder of the archive files and the folder of the index."""
 
     records: str
     index: str
 
     def read_index(self, spark: SparkSession) -> DataFrame:
         """(path, offset, length, page_id, url, record_type, payload_digest): one row per record."""
-        rows = spark.read.parquet(self.index)
-        files = spark.read.format("binaryFile").load(self.records).select("path", "archive")
-        return rows.join(files, "archive")
-
-
-def write_archives(pages: DataFrame, archive_bytes: int = 64 << 20, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> Archives:
+        return spark.read.schema(_INDEX).parquet(self.index)
+
+
+def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, first_id: int | None, date: str) -> bytes:
+    """One WARC record; a revisit (first_id given) has no payload, but its length and digest."""
+    body = payload if first_id is None else b""
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if first_id is None else 'revisit'}"]
+    if page_id is not None:
+        lines.append(f"WARC-Record-ID: <urn:page:{page_id}>")
+    if url is not None:
+        lines.append("WARC-Target-URI: " + re.sub(r"[\x00-\x1f\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
+    lines += [f"WARC-Date: {date}", f"WARC-Payload-Digest: sha1:{digest}"]
+    if first_id is not None:
+        lines += [f"WARC-Refers-To: <urn:page:{first_id}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+    lines += [f"X-Payload-Length: {len(payload)}", "Content-Type: text/html; charset=utf-8", f"Content-Length: {len(body)}"]
+    return "\r\n".join(lines).encode("utf-8") + b"\r\n\r\n" + body + b"\r\n\r\n"
+
+
+def write_archives(
+    pages: DataFrame, archive_bytes: int = 256 << 20, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+) -> Archives:
     """Write a record per page and the index of all records.
 
-    The first page (smallest id) of those with equal payloads is a response, the others
-    are revisits that refer to it. A null html is an empty payload, a null url writes no
-    target, control characters in a url are percent-encoded. A null id writes no id and
-    comes after all others. Rows repeated with one id and payload get a record each, of
-    which one can be the response. Extra columns are ignored; an empty table gives archives
-    without records.
+    The page with the smallest id of those with equal payloads is a response, the others
+    are revisits that refer to it. Only payloads that occur more than once are looked up:
+    broadcast where they are few by count, else joined by digest (a hot one is split). A null
+    html is an empty payload, a null url writes no target, control characters in a url are
+    percent-encoded. A page without id is a revisit if its payload has an id elsewhere. A row
+    repeated with one id and payload gets a record of the same type each time. Extra
+    columns are ignored; an empty table gives an empty index.
     """
     spark = pages.sparkSession
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html"))
-    base = base.withColumns({"payload_bytes": F.octet_length("html").cast("long"), "digest": sha1_base32(F.col("html").cast("binary"))})
-    light = base.drop("html")
-    firsts = light.groupBy("digest").agg(F.min("page_id").alias("first_id"))
-    total = base.agg(F.sum(F.col("payload_bytes") + 700)).first()[0] or 0
-    n = max(1, -(-total // archive_bytes), min(total // (1 << 20), spark.sparkContext.defaultParallelism))
-    at = F.pmod(F.xxhash64("page_id", "digest"), F.lit(n)).cast("int")
-    placed = base.join(firsts, "digest").withColumn("archive", at).repartition(n, "archive")
-    same = Window.partitionBy("archive", "page_id", "digest").orderBy("url")
-    is_first = F.col("page_id").eqNullSafe(F.col("first_id")) & (F.row_number().over(same) == 1)
-    typed = placed.withColumn("record_type", F.when(is_first, "response").otherwise("revisit"))
-    line = lambda name, value: F.coalesce(F.concat(F.lit(name + ": "), value, F.lit("\r\n")), F.lit(""))
-    url = F.col("url")
-    for c in [*range(32), 127]:
-        url = F.replace(url, F.lit(chr(c)), F.lit(f"%{c:02X}"))
-    body = F.when(F.col("record_type") == "response", F.col("html")).otherwise("")
-    text = F.concat(
-        F.lit("WARC/1.1\r\n"),
-        line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))),
-        line("WARC-Target-URI", url),
-        line("WARC-Date", F.lit(date)),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
-        line("WARC-Refers-To", F.when(F.col("record_type") == "revisit", F.concat(F.lit("<urn:page:"), F.col("first_id").cast("string"), F.lit(">")))),
-        line("WARC-Profile", F.when(F.col("record_type") == "revisit", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
-        line("X-Payload-Length", F.col("payload_bytes").cast("string")),
-        line("Content-Type", F.lit("text/html; charset=utf-8")),
-        line("Content-Length", F.octet_length(body).cast("string")),
-        F.lit("\r\n"),
-        body,
-    )
+    base = base.withColumn("digest", sha1_base32(F.col("html").cast("binary")))
+    many = checkpoint(base.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    first = F.when(F.col("page_id").eqNullSafe(F.col("first_id")), F.lit(None)).otherwise(F.col("first_id"))
+    placed = base.join(if_small(many, many.count()), "digest", "left").withColumn("first_id", first)
     made = Archives(shared_path(spark, "warc"), shared_path(spark, "warc-index"))
-    order = ["page_id", "digest", "record_type", "url"]
-    records = typed.withColumn("value", text)
-    sized = records.sortWithinPartitions("archive", *order).select("archive", "value")
-    sized.write.partitionBy("archive").option("lineSep", _END).text(made.records)
-    before = Window.partitionBy("archive").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    length = (F.octet_length("value") + len(_END)).cast("long")
-    slim = records.select("archive", *order, length.alias("length"))
-    slim.select(
-        "archive",
-        F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"),
-        "length",
-        "page_id",
-        "url",
-        "record_type",
-        F.col("digest").alias("payload_digest"),
-    ).write.parquet(made.index)
+    folder = made.records
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = _store(folder)
+        system.create_dir(root, recursive=True)
+        file, name, at = None, "", 0
+        number = lambda x: None if pd.isna(x) else int(x)
+        try:
+            for b in batches:
+                out = []
+                for page, url, text, digest, first in zip(b["page_id"].astype("Int64"), b["url"], b["html"], b["digest"], b["first_id"].astype("Int64"), strict=True):
+                    if file is None or at >= archive_bytes:
+                        if file:
+                            file.close()
+                        name, at = f"{uuid.uuid4().hex}.warc.gz", 0
+                        file = system.open_output_stream(f"{root}/{name}", compression=None)
+                    plain = record_bytes(number(page), url, text.encode("utf-8"), digest, number(first), date)
+                    pack = zlib.compressobj(5, zlib.DEFLATED, 31)
+                    data = pack.compress(plain) + pack.flush()
+                    file.write(data)
+                    out.append((f"{folder}/{name}", at, len(data), number(page), url, "response" if pd.isna(first) else "revisit", digest))
+                    at += len(data)
+                frame = pd.DataFrame(out, columns=["path", "offset", "length", "page_id", "url", "record_type", "payload_digest"])
+                frame["page_id"] = frame["page_id"].astype("Int64")
+                yield frame
+        finally:
+            if file:
+                file.close()
+
+    placed.select("page_id", "url", "html", "digest", "first_id").mapInPandas(run, _INDEX).write.parquet(made.index)
     return made
 
 
@@ -143,19 +159,16 @@ def read_records(index: DataFrame, gap: int = 64 << 10, most: int = 8 << 20, wit
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         rows = ((p, o, n) for b in batches for p, o, n in zip(b["path"], b["offset"], b["length"], strict=True))
         opened, name = None, None
         for path, start, end, inside in _ranges(rows, gap, most):
             if path != name:
-                where = re.sub(r"^file:/+", "file:///", path)
-                system, at = fs.FileSystem.from_uri(where)
+                system, at = _store(path)
                 opened, name = system.open_input_file(at), path
             data = opened.read_at(end - start, start)
             out = []
             for o, n in inside:
-                r = parse_record(data[o - start : o - start + n])
+                r = parse_record(gzip.decompress(data[o - start : o - start + n]))
                 digest = base64.b32encode(hashlib.sha1(r["payload"]).digest()).decode()
                 said = r["warc-payload-digest"].removeprefix("sha1:")
                 if r["warc-type"] == "response" and digest != said:
