@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from locuspark.operators.intervals import merge_intervals, overlap_join, subtract_intervals
 
-LEN = F.col("end") - F.col("start") + 1
+
+
+def _length() -> Column:
+    return F.col("end") - F.col("start") + 1
 
 
 def transcripts(exons: DataFrame, types: Sequence[str] = ()) -> DataFrame:
@@ -24,7 +27,7 @@ def transcripts(exons: DataFrame, types: Sequence[str] = ()) -> DataFrame:
         F.min("start").alias("start"),
         F.max("end").alias("end"),
         F.count(F.lit(1)).alias("n_exons"),
-        F.sum(LEN).cast("long").alias("mature_len"),
+        F.sum(_length()).cast("long").alias("mature_len"),
         *[F.min(c).alias(c) for c in types],
     )
 
@@ -37,7 +40,7 @@ def cds_summary(cds: DataFrame, codons: DataFrame | None = None) -> DataFrame:
     """
     minus = F.col("strand") == "-"
     out = cds.groupBy("tr").agg(
-        F.min("strand").alias("strand"), F.min("start").alias("cds_start"), F.max("end").alias("cds_end"), F.count(F.lit(1)).alias("n_cds"), F.sum(LEN).cast("long").alias("cds_len")
+        F.min("strand").alias("strand"), F.min("start").alias("cds_start"), F.max("end").alias("cds_end"), F.count(F.lit(1)).alias("n_cds"), F.sum(_length()).cast("long").alias("cds_len")
     )
     atg, stop = F.when(minus, F.col("cds_end")).otherwise(F.col("cds_start")), F.when(minus, F.col("cds_start")).otherwise(F.col("cds_end"))
     if codons is not None:
@@ -175,21 +178,21 @@ def split_coding(df: DataFrame, type_col: str = "tr_type") -> DataFrame:
 def exon_ids(exons: DataFrame, tr_type: str = "tr_type", gene_type: str = "gene_type") -> DataFrame:
     """Add exon_id gene#tr#chrom:start-end; the type falls back to the gene's; exons under 2 nt are left out."""
     where = F.concat(F.col("chrom"), F.lit(":"), F.col("start").cast("string"), F.lit("-"), F.col("end").cast("string"))
-    out = exons.where(LEN >= 2).withColumn("exon_id", F.concat_ws("#", F.col("gene").cast("string"), F.col("tr").cast("string"), where))
+    out = exons.where(_length() >= 2).withColumn("exon_id", F.concat_ws("#", F.col("gene").cast("string"), F.col("tr").cast("string"), where))
     return out.withColumn(tr_type, F.coalesce(tr_type, gene_type)) if gene_type in exons.columns else out
 
 
 def order_transcripts(tr: DataFrame) -> DataFrame:
     """Add tr_no within the gene: by 5' start on the strand, longest first."""
     five = F.when(F.col("strand") == "-", -F.col("end")).otherwise(F.col("start"))
-    w = Window.partitionBy("gene").orderBy(five, F.desc(LEN), "tr")
+    w = Window.partitionBy("gene").orderBy(five, F.desc(_length()), "tr")
     return tr.withColumn("tr_no", F.row_number().over(w).cast("long"))
 
 
 def mrna_metrics(exons: DataFrame, cds: DataFrame) -> DataFrame:
     """(tr, mature_len, cds_start, cds_end, cds_len, protein_len); protein length without the stop codon."""
-    m = exons.groupBy("tr").agg(F.sum(LEN).cast("long").alias("mature_len"))
-    c = cds.groupBy("tr").agg(F.min("start").alias("cds_start"), F.max("end").alias("cds_end"), F.sum(LEN).cast("long").alias("cds_len"))
+    m = exons.groupBy("tr").agg(F.sum(_length()).cast("long").alias("mature_len"))
+    c = cds.groupBy("tr").agg(F.min("start").alias("cds_start"), F.max("end").alias("cds_end"), F.sum(_length()).cast("long").alias("cds_len"))
     return m.join(c, "tr").withColumn("protein_len", F.floor(F.col("cds_len") / 3) - 1)
 
 
@@ -203,7 +206,7 @@ def transcript_pairs(exons: DataFrame) -> DataFrame:
 def aed(pairs: DataFrame, exons: DataFrame) -> DataFrame:
     """Annotation edit distance of transcript pairs, 1 - (sn + sp) / 2 on exon bases: (gene, tr_a, tr_b, aed)."""
     m = merge_intervals(exons, ["tr", "chrom"]).select("tr", "chrom", "start", "end")
-    size = m.groupBy("tr").agg(F.sum(LEN).cast("long").alias("bases"))
+    size = m.groupBy("tr").agg(F.sum(_length()).cast("long").alias("bases"))
     x = pairs.join(m.withColumnRenamed("tr", "tr_a"), "tr_a")
     y = pairs.select("tr_a", "tr_b").join(m.withColumnRenamed("tr", "tr_b"), "tr_b")
     both = overlap_join(x, y, keys=("chrom", "tr_a", "tr_b"))
@@ -222,7 +225,7 @@ def splice_complexity(exons: DataFrame) -> DataFrame:
 def with_offsets(parts: DataFrame, key: str = "tr") -> DataFrame:
     """Add ``before``: bases of the parts (exons or CDS) that come earlier in reading direction."""
     w = Window.partitionBy(key).orderBy(F.when(F.col("strand") == "-", -F.col("end")).otherwise(F.col("start"))).rowsBetween(Window.unboundedPreceding, -1)
-    return parts.withColumn("before", F.coalesce(F.sum(LEN).over(w), F.lit(0)).cast("long"))
+    return parts.withColumn("before", F.coalesce(F.sum(_length()).over(w), F.lit(0)).cast("long"))
 
 
 def map_positions(points: DataFrame, parts: DataFrame, to_col: str = "mapped") -> DataFrame:
@@ -240,7 +243,7 @@ def map_positions(points: DataFrame, parts: DataFrame, to_col: str = "mapped") -
 def map_to_genome(points: DataFrame, parts: DataFrame) -> DataFrame:
     """Position in the spliced parts (tr, at) back to the genome: adds chrom, pos."""
     o = with_offsets(parts).select(F.col("tr").alias("_t"), "chrom", "strand", "start", "end", "before")
-    inside = (F.col("tr") == F.col("_t")) & (F.col("at") > F.col("before")) & (F.col("at") <= F.col("before") + LEN)
+    inside = (F.col("tr") == F.col("_t")) & (F.col("at") > F.col("before")) & (F.col("at") <= F.col("before") + _length())
     step = F.col("at") - F.col("before") - 1
     pos = F.when(F.col("strand") == "-", F.col("end") - step).otherwise(F.col("start") + step)
     return points.join(o, inside).select(*points.columns, "chrom", pos.cast("long").alias("pos"))

@@ -1 +1,161 @@
-"""Queries."""
+"""Shuffles and enrichment tests over the derived tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from locuspark.functions.binomial import binomial_test
+from locuspark.operators import enrich as en
+from locuspark.operators import shuffle as sh
+from locuspark.operators.intervals import first_per
+from locuspark.operators.model import pick_transcript, seeded_key
+from locuspark.plans.fixtures import Fixtures
+from locuspark.plans.model_queries import rand_key
+from locuspark.plans.registry import query
+
+ROUNDS = 4
+INSIDE = "s + CASE WHEN s < 1 THEN 1 - s WHEN e > length THEN greatest(length - e, 1 - s) ELSE 0 END AS st, least(e + CASE WHEN s < 1 THEN 1 - s WHEN e > length THEN greatest(length - e, 1 - s) ELSE 0 END, length) AS en"
+POSITIONS = f"""rd AS MATERIALIZED (SELECT r AS round, t.*, length FROM te t JOIN sizes USING (chrom), range(1, {ROUNDS + 1}) x(r)),
+  sp AS MATERIALIZED (SELECT round, te_id, chrom, rname, rfam, rclass, {INSIDE} FROM (SELECT *, m - (en - st) // 2 AS s, m - (en - st) // 2 + en - st AS e FROM (SELECT *, row_number() OVER (PARTITION BY round, chrom ORDER BY te_id) AS i FROM rd)
+    JOIN (SELECT round, chrom, (st + en) // 2 AS m, row_number() OVER (PARTITION BY round, chrom ORDER BY {rand_key('te_id', 'round', 1)}, te_id) AS i FROM rd) USING (round, chrom, i)))"""
+
+
+def shuffled(fx: Fixtures) -> DataFrame:
+    return sh.shuffle_positions(fx.te, fx.sizes, ROUNDS)
+
+
+def tss(fx: Fixtures) -> DataFrame:
+    p = F.when(F.col("strand") == "-", F.col("end")).otherwise(F.col("start"))
+    return fx.tr.select(F.col("tr").alias("tss_id"), "chrom", "strand", p.alias("start"), p.alias("end"))
+
+
+@query("r2_shuffle_positions", "te", "sizes", sql=f"WITH {POSITIONS} SELECT round, te_id, chrom, st, en FROM sp")
+def r2(fx: Fixtures) -> DataFrame:
+    return shuffled(fx).select("round", "te_id", "chrom", "start", "end")
+
+
+@query("j11_shuffle_pair", "te", "sizes", sql=f"WITH {POSITIONS} SELECT round, chrom, count(*) AS n, CAST(sum(en - st + 1) AS BIGINT) AS bases FROM sp GROUP BY round, chrom")
+def j11(fx: Fixtures) -> DataFrame:
+    return shuffled(fx).groupBy("round", "chrom").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("end") - F.col("start") + 1).alias("bases"))
+
+
+@query("r3_shuffle_keep_tss_distance", "te", "tr", "sizes", sql=f"""WITH ts AS MATERIALIZED (SELECT tr, chrom, strand, CASE WHEN strand = '-' THEN en ELSE st END AS p, row_number() OVER (PARTITION BY chrom ORDER BY tr) - 1 AS slot, count(*) OVER (PARTITION BY chrom) AS n FROM tr),
+  d AS MATERIALIZED (SELECT te_id, CAST(CASE WHEN t.st > p THEN t.st - p WHEN t.en < p THEN p - t.en ELSE 0 END * CASE WHEN (t.st > p) = (s.strand = '-') THEN -1 ELSE 1 END AS BIGINT) AS d FROM te t JOIN ts s ON t.chrom = s.chrom
+    QUALIFY row_number() OVER (PARTITION BY te_id ORDER BY CASE WHEN t.st > p THEN t.st - p WHEN t.en < p THEN p - t.en ELSE 0 END, s.tr) = 1),
+  r AS (SELECT x.r AS round, t.te_id, t.chrom, t.en - t.st AS span, d, abs(d) AS g, length, row_number() OVER (PARTITION BY x.r, t.chrom ORDER BY {rand_key('t.te_id', 'x.r', 1)}, t.te_id) - 1 AS k FROM te t JOIN d USING (te_id) JOIN sizes z ON z.chrom = t.chrom, range(1, 3) x(r)),
+  q AS (SELECT r.*, p, (d > 0) = (strand = '+') AS rt FROM r JOIN ts ON ts.chrom = r.chrom AND ts.slot = r.k % ts.n),
+  w AS (SELECT *, CASE WHEN rt THEN p + g ELSE p - g - span END AS a, CASE WHEN rt THEN p - g - span ELSE p + g END AS b FROM q),
+  y AS (SELECT *, CASE WHEN d = 0 THEN p - span // 2 WHEN a < 1 OR a + span > length THEN b ELSE a END AS s FROM w),
+  z AS (SELECT *, s + span AS e FROM y) SELECT round, te_id, chrom, {INSIDE} FROM z""")
+def r3(fx: Fixtures) -> DataFrame:
+    return sh.shuffle_tss(fx.te, tss(fx), fx.sizes, 2).select("round", "te_id", "chrom", "start", "end")
+
+
+@query("r1_shuffle_random")
+def r1(fx: Fixtures) -> DataFrame:
+    return sh.shuffle_random(fx.te, fx.sizes, 2, excl=fx.exon).select("round", "te_id", "chrom", "start", "end")
+
+
+EXP = POSITIONS + """, ob AS MATERIALIZED (SELECT coalesce(rclass, 'tot') AS rclass, count(DISTINCT (tr, k)) AS hits FROM hit GROUP BY ROLLUP (rclass)),
+  ex AS MATERIALIZED (SELECT round, coalesce(rclass, 'tot') AS rclass, count(DISTINCT (tr, k)) AS hits FROM (SELECT s.round, s.rclass, e.tr, e.k FROM sp s JOIN exon e ON s.chrom = e.chrom AND s.st <= e.en AND e.st <= s.en WHERE least(s.en, e.en) - greatest(s.st, e.st) + 1 >= 10)
+    GROUP BY GROUPING SETS ((round), (round, rclass))),
+  fl AS MATERIALIZED (SELECT k.rclass, r AS round, coalesce(hits, 0) AS hits FROM (SELECT rclass FROM ob UNION SELECT rclass FROM ex) k CROSS JOIN range(1, 5) x(r) LEFT JOIN ex ON ex.rclass = k.rclass AND ex.round = x.r)"""
+
+
+def class_hits(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
+    """Observed and expected hits of classes and in total."""
+    feature = ["tr", "k"]
+    obs = en.observed_hits(fx.te, fx.exon, feature)
+    exp = en.observed_hits(shuffled(fx), fx.exon, feature, extra=("round",))
+    top = lambda d, *extra: d.where("rfam = 'tot'").select(*extra, "rclass", "hits")
+    return top(obs), top(exp, "round")
+
+
+@query("r8_expected_initialised", "te", "sizes", "exon", "hit", sql=f"WITH {EXP} SELECT rclass, round, hits FROM fl")
+def r8(fx: Fixtures) -> DataFrame:
+    obs, exp = class_hits(fx)
+    return en.expected_initialised(obs, exp, ["rclass"], ROUNDS)
+
+
+@query("r9_aggregate_rounds", "te", "sizes", "exon", "hit", sql=f"WITH {EXP} SELECT rclass, round(avg(hits), 6) AS exp_mean, round(stddev_samp(hits), 6) AS exp_sd, count(*) AS n_rounds FROM fl GROUP BY rclass")
+def r9(fx: Fixtures) -> DataFrame:
+    a = en.aggregate_rounds(r8(fx), ["rclass"])
+    return a.withColumns({"exp_mean": F.round("exp_mean", 6), "exp_sd": F.round("exp_sd", 6)})
+
+
+@query("r10_expected_distribution", "te", "sizes", "exon", "hit", sql=f"WITH {EXP} SELECT rclass, string_agg(CAST(hits AS VARCHAR), ',' ORDER BY hits) AS counts FROM fl GROUP BY rclass")
+def r10(fx: Fixtures) -> DataFrame:
+    d = en.expected_distribution(r8(fx), ["rclass"])
+    return d.select("rclass", F.array_join(F.transform("counts", lambda x: x.cast("string")), ",").alias("counts"))
+
+
+@query("r4_permutation_test", "te", "sizes", "exon", "hit", sql=f"""WITH {EXP}, t AS (SELECT rclass, coalesce(max(ob.hits), 0) AS obs, avg(fl.hits) AS m, stddev_samp(fl.hits) AS sd, 1 + count(*) FILTER (fl.hits <= coalesce(ob.hits, 0)) AS rank FROM fl LEFT JOIN ob USING (rclass) GROUP BY rclass)
+  SELECT rclass, obs, round(m, 6) AS exp_mean, round(sd, 6) AS exp_sd, rank, CASE WHEN rank <= 2 THEN 2 * rank / 4.0 ELSE 2 * (6 - rank) / 4.0 END AS p FROM t""")
+def r4(fx: Fixtures) -> DataFrame:
+    obs, exp = class_hits(fx)
+    t = en.permutation_test(obs, exp, ["rclass"], ROUNDS)
+    return t.withColumns({"exp_mean": F.round("exp_mean", 6), "exp_sd": F.round("exp_sd", 6)})
+
+
+@query("w5_rank_in_expected", "te", "sizes", "exon", "hit", sql=f"WITH {EXP} SELECT rclass, 1 + count(*) FILTER (fl.hits < coalesce(ob.hits, 0)) AS rank FROM fl LEFT JOIN ob USING (rclass) GROUP BY rclass")
+def w5(fx: Fixtures) -> DataFrame:
+    obs, exp = class_hits(fx)
+    return en.permutation_test(obs, exp, ["rclass"], ROUNDS, strict=True).select("rclass", "rank")
+
+
+@query("r5_binomial_test", sql="""WITH b AS (SELECT l_linenumber, CAST(l_quantity AS INT) AS n, count(*) FILTER (l_returnflag = 'A') AS c FROM lineitem GROUP BY ALL), x AS (SELECT l_linenumber, n, c % (n + 1) AS x, 0.05 + l_linenumber / 10.0 AS p FROM b),
+  f AS (SELECT l_linenumber, n, x, p, k, lgamma(n + 1) - CASE WHEN k = 0 THEN 0 ELSE lgamma(k + 1) END - CASE WHEN k = n THEN 0 ELSE lgamma(n - k + 1) END + k * ln(p) + (n - k) * ln(1 - p) AS l FROM x, LATERAL (SELECT unnest(range(0, n + 1)) AS k))
+  SELECT l_linenumber, n, x, round(least(1, sum(exp(f.l))), 6) AS binom_p FROM f JOIN (SELECT l_linenumber, n, l AS lx FROM f WHERE k = x) g USING (l_linenumber, n) WHERE f.l <= lx + 1e-7 GROUP BY ALL""")
+def r5(fx: Fixtures) -> DataFrame:
+    q = F.col("l_quantity").cast("int")
+    b = fx.table("lineitem").groupBy("l_linenumber", q.alias("n")).agg(F.count(F.when(F.col("l_returnflag") == "A", 1)).alias("c"))
+    b = b.select("l_linenumber", "n", (F.col("c") % (F.col("n") + 1)).alias("x"), (0.05 + F.col("l_linenumber") / 10).alias("prob"))
+    return binomial_test(b, "x", "n", "prob", interval=False).select("l_linenumber", "n", "x", F.round("binom_p", 6).alias("binom_p"))
+
+
+@query("r5_binomial_interval")
+def r5b(fx: Fixtures) -> DataFrame:
+    b = fx.table("lineitem").groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("l_returnflag") == "A", 1)).alias("x"))
+    return binomial_test(b.withColumn("prob", F.lit(0.3)), "x", "n", "prob")
+
+
+@query("r6_enrichment_simple")
+def r6(fx: Fixtures) -> DataFrame:
+    features = fx.exon.select("chrom", "start", "end", F.concat_ws("#", F.col("tr").cast("string"), F.col("k").cast("string")).alias("feature"))
+    return en.enrichment(fx.te, features, shuffled(fx), ROUNDS)
+
+
+@query("r7_enrichment_transcripts")
+def r7(fx: Fixtures) -> DataFrame:
+    return en.enrichment_transcripts(fx.te, fx.exon, shuffled(fx), ROUNDS)
+
+
+PICK = f"pk AS MATERIALIZED (SELECT r AS round, gene, tr, n_exons FROM (SELECT gene, tr, count(*) AS n_exons FROM exon GROUP BY gene, tr), range(1, 4) s(r) QUALIFY row_number() OVER (PARTITION BY r, gene ORDER BY {rand_key('tr', 'r', 1)}, tr) = 1)"
+
+
+@query("a14_expected_feature_totals", "exon", sql=f"WITH {PICK} SELECT round, c AS category, CAST(sum(v) AS BIGINT) AS n FROM (" + " UNION ALL ".join(f"SELECT round, '{c}' AS c, {v} AS v FROM pk" for c, v in (("transcript", "1"), ("TSS_polyA", "1"), ("TSS", "1"), ("polyA", "1"), ("exonized", "n_exons"), ("TSS_5SPL", "CAST(n_exons > 1 AS INT)"), ("3SPL_polyA", "CAST(n_exons > 1 AS INT)"), ("5SPL", "greatest(n_exons - 1, 0)"), ("3SPL", "greatest(n_exons - 1, 0)"), ("3SPL_exon_5SPL", "greatest(n_exons - 2, 0)"))) + ") GROUP BY ALL")
+def a14(fx: Fixtures) -> DataFrame:
+    index = fx.exon.groupBy("gene", "tr").agg(F.count(F.lit(1)).alias("n_exons"))
+    return en.feature_totals(pick_transcript(index, 3))
+
+
+@query("a16_percent_of_features", "te", "sizes", "exon", "hit", sql=f"WITH {EXP}, n AS (SELECT count(*) AS nf FROM exon) SELECT rclass, round(100 * max(ob.hits) / max(nf), 6) AS obs_pct, round(100 * avg(fl.hits) / max(nf), 6) AS exp_pct, max(nf) - max(ob.hits) AS unhit FROM fl JOIN ob USING (rclass), n GROUP BY rclass")
+def a16(fx: Fixtures) -> DataFrame:
+    features = fx.exon.select("chrom", "start", "end", F.concat_ws("#", F.col("tr").cast("string"), F.col("k").cast("string")).alias("feature"))
+    t = en.enrichment(fx.te, features, shuffled(fx), ROUNDS).where("rfam = 'tot'")
+    return t.select("rclass", F.round("obs_pct", 6).alias("obs_pct"), F.round("exp_pct", 6).alias("exp_pct"), "unhit")
+
+
+@query("m6_enrichment_matrices", "te", "sizes", "exon", "hit", sql=f"WITH {EXP}, t AS (SELECT rclass, coalesce(max(ob.hits), 0) AS obs, avg(fl.hits) AS m, 1 + count(*) FILTER (fl.hits <= coalesce(ob.hits, 0)) AS rank FROM fl LEFT JOIN ob USING (rclass) GROUP BY rclass) SELECT rclass, CASE WHEN rank <= 2 THEN 'DEPLETED' ELSE 'ENRICHED' END AS direction, round(obs / nullif(m, 0), 6) AS odds FROM t")
+def m6(fx: Fixtures) -> DataFrame:
+    from locuspark.operators.merge import enrichment_matrix
+
+    t = r4(fx).withColumnRenamed("exp_mean", "exp")
+    return enrichment_matrix(t, ROUNDS).select("rclass", "direction", F.round("odds", 6).alias("odds"))
+
+
+@query("o3_random_pick", "te", sql=f"SELECT rclass, te_id FROM te QUALIFY row_number() OVER (PARTITION BY rclass ORDER BY {rand_key('te_id', '1', 7)}, te_id) = 1")
+def o3(fx: Fixtures) -> DataFrame:
+    t = fx.te.select("rclass", "te_id").withColumn("_key", seeded_key(F.col("te_id"), F.lit(1), 7))
+    return first_per(t, ["rclass"], ["_key", "te_id"]).select("rclass", "te_id")
