@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locuspark.llm.shared import checkpoint, if_small
+
 
 def words_of(text: Column) -> Column:
     """Lower-case words: runs of letters and digits."""
@@ -46,8 +48,10 @@ def contamination(
     document (or item) with the shingles of all their rows. Empty tables give no rows;
     extra columns are ignored.
     """
-    doc = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("doc_text")).withColumn("ws", words_of(F.col("doc_text")))
-    item = (
+    doc = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("doc_text"))
+    # the words are a column of their own: inside the shingles' lambda they would be split anew for each shingle
+    exploded = lambda df, make, name: df.withColumn("ws", words_of(F.col("doc_text"))).select("doc_id", F.explode(make(F.col("ws"))).alias(name))
+    item = checkpoint(
         items.select(F.col(item_col).alias("item_id"), words_of(F.col(item_text_col)).alias("ws"))
         .withColumn("shingle", F.explode(shingles_of(F.col("ws"), width, False)))
         .select("item_id", "shingle", F.xxhash64(F.split("shingle", " ", -1)).alias("hash"))
@@ -55,18 +59,20 @@ def contamination(
     )
     sized = item.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_shingles"))
     need = F.ceil(F.col("n_shingles") * threshold - 1e-9)
-    of_item = Window.partitionBy("item_id").orderBy("hash")
-    ranked = item.withColumn("rank", F.row_number().over(of_item)).join(sized.select(F.col("item_id").alias("i2"), "n_shingles"), F.col("item_id").eqNullSafe(F.col("i2"))).drop("i2")
-    part = F.floor(F.log2("n_shingles"))
+    of_item = Window.partitionBy("item_id")
+    part = F.floor(F.log2("n"))
     top = F.pow(F.lit(2), part + 1) - 1  # the largest size of the partition
-    keep = F.least(F.col("n_shingles"), F.floor(top * (1 - threshold) + 1e-9) + 1)
+    keep = F.least(F.col("n"), F.floor(top * (1 - threshold) + 1e-9) + 1)
+    ranked = item.withColumns({"n": F.count(F.lit(1)).over(of_item), "rank": F.row_number().over(of_item.orderBy("hash"))})
     sketch = ranked.where(F.col("rank") <= keep).select("hash").distinct()
-    hashes = doc.select("doc_id", F.explode(shingles_of(F.col("ws"), width, True)).alias("hash"))
-    hit = hashes.join(sketch, "hash", "left_semi").select("doc_id").distinct()
+    bound = sketch.agg(F.max("hash"), F.count(F.lit(1))).first()
+    hashes = exploded(doc, lambda ws: shingles_of(ws, width, True), "hash")
+    hashes = hashes.where(F.col("hash") <= F.lit(bound[0]).cast("long"))
+    hit = checkpoint(hashes.join(if_small(sketch, bound[1]), "hash", "left_semi").select(F.col("doc_id").alias("d2")).distinct())
+    shingles = item.select("item_id", "shingle")
     held = (
-        doc.join(hit.withColumnRenamed("doc_id", "d2"), F.col("doc_id").eqNullSafe(F.col("d2")), "left_semi")
-        .select("doc_id", F.explode(F.array_distinct(shingles_of(F.col("ws"), width, False))).alias("shingle"))
-        .join(item.select("item_id", "shingle"), "shingle")
+        exploded(doc.join(if_small(hit, hit.count()), F.col("doc_id").eqNullSafe(F.col("d2")), "left_semi"), lambda ws: shingles_of(ws, width, False), "shingle")
+        .join(if_small(shingles, shingles.count()), "shingle")
         .groupBy("doc_id", "item_id", "shingle")
         .agg(F.lit(1).alias("one"))
         .groupBy("doc_id", "item_id")
@@ -81,18 +87,18 @@ def contamination(
 
 def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """The rows of docs that hold no item at the threshold; all columns stay."""
-    leaks = contamination(docs, items, id_col=id_col, **how).select(F.col("doc_id").alias("leaked_id")).distinct()
+    leaks = checkpoint(contamination(docs, items, id_col=id_col, **how).select(F.col("doc_id").alias("leaked_id")).distinct())
+    leaks = if_small(leaks, leaks.count())
     return docs.join(leaks, docs[id_col].eqNullSafe(leaks["leaked_id"]), "left_anti")
 
 
-ORACLE_SQL = """
-WITH dw AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), x -> x <> '') AS ws FROM documents),
-iw AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), x -> x <> '') AS ws FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) AS s FROM dw WHERE len(ws) >= 5),
-its AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) AS s FROM iw WHERE len(ws) >= 5),
+ORACLE_SQL = r"""
+WITH dw AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS w, generate_subscripts(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+'), 1) AS i FROM documents),
+iw AS (SELECT item_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS w, generate_subscripts(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+'), 1) AS i FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS s FROM dw WINDOW o AS (PARTITION BY doc_id ORDER BY i) QUALIFY lead(w, 4) OVER o IS NOT NULL),
+its AS (SELECT DISTINCT item_id, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS s FROM iw WINDOW o AS (PARTITION BY item_id ORDER BY i) QUALIFY lead(w, 4) OVER o IS NOT NULL),
 n AS (SELECT item_id, count(*) AS n_shingles FROM its GROUP BY item_id),
 c AS (SELECT doc_id, item_id, count(*) AS n_contained FROM ds JOIN its USING (s) GROUP BY doc_id, item_id)
-SELECT doc_id, item_id, CAST(n_shingles AS BIGINT) AS n_shingles, CAST(n_contained AS BIGINT) AS n_contained,
-  n_contained / n_shingles AS containment
+SELECT doc_id, item_id, n_shingles, n_contained, n_contained / n_shingles AS containment
 FROM c JOIN n USING (item_id) WHERE n_contained >= ceil(n_shingles * 0.8 - 1e-9)
 """
