@@ -23,9 +23,9 @@ def translate_cds(seq: Column) -> Column:
     """Protein of a coding sequence: white space and digits removed, X for unknown codons, no trailing stop."""
     clean = F.upper(F.regexp_replace(seq, r"[\s0-9]", ""))
     codes = F.create_map(*[x for c, a in zip(map("".join, product("TCAG", repeat=3)), CODE, strict=True) for x in (F.lit(c), F.lit(a))])
-    n = F.floor(F.length(clean) / 3).cast("int")
-    each = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.coalesce(F.try_element_at(codes, F.substring(clean, i * 3 - 2, F.lit(3))), F.lit("X")))
-    return F.when(n > 0, F.regexp_replace(F.array_join(each, ""), r"\*$", "")).otherwise("")
+    # codons are cut once; the lambda sees one codon at a time
+    each = F.transform(F.regexp_extract_all(clean, F.lit("(...)"), 1), lambda c: F.coalesce(F.try_element_at(codes, c), F.lit("X")))
+    return F.regexp_replace(F.array_join(each, ""), r"\*$", "")
 
 
 def gc_content(seq: Column) -> Column:

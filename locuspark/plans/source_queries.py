@@ -235,7 +235,7 @@ def u3(fx: Fixtures) -> DataFrame:
 @query("s21_write_bed", "exon", sql="SELECT chrom, st, en, '.' AS name, strand FROM exon")
 def s21(fx: Fixtures) -> DataFrame:
     path = wr.shared_path(fx.spark, "bed")
-    wr.write_bed(fx.exon, path, partition_by="gene")
+    wr.write_bed(fx.exon, path, partition_by="chrom")
     return rd.read_bed(fx.spark, path).select("chrom", "start", "end", "name", "strand")
 
 
