@@ -15,15 +15,17 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locuspark.llm.shared import column, text_slices
+
 #: The byte-level pre-token pattern (fixed values).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Entries of a worker's cache, after which it starts anew.
-CACHE = 400_000
+CACHE = 300_000
 #: Documents whose new pieces are merged together.
 GROUP = 2048
 
@@ -134,11 +136,24 @@ class PairIndexBPE:
             return out
         return self.piece.findall(text)
 
-    def learn(self, texts_pieces: list[list[str]]) -> None:
-        """Put the pieces that the cache does not hold into it."""
+    def looked_up(self, texts: list[str]) -> list[list[tuple[int, str, bytes]]]:
+        """For each text, (tokens, ids as text, bytes) of its pieces, in order; new pieces are merged together first.
+
+        Pieces that are known are kept as references into the cache, new ones once each.
+        """
         if len(self.cache) > CACHE:
             self.cache = {}
-        new = list({p for ps in texts_pieces for p in ps} - self.cache.keys())
+        get, fresh, out = self.cache.get, {}, []
+        for t in texts:
+            out.append([get(p) or fresh.setdefault(p, p) for p in self.pieces(t)])
+        if fresh:
+            self.learn(list(fresh))
+            known = self.cache
+            out = [[known[d] if type(d) is str else d for d in row] for row in out]
+        return out
+
+    def learn(self, new: list[str]) -> None:
+        """Put new pieces into the cache."""
         plain = [p for p in new if p not in self.special]
         for p, ids in zip(plain, self.encode_pieces([p.encode("utf-8") for p in plain]), strict=True):
             self.cache[p] = (len(ids), ",".join(map(str, ids)), b"".join(self.bytes_of[i] for i in ids))
@@ -146,9 +161,7 @@ class PairIndexBPE:
             self.cache[p] = (1, str(self.special[p]), self.bytes_of[self.special[p]])
 
     def ids(self, text: str) -> list[int]:
-        found = self.pieces(text)
-        self.learn([found])
-        return [int(i) for p in found for i in self.cache[p][1].split(",")]
+        return [int(i) for d in self.looked_up([text])[0] for i in d[1].split(",")]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(self.bytes_of[i] for i in ids).decode("utf-8", "replace")
@@ -169,38 +182,38 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     gives no rows.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["doc_id", "n_tokens", *(["ids"] if with_ids else []), "ids_sha256", "decoded_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = worker_model(path)
-        for big in batches:
-            for at in range(0, len(big), GROUP):
-                b = big.iloc[at : at + GROUP]
-                found = [model.pieces(t) if isinstance(t, str) else [] for t in b["text"]]
-                model.learn(found)
-                n, ids, digest, back = [], [], [], []
-                for ps in found:
-                    done = [model.cache[p] for p in ps]
-                    line = ",".join([d[1] for d in done])
-                    n.append(sum([d[0] for d in done]))
-                    digest.append(hashlib.sha256(line.encode()).hexdigest())
-                    text = b"".join([d[2] for d in done]).decode("utf-8", "replace")
-                    back.append(hashlib.sha256(text.encode("utf-8")).hexdigest())
-                    if with_ids:
-                        ids.append([int(x) for x in line.split(",")] if line else [])
-                out = {"doc_id": b["doc_id"].to_numpy(), "n_tokens": n} | ({"ids": ids} if with_ids else {})
-                yield pd.DataFrame(out | {"ids_sha256": digest, "decoded_sha256": back})
+        for b in text_slices(batches, GROUP):
+            rows = model.looked_up([t or "" for t in column(b, "text")])
+            n, ids, digest, back = [], [], [], []
+            for k, done in enumerate(rows):
+                rows[k] = None
+                line = ",".join([d[1] for d in done])
+                n.append(sum([d[0] for d in done]))
+                digest.append(hashlib.sha256(line.encode()).hexdigest())
+                text = b"".join([d[2] for d in done]).decode("utf-8", "replace")
+                back.append(hashlib.sha256(text.encode("utf-8")).hexdigest())
+                if with_ids:
+                    ids.append(np.array(line.split(","), np.int32) if line else np.zeros(0, np.int32))
+            out = [b.column(0), pa.array(n, pa.int64()), *([pa.array(ids, pa.list_(pa.int32()))] if with_ids else []), pa.array(digest, pa.string()), pa.array(back, pa.string())]
+            yield pa.RecordBatch.from_arrays(out, names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     shape = "doc_id long, n_tokens long, " + ("ids array<int>, " if with_ids else "") + "ids_sha256 string, decoded_sha256 string"
-    return rows.mapInPandas(run, shape)
+    return rows.mapInArrow(run, shape)
 
 
 def bpe_decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, text) from token ids; null ids give a null text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = worker_model(path)
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "text": [None if x is None else model.decode(list(x)) for x in b["ids"]]})
+        for b in text_slices(batches):
+            text = pa.array([None if x is None else model.decode(x) for x in column(b, "ids")], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), text], ["doc_id", "text"])
 
     rows = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
-    return rows.mapInPandas(run, "doc_id long, text string")
+    return rows.mapInArrow(run, "doc_id long, text string")

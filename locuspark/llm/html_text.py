@@ -14,10 +14,12 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locuspark.llm.shared import column, text_slices
+
 #: Lines of a window, and the text length of a window from which on text surges.
 WINDOW, SURGE = 3, 86
 
@@ -155,10 +157,11 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     are read whole; unclosed markup ends with the page.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            text = [main_text(h if isinstance(h, str) else None) for h in b["html"]]
-            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": text, "n_chars": [len(t) for t in text]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches):
+            text = [main_text(h) for h in column(b, "html")]
+            n = pa.array([len(t) for t in text], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), n], ["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return rows.mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -18,10 +18,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locuspark.llm.shared import column, text_slices
+
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 6
 
@@ -282,14 +284,16 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     model = fitted()
     one = "array<struct<kind:string,start:long,end:long>>"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            got = [find_spans(t, model) if isinstance(t, str) else ([], []) for t in b["text"]]
-            shaped = lambda x: [{"kind": k, "start": s, "end": e} for k, s, e in x]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "base": [shaped(x) for x, _ in got], "spans": [shaped(y) for _, y in got]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+        shaped = lambda x: [{"kind": k, "start": s, "end": e} for k, s, e in x]
+        for b in text_slices(batches):
+            got = [find_spans(t or "", model) for t in column(b, "text")]
+            spans = [pa.array([shaped(x[k]) for x in got], kind) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *spans], ["doc_id", "base", "spans"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(run, f"doc_id long, base {one}, spans {one}")
+    return rows.mapInArrow(run, f"doc_id long, base {one}, spans {one}")
 
 
 def pii_digest(found: DataFrame) -> DataFrame:
@@ -303,21 +307,22 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with every span of personal data replaced by [KIND]; all columns stay, null texts too."""
     model = fitted()
 
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        out = []
-        for t in texts:
-            if isinstance(t, str):
-                spans = sorted(find_spans(t, model)[1], key=lambda x: (x[1], -x[2]))
-                parts, at = [], 0
-                for kind, s, e in spans:
-                    if s >= at:
-                        parts += [t[at:s], f"[{kind.upper()}]"]
-                        at = e
-                    else:
-                        at = max(at, e)
-                t = "".join([*parts, t[at:]]) if spans else t
-            out.append(t)
-        return pd.Series(out, dtype=object)
-
-    return docs.withColumn(text_col, clean(F.col(text_col)))
+    def clean(t: str | None) -> str | None:
+        spans = sorted(find_spans(t or "", model)[1], key=lambda x: (x[1], -x[2]))
+        if not spans:
+            return t
+        parts, at = [], 0
+        for kind, s, e in spans:
+            if s >= at:
+                parts += [t[at:s], f"[{kind.upper()}]"]
+            at = max(at, e)
+        return "".join([*parts, t[at:]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches):
+            k = b.schema.get_field_index(text_col)
+            arrays = list(b.columns)
+            arrays[k] = pa.array([clean(t) for t in column(b, text_col)], b.schema.field(k).type)
+            yield pa.RecordBatch.from_arrays(arrays, schema=b.schema)
+
+    return docs.mapInArrow(run, docs.schema)

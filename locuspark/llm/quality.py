@@ -7,10 +7,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locuspark.llm.shared import column, text_slices
+
 #: Byte classes of the UTF-8 text.
 _CLASS = np.zeros(256, np.int64)
 for _chars, _k in ((b"abcdefghijklmnopqrstuvwxyz", 1), (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", 2), (b"0123456789", 3), (b" \t\r\x0b\x0c", 4), (b"\n", 5), (b".,;:'\"-()", 6), (b"!?", 7), (b"#$%&*@+=<>|~^_\\/{}[]`", 8)):
@@ -141,7 +143,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, labe
     Null labels and ids are left out; repeated labels of a document count by their mean.
     """
     marked = (
-        labels.select("doc_id", F.col(label_col).cast("double").alias("y"))
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y"))
         .where(F.col("y").isNotNull() & ~held_out())
         .groupBy("doc_id")
         .agg((F.avg("y") >= 0.5).cast("double").alias("y"))
@@ -149,14 +151,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, labe
         .limit(max_rows)
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "x": [statistics(t if isinstance(t, str) else "") for t in b["text"]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches):
+            x = pa.array([statistics(t).tolist() for t in column(b, "text")], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(b.schema.get_field_index("y")), x], ["doc_id", "y", "x"])
 
     got = (
-        docs.select("doc_id", F.col("text").cast("string").alias("text"))
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .join(F.broadcast(marked), "doc_id")  # bounded by max_rows rows of 16 bytes
-        .mapInPandas(run, "doc_id long, y double, x array<double>")
+        .mapInArrow(run, "doc_id long, y double, x array<double>")
         .orderBy("doc_id", "x")
         .limit(2 * max_rows)
         .toPandas()
@@ -169,21 +172,21 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, labe
 def score_quality(docs: DataFrame, model: Forest) -> DataFrame:
     """(doc_id, held_out, score), one row per input row; a null text scores as an empty one, a null id is held out."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            x = np.stack([statistics(t if isinstance(t, str) else "") for t in b["text"]]) if len(b) else np.zeros((0, N_FEATURES))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": model.predict(x)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches):
+            x = np.stack([statistics(t) for t in column(b, "text")])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(model.predict(x))], ["doc_id", "held_out", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(run, "doc_id long, held_out boolean, score double")
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double")
 
 
 def keep_quality(docs: DataFrame, model: Forest, threshold: float = 0.7) -> DataFrame:
     """The rows of docs whose text scores at the threshold or above; all columns stay."""
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        x = np.stack([statistics(t if isinstance(t, str) else "") for t in texts]) if len(texts) else np.zeros((0, N_FEATURES))
-        return pd.Series(model.predict(x))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches):
+            x = np.stack([statistics(t) for t in column(b, "text")])
+            yield b.filter(pa.array(model.predict(x) >= threshold))
 
-    return docs.where(score(F.col("text")) >= threshold)
+    return docs.mapInArrow(run, docs.schema)

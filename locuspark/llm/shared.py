@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +44,18 @@ def if_small(df: DataFrame, rows: int, most: int = 500_000) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of few rows, so that a worker holds few texts as Python strings at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def column(batch: pa.RecordBatch, name: str) -> list:
+    """A column as a Python list, nulls as None."""
+    return batch.column(batch.schema.get_field_index(name)).to_pylist()
+
+
 def whole_runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Batches of rows sorted by keys, cut anew so that no run of equal keys is split."""
     held: list[pd.DataFrame] = []

@@ -14,11 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locuspark.llm.shared import block_rows, checkpoint, components, min_labels, run_bounds, whole_runs
+from locuspark.llm.shared import block_rows, checkpoint, column, components, min_labels, run_bounds, text_slices, whole_runs
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _SEGMENTS = 16  # two-bit segments of a half
@@ -45,13 +46,13 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 def simhash_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """(doc_id, fp): fp the fingerprint's bits as a signed long. A null text has fingerprint 0."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fps = np.array([fingerprint(t if isinstance(t, str) else None, width) for t in b["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fps.view(np.int64)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches):
+            fps = np.array([fingerprint(t, width) for t in column(b, "text")], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, fp long")
 
 
 def _grid(batches: Iterator[pd.DataFrame], slim: bool) -> Iterator[pd.DataFrame]:

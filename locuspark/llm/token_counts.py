@@ -15,15 +15,17 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locuspark.llm.shared import column, text_slices
+
 #: The pre-token pattern of the vocabulary file (fixed values).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 #: Entries of a worker's cache, after which it starts anew.
-CACHE = 400_000
+CACHE = 300_000
 
 
 class PieceCounter:
@@ -77,15 +79,15 @@ def worker_counter(path: str) -> PieceCounter:
     return PieceCounter(path, {})
 
 
-def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_rows: int = 1000, size: int = 65_536) -> dict[str, int]:
+def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_rows: int = 500, size: int = 65_536) -> dict[str, int]:
     """The broadcast tier: at most ``size`` pre-tokens and their token counts.
 
     Filled from a sample of at most ``sample_rows`` documents, then from the vocabulary's whole words.
     """
     counter = PieceCounter(path, {})
     seen: Counter[str] = Counter()
-    for (t,) in docs.select(F.col(text_col).cast("string")).limit(sample_rows).toLocalIterator():
-        seen.update(counter.pieces((t or "")[:200_000])[1])
+    for (t,) in docs.select(F.col(text_col).cast("string")).take(sample_rows):
+        seen.update(counter.pieces(t or "")[1])
     known = [w for w, _ in seen.most_common(size // 2)]
     lengths = {p: len(e.ids) for p, e in zip(known, counter.tokenizer.encode_batch(known, add_special_tokens=False), strict=True)}
     for w in counter.tokenizer.get_vocab(with_added_tokens=False):
@@ -106,14 +108,14 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(frequent_lengths(docs, path, text_col))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = worker_counter(path)
         counter.frequent = table.value
-        for b in batches:
-            texts = [t if isinstance(t, str) else "" for t in b["text"]]
+        for b in text_slices(batches):
+            texts = [t or "" for t in column(b, "text")]
             n = np.array(counter.counts(texts), np.int64)
-            size = [len(t.encode("utf-8")) for t in texts]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_bytes": size, "n_tokens": n, "over_limit": n > limit})
+            size = pa.array([len(t.encode("utf-8")) for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), size, pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
