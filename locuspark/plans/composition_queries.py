@@ -230,3 +230,14 @@ def f19(fx: Fixtures) -> DataFrame:
     te = fx.te.withColumn("chrom", F.when(F.col("te_id") % 3 == 0, F.concat(F.lit("GL000"), (F.col("te_id") % 4).cast("string"), F.lit(".1"))).otherwise(F.col("chrom")))
     sizes = fx.sizes.select("chrom").union(te.where("te_id % 3 = 0").select(F.concat(F.lit("chrUn_gl000"), (F.col("te_id") % 4).cast("string"))).distinct())
     return ft.contig_alias(te.select("te_id", "chrom"), sizes)
+
+
+@query("a4_n_chromosomes", "hit", sql="SELECT rname, count(DISTINCT chrom) AS n_chrom FROM hit GROUP BY rname")
+def a4(fx: Fixtures) -> DataFrame:
+    return cm.fragment_counts(hits(fx)).select("rname", "n_chrom")
+
+
+@query("w2_previous_interval", "hit", sql="""SELECT rclass, CAST(sum(CASE WHEN p >= en THEN 0 WHEN p >= st THEN en - p ELSE en - st + 1 END) AS BIGINT) AS nr_len FROM (
+  SELECT *, lag(en) OVER (PARTITION BY rclass, chrom ORDER BY st, en) AS p FROM (SELECT rclass, chrom, greatest(te_st, st) AS st, least(te_en, en) AS en FROM hit)) GROUP BY rclass""")
+def w2(fx: Fixtures) -> DataFrame:
+    return cm.nr_length(hits(fx), ["rclass"], parity=True)

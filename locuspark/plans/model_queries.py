@@ -244,3 +244,15 @@ def c5(fx: Fixtures) -> DataFrame:
 @query("f16_superfamily_bucket", "te", sql="SELECT rclass, class6, superfamily, count(*) AS n FROM (SELECT rclass, CASE WHEN rclass = 'RC' THEN 'Others' WHEN rclass = 'Simple_repeat' THEN 'nonTE' ELSE rclass END AS class6, CASE WHEN rclass = 'RC' THEN 'RC' WHEN rclass = 'Simple_repeat' THEN 'nonTE' ELSE rclass || '/other' END AS superfamily FROM te) GROUP BY ALL")
 def f16(fx: Fixtures) -> DataFrame:
     return cl.te_bucket(fx.te).groupBy("rclass", "class6", "superfamily").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("w3_ordinal_in_parent", "exon", "cds", sql="SELECT 'exon' AS part, tr, k, row_number() OVER (PARTITION BY tr ORDER BY st, en) AS no FROM exon UNION ALL SELECT 'cds', tr, k, row_number() OVER (PARTITION BY tr ORDER BY st, en) FROM cds")
+def w3(fx: Fixtures) -> DataFrame:
+    cds = fx.cds
+    e = md.exon_structure(fx.exon).select(F.lit("exon").alias("part"), "tr", "k", F.col("exon_no").alias("no"))
+    return e.union(md.cds_structure(cds, md.cds_summary(cds)).select(F.lit("cds"), "tr", "k", "cds_no"))
+
+
+@query("w4_cumulative_exon_offset", "exon", sql=f"WITH {OFFSETS.format(t='exon')} SELECT tr, k, before FROM o")
+def w4(fx: Fixtures) -> DataFrame:
+    return md.with_offsets(fx.exon).select("tr", "k", "before")

@@ -296,3 +296,10 @@ def m4(fx: Fixtures) -> DataFrame:
 def m5(fx: Fixtures) -> DataFrame:
     long = mg.merge_summaries({n: h.groupBy("rclass", "rfam", "rname").agg(F.countDistinct("tr", "k").alias("obs"), F.round(1 / (1 + F.count(F.lit(1))), 6).alias("p")) for n, h in runs(fx).items()})
     return mg.merge_enrichment(long, ["a.up_plus", "b.exons_minus"])
+
+
+@query("u2_outlier_predicate", sql="""WITH m AS (SELECT avg(l_extendedprice) AS m FROM lineitem), f AS (SELECT l_orderkey, abs(l_extendedprice - m) AS d FROM lineitem, m ORDER BY d DESC, l_orderkey LIMIT 1)
+  SELECT count(*) AS n, round(sum(l_quantity), 2) AS total FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM f)""")
+def u2(fx: Fixtures) -> DataFrame:
+    kept = st.drop_outlier(li(fx), "l_extendedprice", lambda v, m: F.abs(v - m) > 1, "l_orderkey")
+    return kept.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("total"))
