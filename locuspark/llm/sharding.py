@@ -46,10 +46,9 @@ def with_range(records: DataFrame, splitters: list[tuple[int, int]]) -> DataFram
 
     @F.pandas_udf("int")
     def find(h: pd.Series, d: pd.Series) -> pd.Series:
-        d = d.fillna(-(1 << 63)).astype("int64")
         return pd.Series([bisect.bisect_right(splitters, k) for k in zip(h.tolist(), d.tolist(), strict=True)], dtype="int32")
 
-    return records.withColumn("rng", find("h", "doc_id"))
+    return records.withColumn("rng", find("h", F.coalesce("doc_id", F.lit(-(1 << 63)))))
 
 
 def shard_by_bytes(
