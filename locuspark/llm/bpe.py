@@ -25,7 +25,7 @@ from locuspark.llm.shared import column, text_slices
 #: The byte-level pre-token pattern (fixed values).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Entries of a worker's cache, after which it starts anew.
-CACHE = 300_000
+CACHE = 150_000
 #: Documents whose new pieces are merged together.
 GROUP = 2048
 
