@@ -10,13 +10,23 @@ from locuspark.llm.queries import table, tokenizer_path
 from locuspark.llm.shared import shared_path
 
 
+#: Rows of an Arrow batch between the JVM and Python: a stage's texts are whole documents, so few at a time.
+BATCH_ROWS = 1000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score under 0.7) go."""
+    _small_batches(spark)
     return quality.keep_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash group the document with the smallest id stays."""
+    _small_batches(spark)
     groups = simhash_dedup.simhash_groups(docs)
     keep = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
@@ -29,12 +39,14 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind; n_chars follows."""
+    _small_batches(spark)
     clean = pii.redact(docs)
     return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and the digests of ids and decoded text."""
+    _small_batches(spark)
     return bpe.bpe_encode(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
