@@ -37,6 +37,8 @@ _NOISE = re.compile(
     r"disqus|widget|toolbar|pagination|pager|search|copyright|skip-?link)(?:$|[\s_-])",
     re.I,
 )
+_WHETHER = re.compile(r"(?<!\S)(?:has|with|no|without)[_-]\S+")  # how a page is laid out, not what an element is
+_TEASER = re.compile(r"(?:^|\s)(?:comments?|comment-body|reply|replies|ads?|adverts?|promo|teaser|related)(?:$|\s)", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 _MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|main|body)[_-]?(?:content|body|text)?(?:$|\s)", re.I)
 
@@ -78,11 +80,13 @@ class _Lines(HTMLParser):
             return  # inline markup changes nothing
         _, silent, apart, main = self.top
         a = dict(attrs)
-        names = f"{a.get('class') or ''} {a.get('id') or ''}"
-        noise = tag not in ("html", "body", "article", "main") and bool(_NOISE.search(names))
+        names = _WHETHER.sub("", f"{a.get('class') or ''} {a.get('id') or ''}")
+        noise = tag not in ("html", "body", "main") and bool((_TEASER if tag == "article" else _NOISE).search(names))
+        if tag == "main":  # a wrapper's name does not set the main element apart
+            apart = False
         apart = apart or tag in _APART or noise or (a.get("role") or "").lower() in _ROLES or "hidden" in a or (a.get("aria-hidden") or "") == "true"
         apart = apart or (tag == "header" and not main)
-        main = main or tag in _MAIN or a.get("role") == "main" or (not noise and bool(_MAIN_NAMES.search(names)))
+        main = main or (tag in _MAIN and not noise) or a.get("role") == "main" or (not noise and bool(_MAIN_NAMES.search(names)))
         self.stack.append((tag, silent or tag in _SILENT, apart, main))
 
     def close(self, tag: str, implied: bool = False) -> None:

@@ -38,6 +38,13 @@ def test_pages_without_named_main_part():
     assert "link text" not in html_text.main_text(page)
 
 
+def test_names_of_wrappers_and_articles():
+    page = """<body><div class="layout has-sidebar with-menu"><div class="sidebar-left"><p>Side</p></div><article class="post category-search"><h1>A</h1><p>One.</p></article>
+    <section id="talk"><article class="comment"><p>A reader says a long, long thing about the article.</p></article></section></div></body>"""
+    assert html_text.main_text(page) == "A\nOne."
+    assert html_text.main_text('<div id="page-menu"><p>Out</p><main><p>Text.</p></main></div>') == "Text."
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<br>", "<script>x", "<!-- never closed"])
 def test_pages_without_text(page):
     assert html_text.main_text(page) == ""
