@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from locuspark.llm.shared import block_rows, checkpoint, components, min_labels, run_bounds, whole_runs
 
@@ -86,7 +87,14 @@ def plan_tables(rows: int, width: int, threshold: float, probes: int, recall: fl
     return max(2, math.ceil(math.log(1 - recall) / math.log(1 - p))), codes
 
 
-def _links(batches: Iterator[pd.DataFrame], threshold: float, tables: int, probes: int) -> Iterator[pd.DataFrame]:
+def unit(v: np.ndarray) -> np.ndarray:
+    """Rows of length one; scaled by powers of two first, so that squares neither vanish nor overflow."""
+    _, e = np.frexp(np.abs(v).max(1, keepdims=True))
+    v = np.ldexp(v, -e)
+    return v / np.sqrt((v * v).sum(1, keepdims=True))
+
+
+def _links(batches: Iterator[pd.DataFrame], threshold: float, tables: int, probes: int, kind: str) -> Iterator[pd.DataFrame]:
     """For each block: how many vectors each one is linked with, and the smallest id of its links."""
     keys = ["tab", "bucket", "hb", "vb"]
     for frame in whole_runs(batches, keys):
@@ -101,8 +109,7 @@ def _links(batches: Iterator[pd.DataFrame], threshold: float, tables: int, probe
                 continue
             if e - s == 2 and ids[s] == ids[s + 1]:
                 continue
-            v = np.stack([np.frombuffer(x, "<f4") for x in raw[s:e]]).astype(np.float64)
-            v /= np.sqrt((v * v).sum(1, keepdims=True))
+            v = unit(np.stack([np.frombuffer(x, kind) for x in raw[s:e]]).astype(np.float64))
             h = homes - s
             i, j = np.nonzero(v[:h] @ v[h:].T >= threshold)
             j = j + h
@@ -149,9 +156,11 @@ def embedding_neighbours(
     vector; vectors of other widths than the commonest never link across widths. A null
     id links with nothing and has a null component. Extra columns are ignored; an empty
     table gives an empty result. Equal vectors are collapsed first and counted by their
-    number. Near-dense clusters cost their number of links, spread over block pairs.
+    number. Components other than floats are kept as doubles. Near-dense clusters cost their number of links, spread over block pairs.
     """
-    base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>").alias("v")).distinct()
+    single = isinstance(vectors.schema[vector_col].dataType.elementType, FloatType)
+    kind, element = ("<f4", "float") if single else ("<f8", "double")
+    base = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(f"array<{element}>").alias("v")).distinct()
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     some = F.exists("v", lambda x: x != 0)
     base = checkpoint(base.withColumn("ok", F.coalesce(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & some, F.lit(False))))
@@ -170,10 +179,8 @@ def embedding_neighbours(
             for big in batches:
                 for at in range(0, len(big), 256):
                     part = big.iloc[at : at + 256]
-                    vec = np.stack(part["v"].to_numpy()).astype("<f4")
-                    x = vec.astype(np.float64)
-                    x /= np.sqrt((x * x).sum(1, keepdims=True))
-                    c = bucket_codes(x, tables, codes, probes)
+                    vec = np.stack(part["v"].to_numpy()).astype(kind)
+                    c = bucket_codes(unit(vec.astype(np.float64)), tables, codes, probes)
                     m, flat = len(part), tables * (probes + 1)
                     both = np.concatenate([c[:, :, :1], c], axis=2).reshape(m * flat)
                     role = np.tile(np.r_[0, np.ones(probes, int)], m * tables)
@@ -197,7 +204,7 @@ def embedding_neighbours(
         found.append(
             blocks.repartition(*order)
             .sortWithinPartitions(*order, "role")
-            .mapInPandas(lambda b, t=tables: _links(b, threshold, t, probes), "rep long, n long, low long")
+            .mapInPandas(lambda b, t=tables: _links(b, threshold, t, probes, kind), "rep long, n long, low long")
         )
     linked = base.sparkSession.createDataFrame([], "rep long, n long, low long")
     for f in found:
