@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuspark.llm.shared import block_rows, checkpoint, column, components, min_labels, run_bounds, text_slices, whole_runs
@@ -44,15 +44,19 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def simhash_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(doc_id, fp): fp the fingerprint's bits as a signed long. A null text has fingerprint 0."""
+    """(doc_id, text_key, fp): fp the fingerprint's bits as a signed long, text_key a hash of the text. A null text is an empty one, of fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
             fps = np.array([fingerprint(t, width) for t in column(b, "text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], ["doc_id", "text_key", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_key(text_col).alias("text_key"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
+
+
+def _text_key(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def _grid(batches: Iterator[pd.DataFrame], slim: bool) -> Iterator[pd.DataFrame]:
@@ -160,3 +164,22 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     fps = checkpoint(simhash_fingerprints(docs, id_col, text_col, width))
     groups = fingerprint_components(fps, most)
     return fps.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, most: int = 3) -> DataFrame:
+    """The rows of docs that are left when each near-duplicate group keeps one; all columns stay.
+
+    A group keeps its row of the smallest doc_id, rows with a null id coming last; where
+    several texts have that id, the one with the smallest text hash. Of rows of one id and
+    text any one stays. Texts that link with nothing stay whether or not they have an id,
+    so ids that are null or shared by different texts cost no document.
+    """
+    fps = checkpoint(simhash_fingerprints(docs, id_col, text_col, width))
+    groups = fingerprint_components(fps.select(F.col("fp").alias("doc_id"), "fp"), most)  # fingerprints name the groups
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first")
+    first = fps.groupBy("fp").agg(least).join(groups, "fp").groupBy("component_id").agg(F.min("first").alias("first"))
+    known = lambda c: F.coalesce(c.cast("long"), F.lit(-(1 << 63)))
+    keep = first.select(known(F.col("first.doc_id")).alias("_keep_one_id"), F.col("first.text_key").alias("_keep_one_text")).distinct()
+    keyed = docs.withColumns({"_keep_one_id": known(F.col(id_col)), "_keep_one_text": _text_key(text_col)})
+    on = ["_keep_one_id", "_keep_one_text"]
+    return keyed.join(keep, on, "left_semi").dropDuplicates(on).select(*docs.columns)

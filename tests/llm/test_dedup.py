@@ -10,7 +10,7 @@ import xxhash
 
 from locuspark.llm import shared
 from locuspark.llm.embedding_dedup import bucket_codes, embedding_neighbours, hadamard
-from locuspark.llm.simhash_dedup import fingerprint, fingerprint_components, simhash_groups
+from locuspark.llm.simhash_dedup import fingerprint, fingerprint_components, keep_one, simhash_groups
 
 
 def closure(ids, linked):
@@ -92,6 +92,17 @@ def test_simhash_groups_edges(spark):
     assert simhash_groups(df.limit(0)).count() == 0
 
 
+def test_keep_one_of_each_group(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(3, text(1), "a"), (1, text(1), "b"), (None, text(1), "c"), (None, text(2), "d"), (None, text(2), "e"), (None, text(3), "f"), (7, text(4), "g"), (7, text(4), "g"), (7, text(5), "h"), (5, None, "i"), (6, "", "j")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
+    got = keep_one(df)
+    assert got.columns == df.columns
+    left = sorted(r.component_id for r in got.collect())
+    assert left[:1] + left[2:] == ["b", "f", "g", "h", "i"] and left[1] in "de"
+    assert keep_one(df.limit(0)).count() == 0
+
+
 def test_hadamard_is_orthogonal():
     h = hadamard(np.eye(8))
     assert np.allclose(h @ h.T, 8 * np.eye(8))
@@ -122,6 +133,12 @@ def test_embedding_links_equal_brute_force(spark):
     assert embedding_neighbours(df.limit(0)).count() == 0
 
 
+def test_embeddings_in_doubles(spark):
+    rows = [(1, [1e-200, 0.0]), (2, [1e-200, 1e-202]), (3, [1e300, 1e300]), (4, [1e300, 1.1e300]), (5, [-1e300, 1e300])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
+
+
 def test_embedding_hot_bucket_blocks(spark, monkeypatch):
     import locuspark.llm.embedding_dedup as ed
 
