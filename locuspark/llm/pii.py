@@ -14,6 +14,7 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -128,38 +129,61 @@ def traits(text: str, atoms: list[tuple[int, int]], i: int, j: int) -> list[str]
     return out
 
 
+def union(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint stretches that the spans cover, in order."""
+    starts, ends = [], []
+    for s, e in sorted((s, e) for _, s, e in spans):
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
+def touches(stretches: tuple[list[int], list[int]], s: int, e: int) -> bool:
+    """Whether [s, e) shares a position with a stretch."""
+    starts, ends = stretches
+    k = bisect_left(starts, e)
+    return k > 0 and ends[k - 1] > s
+
+
 class SemiMarkov:
     """Weights per (label, trait) and per label change; best and expected segmentations."""
 
     def __init__(self) -> None:
         self.w: dict[tuple[str, str], float] = {}
 
+    def span_score(self, label: str, seen: list[str]) -> float:
+        return sum([self.w.get((label, x), 0.0) for x in seen])
+
     def score(self, label: str, seen: list[str], prev: str) -> float:
-        w = self.w
-        return sum(w.get((label, x), 0.0) for x in seen) + w.get((label, "after-" + prev), 0.0)
+        return self.span_score(label, seen) + self.w.get((label, "after-" + prev), 0.0)
 
     @staticmethod
-    def segments(text: str, atoms: list, barred: list) -> dict[int, list[tuple[int, str, list[str]]]]:
+    def segments(text: str, atoms: list, barred: tuple[list[int], list[int]]) -> dict[int, list[tuple[int, str, list[str]]]]:
         """By end: (start, label, traits); labels other than O only where no given span is."""
         out: dict[int, list] = {}
         for j in range(1, len(atoms) + 1):
             out[j] = [(j - 1, "O", ["one"])]
             for i in range(max(0, j - MAX_ATOMS), j):
                 s, e = span_of(text, atoms, i, j)
-                if any(a < e and s < b for a, b in barred):
+                if touches(barred, s, e):
                     continue
                 seen = traits(text, atoms, i, j)
                 out[j] += [(i, k, seen) for k in (("email",) if "written" in seen else KINDS[1:])]
         return out
 
-    def best(self, text: str, atoms: list, barred: list) -> list[tuple[str, int, int]]:
+    def best(self, text: str, atoms: list, barred: tuple[list[int], list[int]]) -> list[tuple[str, int, int]]:
         segs = self.segments(text, atoms, barred)
+        after = {(k, p): self.w.get((k, "after-" + p), 0.0) for k in ("O", *KINDS) for p in ("O", *KINDS)}
         at: dict[tuple[int, str], tuple[float, tuple | None, int]] = {(0, "O"): (0.0, None, 0)}
         for j in range(1, len(atoms) + 1):
             for i, label, seen in segs[j]:
+                whole = self.span_score(label, seen)
                 for prev in ("O", *KINDS):
                     if (i, prev) in at:
-                        v = at[i, prev][0] + self.score(label, seen, prev)
+                        v = at[i, prev][0] + (whole + after[label, prev])
                         if (j, label) not in at or v > at[j, label][0]:
                             at[j, label] = (v, (i, prev), i)
         state = max((k for k in at if k[0] == len(atoms)), key=lambda k: at[k][0])
@@ -173,7 +197,7 @@ class SemiMarkov:
 
     def step(self, text: str, atoms: list, gold: dict[tuple[int, int], str], rate: float) -> None:
         """One gradient step of the log-likelihood, by forward and backward sums over segmentations."""
-        segs, n, states = self.segments(text, atoms, []), len(atoms), ("O", *KINDS)
+        segs, n, states = self.segments(text, atoms, ([], [])), len(atoms), ("O", *KINDS)
         arcs = [(i, j, label, prev, seen) for j in segs for i, label, seen in segs[j] for prev in (states if i else ("O",))]
         val = [self.score(a[2], a[4], a[3]) for a in arcs]
         fore, back = {(0, "O"): 0.0}, {(n, s): 0.0 for s in states}
@@ -255,18 +279,11 @@ def find_spans(text: str, model: SemiMarkov) -> tuple[list[tuple[str, int, int]]
         return [], []
     base = base_spans(text)
     order = lambda x: (KINDS.index(x[0]), x[1], x[2])
-    barred = sorted((s, e) for _, s, e in base)
-    starts, tops, top = [s for s, _ in barred], [], 0
-    for _, e in barred:
-        top = max(top, e)
-        tops.append(top)
+    barred = union(base)
     added = []
     for atoms in chains(text):
-        lo, hi = max(0, atoms[0][0] - 2), atoms[-1][1]
-        near = barred[np.searchsorted(tops, lo, "right") : np.searchsorted(starts, hi)] if barred else []
-        if all(any(s <= a and b <= e for s, e in near) for a, b in atoms):
-            continue
-        added += model.best(text, atoms, near)
+        if not all(touches(barred, a, b) for a, b in atoms):
+            added += model.best(text, atoms, barred)
     return base, sorted([*base, *added], key=order)
 
 
