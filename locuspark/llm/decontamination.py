@@ -30,7 +30,11 @@ def shingles_of(words: Column, width: int, hashed: bool) -> Column:
     return F.when(n >= width, F.transform(F.sequence(F.lit(1), F.greatest(n - width + 1, F.lit(1))), each)).otherwise(F.array().cast(kind))
 
 
-def contamination(
+def _text_key(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def contaminated_rows(
     docs: DataFrame,
     items: DataFrame,
     id_col: str = "doc_id",
@@ -40,17 +44,15 @@ def contamination(
     width: int = 5,
     threshold: float = 0.8,
 ) -> DataFrame:
-    """(doc_id, item_id, n_shingles, n_contained, containment) of pairs at the threshold or above.
+    """(doc_id, text_key, item_id, n_shingles, n_contained) of pairs at the threshold or above.
 
-    Containment is the share of the item's distinct shingles that the document holds.
-    Null and empty texts, and texts of fewer words than the width, hold no shingle and
-    match nothing. Rows with a null id are compared under that id. Repeated ids are one
-    document (or item) with the shingles of all their rows. Empty tables give no rows;
-    extra columns are ignored.
+    A document is a row's id and text hash, so rows of other texts under the same id or
+    without an id neither add to each other's shingles nor share their fate.
     """
-    doc = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("doc_text"))
+    row = ["doc_id", "text_key"]
+    doc = docs.select(F.col(id_col).alias("doc_id"), _text_key(text_col).alias("text_key"), F.col(text_col).alias("doc_text"))
     # the words are a column of their own: inside the shingles' lambda they would be split anew for each shingle
-    exploded = lambda df, make, name: df.withColumn("ws", words_of(F.col("doc_text"))).select("doc_id", F.explode(make(F.col("ws"))).alias(name))
+    exploded = lambda df, make, name: df.withColumn("ws", words_of(F.col("doc_text"))).select(*row, F.explode(make(F.col("ws"))).alias(name))
     item = checkpoint(
         items.select(F.col(item_col).alias("item_id"), words_of(F.col(item_text_col)).alias("ws"))
         .withColumn("shingle", F.explode(shingles_of(F.col("ws"), width, False)))
@@ -68,28 +70,47 @@ def contamination(
     bound = sketch.agg(F.max("hash"), F.count(F.lit(1))).first()
     hashes = exploded(doc, lambda ws: shingles_of(ws, width, True), "hash")
     hashes = hashes.where(F.col("hash") <= F.lit(bound[0]).cast("long"))
-    hit = checkpoint(hashes.join(if_small(sketch, bound[1]), "hash", "left_semi").select(F.col("doc_id").alias("d2")).distinct())
+    hit = checkpoint(hashes.join(if_small(sketch, bound[1]), "hash", "left_semi").select(F.col("doc_id").alias("d2"), F.col("text_key").alias("t2")).distinct())
     shingles = item.select("item_id", "shingle")
+    same = F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("text_key") == F.col("t2"))
     held = (
-        exploded(doc.join(if_small(hit, hit.count()), F.col("doc_id").eqNullSafe(F.col("d2")), "left_semi"), lambda ws: shingles_of(ws, width, False), "shingle")
+        exploded(doc.join(if_small(hit, hit.count()), same, "left_semi"), lambda ws: shingles_of(ws, width, False), "shingle")
         .join(if_small(shingles, shingles.count()), "shingle")
-        .groupBy("doc_id", "item_id", "shingle")
+        .groupBy(*row, "item_id", "shingle")
         .agg(F.lit(1).alias("one"))
-        .groupBy("doc_id", "item_id")
+        .groupBy(*row, "item_id")
         .agg(F.count(F.lit(1)).alias("n_contained"))
     )
     return (
         held.join(sized.withColumnRenamed("item_id", "i2"), F.col("item_id").eqNullSafe(F.col("i2")))
         .where(F.col("n_contained") >= need)
-        .select("doc_id", "item_id", "n_shingles", "n_contained", (F.col("n_contained") / F.col("n_shingles")).alias("containment"))
+        .select(*row, "item_id", "n_shingles", "n_contained")
     )
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """The rows of docs that hold no item at the threshold; all columns stay."""
-    leaks = checkpoint(contamination(docs, items, id_col=id_col, **how).select(F.col("doc_id").alias("leaked_id")).distinct())
+def contamination(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
+    """(doc_id, item_id, n_shingles, n_contained, containment) of pairs at the threshold or above.
+
+    Containment is the share of the item's distinct shingles that the document holds.
+    Null and empty texts, and texts of fewer words than the width, hold no shingle and
+    match nothing. Rows that share an id, or have none, are compared each by itself; an id
+    and item with several such rows at the threshold are one row, of the largest
+    containment. Repeated item ids are one item with the shingles of all their rows. Empty
+    tables give no rows; extra columns are ignored. ``how`` is contaminated_rows'.
+    """
+    pairs = contaminated_rows(docs, items, **how).groupBy("doc_id", "item_id", "n_shingles").agg(F.max("n_contained").alias("n_contained"))
+    return pairs.withColumn("containment", F.col("n_contained") / F.col("n_shingles"))
+
+
+def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of docs that hold no item at the threshold; all columns stay.
+
+    Only the rows that hold one go, not others under the same id or without an id.
+    """
+    leaks = contaminated_rows(docs, items, id_col=id_col, text_col=text_col, **how)
+    leaks = checkpoint(leaks.select(F.col("doc_id").alias("_leaked_id"), F.col("text_key").alias("_leaked_text")).distinct())
     leaks = if_small(leaks, leaks.count())
-    return docs.join(leaks, docs[id_col].eqNullSafe(leaks["leaked_id"]), "left_anti")
+    return docs.join(leaks, docs[id_col].eqNullSafe(leaks["_leaked_id"]) & (_text_key(text_col) == leaks["_leaked_text"]), "left_anti")
 
 
 ORACLE_SQL = r"""

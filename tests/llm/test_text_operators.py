@@ -58,6 +58,7 @@ def test_extract_edges(spark):
     assert html_text.main_text("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>") == "deep"
 
 
+
 # personal data
 
 
@@ -192,6 +193,17 @@ def test_contamination_equals_brute_force(spark):
     assert decontamination.contamination(df, it.limit(0)).count() == 0
 
 
+def test_contamination_of_rows_with_shared_and_null_ids(spark):
+    w = [f"w{i}" for i in range(44)]
+    item, half, rest, clean = " ".join(w), " ".join(w[:24]), " ".join(w[20:]), "other words that are in no item of any benchmark"
+    rows = [(None, item, "leak"), (None, clean, "a"), (None, None, "b"), (None, half, "c"), (None, rest, "d"), (7, half, "e"), (7, rest, "f"), (8, item, "leak"), (8, clean, "g"), (8, item + " more words", "leak")]
+    df, it = spark.createDataFrame(rows, "doc_id long, text string, _leaked_id string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = decontamination.decontaminated(df, it)
+    assert got.columns == df.columns and sorted(r[2] for r in got.collect()) == list("abcdefg")
+    pairs = [tuple(r) for r in decontamination.contamination(df, it).collect()]
+    assert sorted(pairs, key=str) == [(8, 1, 40, 40, 1.0), (None, 1, 40, 40, 1.0)]
+
+
 # quality
 
 
