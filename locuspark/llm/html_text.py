@@ -30,6 +30,7 @@ _BLOCK = frozenset(
 _SILENT = frozenset("script style noscript template head title svg math iframe object embed canvas audio video map".split())
 _APART = frozenset("nav footer aside form menu dialog button select textarea input label option fieldset".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_IMPLIED = {t: (t,) for t in "p li dt dd tr td th option".split()} | {"optgroup": ("option", "optgroup")}  # open elements that a start tag closes
 _MAIN = frozenset("article main".split())
 _NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|banner|sponsor(?:ed)?|promo|sidebar|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|"
@@ -49,6 +50,7 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, bool, bool]] = []  # tag, silent, apart, main
+        self.at: dict[str, list[int]] = {}  # where in the stack each tag is open
         self.parts: list[str] = []
         self.linked = 0
         self.in_link = 0
@@ -74,8 +76,8 @@ class _Lines(HTMLParser):
             self.in_link += 1
         if tag in _VOID:
             return
-        if tag in ("p", "li", "dt", "dd", "tr", "td", "th") and any(t == tag for t, *_ in self.stack[-12:]):
-            self.close(tag, implied=True)
+        for t in _IMPLIED.get(tag, ()):
+            self.close(t, implied=True)
         if tag not in _BLOCK and tag not in _SILENT and tag not in _APART and not attrs:
             return  # inline markup changes nothing
         _, silent, apart, main = self.top
@@ -87,16 +89,19 @@ class _Lines(HTMLParser):
         apart = apart or tag in _APART or noise or (a.get("role") or "").lower() in _ROLES or "hidden" in a or (a.get("aria-hidden") or "") == "true"
         apart = apart or (tag == "header" and not main)
         main = main or (tag in _MAIN and not noise) or a.get("role") == "main" or (not noise and bool(_MAIN_NAMES.search(names)))
+        self.at.setdefault(tag, []).append(len(self.stack))
         self.stack.append((tag, silent or tag in _SILENT, apart, main))
 
     def close(self, tag: str, implied: bool = False) -> None:
-        walls = ("table", "ul", "ol", "dl", "div", "article", "section", "td", "body") if implied else ("body", "html")
-        for k in range(len(self.stack) - 1, max(-1, len(self.stack) - 200), -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:]
-                return
-            if self.stack[k][0] in walls:
-                return
+        walls = ("table", "ul", "ol", "dl", "div", "article", "section", "td", "body", "select") if implied else ("body", "html")
+        if not self.at.get(tag):
+            return
+        k = self.at[tag][-1]
+        if any(self.at[w][-1] > k for w in walls if self.at.get(w)):
+            return
+        for t, *_ in self.stack[k:]:
+            self.at[t].pop()
+        del self.stack[k:]
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)

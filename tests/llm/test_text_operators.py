@@ -58,6 +58,23 @@ def test_extract_edges(spark):
     assert html_text.main_text("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "</article>") == "deep"
 
 
+@pytest.mark.parametrize(
+    "aside",
+    [
+        "<form><select name=c>" + "".join(f"<option value={i}>Country {i}" for i in range(250)) + "</select></form>",
+        "<form><select name=c>" + "".join(f"<optgroup label={i}><option>City {i}" for i in range(250)) + "</select></form>",
+        "<nav>" + "<span class=s>x" * 400 + "</nav>",
+        "<ul><li class=share>" + "<font color=red>x" * 30 + "<li>",
+    ],
+)
+def test_unclosed_markup_does_not_reach_over_the_page(aside):
+    long = "The text of the article is a paragraph of more than a hundred letters, so that it weighs as the main text does."
+    reader = html_text._Lines()
+    reader.feed("<option>a<option>b<optgroup label=x><option>c")
+    assert [t for t, *_ in reader.stack] == ["optgroup", "option"]
+    assert html_text.main_text(f"<html><body><div class=top>{aside}<p>{long}</p></div></body></html>").endswith(long)
+    assert html_text.main_text(f"<html><body>{aside}<article><p>{long}</p></article></body></html>").endswith(long)
+
 
 # personal data
 
