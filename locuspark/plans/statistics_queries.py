@@ -121,6 +121,11 @@ def w6(fx: Fixtures) -> DataFrame:
     return rounded(st.exp_smooth(e, ["user_id"], "event_id", "value", 0.4), "smoothed")
 
 
+@query("w6_exponential_smoothing_all")
+def w6_all(fx: Fixtures) -> DataFrame:
+    return st.exp_smooth(fx.table("events"), ["user_id"], "event_id", "value", 0.4)
+
+
 @query("w7_weighted_smoothing")
 def w7(fx: Fixtures) -> DataFrame:
     e = fx.table("events").withColumn("samples", 1 + F.col("event_id") % 5)
@@ -242,6 +247,12 @@ def a19(fx: Fixtures) -> DataFrame:
     return cv.coverage_wide(a18(fx), ["R1", "R7", "R12"])
 
 
+@query("a19_coverage_wide_all")
+def a19_all(fx: Fixtures) -> DataFrame:
+    names = cv.consensus_lengths(lifted(fx)).select("rname").distinct().orderBy("rname").collect()  # one column each
+    return cv.coverage_wide(a18(fx), [r.rname for r in names])
+
+
 @query("a20_fragment_filters", "hit", "te", sql=f"WITH {CON}, {LENS}, f AS (SELECT te_id, tr, k, co.rname FROM co JOIN ln ON co.rname = ln.rname WHERE length >= 100 AND abs(rep_end + rep_left - length) <= 150) SELECT te_id, tr, k FROM f WHERE rname IN (SELECT rname FROM f GROUP BY rname HAVING count(*) >= 2)")
 def a20(fx: Fixtures) -> DataFrame:
     return cv.filter_coverage(lifted(fx), 2, 100, 150).select("te_id", "tr", "k")

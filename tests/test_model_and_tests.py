@@ -1,7 +1,9 @@
 """Transcript model, categories, shuffles and exact tests on small inputs."""
 
 import math
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from locuspark.functions import binomial as bn
@@ -11,6 +13,7 @@ from locuspark.operators import classify as cl
 from locuspark.operators import model as md
 from locuspark.operators import shuffle as sh
 from locuspark.operators.coverage import depth_per_base
+from locuspark.plans import registry
 
 
 def exons(spark, strand="+"):
@@ -110,3 +113,20 @@ def test_statistics_edges(spark):
     z = spark.createDataFrame([(0.0,), (2.0,)], "v double")
     assert st.other_means(z, "v").first().harmonic_mean is None
     assert st.order_stats(z, "v", percent=10).first().percentile is None
+
+
+def test_smoothing_and_wide_coverage_of_the_whole_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("the driver's tables are not here")
+    want, last = {}, {}
+    for r in spark.read.parquet(f"{sf}/events.parquet").orderBy("event_id").collect():
+        last[r.user_id] = 0.4 * last[r.user_id] + (1 - 0.4) * r.value if r.user_id in last else r.value
+        want[r.user_id, r.event_id] = last[r.user_id]
+    got = {(r.user_id, r.event_id): r.smoothed for r in registry.QUERIES["w6_exponential_smoothing_all"](spark, sf).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+    depth = {(r.rname, r.pos): r.depth for r in registry.QUERIES["a18_depth_per_base"](spark, sf).collect()}
+    wide = registry.QUERIES["a19_coverage_wide_all"](spark, sf)
+    assert set(wide.columns) == {"pos"} | {n for n, _ in depth}
+    rows = wide.collect()
+    assert len(rows) == max(p for _, p in depth) and all(r[n] == depth.get((n, r.pos), 0) for r in rows for n in wide.columns[1:])
