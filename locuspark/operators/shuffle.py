@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from locuspark.operators.intervals import interval_complement, interval_intersection, nearest, overlap_join
+from locuspark.operators.intervals import interval_complement, interval_intersection, nearest
 from locuspark.operators.model import seeded_key
 
 
@@ -64,26 +66,46 @@ def allowed_space(sizes: DataFrame, excl: DataFrame | None = None, incl: DataFra
     return space
 
 
-def shuffle_random(te: DataFrame, sizes: DataFrame, rounds: int, excl: DataFrame | None = None, incl: DataFrame | None = None, seed: int = 1, first: int = 1, tries: int = 8) -> DataFrame:
+#: Placements that one task draws at a time.
+PLACEMENTS = 500_000
+
+
+def _drawn(draws: pd.DataFrame, gaps: pd.DataFrame) -> pd.DataFrame:
+    """The drawn start of each placement, among all starts at which it lies whole in a gap.
+
+    Gaps are sorted from the longest on, so those that a repeat fits in come first. A repeat
+    of end - start = span has n - span starts in a gap of n positions, hence cum(k) - k span in
+    the first k gaps: the drawn start's gap is found by bisection, for all repeats at once.
+    """
+    n = (gaps["end"] - gaps["start"] + 1).to_numpy(np.int64)
+    order = np.lexsort((gaps["start"].to_numpy(np.int64), -n))
+    n, at = n[order], gaps["start"].to_numpy(np.int64)[order]
+    cum = np.concatenate([[0], np.cumsum(n)])
+    span = draws["_span"].to_numpy(np.int64)
+    fits = np.searchsorted(-n, -span, side="left")  # gaps of more than span positions
+    draws, span, fits = draws[fits > 0], span[fits > 0], fits[fits > 0]
+    u = draws["_key"].to_numpy(np.int64) % (cum[fits] - fits * span)
+    lo, hi = np.zeros(len(u), np.int64), fits - 1
+    while (lo < hi).any():
+        mid = (lo + hi + 1) // 2
+        below = cum[mid] - mid * span <= u
+        lo, hi = np.where(below, mid, lo), np.where(below, hi, mid - 1)
+    return draws[["te_id", "round"]].assign(_new=at[lo] + u - (cum[lo] - lo * span))
+
+
+def shuffle_random(te: DataFrame, sizes: DataFrame, rounds: int, excl: DataFrame | None = None, incl: DataFrame | None = None, seed: int = 1, first: int = 1) -> DataFrame:
     """Place each repeat at random on its chromosome, whole inside the allowed space.
 
-    A place is drawn over the cumulative allowed length and mapped back by a range join; of
-    ``tries`` draws the first in which the repeat fits is taken, which is uniform over all
-    fitting places. A repeat that fits in none goes to the start of its chromosome's longest gap if it fits there,
-    else it is left out.
+    One draw over the exact number of starts at which the repeat fits is uniform over them
+    and never rejected. A repeat that fits nowhere is left out. Tasks take a share of a
+    chromosome's placements (``PLACEMENTS``) and its gaps.
     """
-    gaps = allowed_space(sizes, excl, incl)
-    w = Window.partitionBy("chrom").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    n = F.col("end") - F.col("start") + 1
-    cum = gaps.withColumn("_from", F.coalesce(F.sum(n).over(w), F.lit(0))).select("chrom", F.col("start").alias("g_start"), F.col("end").alias("g_end"), (F.col("_from") + 1).alias("start"), (F.col("_from") + n).alias("end"))
-    total = gaps.groupBy("chrom").agg(F.sum(n).alias("_total"), F.max(F.struct(n.alias("n"), F.col("start").alias("s"))).alias("_longest"))
-    r = _rounds(te.join(total, "chrom"), rounds, first).withColumn("_try", F.explode(F.sequence(F.lit(0), F.lit(tries - 1))))
-    key = seeded_key(F.col("te_id") * tries + F.col("_try"), F.col("round"), seed)
-    draw = r.select("chrom", "te_id", "round", "_try", (F.col("end") - F.col("start")).alias("_span"), (F.pmod(key, F.col("_total")) + 1).alias("start")).withColumn("end", F.col("start"))
-    j = overlap_join(draw, cum, bin_size=1_000_000)
-    place = F.col("b_g_start") + F.col("a_start") - F.col("b_start")
-    fit = j.where(place + F.col("a__span") <= F.col("b_g_end")).groupBy(F.col("a_te_id").alias("te_id"), F.col("a_round").alias("round")).agg(F.min(F.struct(F.col("a__try").alias("t"), place.alias("s")))["s"].alias("_new"))
-    base = _rounds(te.join(total, "chrom"), rounds, first).join(fit, ["te_id", "round"], "left")
+    parts = te.groupBy("chrom").agg(F.ceil(F.count(F.lit(1)) * rounds / PLACEMENTS).cast("int").alias("_parts"))
+    gaps = allowed_space(sizes, excl, incl).select("chrom", "start", "end").join(parts, "chrom").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    draws = _rounds(te.join(parts, "chrom").select("chrom", "te_id", "_parts", (F.col("end") - F.col("start")).cast("long").alias("_span")), rounds, first)
+    draws = draws.withColumn("_key", F.xxhash64("te_id", "round", F.lit(seed))).withColumn("_part", F.pmod(F.xxhash64("te_id", "round", F.lit("part")), F.col("_parts")).cast("int")).drop("_parts")
+    by = ["chrom", "_part"]
+    placed = draws.groupBy(*by).cogroup(gaps.groupBy(*by)).applyInPandas(_drawn, f"te_id {dict(te.dtypes)['te_id']}, round long, _new long")
+    base = _rounds(te, rounds, first).join(placed, ["te_id", "round"])
     span = F.col("end") - F.col("start")
-    new = F.coalesce(F.col("_new"), F.when(F.col("_longest.n") > span, F.col("_longest.s")))
-    return base.withColumns({"_s": new, "_e": new + span}).where("_s IS NOT NULL").withColumns({"start": F.col("_s"), "end": F.col("_e")}).select(*te.columns, "round")
+    return base.withColumns({"end": F.col("_new") + span, "start": F.col("_new")}).select(*te.columns, "round")

@@ -2,6 +2,7 @@
 
 import math
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,6 +116,18 @@ def test_statistics_edges(spark):
     assert st.order_stats(z, "v", percent=10).first().percentile is None
 
 
+def test_random_placement_is_uniform_over_fitting_starts(spark):
+    te = spark.createDataFrame([(i, "c", 1, 10 if i % 2 else 12) for i in range(1, 401)] + [(900, "c", 1, 14)], "te_id long, chrom string, start long, end long")
+    sizes = spark.createDataFrame([("c", 2000)], "chrom string, length long")
+    excl = spark.createDataFrame([("c", 20 * i + (13 if i < 50 else 11), 20 * i + 20) for i in range(100)], "chrom string, start long, end long")
+    got = sh.shuffle_random(te, sizes, 5, excl).collect()
+    assert len(got) == 5 * 400 and len({(r.te_id, r.round) for r in got}) == 5 * 400
+    for length, want in ((10, {20 * i + 1 + k for i in range(100) for k in range(3 if i < 50 else 1)}), (12, {20 * i + 1 for i in range(50)})):
+        at = Counter(r.start for r in got if r.end - r.start + 1 == length)
+        assert set(at) <= want and len(at) > 0.9 * len(want)
+        assert sum((n - 1000 / len(want)) ** 2 for n in (at[s] for s in want)) / (1000 / len(want)) < 2 * len(want)
+
+
 def test_smoothing_and_wide_coverage_of_the_whole_tables(spark):
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
