@@ -211,11 +211,11 @@ def read_vcf(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(
         F.when(F.col("p")[2] != ".", F.col("p")[2]).otherwise(F.concat_ws(":", F.col("p")[0], F.col("p")[1], ref)).alias("feature_id"), F.col("p")[0].alias("seqid"), kind.alias("type"), start.alias("start"), (start + F.length(ref) - 1).alias("end"),
         F.col("p")[5].alias("score"), F.lit("+").alias("strand"), ref.alias("reference_seq"), alt.alias("variant_seq"), F.col("p")[6].alias("filter"), F.map_from_entries(kv).alias("attributes"),
-        F.try_element_at("p", F.lit(9)).alias("format"), F.slice("p", 10, 10_000).alias("samples"),
+        F.try_element_at("p", F.lit(9)).alias("format"), F.slice("p", 10, F.size("p")).alias("samples"),
     )
 
 
-#: Effect terms of the annotators by dialect (fixed values): annotator's word -> (ontology term, feature type).
+#: Effect terms of the annotators by dialect (fixed values): annotator's word -> (ontology terms, feature type).
 EFFECTS: dict[str, dict[str, tuple[str, str]]] = {
     "snpeff": {
         "INTERGENIC": ("intergenic_variant", "intergenic_region"),
@@ -233,10 +233,23 @@ EFFECTS: dict[str, dict[str, tuple[str, str]]] = {
         "GENE": ("gene_variant", "gene"),
         "TRANSCRIPT": ("transcript_variant", "transcript"),
         "EXON": ("exon_variant", "exon"),
-        "INTRON": ("intron_variant", "transcript"),
+        "INTRON": ("intron_variant", "intron"),
         "NON_SYNONYMOUS_CODING": ("missense_variant", "mRNA"),
         "SYNONYMOUS_CODING": ("synonymous_variant", "mRNA"),
         "FRAME_SHIFT": ("frameshift_variant", "mRNA"),
+        "UTR_5_DELETED": ("5_prime_UTR_truncation", "five_prime_UTR"),
+        "UTR_3_DELETED": ("3_prime_UTR_truncation", "three_prime_UTR"),
+        "SYNONYMOUS_START": ("start_retained_variant", "mRNA"),
+        "SYNONYMOUS_STOP": ("stop_retained_variant", "mRNA"),
+        "EXON_DELETED": ("exon_loss_variant", "exon"),
+        "CODON_CHANGE": ("coding_sequence_variant", "mRNA"),
+        "CODON_INSERTION": ("inframe_insertion", "mRNA"),
+        "CODON_CHANGE_PLUS_CODON_INSERTION": ("disruptive_inframe_insertion", "mRNA"),
+        "CODON_DELETION": ("inframe_deletion", "mRNA"),
+        "CODON_CHANGE_PLUS_CODON_DELETION": ("disruptive_inframe_deletion", "mRNA"),
+        "INTRON_CONSERVED": ("conserved_intron_variant", "intron"),
+        "INTERGENIC_CONSERVED": ("conserved_intergenic_variant", "intergenic_region"),
+        "INTRAGENIC": ("intragenic_variant", "gene"),
     },
     "seattleseq": {
         "missense": ("missense_variant", "mRNA"),
@@ -246,6 +259,23 @@ EFFECTS: dict[str, dict[str, tuple[str, str]]] = {
         "utr-3": ("3_prime_UTR_variant", "three_prime_UTR"),
         "intergenic": ("intergenic_variant", "intergenic_region"),
         "stop-gained": ("stop_gained", "mRNA"),
+        "stop-lost": ("stop_lost", "mRNA"),
+        "missense-near-splice": ("missense_variant splice_region_variant", "mRNA"),
+        "stop-gained-near-splice": ("stop_gained splice_region_variant", "mRNA"),  # the reference says stop_lost
+        "stop-lost-near-splice": ("stop_lost splice_region_variant", "mRNA"),
+        "coding-synonymous-near-splice": ("synonymous_variant splice_region_variant", "mRNA"),
+        "frameshift": ("frameshift_variant", "mRNA"),
+        "frameshift-near-splice": ("frameshift_variant splice_region_variant", "mRNA"),
+        "coding-notMod3": ("frameshift_variant", "mRNA"),
+        "coding-notMod3-near-splice": ("frameshift_variant", "mRNA"),
+        "codingComplex": ("coding_sequence_variant", "mRNA"),
+        "codingComplex-near-splice": ("coding_sequence_variant splice_region_variant", "mRNA"),
+        "coding": ("coding_sequence_variant", "mRNA"),
+        "coding-near-splice": ("splice_region_variant", "mRNA"),
+        "splice-5": ("splice_donor_variant", "mRNA"),
+        "splice-3": ("splice_acceptor_variant", "mRNA"),
+        "near-gene-5": ("2KB_upstream_variant", "gene"),
+        "near-gene-3": ("500B_downstream_variant", "gene"),
     },
     "annovar": {
         "nonsynonymous SNV": ("missense_variant", "mRNA"),
@@ -264,7 +294,8 @@ def variant_effects(variants: DataFrame, dialect: str, col: str = "effects") ->
     """(feature_id, allele, effect, feature_type, target): one row per effect, allele and feature.
 
     ``col`` is the annotator's text: snpeff WORD(..|..), vep Allele|Gene|Feature|Type|effect&effect, others
-    word:target, several joined by commas. Words without an entry stay as they are, of unknown type.
+    word:target, several joined by commas. A word of several terms gives a row for each. Words without an
+    entry stay as they are, of unknown type.
     """
     each = variants.withColumn("_e", F.explode(F.split(col, ",")))
     if dialect == "vep":
@@ -276,9 +307,10 @@ def variant_effects(variants: DataFrame, dialect: str, col: str = "effects") ->
         rows = each.select("feature_id", F.col("variant_seq"), p[0].alias("word"), F.regexp_replace(F.coalesce(F.try_element_at(p, F.lit(10)), F.lit("")), r"\)$", "").alias("target"))
     else:
         rows = each.select("feature_id", F.col("variant_seq"), F.substring_index("_e", ":", 1).alias("word"), F.when(F.instr("_e", ":") > 0, F.regexp_replace("_e", "^[^:]*:", "")).otherwise("").alias("target"))
-    table = variants.sparkSession.createDataFrame([(w, t, f) for w, (t, f) in EFFECTS[dialect].items()], "word string, term string, kind string")
+    table = variants.sparkSession.createDataFrame([(w, t.split(), f) for w, (t, f) in EFFECTS[dialect].items()], "word string, terms array<string>, kind string")
     j = rows.join(F.broadcast(table), "word", "left")  # the table is fixed
-    return j.select("feature_id", F.explode("variant_seq").alias("allele"), F.coalesce("term", "word").alias("effect"), F.coalesce("kind", F.lit("unknown")).alias("feature_type"), "target").distinct()
+    j = j.withColumn("effect", F.explode(F.coalesce("terms", F.array("word"))))
+    return j.select("feature_id", F.explode("variant_seq").alias("allele"), "effect", F.coalesce("kind", F.lit("unknown")).alias("feature_type"), "target").distinct()
 
 
 def expand_gene_table(df: DataFrame) -> DataFrame:

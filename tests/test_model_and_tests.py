@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from locuspark.functions import binomial as bn
 from locuspark.functions import sequences as sq
 from locuspark.functions import statistics as st
+from locuspark.operators import annotation as an
 from locuspark.operators import classify as cl
 from locuspark.operators import model as md
 from locuspark.operators import shuffle as sh
 from locuspark.operators.coverage import depth_per_base
 from locuspark.plans import registry
+from locuspark.sources import readers as rd
 
 
 def exons(spark, strand="+"):
@@ -143,3 +145,21 @@ def test_smoothing_and_wide_coverage_of_the_whole_tables(spark):
     assert set(wide.columns) == {"pos"} | {n for n, _ in depth}
     rows = wide.collect()
     assert len(rows) == max(p for _, p in depth) and all(r[n] == depth.get((n, r.pos), 0) for r in rows for n in wide.columns[1:])
+
+
+def test_descendants_of_all_levels(spark):
+    rel = spark.createDataFrame([(f"f{i:02}", f"f{i + 1:02}") for i in range(12)] + [("x", "y"), ("y", "x")], "parent string, child string")
+    got = {(r.ancestor, r.descendant): r.depth for r in an.descendants(rel).collect()}
+    want = {(f"f{i:02}", f"f{k:02}"): k - i for i in range(12) for k in range(i + 1, 13)} | {("x", "y"): 1, ("y", "x"): 1, ("x", "x"): 2, ("y", "y"): 2}
+    assert got == want
+    assert an.descendants(rel, 2).agg(F.max("depth")).first()[0] == 2 and an.descendants(rel.limit(0)).count() == 0
+
+
+def test_all_samples_and_effects(spark, tmp_path):
+    (tmp_path / "a.vcf").write_text("\t".join(["1", "5", ".", "A", "C,G", "9", "PASS", "AF=1", "GT", *[f"s{i}" for i in range(10_050)]]) + "\n" + "\t".join(["1", "6", "r", "A", "C", "9", "PASS", "AF=1"]) + "\n")
+    assert {r.start: r.samples for r in rd.read_vcf(spark, str(tmp_path)).collect()} == {5: [f"s{i}" for i in range(10_050)], 6: []}
+    v = spark.createDataFrame([("v", ["C", "G"], "frameshift-near-splice:t,odd word:u")], "feature_id string, variant_seq array<string>, effects string")
+    got = {(r.allele, r.effect, r.feature_type, r.target) for r in rd.variant_effects(v, "seattleseq").collect()}
+    assert got == {(a, *x) for a in "CG" for x in (("frameshift_variant", "mRNA", "t"), ("splice_region_variant", "mRNA", "t"), ("odd word", "unknown", "u"))}
+    w = v.withColumn("effects", F.lit("EXON_DELETED(HIGH|||||||||T|1),CODON_INSERTION(LOW|||||||||T|1)"))
+    assert {r.effect for r in rd.variant_effects(w, "snpeff").collect()} == {"exon_loss_variant", "inframe_insertion"}
