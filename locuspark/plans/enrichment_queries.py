@@ -14,15 +14,16 @@ from locuspark.plans.fixtures import Fixtures
 from locuspark.plans.model_queries import rand_key
 from locuspark.plans.registry import query
 
-ROUNDS = 4
+ROUNDS = 4  # of the queries with SQL
+TEST_ROUNDS = 100  # of the tests end to end, which have none: the smallest p is 2 / TEST_ROUNDS
 INSIDE = "s + CASE WHEN s < 1 THEN 1 - s WHEN e > length THEN greatest(length - e, 1 - s) ELSE 0 END AS st, least(e + CASE WHEN s < 1 THEN 1 - s WHEN e > length THEN greatest(length - e, 1 - s) ELSE 0 END, length) AS en"
 POSITIONS = f"""rd AS MATERIALIZED (SELECT r AS round, t.*, length FROM te t JOIN sizes USING (chrom), range(1, {ROUNDS + 1}) x(r)),
   sp AS MATERIALIZED (SELECT round, te_id, chrom, rname, rfam, rclass, {INSIDE} FROM (SELECT *, m - (en - st) // 2 AS s, m - (en - st) // 2 + en - st AS e FROM (SELECT *, row_number() OVER (PARTITION BY round, chrom ORDER BY te_id) AS i FROM rd)
     JOIN (SELECT round, chrom, (st + en) // 2 AS m, row_number() OVER (PARTITION BY round, chrom ORDER BY {rand_key('te_id', 'round', 1)}, te_id) AS i FROM rd) USING (round, chrom, i)))"""
 
 
-def shuffled(fx: Fixtures) -> DataFrame:
-    return sh.shuffle_positions(fx.te, fx.sizes, ROUNDS)
+def shuffled(fx: Fixtures, rounds: int = ROUNDS) -> DataFrame:
+    return sh.shuffle_positions(fx.te, fx.sizes, rounds)
 
 
 def tss(fx: Fixtures) -> DataFrame:
@@ -123,12 +124,12 @@ def r5b(fx: Fixtures) -> DataFrame:
 @query("r6_enrichment_simple")
 def r6(fx: Fixtures) -> DataFrame:
     features = fx.exon.select("chrom", "start", "end", F.concat_ws("#", F.col("tr").cast("string"), F.col("k").cast("string")).alias("feature"))
-    return en.enrichment(fx.te, features, shuffled(fx), ROUNDS)
+    return en.enrichment(fx.te, features, shuffled(fx, TEST_ROUNDS), TEST_ROUNDS)
 
 
 @query("r7_enrichment_transcripts")
 def r7(fx: Fixtures) -> DataFrame:
-    return en.enrichment_transcripts(fx.te, fx.exon, shuffled(fx), ROUNDS)
+    return en.enrichment_transcripts(fx.te, fx.exon, shuffled(fx, TEST_ROUNDS), TEST_ROUNDS)
 
 
 PICK = f"pk AS MATERIALIZED (SELECT r AS round, gene, tr, n_exons FROM (SELECT gene, tr, count(*) AS n_exons FROM exon GROUP BY gene, tr), range(1, 4) s(r) QUALIFY row_number() OVER (PARTITION BY r, gene ORDER BY {rand_key('tr', 'r', 1)}, tr) = 1)"

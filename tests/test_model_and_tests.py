@@ -163,3 +163,12 @@ def test_all_samples_and_effects(spark, tmp_path):
     assert got == {(a, *x) for a in "CG" for x in (("frameshift_variant", "mRNA", "t"), ("splice_region_variant", "mRNA", "t"), ("odd word", "unknown", "u"))}
     w = v.withColumn("effects", F.lit("EXON_DELETED(HIGH|||||||||T|1),CODON_INSERTION(LOW|||||||||T|1)"))
     assert {r.effect for r in rd.variant_effects(w, "snpeff").collect()} == {"exon_loss_variant", "inframe_insertion"}
+
+
+def test_end_to_end_tests_have_rounds_enough(spark):
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("the driver's tables are not here")
+    for name in ("r6_enrichment_simple", "r7_enrichment_transcripts"):
+        p = [r.p for r in registry.QUERIES[name](spark, sf).select("p").collect()]
+        assert p and all(math.isclose(50 * x, round(50 * x), abs_tol=1e-9) for x in p) and any(not math.isclose(2 * x, round(2 * x)) for x in p)
