@@ -15,6 +15,7 @@ from locuspark.plans.model_queries import rand_key
 from locuspark.plans.registry import query
 
 ROUNDS = 4  # of the queries with SQL
+DEFAULT_ROUNDS = 10  # the reference's, of random placement, which has no SQL either
 TEST_ROUNDS = 100  # of the tests end to end, which have none: the smallest p is 2 / TEST_ROUNDS
 INSIDE = "s + CASE WHEN s < 1 THEN 1 - s WHEN e > length THEN greatest(length - e, 1 - s) ELSE 0 END AS st, least(e + CASE WHEN s < 1 THEN 1 - s WHEN e > length THEN greatest(length - e, 1 - s) ELSE 0 END, length) AS en"
 POSITIONS = f"""rd AS MATERIALIZED (SELECT r AS round, t.*, length FROM te t JOIN sizes USING (chrom), range(1, {ROUNDS + 1}) x(r)),
@@ -55,7 +56,7 @@ def r3(fx: Fixtures) -> DataFrame:
 
 @query("r1_shuffle_random")
 def r1(fx: Fixtures) -> DataFrame:
-    return sh.shuffle_random(fx.te, fx.sizes, 2, excl=fx.exon).select("round", "te_id", "chrom", "start", "end")
+    return sh.shuffle_random(fx.te, fx.sizes, DEFAULT_ROUNDS, excl=fx.exon).select("round", "te_id", "chrom", "start", "end")
 
 
 EXP = POSITIONS + """, ob AS MATERIALIZED (SELECT coalesce(rclass, 'tot') AS rclass, count(DISTINCT (tr, k)) AS hits FROM hit GROUP BY ROLLUP (rclass)),
