@@ -1,10 +1,12 @@
 """HTML extraction by line-block distribution.
 
 Markup is stripped into one line per block element. The text length of each line is
-summed over a sliding window of lines; where the sum surges from nothing to a main-text
-level a region begins, where it dives to nothing the region ends, and the text between is
-kept. Lines of menus, headers, footers, sidebars, notices, adverts, forms and comments
-weigh nothing; lines in an article or main element weigh as main text whatever their length.
+summed over a sliding window of lines; where the sum surges a region of main text begins,
+where it dives to nothing the region ends, and the text between is kept. Window sums
+decide on every page; markup only changes what a line weighs. Text of menus, headers,
+footers, sidebars, notices, adverts, forms and comments weighs nothing, linked text
+little, text in an article or main element more, and text beside such an element the less
+the more of the page's text the element holds.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 
 from locuspark.llm.shared import column, text_slices
 
-#: Lines of a window, and the text length of a window from which on text surges.
+#: Lines of a window, and the window sum from which on text surges; half the page's largest sum is enough.
 WINDOW, SURGE = 3, 86
 
 _BLOCK = frozenset(
@@ -31,6 +34,11 @@ _SILENT = frozenset("script style noscript template head title svg math iframe o
 _APART = frozenset("nav footer aside form menu dialog button select textarea input label option fieldset".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _IMPLIED = {t: (t,) for t in "p li dt dd tr td th option".split()} | {"optgroup": ("option", "optgroup")}  # open elements that a start tag closes
+_IMPLIED |= {
+    t: ("p",)
+    for t in "address article aside blockquote center details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol pre section summary table ul".split()
+}
+_WALLS = ("table", "ul", "ol", "dl", "div", "article", "aside", "nav", "header", "footer", "main", "form", "blockquote", "figure", "section", "td", "th", "body", "select", "button")
 _MAIN = frozenset("article main".split())
 _NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|banner|sponsor(?:ed)?|promo|sidebar|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|"
@@ -39,22 +47,34 @@ _NOISE = re.compile(
     re.I,
 )
 _WHETHER = re.compile(r"(?<!\S)(?:has|with|no|without)[_-]\S+")  # how a page is laid out, not what an element is
-_TEASER = re.compile(r"(?:^|\s)(?:comments?|comment-body|reply|replies|ads?|adverts?|promo|teaser|related)(?:$|\s)", re.I)
+_TEASER = re.compile(r"(?:^|\s)(?:comments?|comment-body|reply|replies|ads?|adverts?|advertisements?|sponsored|promo|teaser|related|share|social)(?:$|\s)", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 _MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|main|body)[_-]?(?:content|body|text)?(?:$|\s)", re.I)
+_RIGHTS = re.compile(r"^(?:©|\(c\) ?\d{4}|copyright\b)|\ball rights reserved\b", re.I)
+_UNFINISHED = re.compile(r"<[A-Za-z/!?]")
+_CRUMBS = re.compile(r"[^.!?|·»>•]{1,30}(?: [|·»>•] [^.!?|·»>•]{1,30})+")
+
+
+class Line(NamedTuple):
+    """A block's text (empty where all of it is set apart), how much of it is linked, and where it stands."""
+
+    text: str
+    linked: float = 0.0
+    main: bool = False
+    item: bool = False
 
 
 class _Lines(HTMLParser):
-    """Block lines of a page: (text, share of it in links, kept apart, in a main element)."""
+    """Block lines of a page; what is silent or set apart is left out piece by piece."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, bool, bool]] = []  # tag, silent, apart, main
         self.at: dict[str, list[int]] = {}  # where in the stack each tag is open
         self.parts: list[str] = []
-        self.linked = 0
-        self.in_link = 0
-        self.lines: list[tuple[str, float, bool, bool]] = []
+        self.linked = self.in_link = 0
+        self.beside = False  # whether the block holds text that is set apart
+        self.lines: list[Line] = []
 
     @property
     def top(self) -> tuple[str, bool, bool, bool]:
@@ -63,14 +83,16 @@ class _Lines(HTMLParser):
     def cut(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, _, apart, main = self.top
-            self.lines.append((text, min(1.0, self.linked / len(text)), apart, main))
-        self.parts, self.linked = [], 0
+            self.lines.append(Line(text, min(1.0, self.linked / len(text)), self.top[3], bool(self.at.get("li"))))
+        elif self.beside:
+            self.lines.append(Line(""))
+        self.parts, self.linked, self.beside = [], 0, False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
             self.parts.append(" ")
-        if tag in _BLOCK or tag in _APART:
+        inline = tag not in _BLOCK and tag not in _APART
+        if not inline:
             self.cut()
         if tag == "a":
             self.in_link += 1
@@ -78,26 +100,26 @@ class _Lines(HTMLParser):
             return
         for t in _IMPLIED.get(tag, ()):
             self.close(t, implied=True)
-        if tag not in _BLOCK and tag not in _SILENT and tag not in _APART and not attrs:
-            return  # inline markup changes nothing
         _, silent, apart, main = self.top
-        a = dict(attrs)
-        names = _WHETHER.sub("", f"{a.get('class') or ''} {a.get('id') or ''}")
-        noise = tag not in ("html", "body", "main") and bool((_TEASER if tag == "article" else _NOISE).search(names))
-        if tag == "main":  # a wrapper's name does not set the main element apart
-            apart = False
-        apart = apart or tag in _APART or noise or (a.get("role") or "").lower() in _ROLES or "hidden" in a or (a.get("aria-hidden") or "") == "true"
-        apart = apart or (tag == "header" and not main)
-        main = main or (tag in _MAIN and not noise) or a.get("role") == "main" or (not noise and bool(_MAIN_NAMES.search(names)))
+        if attrs or not inline or tag in _SILENT:
+            a = dict(attrs)
+            names = _WHETHER.sub("", f"{a.get('class') or ''} {a.get('id') or ''}")
+            noise = tag not in ("html", "body", "main") and bool((_TEASER if inline or tag == "article" else _NOISE).search(names))
+            if tag == "main":  # a wrapper's name does not set the main element apart
+                apart = False
+            apart = apart or tag in _APART or noise or (a.get("role") or "").lower() in _ROLES or "hidden" in a or (a.get("aria-hidden") or "") == "true"
+            apart = apart or (tag == "header" and not main)
+            named = tag not in ("html", "body") and not inline and bool(_MAIN_NAMES.search(names))
+            main = main or (not noise and (tag in _MAIN or named)) or a.get("role") == "main"
+            silent = silent or tag in _SILENT
         self.at.setdefault(tag, []).append(len(self.stack))
-        self.stack.append((tag, silent or tag in _SILENT, apart, main))
+        self.stack.append((tag, silent, apart, main))
 
     def close(self, tag: str, implied: bool = False) -> None:
-        walls = ("table", "ul", "ol", "dl", "div", "article", "section", "td", "body", "select") if implied else ("body", "html")
         if not self.at.get(tag):
             return
         k = self.at[tag][-1]
-        if any(self.at[w][-1] > k for w in walls if self.at.get(w)):
+        if any(self.at[w][-1] > k for w in (_WALLS if implied else ("body", "html")) if self.at.get(w)):
             return
         for t, *_ in self.stack[k:]:
             self.at[t].pop()
@@ -118,11 +140,47 @@ class _Lines(HTMLParser):
         self.close(tag)
 
     def handle_data(self, data: str) -> None:
-        _, silent, _, _ = self.top
-        if not silent:
-            self.parts.append(data)
-            if self.in_link:
-                self.linked += len(data)
+        _, silent, apart, _ = self.top
+        if silent:
+            return
+        if apart:
+            self.beside = self.beside or not data.isspace()
+            return
+        self.parts.append(data)
+        if self.in_link:
+            self.linked += len(data)
+
+
+def weights(lines: list[Line]) -> np.ndarray:
+    """What each line weighs in the window sums; 0 for what is never main text."""
+    size = np.array([len(x.text) for x in lines], float)
+    main = np.array([x.main for x in lines], bool)
+    share = size[main].sum() / max(size.sum(), 1.0)  # of the page's text, in main elements
+    linked = np.array([x.linked > 0.5 for x in lines], bool)
+    beside = np.zeros(len(lines), bool)
+    beside[1:] |= linked[:-1]
+    beside[:-1] |= linked[1:]
+    menu = linked & (beside | np.array([x.item for x in lines], bool))
+    plain = np.array([bool(_RIGHTS.search(x.text) if len(x.text) < 200 else False) or bool(_CRUMBS.fullmatch(x.text)) for x in lines], bool)
+    outside = np.where(menu | plain, 0.0, size * (1 - np.array([x.linked for x in lines]) * 0.8) * max(1 - share, 0.02))
+    return np.where(main, np.where(size > 0, 2 * size + 40, 0), outside)
+
+
+def regions(weight: np.ndarray) -> np.ndarray:
+    """Which lines are kept: those with weight between a surge of the window sums and the next dive to nothing."""
+    n = len(weight)
+    sums = np.convolve(np.concatenate([weight, np.zeros(WINDOW)]), np.ones(WINDOW), "valid")[:n]  # of WINDOW lines from each line on
+    surge = min(SURGE, sums.max(initial=0) / 2)
+    keep, at = np.zeros(n, bool), 0
+    while at < n:
+        if weight[at] > 0 and sums[at] >= surge:
+            end = at
+            while end < n and sums[end] > 0:
+                end += 1
+            keep[at:end] = weight[at:end] > 0
+            at = end
+        at += 1
+    return keep
 
 
 def main_text(page: str | None) -> str:
@@ -131,31 +189,13 @@ def main_text(page: str | None) -> str:
         return ""
     reader = _Lines()
     reader.feed(page)
-    HTMLParser.close(reader)  # ends open markup
+    if not _UNFINISHED.match(reader.rawdata):  # a tag or comment that the page's end cuts off is no text
+        HTMLParser.close(reader)
     reader.cut()
     lines = reader.lines
     if not lines:
         return ""
-    apart = np.array([x[2] for x in lines])
-    main = np.array([x[3] for x in lines]) & ~apart
-    menu = np.array([x[1] > 0.5 for x in lines]) & ~main
-    weight = np.array([len(x[0]) for x in lines], float)
-    if main.any():  # a page that names its main part has no other
-        weight = np.where(main, np.maximum(weight, SURGE), 0)
-    weight[apart | menu] = 0
-    n = len(lines)
-    padded = np.concatenate([weight, np.zeros(WINDOW)])
-    block = np.convolve(padded, np.ones(WINDOW), "valid")[:n]  # sums of WINDOW lines from each line on
-    keep, at = np.zeros(n, bool), 0
-    while at < n:
-        if weight[at] and block[at] >= SURGE:  # a surge: main text begins
-            end = at
-            while end < n and block[end] > 0:  # until it dives to nothing
-                end += 1
-            keep[at:end] = weight[at:end] > 0
-            at = end
-        at += 1
-    return "\n".join(lines[i][0] for i in np.flatnonzero(keep))
+    return "\n".join(lines[i].text for i in np.flatnonzero(regions(weights(lines))))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

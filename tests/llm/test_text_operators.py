@@ -76,6 +76,47 @@ def test_unclosed_markup_does_not_reach_over_the_page(aside):
     assert html_text.main_text(f"<html><body>{aside}<article><p>{long}</p></article></body></html>").endswith(long)
 
 
+def test_window_sums_decide_and_markup_only_weighs():
+    hundred = "A paragraph of main text that nothing in the markup names as such, but which is as long as any other one."
+    assert html_text.main_text(f'<div><p>{hundred}</p></div><div class="story"><p>Hi.</p></div>') == f"{hundred}\nHi."
+    assert html_text.main_text("<div><p>Short article of forty characters here.</p></div>") == "Short article of forty characters here."
+    assert html_text.main_text(f'<p>{hundred} <span class="ad">Buy now</span> On.</p>') == f"{hundred} On."
+    assert html_text.main_text(f'<div><span class="promo">Ad <span>inner</span> ad</span>{hundred}</div>') == hundred
+    menu = "<ul>" + "<li><a href=x>One of the links of a menu</a>" * 9 + "</ul>"
+    assert html_text.main_text(f'<body class="post">{menu}<p>{hundred}</p><p>{hundred}</p><div>© 2024 Somebody. All rights reserved.</div></body>') == f"{hundred}\n{hundred}"
+    assert html_text.main_text(f"<div>Home | News | About us</div><div>x</div><p>{hundred}</p>".replace("<div>x</div>", "")) == hundred
+    assert html_text.main_text(f"<article><p>{hundred}</p><p>See <a href=y>that</a></p></article><footer>Foot</footer>") == f"{hundred}\nSee that"
+
+
+def test_regions_equal_plain_windows():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 2, 5, 40):
+        for _ in range(60):
+            w = np.where(rng.random(n) < 0.5, 0, rng.integers(1, 120, n)).astype(float)
+            sums = [sum(w[i : i + html_text.WINDOW]) for i in range(n)]
+            limit, want, inside = min(html_text.SURGE, max(sums, default=0) / 2), [], False
+            for i in range(n):
+                inside = sums[i] > 0 and (inside or (w[i] > 0 and sums[i] >= limit))
+                want.append(inside and w[i] > 0)
+            assert html_text.regions(w).tolist() == want
+
+
+def test_made_pages_of_other_layouts():
+    """Pages with known main text, wrapped in layouts that the tables do not hold."""
+    rng = random.Random(8)
+    words = "ground water level rises slowly after every winter storm because rivers carry more than fields can hold".split()
+    para = lambda: " ".join(rng.choice(words) for _ in range(rng.randrange(14, 60))).capitalize() + "."
+    links = "<ul>" + "".join(f"<li><a href=/{w}>{w}</a>" for w in words[:7]) + "</ul>"
+    for k in range(40):
+        want = [para() for _ in range(rng.randrange(1, 7))]
+        body = "".join(f"<p>{x}" + rng.choice(("", "</p>")) for x in want)
+        wrap = rng.choice(("<article>{}</article>", "<main>{}</main>", '<div id="content">{}</div>', "<div><div>{}</div></div>", '<section class="entry-content">{}</section>', "{}"))
+        before = rng.choice((f"<nav>{links}</nav>", f'<div class="top-menu">{links}</div>', f"<header><a href=/>Site</a>{links}</header>", f"<div>{links}</div>"))
+        after = rng.choice(('<aside><p>A sidebar speaks at length about quite another thing.</p></aside>', '<div class="comments"><p>I do not agree with a word of this, and here is why.</p></div>', '<div id="footer">Made by us</div>', '<form><label>Your mail</label><input></form>', '<div class="cookie-consent">We use cookies to make this site work for you.</div>'))
+        page = f"<html><head><title>t</title></head><body>{before}{wrap.format(body)}{after}<script>x()</script></body></html>"
+        assert html_text.main_text(page) == "\n".join(want), (k, page)
+
+
 # personal data
 
 
