@@ -4,8 +4,9 @@ Items fall into partitions by their number of shingles (powers of two). A partit
 sketch size is the least that no contained item can escape: an item of n shingles that is
 contained to a share t misses at most n - ceil(t n) of them, so of its n - ceil(t n) + 1
 smallest hashes one is in the document. Documents are looked up by the hashes that reach
-the largest sketch value; hits are verified by counting exact shingles. DataFrame
-functions only.
+the largest sketch value; hits are verified by counting exact shingles. An item of fewer
+words than a shingle has one shingle, its whole word sequence, and documents are cut to
+that width as well. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -30,6 +31,12 @@ def shingles_of(words: Column, width: int, hashed: bool) -> Column:
     return F.when(n >= width, F.transform(F.sequence(F.lit(1), F.greatest(n - width + 1, F.lit(1))), each)).otherwise(F.array().cast(kind))
 
 
+def item_shingles(words: Column, width: int) -> Column:
+    """An item's shingles: those of its words, or its whole word sequence where the words are fewer than the width."""
+    short = F.size(words).between(1, width - 1)
+    return F.when(short, F.array(F.array_join(words, " "))).otherwise(shingles_of(words, width, False))
+
+
 def _text_key(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
@@ -52,13 +59,17 @@ def contaminated_rows(
     row = ["doc_id", "text_key"]
     doc = docs.select(F.col(id_col).alias("doc_id"), _text_key(text_col).alias("text_key"), F.col(text_col).alias("doc_text"))
     # the words are a column of their own: inside the shingles' lambda they would be split anew for each shingle
-    exploded = lambda df, make, name: df.withColumn("ws", words_of(F.col("doc_text"))).select(*row, F.explode(make(F.col("ws"))).alias(name))
+    def exploded(df: DataFrame, hashed: bool, name: str) -> DataFrame:
+        cut = [shingles_of(F.col("ws"), w, hashed) for w in widths]
+        return df.withColumn("ws", words_of(F.col("doc_text"))).select(*row, F.explode(F.concat(*cut) if len(cut) > 1 else cut[0]).alias(name))
+
     item = checkpoint(
         items.select(F.col(item_col).alias("item_id"), words_of(F.col(item_text_col)).alias("ws"))
-        .withColumn("shingle", F.explode(shingles_of(F.col("ws"), width, False)))
-        .select("item_id", "shingle", F.xxhash64(F.split("shingle", " ", -1)).alias("hash"))
+        .select("item_id", F.explode(item_shingles(F.col("ws"), width)).alias("shingle"), F.least(F.size("ws"), F.lit(width)).alias("words"))
+        .select("item_id", "shingle", "words", F.xxhash64(F.split("shingle", " ", -1)).alias("hash"))
         .distinct()
     )
+    widths = sorted({width, *(r["words"] for r in item.select("words").distinct().collect())})  # at most ``width`` numbers
     sized = item.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_shingles"))
     need = F.ceil(F.col("n_shingles") * threshold - 1e-9)
     of_item = Window.partitionBy("item_id")
@@ -68,14 +79,15 @@ def contaminated_rows(
     ranked = item.withColumns({"n": F.count(F.lit(1)).over(of_item), "rank": F.row_number().over(of_item.orderBy("hash"))})
     sketch = ranked.where(F.col("rank") <= keep).select("hash").distinct()
     bound = sketch.agg(F.max("hash"), F.count(F.lit(1))).first()
-    hashes = exploded(doc, lambda ws: shingles_of(ws, width, True), "hash")
+    hashes = exploded(doc, True, "hash")
     hashes = hashes.where(F.col("hash") <= F.lit(bound[0]).cast("long"))
     hit = checkpoint(hashes.join(if_small(sketch, bound[1]), "hash", "left_semi").select(F.col("doc_id").alias("d2"), F.col("text_key").alias("t2")).distinct())
     shingles = item.select("item_id", "shingle")
+    size = shingles.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("shingle")), F.lit(0))).first()
     same = F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("text_key") == F.col("t2"))
     held = (
-        exploded(doc.join(if_small(hit, hit.count()), same, "left_semi"), lambda ws: shingles_of(ws, width, False), "shingle")
-        .join(if_small(shingles, shingles.count()), "shingle")
+        exploded(doc.join(if_small(hit, hit.count()), same, "left_semi"), False, "shingle")
+        .join(if_small(shingles, size[0], size[1]), "shingle")
         .groupBy(*row, "item_id", "shingle")
         .agg(F.lit(1).alias("one"))
         .groupBy(*row, "item_id")
@@ -92,8 +104,8 @@ def contamination(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_contained, containment) of pairs at the threshold or above.
 
     Containment is the share of the item's distinct shingles that the document holds.
-    Null and empty texts, and texts of fewer words than the width, hold no shingle and
-    match nothing. Rows that share an id, or have none, are compared each by itself; an id
+    Null and empty texts hold no shingle and match nothing. An item of fewer words than
+    the width is held where its words follow one another in the document. Rows that share an id, or have none, are compared each by itself; an id
     and item with several such rows at the threshold are one row, of the largest
     containment. Repeated item ids are one item with the shingles of all their rows. Empty
     tables give no rows; extra columns are ignored. ``how`` is contaminated_rows'.
@@ -116,8 +128,12 @@ def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
 ORACLE_SQL = r"""
 WITH dw AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS w, generate_subscripts(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+'), 1) AS i FROM documents),
 iw AS (SELECT item_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS w, generate_subscripts(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+'), 1) AS i FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS s FROM dw WINDOW o AS (PARTITION BY doc_id ORDER BY i) QUALIFY lead(w, 4) OVER o IS NOT NULL),
-its AS (SELECT DISTINCT item_id, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS s FROM iw WINDOW o AS (PARTITION BY item_id ORDER BY i) QUALIFY lead(w, 4) OVER o IS NOT NULL),
+sh AS (SELECT item_id, count(*) AS k, string_agg(w, ' ' ORDER BY i) AS s FROM iw GROUP BY item_id HAVING count(*) < 5),
+dl AS (SELECT doc_id, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2, lead(w, 3) OVER o AS w3, lead(w, 4) OVER o AS w4 FROM dw WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+ds AS (SELECT DISTINCT doc_id, w || ' ' || w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 AS s FROM dl WHERE w4 IS NOT NULL
+  UNION SELECT doc_id, CASE k WHEN 1 THEN w WHEN 2 THEN w || ' ' || w1 WHEN 3 THEN w || ' ' || w1 || ' ' || w2 ELSE w || ' ' || w1 || ' ' || w2 || ' ' || w3 END AS s FROM dl, (SELECT DISTINCT k FROM sh) WHERE s IS NOT NULL),
+its AS (SELECT DISTINCT item_id, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS s FROM iw WINDOW o AS (PARTITION BY item_id ORDER BY i) QUALIFY lead(w, 4) OVER o IS NOT NULL
+  UNION ALL SELECT item_id, s FROM sh),
 n AS (SELECT item_id, count(*) AS n_shingles FROM its GROUP BY item_id),
 c AS (SELECT doc_id, item_id, count(*) AS n_contained FROM ds JOIN its USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n_shingles, n_contained, n_contained / n_shingles AS containment

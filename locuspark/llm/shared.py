@@ -39,9 +39,9 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def if_small(df: DataFrame, rows: int, most: int = 500_000) -> DataFrame:
-    """Broadcast a side whose counted rows are few; beyond that the join shuffles."""
-    return F.broadcast(df) if rows <= most else df
+def if_small(df: DataFrame, rows: int, size: int = 0, most: int = 500_000, most_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast a side whose counted rows are few and whose texts (``size`` bytes in all) are short; beyond that the join shuffles."""
+    return F.broadcast(df) if rows <= most and size <= most_bytes else df
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:

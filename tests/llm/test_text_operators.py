@@ -237,10 +237,10 @@ def test_contamination_equals_brute_force(spark):
         ds.append((i, " ".join(t)))
     ds += [(200, None), (201, ""), (None, ds[0][1]), ds[3]]
     words = lambda t: re.findall(r"[a-z0-9]+", (t or "").lower())
-    shingles = lambda t: {tuple(words(t)[k : k + 5]) for k in range(len(words(t)) - 4)}
+    shingles = lambda t: {tuple(words(t)[k : k + 5]) for k in range(len(words(t)) - 4)} or ({tuple(words(t))} if words(t) else set())
     held = defaultdict(set)
     for d, t in ds:
-        held[d] |= shingles(t)
+        held[d] |= {tuple(words(t)[k : k + n]) for n in (3, 5) for k in range(len(words(t)) - n + 1)}
     want = {(d, i, len(shingles(t)), len(shingles(t) & held[d])) for d in held for i, t in items if shingles(t) and len(shingles(t) & held[d]) >= 0.8 * len(shingles(t)) - 1e-9}
     df, it = spark.createDataFrame([(d, t, "s") for d, t in ds], "doc_id long, text string, item_id string"), spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id, r.n_shingles, r.n_contained) for r in decontamination.contamination(df, it).collect()}
@@ -262,6 +262,14 @@ def test_contamination_of_rows_with_shared_and_null_ids(spark):
     assert sorted(pairs, key=str) == [(8, 1, 40, 40, 1.0), (None, 1, 40, 40, 1.0)]
 
 
+def test_items_of_fewer_words_than_a_shingle(spark):
+    df = spark.createDataFrame([(1, "we saw the red fox run"), (2, "the red dog, a fox"), (3, "The RED, fox"), (4, "fox"), (5, None)], "doc_id long, text string")
+    it = spark.createDataFrame([(1, "The red fox!"), (2, "red fox run away quickly now"), (3, " .. "), (4, "dog")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontamination.contamination(df, it).collect()) == [(1, 1), (2, 4), (3, 1)]
+    long = spark.createDataFrame([(1, "x y z " * 40_000 + "the red fox")], "doc_id long, text string")
+    assert decontamination.contamination(long, it).count() == 1
+
+
 # quality
 
 
