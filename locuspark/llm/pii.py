@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field for what they miss.
 
-The field works on chains of atoms (digit groups with short separators between them, or a
-written-out address). A segment of up to ``MAX_ATOMS`` atoms gets a label; features look
+The field works on chains of atoms (digit groups with short separators between them, or the
+names of a written-out address). A segment of up to ``MAX_ATOMS`` atoms gets a label; features look
 at the whole span: digits in all, groups, separators, checksum, octets, cue words. The
 best segmentation, boundaries and labels together, is found by dynamic programming over
 segment ends. Spans of the fixed patterns are given: the field labels only what is
@@ -36,9 +36,10 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SOME = re.compile(r"[0-9@]|[(\[] ?at ?[)\]]", re.I)
 _GROUP = re.compile(r"[0-9]++")
 _GAP = re.compile(r"[ ().\-/]{1,3}\Z")
-_WRITTEN = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[(\[] ?at ?[)\]] ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|[(\[] ?dot ?[)\]]) ?[A-Za-z0-9-]{1,63}){1,6}", re.I
-)
+_AT = r" ?[(\[] ?at ?[)\]] ?"
+_DOT = r" ?(?:\.|[(\[] ?dot ?[)\]]) ?"
+_WRITTEN = re.compile(rf"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++){_AT}([A-Za-z0-9-]++)((?:{_DOT}[A-Za-z0-9-]++)++)", re.I)
+_NAME = re.compile(rf"{_DOT}([A-Za-z0-9-]++)", re.I)
 _CUES = {"email": ("mail", "contact"), "ip": ("ip", "host", "server"), "card": ("card", "visa", "payment"), "phone": ("tel", "phone", "call", "fax", "mobile")}
 
 
@@ -76,7 +77,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def chains(text: str) -> list[list[tuple[int, int]]]:
-    """Runs of neighbouring digit groups with 9 digits or more, and written-out addresses."""
+    """Runs of neighbouring digit groups, of 9 digits or more or four groups or more, and the names of written-out addresses.
+
+    An address has four groups and every other entity nine digits, so shorter runs hold none.
+    """
     out, run = [], []
     for m in _GROUP.finditer(text):
         if run and not (m.start() - run[-1][1] <= 3 and _GAP.match(text[run[-1][1] : m.start()])):
@@ -84,14 +88,14 @@ def chains(text: str) -> list[list[tuple[int, int]]]:
             run = []
         run.append(m.span())
     out.append(run)
-    out = [r for r in out if sum(e - s for s, e in r) >= 9]
-    return out + [[m.span()] for m in _WRITTEN.finditer(text)]
+    out = [r for r in out if len(r) >= 4 or sum(e - s for s, e in r) >= 9]
+    return out + [[m.span(1), m.span(2), *(n.span(1) for n in _NAME.finditer(text, m.start(3), m.end(3)))] for m in _WRITTEN.finditer(text)]
 
 
 def span_of(text: str, atoms: list[tuple[int, int]], i: int, j: int) -> tuple[int, int]:
     """Start and end of the segment of atoms i..j-1, with an opening + or bracket."""
     s = atoms[i][0]
-    if s and text[s - 1] == "(" and ")" in text[s : atoms[j - 1][1]]:
+    if s and text[s - 1] == "(" and text[s].isdigit() and ")" in text[s : atoms[j - 1][1]]:
         s -= 1
     if s and text[s - 1] == "+":
         s -= 1
@@ -103,8 +107,12 @@ def traits(text: str, atoms: list[tuple[int, int]], i: int, j: int) -> list[str]
     s, e = span_of(text, atoms, i, j)
     body = text[s:e]
     out = ["any"]
-    if any(c.isalpha() for c in body):
-        return [*out, "written", "written-dots" if re.search(r"dot|\.", body, re.I) else "written-bare"]
+    if any(c.isalpha() for c in body) or re.search(_AT, text[atoms[0][1] : atoms[1][0]] if len(atoms) > 1 else "", re.I):
+        last = text[atoms[j - 2][1] : s] if j - i < 2 else text[atoms[j - 2][1] : atoms[j - 1][0]]
+        name = text[atoms[j - 1][0] : e]
+        out += ["written", "from-name" if i == 0 else "from-host", f"names-{min(j - i, 4)}", "rest" if j < len(atoms) else "whole"]
+        out.append("sentence" if last.startswith(".") and last.endswith(" ") else "dot" if "." in last else "written-dot")
+        return [*out, "capital" if name[:1].isupper() and not name.isupper() else "plain", "top-level" if name.isalpha() and len(name) >= 2 else "no-top-level"]
     groups = [text[a:b] for a, b in atoms[i:j]]
     n = sum(map(len, groups))
     seps = {c for k in range(i, j - 1) for c in text[atoms[k][1] : atoms[k + 1][0]]}
@@ -118,6 +126,8 @@ def traits(text: str, atoms: list[tuple[int, int]], i: int, j: int) -> list[str]
     if j - i == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups):
         out.append("octets" + "".join(sorted(seps)))
     sizes = [len(g) for g in groups]
+    if max(sizes) == 1:
+        out.append("single-digits")
     if sizes[-2:] == [3, 4] and (j - i == 3 or (j - i == 4 and sizes[0] <= 3)) and sizes[-3] == 3:
         out.append("3-3-4")
     if sizes[:3] == [4, 4, 4]:
@@ -162,30 +172,50 @@ class SemiMarkov:
 
     @staticmethod
     def segments(text: str, atoms: list, barred: tuple[list[int], list[int]]) -> dict[int, list[tuple[int, str, list[str]]]]:
-        """By end: (start, label, traits); labels other than O only where no given span is."""
+        """By end: (start, label, traits); labels other than O only where no given span is.
+
+        A phone number has 9 to 15 digits, a card 13 to 19, an address four groups of up to three.
+        """
         out: dict[int, list] = {}
+        written = len(atoms) > 1 and not _GAP.match(text[atoms[0][1] : atoms[1][0]])
+        upto = [0]
+        for s, e in atoms:
+            upto.append(upto[-1] + e - s)
         for j in range(1, len(atoms) + 1):
             out[j] = [(j - 1, "O", ["one"])]
             for i in range(max(0, j - MAX_ATOMS), j):
+                n = upto[j] - upto[i]
+                if written:
+                    kinds = ("email",)
+                else:
+                    four = j - i == 4 and n <= 12 and all(b - a <= 3 for a, b in atoms[i:j])
+                    kinds = (*(("ip",) if four else ()), *(("card",) if 13 <= n <= 19 else ()), *(("phone",) if 9 <= n <= 15 else ()))
+                if not kinds:
+                    continue
                 s, e = span_of(text, atoms, i, j)
                 if touches(barred, s, e):
                     continue
                 seen = traits(text, atoms, i, j)
-                out[j] += [(i, k, seen) for k in (("email",) if "written" in seen else KINDS[1:])]
+                out[j] += [(i, k, seen) for k in kinds]
         return out
 
     def best(self, text: str, atoms: list, barred: tuple[list[int], list[int]]) -> list[tuple[str, int, int]]:
-        segs = self.segments(text, atoms, barred)
-        after = {(k, p): self.w.get((k, "after-" + p), 0.0) for k in ("O", *KINDS) for p in ("O", *KINDS)}
+        segs, states = self.segments(text, atoms, barred), ("O", *KINDS)
+        after = {label: [(p, self.w.get((label, "after-" + p), 0.0)) for p in states] for label in states}
         at: dict[tuple[int, str], tuple[float, tuple | None, int]] = {(0, "O"): (0.0, None, 0)}
+        scores: dict[tuple[str, ...], dict[str, float]] = {}  # of each set of traits met
         for j in range(1, len(atoms) + 1):
+            into: dict[tuple[int, str], tuple[float, tuple]] = {}  # the best way into a segment of a label that starts at i
             for i, label, seen in segs[j]:
-                whole = self.span_score(label, seen)
-                for prev in ("O", *KINDS):
-                    if (i, prev) in at:
-                        v = at[i, prev][0] + (whole + after[label, prev])
-                        if (j, label) not in at or v > at[j, label][0]:
-                            at[j, label] = (v, (i, prev), i)
+                if (i, label) not in into:
+                    into[i, label] = max(((at[i, p][0] + w, (i, p)) for p, w in after[label] if (i, p) in at), key=lambda x: x[0])
+                known = scores.setdefault(tuple(seen), {})
+                if label not in known:
+                    known[label] = self.span_score(label, seen)
+                v, prev = into[i, label]
+                v += known[label]
+                if (j, label) not in at or v > at[j, label][0]:
+                    at[j, label] = (v, prev, i)
         state = max((k for k in at if k[0] == len(atoms)), key=lambda k: at[k][0])
         out = []
         while state[0]:
@@ -195,8 +225,8 @@ class SemiMarkov:
             state = prev
         return out
 
-    def step(self, text: str, atoms: list, gold: dict[tuple[int, int], str], rate: float) -> None:
-        """One gradient step of the log-likelihood, by forward and backward sums over segmentations."""
+    def gradient(self, text: str, atoms: list, gold: dict[tuple[int, int], str]) -> tuple[dict[tuple[str, str], float], float]:
+        """Gradient and value of the log-likelihood, by forward and backward sums over segmentations."""
         segs, n, states = self.segments(text, atoms, ([], [])), len(atoms), ("O", *KINDS)
         arcs = [(i, j, label, prev, seen) for j in segs for i, label, seen in segs[j] for prev in (states if i else ("O",))]
         val = [self.score(a[2], a[4], a[3]) for a in arcs]
@@ -218,15 +248,20 @@ class SemiMarkov:
                 p = math.exp(fore[i, prev] + val[k] + back[j, label] - z)
                 for x in (*seen, "after-" + prev):
                     grad[label, x] = grad.get((label, x), 0.0) - p
-        at, prev = 0, "O"
+        at, prev, value = 0, "O", -z
         while at < n:
             j = next((j for (i, j) in gold if i == at), at + 1)
             label = gold.get((at, j), "O")
             seen = traits(text, atoms, at, j) if label != "O" else ["one"]
             for x in (*seen, "after-" + prev):
                 grad[label, x] = grad.get((label, x), 0.0) + 1
+            value += self.score(label, seen, prev)
             at, prev = j, label
-        for k, g in grad.items():
+        return grad, float(value)
+
+    def step(self, text: str, atoms: list, gold: dict[tuple[int, int], str], rate: float) -> None:
+        """One gradient step, with a little decay of the weights."""
+        for k, g in self.gradient(text, atoms, gold)[0].items():
             self.w[k] = self.w.get(k, 0.0) + rate * (g - 0.002 * self.w.get(k, 0.0))
 
 
@@ -236,13 +271,15 @@ def examples(n: int, seed: int) -> Iterator[tuple[str, str, int, int]]:
     digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
     for _ in range(n):
         kind = rng.choice((*KINDS, "O", "O", "O"))
-        cue = rng.choice(("", "", *_CUES.get(kind, ("no", "item")))) + " "
+        cue, follow = rng.choice(("", "", *_CUES.get(kind, ("no", "item")))) + " ", " and"
         if kind == "email":
-            body = f"{rng.choice(('jo', 'ann.b', 'x_1'))} {rng.choice(('(at)', '[at]'))} host{rng.choice((' (dot) ', ' [dot] ', '.'))}org"
+            dot, names = rng.choice((" (dot) ", " [dot] ", ".")), [rng.choice(("host", "mail", "my-site", "example", "x1")) for _ in range(rng.choice((1, 1, 2)))]
+            body = f"{rng.choice(('jo', 'ann.b', 'x_1'))} {rng.choice(('(at)', '[at]'))} {dot.join([*names, rng.choice(('org', 'com', 'de', 'net', 'info'))])}"
+            follow = rng.choice((" and", " and", ". Then", ". Please", ". We"))
         elif kind == "ip":
-            body = rng.choice((".", " . ", ". ")).join(str(rng.randrange(256)) for _ in range(4))
-            if sum(map(str.isdigit, body)) < 9:
-                kind = "O"
+            body = rng.choice((".", " . ", ". ")).join(str(rng.choice((rng.randrange(256), rng.randrange(256), 10, 192, 0, 1))) for _ in range(4))
+            if max(map(len, body.replace(".", " ").split())) == 1:
+                kind = "O"  # numbers of a list
         elif kind == "card":
             d = rng.choice("3456") + digits(14)
             d += next(c for c in "0123456789" if luhn(d + c))
@@ -252,8 +289,9 @@ def examples(n: int, seed: int) -> Iterator[tuple[str, str, int, int]]:
             body = rng.choice((f"({digits(3)}) {digits(3)}{sep}{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", f"1-{digits(3)}-{digits(3)}-{digits(4)}"))
         else:
             sep = rng.choice((" ", "-", ".", "/", ", "))
-            body = rng.choice((digits(9), digits(10), digits(16), digits(22), sep.join(digits(rng.randrange(1, 6)) for _ in range(rng.randrange(2, 7))), f"20{digits(2)}-{digits(2)}-{digits(2)} {digits(2)}-{digits(2)}"))
-        yield f"on {cue}{body} and", kind, len(cue) + 3, len(cue) + 3 + len(body)
+            first = rng.randrange(1, 5)
+            body = rng.choice((digits(9), digits(10), digits(16), digits(22), rng.choice((" ", ". ", ".) ")).join(str(first + k) for k in range(rng.randrange(4, 8))), " ".join(digits(rng.randrange(1, 4)) for _ in range(rng.randrange(4, 9))), sep.join(digits(rng.randrange(1, 6)) for _ in range(rng.randrange(2, 7))), f"20{digits(2)}-{digits(2)}-{digits(2)} {digits(2)}-{digits(2)}"))
+        yield f"on {cue}{body}{follow}", kind, len(cue) + 3, len(cue) + 3 + len(body)
 
 
 @lru_cache(maxsize=2)
@@ -295,8 +333,9 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(doc_id, base, spans, base_list): arrays of (kind, start, end) in code points, end exclusive.
 
     One row per input row, repeated rows included. Null and empty texts hold none. Extra
-    columns are ignored; an empty table gives no rows; texts are read whole, in time
-    linear in their length.
+    columns are ignored, whatever their names; an empty table gives no rows; a null id stays
+    null; texts are read whole, in time linear in their length. An added span has at most
+    ``MAX_ATOMS`` digit groups or names.
     """
     model = fitted()
     one = "array<struct<kind:string,start:long,end:long>>"

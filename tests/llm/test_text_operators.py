@@ -166,6 +166,77 @@ def test_held_out_accuracy_of_the_field():
     assert right / n >= 0.85
 
 
+def all_segmentations(n):
+    """All ways to cut n atoms: lists of (start, end)."""
+    if n == 0:
+        yield []
+        return
+    for i in range(max(0, n - pii.MAX_ATOMS), n):
+        for rest in all_segmentations(i):
+            yield [*rest, (i, n)]
+
+
+@pytest.mark.parametrize("text", ["call (234) 555-7890 now", "ip 10 . 0 . 0 . 1 up", "4242.4242/4242 - 4242 12", "jo (at) host.org. Then", "1 2 3 4 555-123-4567"])
+def test_best_equals_all_segmentations(text):
+    rng = random.Random(text)
+    fitted = pii.fitted()
+    for trial in range(4):
+        model = pii.SemiMarkov()
+        model.w = {k: v if trial == 0 else rng.uniform(-2, 2) for k, v in fitted.w.items()}
+        for atoms in pii.chains(text):
+            segs = {}
+            for j, rows in model.segments(text, atoms, ([], [])).items():
+                for i, label, seen in rows:
+                    segs.setdefault((i, j), []).append((label, seen))
+            best = None
+            for cut in all_segmentations(len(atoms)):
+                paths = [(0.0, "O", [])]
+                for i, j in cut:
+                    paths = [(v + model.score(label, seen, prev), label, [*path, (label, i, j)]) for v, prev, path in paths for label, seen in segs.get((i, j), [])]
+                for v, _, path in paths:
+                    if best is None or v > best[0]:
+                        best = (v, path)
+            want = [(label, *pii.span_of(text, atoms, i, j)) for label, i, j in best[1] if label != "O"]
+            got = sorted(model.best(text, atoms, ([], [])), key=lambda x: x[1])
+            score = lambda spans: sorted(spans, key=lambda x: x[1])
+            assert got == score(want)
+
+
+def test_gradient_equals_finite_differences():
+    rng = random.Random(2)
+    model = pii.SemiMarkov()
+    model.w = {k: rng.uniform(-1, 1) for k in pii.fitted().w}
+    text = "call (234) 555-7890 and"
+    (atoms,) = pii.chains(text)
+    gold = {(0, 3): "phone"}
+    grad, _ = model.gradient(text, atoms, gold)
+    for k in list(grad)[::3]:
+        at = model.w.get(k, 0.0)
+        value = []
+        for d in (1e-5, -1e-5):
+            model.w[k] = at + d
+            value.append(model.gradient(text, atoms, gold)[1])
+        model.w[k] = at
+        assert abs((value[0] - value[1]) / 2e-5 - grad[k]) < 1e-4, k
+
+
+def test_short_addresses_and_where_sentences_end():
+    found = lambda t: [(k, t[s:e]) for k, s, e in pii.find_spans(t, pii.fitted())[1]]
+    assert found("host 10 . 0 . 0 . 1 is up") == [("ip", "10 . 0 . 0 . 1")]
+    assert found("Mail jo (at) host (dot) org. Then wait.") == [("email", "jo (at) host (dot) org")]
+    assert found("x" * 300 + "jo (at) " + "h" * 200 + " (dot) org") == [("email", "x" * 300 + "jo (at) " + "h" * 200 + " (dot) org")]
+    for t in ("1. 2. 3. 4. 5.", "pages 12, 13, 14, 15", "won 3-2 4-1 0-0 2-2"):
+        assert found(t) == [], t
+
+
+def test_pii_nulls_repeats_and_clashing_names(spark):
+    rows = [(None, "a@b.cd", 1, "x"), (1, "a@b.cd", 2, "y"), (1, "a@b.cd", 2, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, base int, spans string")
+    got = pii.pii_digest(pii.find_pii(df)).collect()
+    assert sorted((str(r.doc_id), r.spans) for r in got) == [("1", "email:0:6"), ("1", "email:0:6"), ("None", "email:0:6")]
+    assert pii.redact(df).columns == df.columns and pii.redact(df).where("text = '[EMAIL]'").count() == 3
+
+
 def test_pii_edges(spark):
     df = docs(spark, [None, "", "é a@b.cd", "x" * 100_000 + " +1 (234) 555-7890"])
     got = {r.doc_id: r for r in pii.pii_digest(pii.find_pii(df)).collect()}
