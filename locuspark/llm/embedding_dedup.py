@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -19,8 +20,8 @@ from pyspark.sql.types import FloatType
 
 from locuspark.llm.shared import block_rows, checkpoint, components, min_labels, run_bounds, whole_runs
 
-#: Rows of one block of a bucket.
-BLOCK = 1024
+#: Rows of one block of a bucket, and tables beyond which shorter codes are taken.
+BLOCK, MOST_TABLES = 1024, 60
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -34,13 +35,20 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def padded_width(width: int) -> int:
+    """The power of two that vectors are padded to; at least 32, as signs give narrow ones too few rotations."""
+    return 1 << max(5, (width - 1).bit_length())
+
+
 def bucket_codes(x: np.ndarray, tables: int, codes: int, probes: int, seed: int = 7) -> np.ndarray:
-    """Bucket ids, shape (rows, tables, probes); the first of each table is the home bucket."""
+    """Bucket ids of 32 bits, shape (rows, tables, probes); the first of each table is the home bucket."""
     n, width = x.shape
-    d = 1 << max(1, (width - 1).bit_length())
+    if not codes:
+        return np.zeros((n, tables, probes), np.uint32)
+    d = padded_width(width)
     padded = np.zeros((n, d))
     padded[:, :width] = x
-    out = np.empty((n, tables, probes), np.int64)
+    out = np.empty((n, tables, probes), np.uint32)
     for t in range(tables):
         best = np.empty((codes, 3, n), np.int64)
         loss = np.empty((codes, 3, n))
@@ -64,27 +72,41 @@ def bucket_codes(x: np.ndarray, tables: int, codes: int, probes: int, seed: int
         cost = np.stack([sum(loss[k, c[k]] for k in range(codes)) for c in choices])
         cost[0] = -1
         bucket = np.stack([sum(best[k, c[k]] * (2 * d) ** k for k in range(codes)) for c in choices])
+        bucket = (bucket ^ (bucket >> 32)) & 0xFFFFFFFF  # folded alike for all, so that equal codes stay equal
         take = np.argsort(cost, axis=0, kind="stable")[:probes]
         out[:, t, : len(take)] = np.take_along_axis(bucket, take, axis=0).T
         out[:, t, len(take) :] = out[:, t, :1]
     return out
 
 
+@lru_cache(maxsize=64)
 def plan_tables(rows: int, width: int, threshold: float, probes: int, recall: float) -> tuple[int, int]:
-    """(tables, codes): codes grow with the rows; tables follow from pairs drawn at the threshold."""
-    d = 1 << max(1, (width - 1).bit_length())
+    """(tables, codes): codes grow with the rows; tables follow from pairs drawn at the threshold.
+
+    Up to ``BLOCK`` rows are one bucket (no codes), where every pair meets. Where pairs at the
+    threshold meet too seldom, codes are given up until the promised recall takes no more than
+    ``MOST_TABLES`` tables; at one code it takes as many as it takes.
+    """
+    if rows <= BLOCK:
+        return 1, 0
+    d = padded_width(width)
     codes = max(1, math.ceil(math.log(max(rows, 2) / 16) / math.log(2 * d)))
-    rng = np.random.default_rng(3)
-    a = rng.normal(size=(4000, width))
+    rng, draws = np.random.default_rng(3), min(4000, max(500, (1 << 20) // d))
+    a = rng.normal(size=(draws, width))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
-    b = rng.normal(size=(4000, width))
+    b = rng.normal(size=(draws, width))
     b -= (a * b).sum(1, keepdims=True) * a
     b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
     b = threshold * a + math.sqrt(1 - threshold**2) * b
-    x, y = bucket_codes(a, 2, codes, probes, 99), bucket_codes(b, 2, codes, probes, 99)
-    met = (x[:, :, :1] == y).any(2) | (y[:, :, :1] == x).any(2)
-    p = min(max(met.mean(), 0.02), 0.999)
-    return max(2, math.ceil(math.log(1 - recall) / math.log(1 - p))), codes
+    while True:
+        x, y = bucket_codes(a, 2, codes, probes, 99), bucket_codes(b, 2, codes, probes, 99)
+        met = float(((x[:, :, :1] == y).any(2) | (y[:, :, :1] == x).any(2)).mean())
+        tables = max(2, math.ceil(math.log(1 - recall) / math.log1p(-min(met, 0.999)))) if met else None
+        if tables is not None and (tables <= MOST_TABLES or codes == 1):
+            return tables, codes
+        if codes == 1:
+            raise ValueError(f"no drawn pair at a cosine of {threshold} met: the threshold is too low for hashing")
+        codes -= 1
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -94,9 +116,9 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 
-def _links(batches: Iterator[pd.DataFrame], threshold: float, tables: int, probes: int, kind: str) -> Iterator[pd.DataFrame]:
+def _links(batches: Iterator[pd.DataFrame], threshold: float, probes: int, kind: str) -> Iterator[pd.DataFrame]:
     """For each block: how many vectors each one is linked with, and the smallest id of its links."""
-    keys = ["tab", "bucket", "hb", "vb"]
+    keys = ["w", "tab", "bucket", "hb", "vb"]
     for frame in whole_runs(batches, keys):
         starts, ends = run_bounds(frame, keys)
         role = frame["role"].to_numpy()
@@ -118,7 +140,7 @@ def _links(batches: Iterator[pd.DataFrame], threshold: float, tables: int, probe
             i, j = i[keep], j[keep]
             if not len(i):
                 continue
-            c = np.stack([np.frombuffer(x, "<i8") for x in code[s:e]]).reshape(e - s, tables, probes)
+            c = np.stack([np.frombuffer(x, "<u4") for x in code[s:e]]).reshape(e - s, -1, probes)
             t = int(frame["tab"].iloc[s])
             x, y = c[i], c[j]
             met_x = (x[:, :, :1] == y).any(2)
@@ -153,10 +175,13 @@ def embedding_neighbours(
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with
     nothing and are their own component. Repeated rows (equal id and vector) are one
-    vector; vectors of other widths than the commonest never link across widths. A null
-    id links with nothing and has a null component. Extra columns are ignored; an empty
-    table gives an empty result. Equal vectors are collapsed first and counted by their
-    number. Components other than floats are kept as doubles. Near-dense clusters cost their number of links, spread over block pairs.
+    vector. Vectors link within their own width only; all widths are one job, and tables
+    and codes follow from the number of vectors of a width. A null id links with nothing
+    and has a null component. Extra columns are ignored; an empty table gives an empty
+    result. Equal vectors are collapsed first and counted by their number. Components other
+    than floats are kept as doubles. Near-dense clusters cost their number of links, spread
+    over block pairs. Vectors are hashed once; a row of the result of hashing holds all
+    the buckets that its vector visits.
     """
     single = isinstance(vectors.schema[vector_col].dataType.elementType, FloatType)
     kind, element = ("<f4", "float") if single else ("<f8", "double")
@@ -169,47 +194,35 @@ def embedding_neighbours(
         .groupBy("v")
         .agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("many"))
     )
-    shape = classes.groupBy(F.size("v").alias("w")).count().collect()
-    found = []
-    for w, n in ((r["w"], r["count"]) for r in shape):
-        tables, codes = plan_tables(n, w, threshold, probes, recall)
-        own = classes.where(F.size("v") == w)
-
-        def hashed(batches: Iterator[pd.DataFrame], tables=tables, codes=codes, fat=True) -> Iterator[pd.DataFrame]:
-            for big in batches:
-                for at in range(0, len(big), 256):
-                    part = big.iloc[at : at + 256]
+    sized = classes.withColumn("w", F.size("v"))
+    sized = sized.join(sized.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "w")
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for big in batches:
+            for (w, n), same in big.groupby(["w", "n"], sort=False):
+                tables, codes = plan_tables(int(n), int(w), threshold, probes, recall)
+                for at in range(0, len(same), 256):
+                    part = same.iloc[at : at + 256]
                     vec = np.stack(part["v"].to_numpy()).astype(kind)
                     c = bucket_codes(unit(vec.astype(np.float64)), tables, codes, probes)
-                    m, flat = len(part), tables * (probes + 1)
-                    both = np.concatenate([c[:, :, :1], c], axis=2).reshape(m * flat)
-                    role = np.tile(np.r_[0, np.ones(probes, int)], m * tables)
-                    first = np.ones((m, tables, probes + 1), bool)  # a bucket visited twice counts once
-                    for k in range(2, probes + 1):
-                        first[:, :, k] = (c[:, :, k - 1 : k] != c[:, :, : k - 1]).all(2)
-                    keep = first.reshape(-1)
-                    out = {"tab": np.tile(np.repeat(np.arange(tables), probes + 1), m)[keep], "bucket": both[keep], "role": role[keep]}
-                    if fat:
-                        row = np.repeat(np.arange(m), flat)[keep]
-                        out["rep"], out["many"] = part["rep"].to_numpy()[row], part["many"].to_numpy()[row]
-                        blob, cs = np.array([r.tobytes() for r in vec], object), np.array([r.tobytes() for r in c.astype("<i8")], object)
-                        out["vec"], out["codes"] = blob[row], cs[row]
-                    yield pd.DataFrame(out)
-
-        keys = "tab int, bucket long, role int"
-        rows = own.mapInPandas(hashed, f"{keys}, rep long, many long, vec binary, codes binary")
-        slim = own.mapInPandas(lambda b, f=hashed: f(b, fat=False), keys)
-        blocks = block_rows(rows, slim, ["tab", "bucket"], BLOCK, "rep")
-        order = ["tab", "bucket", "hb", "vb"]
-        found.append(
-            blocks.repartition(*order)
-            .sortWithinPartitions(*order, "role")
-            .mapInPandas(lambda b, t=tables: _links(b, threshold, t, probes, kind), "rep long, n long, low long")
-        )
-    linked = base.sparkSession.createDataFrame([], "rep long, n long, low long")
-    for f in found:
-        linked = linked.union(f)
-    linked = checkpoint(linked)
+                    first = np.ones(c.shape, bool)  # a bucket visited twice counts once
+                    for k in range(1, probes):
+                        first[:, :, k] = (c[:, :, k : k + 1] != c[:, :, :k]).all(2)
+                    # table, role and bucket of each visit in one number
+                    place = (np.arange(tables, dtype=np.int64) << 33)[None, :, None] | c.astype(np.int64)
+                    visits = [np.concatenate([place[i, :, 0], place[i][first[i]] | (1 << 32)]) for i in range(len(part))]
+                    yield pd.DataFrame({"w": part["w"], "rep": part["rep"], "many": part["many"], "vec": [r.tobytes() for r in vec], "codes": [r.tobytes() for r in c.astype("<u4")], "visits": visits})
+
+    coded = checkpoint(sized.mapInPandas(hashed, "w int, rep long, many long, vec binary, codes binary, visits array<long>"))
+    visit = F.col("visit")
+    place = [F.shiftright(visit, 33).cast("int").alias("tab"), F.shiftright(visit, 32).bitwiseAND(1).cast("int").alias("role"), visit.bitwiseAND(0xFFFFFFFF).alias("bucket")]
+    rows = coded.withColumn("visit", F.explode("visits")).select("w", *place, "rep", "many", "vec", "codes")
+    slim = coded.select("w", F.explode("visits").alias("visit")).select("w", *place)
+    blocks = block_rows(rows, slim, ["w", "tab", "bucket"], BLOCK, "rep")
+    order = ["w", "tab", "bucket", "hb", "vb"]
+    linked = checkpoint(
+        blocks.repartition(*order).sortWithinPartitions(*order, "role").mapInPandas(lambda b: _links(b, threshold, probes, kind), "rep long, n long, low long")
+    )
     counts = linked.groupBy("rep").agg(F.sum("n").alias("n"))
     comps = components(linked.select("rep", "low"))
     of_class = checkpoint(

@@ -133,6 +133,35 @@ def test_embedding_links_equal_brute_force(spark):
     assert embedding_neighbours(df.limit(0)).count() == 0
 
 
+def test_plan_keeps_the_promised_recall():
+    from locuspark.llm.embedding_dedup import plan_tables
+
+    assert plan_tables(500, 64, 0.95, 4, 0.9995) == (1, 0)
+    assert plan_tables(10**9, 64, 0.95, 4, 0.9995)[1] > plan_tables(10**5, 64, 0.95, 4, 0.9995)[1]
+    tables, codes = plan_tables(10**9, 64, 0.6, 4, 0.9995)
+    assert codes == 1 and tables > 8  # codes are given up, not recall
+    with pytest.raises(ValueError):
+        plan_tables(10**6, 64, -0.999, 1, 0.9995)
+
+
+def test_embeddings_of_several_widths_null_ids_and_one_component(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.normal(size=4)]) for i in range(1300)] + [(2000 + i, [float(v) for v in rng.normal(size=2 + i)]) for i in range(40)]
+    rows += [(5000, rows[0][1]), (5001, rows[1339][1]), (5002, [3.0]), (5003, [0.5]), (5004, [-2.0]), (None, rows[0][1]), (None, None)]
+    got = embedding_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert len(got) == len(rows)
+    by = {r.vec_id: r for r in got if r.vec_id is not None}
+    found = total = 0
+    for w in {len(v) for _, v in rows if v}:
+        ids, x = zip(*[(i, np.array(v) / np.linalg.norm(v)) for i, v in rows if i is not None and v and len(v) == w])
+        links = (np.array(x) @ np.array(x).T >= 0.95).sum(1) - 1
+        assert all(by[i].n_links <= n for i, n in zip(ids, links))
+        found, total = found + sum(by[i].n_links for i in ids), total + links.sum()
+    assert found >= 0.999 * total and total > 1000
+    assert by[5000].component_id == by[0].component_id and by[5003].component_id == 5002 and by[5004].n_links == 0
+    assert all(r.n_links == 0 and r.component_id is None and not r.kept for r in got if r.vec_id is None)
+
+
 def test_embeddings_in_doubles(spark):
     rows = [(1, [1e-200, 0.0]), (2, [1e-200, 1e-202]), (3, [1e300, 1e300]), (4, [1e300, 1.1e300]), (5, [-1e300, 1e300])]
     got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
