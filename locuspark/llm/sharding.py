@@ -8,9 +8,6 @@ the order of all bytes decides its shard, its place in the order of all rows its
 
 from __future__ import annotations
 
-import bisect
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -44,22 +41,34 @@ def with_range(records: DataFrame, splitters: list[tuple[int, int]]) -> DataFram
     if not splitters:
         return records.withColumn("rng", F.lit(0))
 
+    hs, ds = (np.array(x, np.int64) for x in zip(*splitters, strict=True))
+
     @F.pandas_udf("int")
     def find(h: pd.Series, d: pd.Series) -> pd.Series:
-        return pd.Series([bisect.bisect_right(splitters, k) for k in zip(h.tolist(), d.tolist(), strict=True)], dtype="int32")
+        h, d = h.to_numpy(np.int64), d.to_numpy(np.int64)
+        low, high = np.searchsorted(hs, h, "left"), np.searchsorted(hs, h, "right")
+        at = low.copy()
+        for k in np.unique(low[low < high]):  # keys that share their hash with splitters
+            same = (low == k) & (high > k)
+            end = high[same][0]
+            at[same] = k + np.searchsorted(ds[k:end], d[same], "right")
+        return pd.Series(at.astype(np.int32))
 
     return records.withColumn("rng", find("h", F.coalesce("doc_id", F.lit(-(1 << 63)))))
 
 
 def shard_by_bytes(
-    docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", ranges: int = 512, rounds: int = 3
+    docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", range_rows: int = 2_000_000, rounds: int = 8
 ) -> DataFrame:
     """Law ``bytes``: (doc_id, size, text_crc32, law, shard, slot, grown_shard).
 
     Shards hold equal bytes to within one record, in the order of (text hash, doc_id), so a
     group of equal texts is split only where a shard is full. A null text counts as empty
     (size 1, crc 0); null ids sort first; repeated rows each get a slot; extra columns are
-    ignored; an empty table gives no rows.
+    ignored; an empty table gives no rows. The number of ranges follows from ``range_rows``,
+    the rows (of some 40 bytes, without texts) that one task places; ranges are subdivided
+    until none is overfull or no key can be cut any more (``rounds`` at most: a round
+    cuts an overfull range into eight, so the last ones hold rows of one key).
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     records = checkpoint(
@@ -70,6 +79,7 @@ def shard_by_bytes(
             F.xxhash64(text).alias("h"),
         )
     )
+    ranges = max(64, -(-records.count() // range_rows))
     splitters = weighted_splitters(records, ranges)
     for k in range(rounds):
         ranged = with_range(records, splitters)
