@@ -20,13 +20,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locuspark.llm.shared import checkpoint, if_small, shared_path
+from locuspark.llm.shared import checkpoint, column, if_small, shared_path, text_slices
 
+#: Archive bytes that one task reads back.
+TASK_BYTES = 64 << 20
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _INDEX = "path string, offset long, length long, page_id long, url string, record_type string, payload_digest string"
+_INDEX_NAMES = [c.split()[0] for c in _INDEX.split(", ")]
+_INDEX_TYPES = [pa.int64() if c.endswith(" long") else pa.string() for c in _INDEX.split(", ")]
 
 
 def sha1_base32(payload: Column) -> Column:
@@ -96,34 +101,31 @@ def write_archives(
     made = Archives(shared_path(spark, "warc"), shared_path(spark, "warc-index"))
     folder = made.records
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = _store(folder)
         system.create_dir(root, recursive=True)
         file, name, at = None, "", 0
-        number = lambda x: None if pd.isna(x) else int(x)
         try:
-            for b in batches:
+            for b in text_slices(batches):
                 out = []
-                for page, url, text, digest, first in zip(b["page_id"].astype("Int64"), b["url"], b["html"], b["digest"], b["first_id"].astype("Int64"), strict=True):
+                for page, url, text, digest, first in zip(*(column(b, c) for c in ("page_id", "url", "html", "digest", "first_id")), strict=True):
                     if file is None or at >= archive_bytes:
                         if file:
                             file.close()
                         name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                         file = system.open_output_stream(f"{root}/{name}", compression=None)
-                    plain = record_bytes(number(page), url, text.encode("utf-8"), digest, number(first), date)
+                    plain = record_bytes(page, url, text.encode("utf-8"), digest, first, date)
                     pack = zlib.compressobj(5, zlib.DEFLATED, 31)
                     data = pack.compress(plain) + pack.flush()
                     file.write(data)
-                    out.append((f"{folder}/{name}", at, len(data), number(page), url, "response" if pd.isna(first) else "revisit", digest))
+                    out.append((f"{folder}/{name}", at, len(data), page, url, "response" if first is None else "revisit", digest))
                     at += len(data)
-                frame = pd.DataFrame(out, columns=["path", "offset", "length", "page_id", "url", "record_type", "payload_digest"])
-                frame["page_id"] = frame["page_id"].astype("Int64")
-                yield frame
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _INDEX_TYPES, strict=True)], _INDEX_NAMES)
         finally:
             if file:
                 file.close()
 
-    placed.select("page_id", "url", "html", "digest", "first_id").mapInPandas(run, _INDEX).write.parquet(made.index)
+    placed.select("page_id", "url", "html", "digest", "first_id").mapInArrow(run, _INDEX).write.parquet(made.index)
     return made
 
 
@@ -155,7 +157,8 @@ def read_records(index: DataFrame, gap: int = 64 << 10, most: int = 8 << 20, wit
 
     Index rows are sorted by file and offset; ranges at most ``gap`` bytes apart are one read
     of at most ``most`` bytes (a longer record is read alone). A response's digest is
-    computed from the bytes read and must be the one in its header.
+    computed from the bytes read and must be the one in its header. The number of tasks
+    follows from the bytes to read, ``TASK_BYTES`` for each, not from the small index.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,4 +185,6 @@ def read_records(index: DataFrame, gap: int = 64 << 10, most: int = 8 << 20, wit
 
     shape = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
     rows = index.select("path", "offset", "length")
-    return rows.repartition(F.col("path"), F.floor(F.col("offset") / most)).sortWithinPartitions("path", "offset").mapInPandas(run, shape + (", payload binary" if with_payload else ""))
+    size = rows.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-size // TASK_BYTES), min(rows.sparkSession.sparkContext.defaultParallelism, size >> 20))
+    return rows.repartition(tasks, F.col("path"), F.floor(F.col("offset") / most)).sortWithinPartitions("path", "offset").mapInPandas(run, shape + (", payload binary" if with_payload else ""))
