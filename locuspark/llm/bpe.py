@@ -129,7 +129,7 @@ class PairIndexBPE:
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens and special strings of a text, in order."""
-        if self.split and "<" in text:
+        if self.split and any(x in text for x in self.special):
             out: list[str] = []
             for k, part in enumerate(self.split.split(text)):
                 out += [part] if k % 2 else self.piece.findall(part)

@@ -137,13 +137,16 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, label_col: str = "quality", **how) -> Forest:
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", **how
+) -> Forest:
     """Fit on at most ``max_rows`` labelled documents (the bound), drawn by hash of their id, none of them held out.
 
-    Null labels and ids are left out; repeated labels of a document count by their mean.
+    Null labels and ids are left out; repeated labels of a document count by their mean; of
+    several texts of one id one is taken, the same in every run.
     """
     marked = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y"))
+        labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("y"))
         .where(F.col("y").isNotNull() & ~held_out())
         .groupBy("doc_id")
         .agg((F.avg("y") >= 0.5).cast("double").alias("y"))
@@ -157,19 +160,20 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, labe
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(b.schema.get_field_index("y")), x], ["doc_id", "y", "x"])
 
     got = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
         .join(F.broadcast(marked), "doc_id")  # bounded by max_rows rows of 16 bytes
         .mapInArrow(run, "doc_id long, y double, x array<double>")
-        .orderBy("doc_id", "x")
-        .limit(2 * max_rows)
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("x", "y")).alias("one"))
+        .select("doc_id", "one.x", "one.y")
         .toPandas()
-        .drop_duplicates("doc_id")
+        .sort_values("doc_id")
     )
     x = np.stack(got["x"].to_numpy()) if len(got) else np.zeros((0, N_FEATURES))
     return boost(x, got["y"].to_numpy(float), **how)
 
 
-def score_quality(docs: DataFrame, model: Forest) -> DataFrame:
+def score_quality(docs: DataFrame, model: Forest, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score), one row per input row; a null text scores as an empty one, a null id is held out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,16 +181,16 @@ def score_quality(docs: DataFrame, model: Forest) -> DataFrame:
             x = np.stack([statistics(t) for t in column(b, "text")])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(model.predict(x))], ["doc_id", "held_out", "score"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double")
 
 
-def keep_quality(docs: DataFrame, model: Forest, threshold: float = 0.7) -> DataFrame:
+def keep_quality(docs: DataFrame, model: Forest, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
     """The rows of docs whose text scores at the threshold or above; all columns stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
-            x = np.stack([statistics(t) for t in column(b, "text")])
+            x = np.stack([statistics(t) for t in column(b, text_col)])
             yield b.filter(pa.array(model.predict(x) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

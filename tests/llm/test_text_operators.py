@@ -383,6 +383,21 @@ def test_quality_edges_and_accuracy(spark):
     assert quality.score_quality(df, none).first().score == 0.5 and quality.score_quality(df.limit(0), model).count() == 0
 
 
+def test_quality_of_repeated_ids_and_clashing_names(spark):
+    r = random.Random(1)
+    ts = [("plain words in a calm line " * r.randrange(2, 9)) if k % 2 else ("BUY NOW!!! " * r.randrange(2, 30)) for k in range(400)]
+    df = spark.createDataFrame([(k // 2 * 2 + k % 2, t, 0.5, True) for k, t in enumerate(ts)] + [(1, ts[0], 0.5, True), (None, ts[0], 0.5, True)], "doc_id long, text string, score double, held_out boolean")
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(400)] + [(1, 0, 0), (1, 1, 0), (1, 1, 0)], "doc_id long, quality int, toxic int")
+    few = quality.fit_quality(df, labels, max_rows=60)
+    got = quality.score_quality(df, few).collect()
+    assert len(got) == 402 and sum(x.doc_id == 1 for x in got) == 2
+    assert sum((x.score >= 0.7) == (x.doc_id % 2 == 1) for x in got if x.doc_id not in (None, 1)) >= 390
+    assert quality.keep_quality(df, few).columns == df.columns
+    other = df.select(df.doc_id.alias("key"), df.text.alias("body"))
+    same = quality.fit_quality(other, labels.withColumnRenamed("doc_id", "key"), max_rows=60, id_col="key", text_col="body")
+    assert np.array_equal(same.value, few.value) and quality.score_quality(other, same, "key", "body").count() == 402
+
+
 # sharding
 
 
@@ -390,7 +405,7 @@ def test_shards_are_equal_in_bytes(spark):
     r = random.Random(7)
     ts = ["hot text " * 40] * 300 + ["w" * r.randrange(0, 4000) for _ in range(600)] + [None, "", "é" * 10]
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(ts)] + [(0, ts[0], 1)], "doc_id long, text string, shard long")
-    got = sharding.shard_by_bytes(df, ranges=32).collect()
+    got = sharding.shard_by_bytes(df, range_rows=30).collect()
     assert len(got) == len(ts) + 1
     by = defaultdict(list)
     for x in got:
@@ -406,6 +421,26 @@ def test_shards_are_equal_in_bytes(spark):
     assert sharding.shard_by_bytes(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("range_rows", [7, 10_000])
+def test_shards_equal_a_plain_prefix_sum(spark, range_rows):
+    from pyspark.sql import functions as F
+
+    r = random.Random(11)
+    ts = ["same " * 30] * 400 + ["w" * r.randrange(0, 900) for _ in range(500)] + ["x" * 60_000, None, ""]
+    ids = [r.choice((None, 5, k, k)) for k in range(len(ts))]
+    df = spark.createDataFrame([(i, t, 3, "z") for i, t in zip(ids, ts)], "doc_id long, text string, slot int, law string")
+    rows = df.select("doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("size"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("crc")).collect()
+    rows = sorted(((x.h, x.doc_id is not None, x.doc_id or 0, x.size, x.crc) for x in rows))
+    total, upto, want, slots = sum(x[3] for x in rows), 0, Counter(), Counter()
+    for _, known, i, size, crc in rows:
+        upto += size
+        shard = min(7, int((upto - size / 2) * 8 // total))
+        want[i if known else None, size, crc, shard, slots[shard]] += 1
+        slots[shard] += 1
+    got = Counter((x.doc_id, x.size, x.text_crc32, x.shard, x.slot) for x in sharding.shard_by_bytes(df, range_rows=range_rows).collect())
+    assert got == want
+
+
 # archives
 
 
@@ -428,6 +463,12 @@ def test_archives_round_trip(spark):
     assert warc.write_archives(df.limit(0)).read_index(spark).count() == 0
 
 
+def test_repeated_rows_get_a_record_each(spark):
+    df = spark.createDataFrame([(4, "u", "a")] * 3 + [(4, "u", "b"), (6, "u", "a"), (None, "u", "a"), (None, "u", "")], "page_id long, url string, html string").repartition(2)
+    got = Counter((r.page_id, r.record_type, r.refers_to) for r in warc.read_records(warc.write_archives(df).read_index(spark), with_payload=False).collect())
+    assert got == {(4, "response", None): 4, (6, "revisit", 4): 1, (None, "revisit", 4): 1, (None, "response", None): 1}
+
+
 def test_ranges_join_neighbours_only():
     rows = [("a", 0, 10), ("a", 10, 5), ("a", 40, 5), ("b", 0, 3), ("b", 100, 50)]
     assert [(p, s, e, len(x)) for p, s, e, x in warc._ranges(iter(rows), gap=10, most=100)] == [("a", 0, 15, 2), ("a", 40, 45, 1), ("b", 0, 3, 1), ("b", 100, 150, 1)]
