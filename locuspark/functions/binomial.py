@@ -9,28 +9,77 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 
+def _stirling_error(n: np.ndarray) -> np.ndarray:
+    """log n! minus its Stirling approximation."""
+    n = np.asarray(n, float)
+    big = np.maximum(n, 16.0)
+    series = (1 / 12 - (1 / 360 - (1 / 1260 - 1 / 1680 / big**2) / big**2) / big**2) / big
+    small = np.array([math.lgamma(k + 1) - (k + 0.5) * math.log(k) + k - 0.5 * math.log(2 * math.pi) if k else 0.0 for k in range(17)])
+    return np.where(n < 16, small[np.minimum(n, 16).astype(int)], series)
+
+
+def _deviance(x: np.ndarray, m: float) -> np.ndarray:
+    """x log(x / m) + m - x, without cancellation near x = m."""
+    x = np.asarray(x, float)
+    e = (x - m) / m
+    near = np.abs(e) < 0.05
+    s = np.where(near, e, 0.0)
+    series = sum((-1) ** k * s**k / (k * (k - 1)) for k in range(2, 14))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        far = np.where(x > 0, x * np.log(x / m), 0.0) + m - x
+    return np.where(near, m * series, far)
+
+
 def _log_pmf(n: int, p: float, lo: int, hi: int) -> np.ndarray:
-    """Log probabilities of lo..hi successes, by the ratio of neighbours from one exact value."""
-    k = np.arange(lo, hi + 1)
-    first = math.lgamma(n + 1) - math.lgamma(lo + 1) - math.lgamma(n - lo + 1) + lo * math.log(p) + (n - lo) * math.log1p(-p)
-    step = np.log((n - k[:-1]) / (k[:-1] + 1.0)) + math.log(p) - math.log1p(-p)
-    return first + np.concatenate([[0.0], np.cumsum(step)])
+    """Log probabilities of lo..hi successes by saddle points, exact to about 1e-14 for any n."""
+    k = np.arange(lo, hi + 1, dtype=float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        scale = np.where((k > 0) & (k < n), 0.5 * np.log(n / (2 * math.pi * k * (n - k))), 0.0)
+        body = _stirling_error(np.array([n])) - _stirling_error(k) - _stirling_error(n - k) - _deviance(k, n * p) - _deviance(n - k, n * (1 - p)) + scale
+    return np.where(k == 0, n * math.log1p(-p), np.where(k == n, n * math.log(p), body))
+
+
+#: Outcomes summed at a time.
+_STEP = 1 << 18
+
+
+def _tail(n: int, p: float, k: int, up: bool) -> float:
+    """Probability of k or more (fewer) successes, away from the mode: added up until the rest is nothing."""
+    total = 0.0
+    while 0 <= k <= n:
+        lo, hi = (k, min(n, k + _STEP - 1)) if up else (max(0, k - _STEP + 1), k)
+        part = np.exp(_log_pmf(n, p, lo, hi))
+        total += float(part.sum())
+        if part[-1 if up else 0] <= total * 1e-18:
+            break
+        k = hi + 1 if up else lo - 1
+    return total
 
 
 def binomial_p(x: int, n: int, p: float) -> float | None:
-    """Two-sided exact p: all outcomes at most as likely as x (within 1e-7); None for p 0 or above 1, n 0 or under x."""
+    """Two-sided exact p: all outcomes at most as likely as x (within 1e-7); None for p 0 or above 1, n 0 or under x.
+
+    The outcomes are two tails: from x outwards, and on the mode's other side from the first one as unlikely, found by bisection.
+    """
     if not (0 < p <= 1) or n <= 0 or n < x:
         return None
     if p == 1:
         return 1.0 if x == n else 0.0
-    wide = int(12 * math.sqrt(n * p * (1 - p)) + 60)
-    lo, hi = max(0, int(n * p) - wide), min(n, int(n * p) + wide)
-    lo, hi = min(lo, x), max(hi, x)
-    if hi - lo > 5_000_000:
-        lo, hi = max(lo, x - 2_500_000), min(hi, x + 2_500_000)
-    logs = _log_pmf(n, p, lo, hi)
-    at = logs[x - lo]
-    return float(min(1.0, np.exp(logs[logs <= at + 1e-7]).sum()))
+    mode = min(n, int((n + 1) * p))
+    limit = float(_log_pmf(n, p, x, x)[0]) + 1e-7
+    if float(_log_pmf(n, p, mode, mode)[0]) <= limit:
+        return 1.0
+    up = x > mode
+    lo, hi = (-1, mode) if up else (mode, n + 1)  # the far end is as unlikely, the mode is not
+    while hi - lo > 1:
+        mid = (lo + hi) // 2
+        unlikely = float(_log_pmf(n, p, mid, mid)[0]) <= limit
+        if up:
+            lo, hi = (mid, hi) if unlikely else (lo, mid)
+        else:
+            lo, hi = (lo, mid) if unlikely else (mid, hi)
+    other = _tail(n, p, lo, False) if up else _tail(n, p, hi, True)
+    return float(min(1.0, _tail(n, p, x, up) + other))
 
 
 def clopper_pearson(x: int, n: int, level: float = 0.95) -> tuple[float, float]:
@@ -38,9 +87,10 @@ def clopper_pearson(x: int, n: int, level: float = 0.95) -> tuple[float, float]:
     a = (1 - level) / 2
 
     def tail(p: float, upper: bool) -> float:
-        wide = int(12 * math.sqrt(n * p * (1 - p)) + 60)
-        lo, hi = (x, min(n, max(x, int(n * p) + wide))) if upper else (max(0, min(x, int(n * p) - wide)), x)
-        return float(np.exp(_log_pmf(n, p, lo, hi)).sum())
+        past = x <= n * p if upper else x >= n * p  # the tail holds the mode: it is what the other one leaves
+        if past:
+            return 1.0 - (_tail(n, p, x - 1, False) if upper else _tail(n, p, x + 1, True))
+        return _tail(n, p, x, upper)
 
     def solve(upper: bool) -> float:
         lo, hi = 0.0, 1.0

@@ -10,31 +10,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def internal_mark(fam: Column, name: str | Column = "rname") -> Column:
+    """The family with --int for ERV parts whose name has an internal mark (-int or _int, -I or _I at its end)."""
+    col = F.col(name) if isinstance(name, str) else name
+    return F.when(fam.contains("ERV") & (col.rlike("[-_][iI]nt") | col.rlike("[-_]I$")), F.concat(fam, F.lit("--int"))).otherwise(fam)
+
+
 def split_class_family(df: DataFrame, col: str = "classfam", internal: bool = True) -> DataFrame:
-    """rclass and rfam of ``class/fam[/extra]`` (extra joined by _), else fam is ``fam.class``.
+    """rclass and rfam of ``class/fam[/extra]`` (extra joined by _), else of ``fam.class``; without either both are the whole name.
 
-    With ``internal``, ERV parts whose name ends in an internal mark get --int on the family.
+    With ``internal``, ERV parts whose name has an internal mark get --int on the family.
     """
-    p = F.split(F.col(col), "/", 2)
-    fam = F.when(F.size(p) > 1, F.regexp_replace(p[1], "/", "_")).otherwise(F.concat(F.lit("fam."), p[0]))
+    p = F.split(F.col(col), "/")
+    extra = F.coalesce(F.try_element_at(p, F.lit(3)), F.lit(""))
+    slash = F.size(p) > 1
+    fam = F.when(slash, F.concat(p[1], F.when(extra.isin("", "0"), "").otherwise(F.concat(F.lit("_"), extra)))).otherwise(F.regexp_replace(F.col(col), r"^(.*)\..*$", "$1"))
+    cls = F.when(slash, p[0]).otherwise(F.regexp_replace(F.col(col), r"^.*\.(.*)$", "$1"))
     if internal and "rname" in df.columns:
-        fam = F.when(fam.contains("ERV") & F.lower("rname").rlike(r"[-_]i(nt)?$"), F.concat(fam, F.lit("--int"))).otherwise(fam)
-    return df.withColumns({"rclass": p[0], "rfam": fam})
+        fam = internal_mark(fam)
+    return df.withColumns({"rclass": cls, "rfam": fam})
 
 
-#: Classes that are no transposable elements, by filter mode (fixed values).
+#: What the classes left out contain, by filter mode (fixed values).
 NON_TE = {
     "all": "",
-    "no_low": r"(?i)^(low_complexity|simple_repeat)$",
-    "no_nonTE": r"(?i)^(low_complexity|simple_repeat|satellite|.*rna|nonTE|segmental|unknown|other|artefact)$",
-    "none": "",
+    "no_low": "[Ll]ow_complexity|[Ss]imple_repeat",
+    "no_nonTE": "nonTE",
+    "none": "nonTE|snRNA|rRNA|tRNA|snoRNA|scRNA|srpRNA|[Ll]ow_complexity|[Ss]imple_repeat|[Ss]atellite|ARTEFACT",
 }
 
 
-def filter_nonte(df: DataFrame, mode: str, col: str = "rclass") -> DataFrame:
-    """Leave out non-TE classes: no_low (low complexity, simple), no_nonTE (all of them), all or none (nothing)."""
+def filter_nonte(df: DataFrame, mode: str = "none", col: str = "rclass") -> DataFrame:
+    """Leave classes out by mode: none keeps transposable elements only, no_nonTE and no_low leave out the class named, all keeps everything."""
     rule = NON_TE[mode]
-    return df.where(~F.col(col).rlike(rule)) if rule else df
+    return df.where(~F.coalesce(F.col(col), F.lit("")).rlike(rule)) if rule else df
 
 
 def filter_repeat(df: DataFrame, kind: str, value: str, contains: bool = False, ignore_case: bool = False) -> DataFrame:

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,31 +36,45 @@ def describe(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def ranked_values(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int = 200) -> DataFrame:
+    """(*by, _v, _k, _below, _n): each group's distinct values with how often they occur, how many values are smaller, and all.
+
+    Values are dealt to buckets between approximate quantiles; running sums are per bucket,
+    with the buckets' totals carried over, so that no task holds a group.
+    """
+    by = list(by)
+    rows = df.where(F.col(col).isNotNull()).select(*by, F.col(col).alias("_v"))
+    per = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_k"))
+    cuts = rows.groupBy(*by).agg(F.percentile_approx("_v", [k / buckets for k in range(1, buckets)], 10_000).alias("_cuts"), F.count(F.lit(1)).alias("_n"))
+    per = per.join(cuts, by) if by else per.crossJoin(F.broadcast(cuts))  # one row
+    per = per.withColumn("_b", F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
+    group = by or [F.lit(0)]
+    earlier = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over the buckets' rows
+    carried = per.groupBy(*by, "_b").agg(F.sum("_k").alias("_t")).select(*by, "_b", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_carry"))
+    inner = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    return per.join(carried, [*by, "_b"]).withColumn("_below", F.col("_carry") + F.coalesce(F.sum("_k").over(inner), F.lit(0))).drop("_b", "_carry")
+
+
 def order_stats(df: DataFrame, col: str, by: Sequence[str] = (), percent: float = 90, trim: float = 0.1) -> DataFrame:
     """Median, RFC 2330 percentile (null where percent < 100 / n), type-7 quartiles and the trimmed mean.
 
-    The trimmed mean leaves out floor(n x trim) values at either end.
+    The trimmed mean leaves out floor(n x trim) values at either end. All come from the
+    values' ranks, found bucket by bucket.
     """
-    c = F.col(col)
-    rows = df.where(c.isNotNull())
-    w = Window.partitionBy(*by) if by else None
-    s = rows.groupBy(*by).agg(
-        F.median(c).alias("median"),
-        F.expr(f"percentile_disc({percent / 100}) WITHIN GROUP (ORDER BY `{col}`)").alias("_p"),
-        F.percentile(c, 0.25).alias("q1"),
-        F.percentile(c, 0.75).alias("q3"),
-        F.count(c).alias("n"),
-    )
-    out = s.withColumn("percentile", F.when(F.lit(percent) >= 100 / F.col("n"), F.col("_p"))).drop("_p")
-    # the trimmed mean from counts per value, so equal values need no order and no task holds all rows
-    per = rows.groupBy(*by, c.alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
-    below = F.sum("_k").over((w or Window.partitionBy(F.lit(0))).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1))
-    total = F.sum("_k").over(w or Window.partitionBy(F.lit(0)))
-    per = per.withColumns({"_b": F.coalesce(below, F.lit(0)), "_n": total})
-    cut = F.floor(F.col("_n") * trim)
-    used = F.greatest(F.lit(0), F.least(F.col("_b") + F.col("_k"), F.col("_n") - cut) - F.greatest(F.col("_b"), cut))
-    t = per.groupBy(*by).agg((F.sum(F.col("_v") * used) / F.sum(used)).alias("trimmed_mean"))
-    return out.join(t, list(by)) if by else out.crossJoin(F.broadcast(t))  # one row each
+    r, n = ranked_values(df, col, by), F.col("_n")
+    at = lambda place: F.max(F.when((F.col("_below") <= place) & (place < F.col("_below") + F.col("_k")), F.col("_v")))
+
+    def quantile(q: float) -> Column:
+        h = (n - 1) * q
+        low, high = at(F.floor(h)), at(F.ceil(h))
+        return low + (high - low) * (F.max(h) - F.floor(F.max(h)))
+
+    used = F.greatest(F.lit(0), F.least(F.col("_below") + F.col("_k"), n - F.floor(n * trim)) - F.greatest(F.col("_below"), F.floor(n * trim)))
+    percentile = at(F.greatest(F.ceil(n * F.lit(percent) / 100), F.lit(1)) - 1)
+    return r.groupBy(*by).agg(
+        quantile(0.5).alias("median"), quantile(0.25).alias("q1"), quantile(0.75).alias("q3"), F.max("_n").alias("n"),
+        F.when(F.lit(percent) >= 100 / F.max("_n"), percentile).alias("percentile"), (F.sum(F.col("_v") * used) / F.sum(used)).alias("trimmed_mean"),
+    )
 
 
 def other_means(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
@@ -115,8 +128,8 @@ def frequency(df: DataFrame, col: str, bins: int | Sequence[float]) -> DataFrame
         limits = [lo + step * (k + 1) for k in range(bins - 1)] + [hi]
     else:
         limits = sorted(map(float, bins))
-    at = F.coalesce(*[F.when(F.round("v", 6) <= F.round(F.lit(x), 6), F.lit(k)) for k, x in enumerate(limits)])
-    n = rows.withColumn("k", at).where("k IS NOT NULL").groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    below = F.size(F.filter(F.array(*[F.round(F.lit(float(x)), 6) for x in limits]), lambda x: x < F.round("v", 6)))  # limits under the value
+    n = rows.withColumn("k", below).where(F.col("k") < len(limits)).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     spine = df.sparkSession.createDataFrame(list(enumerate(limits)), "k int, upper double")
     return spine.join(F.broadcast(n), "k", "left").select("upper", F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -137,43 +150,76 @@ def least_squares(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> Data
 
 
 def drop_outlier(df: DataFrame, col: str, predicate: Callable[[Column, Column], Column], key: str, by: Sequence[str] = ()) -> DataFrame:
-    """Remove the one value farthest from the mean if the predicate(value, mean) says so; the smallest key of ties."""
+    """Remove the one value farthest from the mean if the predicate(value, mean) says so; the smallest key of ties.
+
+    One row goes, even where others share its key or are equal to it.
+    """
+    cols = df.columns
     m = df.groupBy(*by).agg(F.avg(col).alias("_mean"))
     j = df.join(m, list(by)) if by else df.crossJoin(F.broadcast(m))
-    far = j.groupBy(*by).agg(F.max(F.struct(F.abs(F.col(col) - F.col("_mean")).alias("d"), (-F.col(key)).alias("k"), F.col(col).alias("v"), F.col("_mean").alias("m"))).alias("_f"))
-    gone = far.where(predicate(F.col("_f.v"), F.col("_f.m"))).select(*by, (-F.col("_f.k")).alias("_gone"))
-    on = [F.col(key) == F.col("_gone"), *[df[c].eqNullSafe(gone[c]) for c in by]]
-    return df.join(gone, on, "left_anti")
+    place = F.struct(F.abs(F.col(col) - F.col("_mean")).alias("d"), (-F.col(key)).alias("k"), F.xxhash64(*cols).alias("h"))
+    far = j.groupBy(*by).agg(F.max(F.struct(*[place[x].alias(x) for x in "dkh"], F.col(col).alias("v"), F.col("_mean").alias("m"))).alias("_f"))
+    gone = far.where(predicate(F.col("_f.v"), F.col("_f.m"))).select(*[F.col(c).alias(f"_by_{c}") for c in by], (-F.col("_f.k")).alias("_gone"), F.col("_f.h").alias("_hash"))
+    on = [F.col(key) == F.col("_gone"), F.xxhash64(*cols) == F.col("_hash"), *[F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]]
+    marked = df.join(gone.withColumn("_hit", F.lit(1)), on, "left").select(*cols, "_hit")
+    hit = marked.where("_hit = 1")  # the outlier, and rows equal to it
+    again = hit.groupBy(*cols).agg((F.count(F.lit(1)) - 1).alias("_n")).where("_n > 0").withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    return marked.where("_hit IS NULL").select(*cols).unionByName(again.select(*cols))
+
+
+def _smoothed(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str], step: Callable) -> DataFrame:
+    """(*by, order, smoothed) along each group's order, by a recurrence step(state, *values) -> (state, value).
+
+    Rows are sorted by Spark and streamed, batch after batch, with the state carried over: time is linear and
+    memory that of a batch, however long a group is.
+    """
+    kinds = dict(df.dtypes)
+    shape = ", ".join([*[f"{c} {kinds[c]}" for c in by], f"{order} {kinds[order]}", "smoothed double"])
+
+    def run(batches):
+        last, state = None, None
+        for b in batches:
+            out = []
+            groups = zip(*(b[c] for c in by), strict=True) if by else ((),) * len(b)
+            for g, *values in zip(groups, *(b[c].astype(float) for c in cols), strict=True):
+                if g != last:
+                    last, state = g, None
+                state, value = step(state, *values)
+                out.append(value)
+            yield b[[*by, order]].assign(smoothed=out)
+
+    rows = df.where(F.col(cols[0]).isNotNull()).select(*by, order, *cols)
+    rows = rows.repartition(*by) if by else rows.repartition(1)
+    return rows.sortWithinPartitions(*by, order).mapInPandas(run, shape)
 
 
 def exp_smooth(df: DataFrame, by: Sequence[str], order: str, col: str, coeff: float) -> DataFrame:
     """(*by, order, smoothed): S0 = x0, S = coeff x previous + (1 - coeff) x value, along each group's order."""
-    xs = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(col).cast("double").alias("x"))))
-    start = F.array().cast("array<struct<o:bigint,s:double>>")
-    step = lambda acc, e: F.concat(acc, F.array(F.struct(e["o"].cast("long").alias("o"), F.when(F.size(acc) == 0, e["x"]).otherwise(coeff * F.element_at(acc, -1)["s"] + (1 - coeff) * e["x"]).alias("s"))))
-    got = df.groupBy(*by).agg(F.aggregate(xs, start, step).alias("_s"))
-    return got.select(*by, F.explode("_s").alias("e")).select(*by, F.col("e.o").alias(order), F.col("e.s").alias("smoothed"))
+
+    def step(s: float | None, x: float) -> tuple[float, float]:
+        s = x if s is None else coeff * s + (1 - coeff) * x
+        return s, s
+
+    return _smoothed(df, by, order, [col], step)
 
 
 def weighted_smooth(df: DataFrame, by: Sequence[str], order: str, col: str, weight: str, coeff: float) -> DataFrame:
-    """As exp_smooth, each value and the smoothed one before weighted by their sample counts."""
-    kinds = dict(df.dtypes)
-    shape = ", ".join([*[f"{c} {kinds[c]}" for c in by], f"{order} {kinds[order]}", "smoothed double"])
+    """As exp_smooth, each value and the smoothed one before weighted by their sample counts.
+
+    With a = C W / (W + N) and b = (1 - C) N / (W + N) for the weight W so far and the count N,
+    the new value is (a S + b x) / (a + b), the new weight (a W + b N) / (a + b).
+    """
+
+    def step(state: tuple[float, float] | None, x: float, n: float) -> tuple[tuple[float, float], float]:
+        if state is None:
+            return (x, n), x
+        s, w = state
+        a, b = coeff * w, (1 - coeff) * n  # the common divisor cancels out
+        if a + b:
+            s, w = (a * s + b * x) / (a + b), (a * w + b * n) / (a + b)
+        return (s, w), s
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(order)
-        out, s, n = [], None, 0.0
-        for x, w in zip(g[col].astype(float), g[weight].astype(float), strict=True):
-            if s is None:
-                s, n = x, w
-            else:
-                a, b = coeff * n, (1 - coeff) * w
-                s = (a * s + b * x) / (a + b) if a + b else s
-                n = a + b
-            out.append(s)
-        return g[[*by, order]].assign(smoothed=out)
-
-    return df.groupBy(*by).applyInPandas(run, shape)
+    return _smoothed(df, by, order, [col, weight], step)
 
 
 def summarise(df: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFrame:

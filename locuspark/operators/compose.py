@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locuspark.operators.intervals import merge_intervals
+from locuspark.operators.intervals import merge_intervals, previous_row
+from locuspark.storage import checkpoint
 
 
 def overlap_intervals(hits: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -25,15 +26,14 @@ def nr_length(hits: DataFrame, by: Sequence[str], parity: bool = False) -> DataF
     iv = overlap_intervals(hits, by)
     if not parity:
         return merge_intervals(iv, [*by, "chrom"]).groupBy(*by).agg(F.sum(F.col("end") - F.col("start") + 1).cast("long").alias("nr_len"))
-    w = Window.partitionBy(*by, "chrom").orderBy("start", "end")
-    prev = F.lag("end").over(w)
+    iv, prev = previous_row(iv, [*by, "chrom"]), F.col("_before.end")
     new = F.when(prev >= F.col("end"), 0).when(prev >= F.col("start"), F.col("end") - prev).otherwise(F.col("end") - F.col("start") + 1)
     return iv.withColumn("_new", new).groupBy(*by).agg(F.sum("_new").cast("long").alias("nr_len"))
 
 
 def fragment_counts(hits: DataFrame, by: Sequence[str] = ("rname",)) -> DataFrame:
-    """(*by, fragments, nr_fragments): all hits' repeats, and repeats joined by block."""
-    return hits.groupBy(*by).agg(F.countDistinct("te_id").alias("fragments"), F.countDistinct("rname", "block", "chrom").alias("nr_fragments"), F.countDistinct("chrom").alias("n_chrom"))
+    """(*by, fragments, nr_fragments, n_chrom): all hits, repeats joined by block, and chromosomes."""
+    return hits.groupBy(*by).agg(F.count(F.lit(1)).alias("fragments"), F.countDistinct("rname", "block", "chrom").alias("nr_fragments"), F.countDistinct("chrom").alias("n_chrom"))
 
 
 def hits_by_level(hits: DataFrame, feature: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
@@ -53,6 +53,17 @@ def hits_by_level(hits: DataFrame, feature: Sequence[str], extra: Sequence[str]
     return rows.groupBy(*extra, F.col("l.c").alias("rclass"), F.col("l.f").alias("rfam"), F.col("l.n").alias("rname")).agg(F.count(F.lit(1)).alias("hits"))
 
 
+def hits_by_category(rows: DataFrame, extra: Sequence[str] = (), feature: Sequence[str] = ("tr", "k"), gene: str = "gene") -> DataFrame:
+    """(*extra, category, rclass, rfam, rname, hits): features hit per category and level of repeats, and genes hit as category transcript.
+
+    ``rows`` are hits with their category. A feature counts once per category and level; a gene once.
+    """
+    per = hits_by_level(rows, feature, [*extra, "category"])
+    genes = rows.select(*extra, gene).distinct().groupBy(*extra).agg(F.count(F.lit(1)).alias("hits"))
+    tot = [F.lit("tot").alias(c) for c in ("rclass", "rfam", "rname")]
+    return per.unionByName(genes.select(*extra, F.lit("transcript").alias("category"), *tot, "hits"))
+
+
 def genome_counts(te: DataFrame) -> DataFrame:
     """(rclass, rfam, rname, n): repeats in the genome in total and per class, family, name ('tot' above)."""
     r = te.rollup("rclass", "rfam", "rname").agg(F.count(F.lit(1)).alias("n"))
@@ -65,37 +76,72 @@ def genome_totals(te: DataFrame, by: Sequence[str] = ("rname",)) -> DataFrame:
 
 
 def te_ratios(hits: DataFrame, te: DataFrame) -> DataFrame:
-    """Per repeat name: length, counts and their shares in the set and in the genome, and the ratios of the shares."""
+    """Per repeat name: length, counts and their shares in the set and in the genome, and the ratios of the shares.
+
+    Genome shares are over the names that the set holds. The hits are written once, as
+    lengths and counts both read them.
+    """
+    hits = checkpoint(hits.select("te_id", "chrom", "te_st", "te_en", "st", "en", "rname", "block"))
     own = nr_length(hits, ["rname"]).join(fragment_counts(hits), "rname")
-    total = own.agg(F.sum("nr_len").alias("t_len"), F.sum("nr_fragments").alias("t_nr"))
-    g = genome_totals(te)
-    g_total = g.agg(F.sum("g_len").alias("tg_len"), F.sum("g_nr").alias("tg_nr"))
-    j = own.join(g.withColumn("_l", F.lower("rname")).drop("rname"), F.lower("rname") == F.col("_l"), "left").crossJoin(F.broadcast(total)).crossJoin(F.broadcast(g_total))  # one row each
+    g = genome_totals(te.withColumn("_l", F.lower("rname")), ["_l"])
+    j = checkpoint(own.join(g, F.lower("rname") == F.col("_l"), "left").drop("_l"))  # one row per name
+    total = j.agg(F.sum("nr_len").alias("t_len"), F.sum("nr_fragments").alias("t_nr"), F.sum("g_len").alias("tg_len"), F.sum("g_nr").alias("tg_nr"))
     share = lambda a, b: 100 * F.col(a) / F.col(b)
-    return j.select(
+    return j.crossJoin(F.broadcast(total)).select(  # one row
         "rname", "nr_len", "fragments", "nr_fragments", "n_chrom", "g_len", "g_count", "g_nr",
         share("nr_len", "t_len").alias("pct_len"), share("nr_fragments", "t_nr").alias("pct_nr"),
         (share("nr_len", "t_len") / share("g_len", "tg_len")).alias("len_ratio"), (share("nr_fragments", "t_nr") / share("g_nr", "tg_nr")).alias("nr_ratio"),
     )
 
 
-def bucket_table(hits: DataFrame, bucket: str, buckets: Sequence[str], value: Column) -> DataFrame:
-    """One wide row per set: ``value`` per bucket, zero where none."""
-    return hits.groupBy().pivot(bucket, list(buckets)).agg(value).fillna(0)
+METRICS = ("Length", "nrCounts", "%len", "%nrCounts")
+
 
+def bucket_table(hits: DataFrame, bucket: str, buckets: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(metric, one column per bucket): non-redundant length and block-corrected counts of each ``by``, summed over its bucket, and their shares.
 
-def class_table(hits: DataFrame, buckets: Sequence[str], set_len: int | Column) -> DataFrame:
-    """nr length per class, their sum and its share of the set."""
-    lens = nr_length(hits, ["class6"])
-    wide = bucket_table(lens, "class6", buckets, F.sum("nr_len"))
+    ``hits`` have the bucket, a function of ``by``. Four rows; zero where a bucket has no hit.
+    """
+    by = [*by, bucket]
+    hits = checkpoint(hits.select("chrom", "te_st", "te_en", "st", "en", "te_id", "rname", "block", *by))
+    counts = hits.groupBy(*by).agg(F.countDistinct("rname", "block", "chrom").alias("nr"))
+    sums = nr_length(hits, by).join(counts, by).groupBy(F.col(bucket).alias("_b")).agg(F.sum("nr_len").alias("Length"), F.sum("nr").alias("nrCounts"))
+    long = sums.select("_b", F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).cast("double").alias("v")) for m in METRICS[:2]])).alias("x")).select("_b", "x.m", "x.v")
+    wide = long.groupBy(F.col("m").alias("metric")).pivot("_b", list(buckets)).agg(F.sum("v")).fillna(0)
+    total = sum((F.col(f"`{b}`") for b in buckets[1:]), F.col(f"`{buckets[0]}`"))
+    shares = wide.select(F.when(F.col("metric") == "Length", "%len").otherwise("%nrCounts").alias("metric"), *[(100 * F.col(f"`{b}`") / total).alias(b) for b in buckets])
+    return wide.unionByName(shares)
+
+
+def class_table(hits: DataFrame, buckets: Sequence[str], set_len: float) -> DataFrame:
+    """bucket_table of the six classes (class6), with the lengths' TOTAL and its share of the set's length ``set_len``."""
+    wide = bucket_table(hits, "class6", buckets, ["rclass"])
+    length = F.col("metric") == "Length"
     total = sum((F.col(b) for b in buckets[1:]), F.col(buckets[0]))
-    return wide.withColumn("TOTAL", total).withColumn("pct_tot", 100 * F.col("TOTAL") / set_len)
+    return wide.withColumn("TOTAL", F.when(length, total)).withColumn("pct_tot", F.when(length & F.lit(set_len > 0), 100 * total / F.lit(set_len or 1)).when(length, 0.0))
+
+
+def site_hits(rows: DataFrame) -> DataFrame:
+    """(tr_type, site, chrom, pos) that hits with a category take: TSS and polyA of the transcript, splice sites of the exon, transcripts.
+
+    ``rows`` have category, tr_type, tr, chrom, strand, the exon's st and en, and tr_st and tr_en.
+    """
+    minus = F.col("strand") == "-"
+    ends = {"TSS": ("tr_en", "tr_st"), "polyA": ("tr_st", "tr_en"), "5SPL": ("st", "en"), "3SPL": ("en", "st")}
+    one = lambda k: F.when(F.col("category").contains(k), F.struct(F.lit(k).alias("site"), F.when(minus, F.col(ends[k][0])).otherwise(F.col(ends[k][1])).cast("string").alias("pos")))
+    every = F.struct(F.lit("transcripts").alias("site"), F.col("tr").cast("string").alias("pos"))
+    return rows.select("tr_type", "chrom", F.explode(F.array_compact(F.array(*map(one, ends), every))).alias("_s")).select("tr_type", "_s.site", "chrom", "_s.pos")
 
 
 def site_summary(hits: DataFrame, sites: DataFrame) -> DataFrame:
-    """(tr_type, site, in_te, n, pct): distinct sites inside repeats against all distinct sites."""
+    """(tr_type, site, in_te, n, pct): distinct sites that repeats take against all distinct sites; transcripts where a site has no total.
+
+    ``sites`` is (tr_type, site, n), with a row ``transcripts`` per type.
+    """
     hit = hits.groupBy("tr_type", "site").agg(F.countDistinct("chrom", "pos").alias("in_te"))
-    return sites.join(hit, ["tr_type", "site"], "left").select("tr_type", "site", F.coalesce("in_te", F.lit(0)).alias("in_te"), "n", (100 * F.coalesce("in_te", F.lit(0)) / F.col("n")).alias("pct"))
+    trs = sites.where("site = 'transcripts'").select("tr_type", F.col("n").alias("_trs"))
+    j = hit.join(sites, ["tr_type", "site"], "left").join(trs, "tr_type", "left").withColumn("n", F.coalesce("n", "_trs"))
+    return j.select("tr_type", "site", "in_te", "n", F.when(F.col("n") > 0, 100 * F.col("in_te") / F.col("n")).otherwise(0.0).alias("pct"))
 
 
 def te_transcript_table(hits: DataFrame, tr: DataFrame, structure: DataFrame, te_info: DataFrame) -> DataFrame:

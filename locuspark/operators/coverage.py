@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locuspark.storage import checkpoint
+
 
 def consensus_coords(te: DataFrame) -> DataFrame:
     """rep_start, rep_end, rep_left from the three raw columns r11, r12, r13, by strand; brackets stripped."""
@@ -16,27 +18,23 @@ def consensus_coords(te: DataFrame) -> DataFrame:
 
 
 def lift_to_consensus(j: DataFrame, force: str | None = None) -> DataFrame:
-    """Add con_start and con_end of the overlapping piece (o_st, o_en) in the repeat's consensus.
+    """Add con_start, con_end and con_left of the overlapping piece (o_st, o_en) in the repeat's consensus.
 
-    ``force`` Rstart or Rend counts from that end of the fragment whatever the strand;
-    otherwise from the start for +, from the end for -. Swapped if reversed.
+    Each end moves by its own distance from the fragment's end on its side, so that a
+    fragment with insertions or deletions keeps both anchors. ``force`` Rstart or Rend
+    counts both ends from that one anchor. An end that is not cut stays. Swapped if reversed.
     """
-    from_start = F.col("rep_start") + (F.col("o_st") - F.col("te_st"))
-    from_end = F.col("rep_end") - (F.col("o_st") - F.col("te_st"))
-    n = F.col("o_en") - F.col("o_st")
-    minus = F.col("te_strand").isin("-", "C")
+    plus = F.col("te_strand") == "+"
+    low, high = F.col("o_st") - F.col("te_st"), F.col("te_en") - F.col("o_en")  # cut off on either side
+    head, tail = F.when(plus, low).otherwise(high), F.when(plus, high).otherwise(low)  # before and after, in consensus order
+    length = F.col("te_en") - F.col("te_st")
+    start, end = F.col("rep_start") + head, F.col("rep_end") - tail
     if force == "Rstart":
-        back, fore = F.col("rep_start") + (F.col("te_en") - F.col("o_en")), from_start
-        a = F.when(minus, back).otherwise(fore)
-        b = a + n
+        end = F.when(tail > 0, F.col("rep_start") + length - tail).otherwise(F.col("rep_end"))
     elif force == "Rend":
-        fore = F.col("rep_end") - (F.col("te_en") - F.col("o_en"))
-        b = F.when(minus, from_end).otherwise(fore)
-        a = b - n
-    else:
-        a = F.when(minus, from_end).otherwise(from_start)
-        b = F.when(minus, a - n).otherwise(a + n)
-    return j.withColumns({"con_start": F.least(a, b), "con_end": F.greatest(a, b)})
+        start = F.when(head > 0, F.col("rep_end") - length + head).otherwise(F.col("rep_start"))
+    left = F.col("rep_left") + F.col("rep_end") - F.greatest(start, end)
+    return j.withColumns({"con_start": F.least(start, end), "con_end": F.greatest(start, end), "con_left": left})
 
 
 def consensus_lengths(cov: DataFrame) -> DataFrame:
@@ -91,5 +89,6 @@ def with_consensus(hits: DataFrame, te: DataFrame) -> DataFrame:
 def consensus_coverage(hits: DataFrame, te: DataFrame, min_fragments: int = 1, min_length: int = 1, max_deviation: int | None = None, force: str | None = None) -> DataFrame:
     """The whole job: hits to depth per consensus base, (rname, pos, depth)."""
     j = with_consensus(hits, te).withColumns({"o_st": F.greatest("te_st", "st"), "o_en": F.least("te_en", "en")})
-    cov = filter_coverage(lift_to_consensus(j, force), min_fragments, min_length, max_deviation)
+    lifted = checkpoint(lift_to_consensus(j, force).select("rname", "con_start", "con_end", "rep_end", "rep_left"))  # read by lengths, filters and depths
+    cov = filter_coverage(lifted, min_fragments, min_length, max_deviation)
     return depth_per_base(cov, consensus_lengths(cov))

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuspark.functions.binomial import binomial_test
 from locuspark.operators.classify import classify_shuffle, stars
-from locuspark.operators.compose import genome_counts, hits_by_level
+from locuspark.operators.compose import genome_counts, hits_by_category, hits_by_level
 from locuspark.operators.intervals import overlap_join
-from locuspark.operators.model import exon_structure, pick_transcript
+from locuspark.operators.model import pick_transcript
+from locuspark.storage import checkpoint
 
 LEVELS = ("rclass", "rfam", "rname")
 
@@ -32,15 +33,27 @@ def expected_distribution(exp: DataFrame, keys: Sequence[str]) -> DataFrame:
     return exp.groupBy(*keys).agg(F.array_sort(F.collect_list("hits")).alias("counts"))
 
 
-def permutation_test(obs: DataFrame, exp: DataFrame, keys: Sequence[str], rounds: int, strict: bool = False) -> DataFrame:
+def permutation_test(obs: DataFrame, exp: DataFrame, keys: Sequence[str], rounds: int, strict: bool | Column = False) -> DataFrame:
     """(*keys, obs, exp_mean, exp_sd, rank, p): two-tailed p of the observed count's rank among the rounds.
 
     The rank is 1 + the rounds with at most the observed count (fewer than it if ``strict``);
-    p is 2 rank / N in the lower half, 2 (N + 2 - rank) / N in the upper.
+    p is 2 rank / N in the lower half, 2 (N + 2 - rank) / N in the upper. One pass over the
+    rows of ``exp``: a round without a row counts as 0 hits.
     """
-    full = expected_initialised(obs, exp, keys, rounds).join(obs.select(*keys, F.col("hits").alias("_o")), list(keys), "left").withColumn("_o", F.coalesce("_o", F.lit(0)))
-    below = F.col("hits") < F.col("_o") if strict else F.col("hits") <= F.col("_o")
-    a = full.groupBy(*keys).agg(F.max("_o").alias("obs"), F.avg("hits").alias("exp_mean"), F.stddev_samp("hits").alias("exp_sd"), (1 + F.sum(below.cast("int"))).alias("rank"))
+    keys = list(keys)
+    both = exp.select(*keys, F.col("hits").alias("_e")).join(obs.select(*keys, F.col("hits").alias("_o")), keys, "full").withColumn("_o", F.coalesce("_o", F.lit(0)))
+    strict = F.lit(strict) if isinstance(strict, bool) else strict
+    s, q, seen = F.coalesce(F.sum("_e"), F.lit(0)).cast("double"), F.coalesce(F.sum(F.col("_e").cast("double") * F.col("_e")), F.lit(0.0)), F.count("_e")
+    a = both.groupBy(*keys).agg(
+        F.max("_o").alias("obs"),
+        (s / rounds).alias("exp_mean"),
+        (F.sqrt(F.greatest(F.lit(0.0), q - s * s / rounds) / (rounds - 1)) if rounds > 1 else F.lit(None).cast("double")).alias("exp_sd"),
+        F.count(F.when(F.col("_e") < F.col("_o"), 1)).alias("_less"),
+        F.count(F.when(F.col("_e") == F.col("_o"), 1)).alias("_same"),
+        (rounds - seen).alias("_none"),
+    )
+    zeros = F.when(strict & (F.col("obs") <= 0), 0).otherwise(F.col("_none"))
+    a = a.withColumn("rank", 1 + F.col("_less") + F.when(strict, 0).otherwise(F.col("_same")) + zeros).drop("_less", "_same", "_none")
     return a.withColumn("p", F.when(F.col("rank") <= rounds / 2, 2 * F.col("rank") / rounds).otherwise(2 * (rounds + 2 - F.col("rank")) / rounds))
 
 
@@ -81,32 +94,38 @@ def feature_totals(picked: DataFrame) -> DataFrame:
 
 
 def category_hits(te: DataFrame, exons: DataFrame, picked: DataFrame, min_nt: int = 10, rounds_of_te: bool = False) -> DataFrame:
-    """(round, category, hits): exons of the picked transcripts hit per category.
+    """(round, category, rclass, rfam, rname, hits): exons of the picked transcripts hit per category and level of repeats; genes hit as transcript.
 
-    The structure (exon type, transcript ends) is built once per transcript and meets the
-    hits, not all rounds. With ``rounds_of_te`` repeats have a round of their own, which must be the transcripts'.
+    Transcript ends are found once per transcript and meet the hits, not all rounds. With
+    ``rounds_of_te`` repeats have a round of their own, which must be the transcripts'.
     """
-    s = exon_structure(exons)
-    ends = exons.groupBy("tr").agg(F.min("start").alias("tr_st"), F.max("end").alias("tr_en"))
-    keep = ["chrom", "start", "end", *(["round"] if rounds_of_te else [])]
-    j = overlap_join(te.select(*keep), s.join(ends, "tr").select("chrom", "start", "end", "tr", "k", "strand", "exon_type", "tr_st", "tr_en"), min_nt=min_nt)
-    named = {"a_start": "te_st", "a_end": "te_en", "b_start": "st", "b_end": "en", "b_tr": "tr", "b_k": "k", "b_strand": "strand", "b_exon_type": "exon_type", "b_tr_st": "tr_st", "b_tr_en": "tr_en", "a_round": "round"}
+    ends = exons.groupBy("gene", "tr").agg(F.min("start").alias("tr_st"), F.max("end").alias("tr_en"), F.count(F.lit(1)).alias("n_exons"))
+    keep = ["chrom", "start", "end", *LEVELS, *(["round"] if rounds_of_te else [])]
+    j = overlap_join(te.select(*keep), exons.join(ends, ["gene", "tr"]).select("chrom", "start", "end", "gene", "tr", "k", "strand", "n_exons", "tr_st", "tr_en"), min_nt=min_nt)
+    named = {"a_start": "te_st", "a_end": "te_en", "b_start": "st", "b_end": "en", **{f"b_{c}": c for c in ("gene", "tr", "k", "strand", "n_exons", "tr_st", "tr_en")}, **{f"a_{c}": c for c in (*LEVELS, "round")}}
     rows = classify_shuffle(j.select(*[F.col(a).alias(b) for a, b in named.items() if a in j.columns]))
     on = ["tr", "round"] if rounds_of_te else ["tr"]
-    return rows.join(picked.select("round", "tr"), on).groupBy("round", "category").agg(F.countDistinct("tr", "k").alias("hits"))
+    return hits_by_category(rows.join(picked.select("round", "tr"), on), ["round"])
 
 
 def enrichment_transcripts(te: DataFrame, exons: DataFrame, shuffled: DataFrame, rounds: int, seed: int = 1, min_nt: int = 10) -> DataFrame:
-    """Transcripts, end to end: one transcript per gene and round; per category the observed mean, expected counts, tests.
+    """Transcripts, end to end: one transcript per gene and round; observed means, expected counts and tests.
 
-    Observed hits are repeated over the rounds' transcript choices; their rounded mean is tested.
+    Rows with test = category have no level (tot): each category's features against what
+    the picked transcripts offer, ranked among the rounds with fewer hits. Rows with test =
+    repeat are per category and level of repeats: against the repeats of the genome, ranked
+    among the rounds with at most as many. Observed hits are repeated over the rounds'
+    transcript choices; their mean is ranked, rounded for the binomial test.
     """
     index = exons.groupBy("gene", "tr").agg(F.count(F.lit(1)).alias("n_exons"))
-    picked = pick_transcript(index, rounds, seed)
-    obs_rounds = category_hits(te, exons, picked, min_nt)
-    exp = category_hits(shuffled, exons, picked, min_nt, rounds_of_te=True)
-    obs = obs_rounds.groupBy("category").agg(F.round(F.sum("hits") / rounds).cast("long").alias("hits"))
-    t = permutation_test(obs, exp, ["category"], rounds, strict=True)
-    n = feature_totals(picked).groupBy("category").agg(F.round(F.avg("n")).cast("long").alias("n"))
-    t = t.join(n, "category", "left").withColumn("prob", F.col("exp_mean") / F.col("n"))
-    return binomial_test(t).withColumn("significance", stars(F.col("p")))
+    picked = checkpoint(pick_transcript(index, rounds, seed))
+    keys = ["test", "category", *LEVELS]
+    tests = F.explode(F.when(F.col("rclass") == "tot", F.array(F.lit("category"), F.lit("repeat"))).otherwise(F.array(F.lit("repeat")))).alias("test")
+    obs = category_hits(te, exons, picked, min_nt).groupBy("category", *LEVELS).agg((F.sum("hits") / rounds).alias("hits")).select("*", tests)
+    exp = category_hits(shuffled, exons, picked, min_nt, rounds_of_te=True).select("*", tests)
+    t = permutation_test(obs, exp, keys, rounds, strict=F.col("test") == "category").withColumn("hits", F.round("obs").cast("long"))
+    offered = feature_totals(picked).groupBy("category").agg(F.round(F.avg("n")).cast("long").alias("_offered"))
+    t = t.join(offered, "category", "left").join(genome_counts(te).withColumnRenamed("n", "_genome"), list(LEVELS), "left")
+    t = t.withColumn("n", F.when(F.col("test") == "category", F.col("_offered")).otherwise(F.col("_genome"))).drop("_offered", "_genome")
+    t = t.withColumn("prob", F.col("exp_mean") / F.col("n"))
+    return binomial_test(t, x="hits").withColumn("significance", stars(F.col("p")))

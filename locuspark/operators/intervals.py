@@ -43,6 +43,7 @@ def overlap_join(
     left: str = "a_",
     right: str = "b_",
     long_intervals: bool = False,
+    how: str = "inner",
 ) -> DataFrame:
     """All pairs of ``a`` and ``b`` that share ``min_nt`` positions or more, with ``overlap``.
 
@@ -50,6 +51,7 @@ def overlap_join(
     pair is reported in the bin of its first shared position, so no distinct is needed.
     ``long_intervals`` adds coarser bins (32 and 1,024 times as long) for intervals that
     would fall into too many fine ones; each pair meets at the coarser of its two levels.
+    ``how`` left keeps rows of ``a`` without a partner, once per bin, with nulls.
     """
     a, b = prefixed(a, left), prefixed(b, right)
     sizes = [bin_size * 32**k for k in range(3)] if long_intervals else [bin_size]
@@ -75,8 +77,10 @@ def overlap_join(
     else:
         size = F.lit(bin_size)
     on += [F.col(f"{left}start") <= F.col(f"{right}end"), F.col(f"{right}start") <= F.col(f"{left}end"), F.floor(first / size) == F.col("_bin")]
-    out = x.join(y, on).withColumn("overlap", overlap_length(coords, left, right).cast("long"))
-    out = out.where(F.col("overlap") >= min_nt)
+    if how == "inner":
+        out = x.join(y, on).withColumn("overlap", overlap_length(coords, left, right).cast("long")).where(F.col("overlap") >= min_nt)
+    else:
+        out = x.join(y, [*on, overlap_length(coords, left, right) >= min_nt], how).withColumn("overlap", overlap_length(coords, left, right).cast("long"))
     if min_pct is not None:
         out = out.where(100 * F.col("overlap") >= min_pct * (F.col(f"{right}end") - F.col(f"{right}start") + 1))
     return out.drop("_bin", "_bin2", "_level", "_level2", f"{left}_own", f"{right}_own")
@@ -114,35 +118,51 @@ def merge_intervals(df: DataFrame, by: Sequence[str] = ("chrom",), gap: int = 0,
 
 
 def subtract_intervals(a: DataFrame, b: DataFrame, bin_size: int = BIN) -> DataFrame:
-    """``a`` minus the union of ``b``: what is left of each row, with a's other columns."""
+    """``a`` minus the union of ``b``: what is left of each row, with a's other columns.
+
+    One left join; a row's cuts come together by its columns, and rows that nothing cuts
+    stay whole. A row's pieces are one array, so rows are meant to be features: what is left of
+    whole chromosomes is interval_complement.
+    """
     cols = a.columns
     rows = a.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    blocks = merge_intervals(b)
-    hit = overlap_join(rows, blocks, bin_size=bin_size)
+    hit = overlap_join(rows, merge_intervals(b), bin_size=bin_size, how="left")
     keys = [F.col("a_" + c).alias(c) for c in (*cols, "_n")]
-    cut = hit.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col("b_start").alias("s"), F.col("b_end").alias("e")))).alias("_cut"))
+    block = F.when(F.col("b_start").isNotNull(), F.struct(F.col("b_start").alias("s"), F.col("b_end").alias("e")))
+    cut = hit.groupBy(*keys).agg(F.array_sort(F.collect_list(block)).alias("_cut"))
     n = F.size("_cut")
     piece = F.transform(
         F.sequence(F.lit(0), n),
         lambda i: F.struct(
-            F.when(i == 0, F.col("start")).otherwise(F.element_at(F.col("_cut"), F.greatest(i, F.lit(1)))["e"] + 1).alias("s"),
-            F.when(i == n, F.col("end")).otherwise(F.element_at(F.col("_cut"), F.least(i + 1, n))["s"] - 1).alias("e"),
+            F.when(i == 0, F.col("start")).otherwise(F.try_element_at(F.col("_cut"), F.greatest(i, F.lit(1)))["e"] + 1).alias("s"),
+            F.when(i == n, F.col("end")).otherwise(F.try_element_at(F.col("_cut"), F.greatest(F.least(i + 1, n), F.lit(1)))["s"] - 1).alias("e"),
         ),
     )
-    left = cut.withColumn("_p", F.explode(F.filter(piece, lambda p: p["s"] <= p["e"])))
-    left = left.select(*[F.col("_p.s").alias(c) if c == "start" else F.col("_p.e").alias(c) if c == "end" else F.col(c) for c in cols], "_n")
-    on = [rows[c].eqNullSafe(cut[c]) for c in cols]
-    whole = rows.join(cut.select(*cols), on, "left_anti").select(*cols, "_n")
-    both = left.unionByName(whole)
-    return both.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*cols)
+    left = cut.withColumn("_p", F.explode(F.filter(piece, lambda p: p["s"] <= p["e"]))).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n"))))
+    return left.select(*[F.col("_p.s").alias(c) if c == "start" else F.col("_p.e").alias(c) if c == "end" else F.col(c) for c in cols])
+
+
+def running_max(rows: DataFrame, by: Sequence[str], pos: str, value: str, order: Sequence[Column], back: bool = False, stretch: int = STRETCH) -> DataFrame:
+    """Rows with _before: the largest ``value`` of all rows that come before in the order of ``pos`` (``back``: downwards).
+
+    The window is per stretch of positions; one row per stretch carries what the stretches before it hold.
+    """
+    by = list(by)
+    rows = rows.withColumn("_bin", F.floor(F.col(pos) / stretch))
+    at = F.desc("_bin") if back else F.asc("_bin")
+    earlier = Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    tops = rows.groupBy(*by, "_bin").agg(F.max(value).alias("_top")).select(*by, "_bin", F.max("_top").over(earlier).alias("_carry"))
+    inner = Window.partitionBy(*by, "_bin").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.join(tops, [*by, "_bin"]).withColumn("_before", F.coalesce(F.max(value).over(inner), F.col("_carry"))).drop("_bin", "_carry")
 
 
 def nearest(a: DataFrame, b: DataFrame, a_id: str, b_id: str) -> DataFrame:
     """The closest ``b`` of each ``a``: (a_id, b_id, distance), negative if a lies upstream of b on b's strand.
 
     Distance 0 if they overlap, else the number of steps from edge to edge. Of ties the
-    overlapping or smallest b_id wins. Neighbours on both sides come from one sorted pass
-    over both tables per chromosome, overlaps from the binned join.
+    overlapping or smallest b_id wins. Neighbours on both sides come from a sorted pass over
+    both tables per stretch of a chromosome, with one row carried between stretches; overlaps
+    from the binned join.
     """
     av = a.select("chrom", F.col("start").alias("pos"), F.col("end").alias("far"), F.col(a_id).alias("aid"), F.lit(1).alias("kind"), F.lit(None).cast("struct<e:bigint,s:bigint,i:bigint,m:boolean>").alias("b"))
     minus = F.col("strand") == "-"
@@ -150,12 +170,12 @@ def nearest(a: DataFrame, b: DataFrame, a_id: str, b_id: str) -> DataFrame:
     nothing = F.lit(None).cast("long")
     # left neighbours: the largest end before a.start; right: the smallest start after a.end
     ends = b.select("chrom", F.col("end").alias("pos"), nothing.alias("far"), nothing.alias("aid"), F.lit(0).alias("kind"), bs.alias("b"))
-    w = Window.partitionBy("chrom").orderBy("pos", F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
-    down = av.unionByName(ends).withColumn("prev", F.max("b").over(w)).where("kind = 1").select("aid", F.col("pos").alias("s"), F.col("prev").alias("x"))
+    down = running_max(av.unionByName(ends), ["chrom"], "pos", "b", [F.asc("pos"), F.desc("kind")])
+    down = down.where("kind = 1").select("aid", F.col("pos").alias("s"), F.col("_before").alias("x"))
     starts = b.select("chrom", F.col("start").alias("pos"), nothing.alias("aid"), F.lit(0).alias("kind"), F.struct((-F.col("start")).cast("long").alias("e"), F.col("end").cast("long").alias("s"), (-F.col(b_id)).cast("long").alias("i"), minus.alias("m")).alias("b"))
     ups = a.select("chrom", F.col("end").alias("pos"), F.col(a_id).alias("aid"), F.lit(1).alias("kind"), F.lit(None).cast("struct<e:bigint,s:bigint,i:bigint,m:boolean>").alias("b"))
-    w2 = Window.partitionBy("chrom").orderBy(F.desc("pos"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
-    up = ups.unionByName(starts).withColumn("next", F.max("b").over(w2)).where("kind = 1").select("aid", F.col("pos").alias("e"), F.col("next").alias("x"))
+    up = running_max(ups.unionByName(starts), ["chrom"], "pos", "b", [F.desc("pos"), F.desc("kind")], back=True)
+    up = up.where("kind = 1").select("aid", F.col("pos").alias("e"), F.col("_before").alias("x"))
     sign = lambda before: F.when(F.col("x.m"), -1 if not before else 1).otherwise(1 if not before else -1)
     cand = down.where("x is not null and x.e < s").select("aid", (-F.col("x.i")).alias("bid"), ((F.col("s") - F.col("x.e")) * sign(False)).alias("distance"))
     cand = cand.union(up.where("x is not null and -x.e > e").select("aid", (-F.col("x.i")).alias("bid"), ((-F.col("x.e") - F.col("e")) * sign(True)).alias("distance")))
@@ -191,9 +211,17 @@ def interval_xor(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def interval_complement(a: DataFrame, sizes: DataFrame) -> DataFrame:
-    """What of each chromosome (1..length) no interval covers; chromosomes without intervals whole."""
-    whole = sizes.select("chrom", F.lit(1).cast("long").alias("start"), F.col("length").cast("long").alias("end"))
-    return subtract_intervals(whole, a.select("chrom", "start", "end"), bin_size=STRETCH)
+    """What of each chromosome (1..length) no interval covers; chromosomes without intervals whole.
+
+    Each merged run gives the gap before it, from the end carried over; the last gap of a chromosome follows its furthest end.
+    """
+    length = sizes.select("chrom", F.col("length").cast("long").alias("_length"))
+    runs = merge_intervals(a).withColumn("_far", F.col("end"))
+    before = running_max(runs, ["chrom"], "start", "_far", [F.asc("start")]).select("chrom", F.coalesce(F.col("_before") + 1, F.lit(1)).alias("start"), (F.col("start") - 1).alias("end"))
+    last = length.join(runs.groupBy("chrom").agg(F.max("end").alias("_last")), "chrom", "left")
+    last = last.select("chrom", F.coalesce(F.col("_last") + 1, F.lit(1)).alias("start"), F.col("_length").alias("end"))
+    gaps = before.unionByName(last).join(length, "chrom")
+    return gaps.select("chrom", F.greatest("start", F.lit(1)).cast("long").alias("start"), F.least("end", "_length").cast("long").alias("end")).where("start <= end")
 
 
 def interval_size(a: DataFrame, lo: int | None = None, hi: int | None = None) -> DataFrame:
@@ -240,6 +268,12 @@ def parse_ranges(df: DataFrame, col: str) -> DataFrame:
     return parts.select(*[c for c in df.columns if c != col], ends[0].cast("long").alias("start"), F.coalesce(F.try_element_at(ends, F.lit(2)), ends[0]).cast("long").alias("end"))
 
 
+def previous_row(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add _before: start and end of the row before in the order of start, end (null for the first)."""
+    place = df.withColumn("_own", F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")))
+    return running_max(place, by, "start", "_own", [F.asc("start"), F.asc("end")]).drop("_own")
+
+
 def covered_amount(df: DataFrame, by: Sequence[str] = (), parity: bool = False) -> DataFrame:
     """(*by, total, nr, overlap): all lengths, positions covered, and the difference.
 
@@ -248,10 +282,8 @@ def covered_amount(df: DataFrame, by: Sequence[str] = (), parity: bool = False)
     by = list(by)
     length = F.col("end") - F.col("start") + 1
     if parity:
-        w = Window.partitionBy(*by, "chrom").orderBy("start", "end")
-        before = F.lag("end").over(w)
-        shared = F.when(before >= F.col("start"), before - F.col("start") + 1).otherwise(0)
-        rows = df.withColumn("_shared", shared)
+        before = F.col("_before.end")
+        rows = previous_row(df, [*by, "chrom"]).withColumn("_shared", F.when(before >= F.col("start"), before - F.col("start") + 1).otherwise(0))
         return rows.groupBy(*by).agg(F.sum(length).cast("long").alias("total"), (F.sum(length) - F.sum("_shared")).cast("long").alias("nr"), F.sum("_shared").cast("long").alias("overlap"))
     total = df.groupBy(*by).agg(F.sum(length).cast("long").alias("total"))
     nr = merge_intervals(df, [*by, "chrom"]).groupBy(*by).agg(F.sum(length).cast("long").alias("nr"))

@@ -16,9 +16,17 @@ def merge_summaries(runs: dict[str, DataFrame]) -> DataFrame:
 
 
 def region_label(col: Column) -> Column:
-    """01.up, 02.exons, 03.dw or 04.introns of a run's name, else the name itself."""
-    c = F.lower(col)
-    return F.when(c.rlike("intron"), "04.introns").when(c.rlike("(^|[^a-z])up"), "01.up").when(c.rlike("(^|[^a-z])(dw|down)"), "03.dw").when(c.rlike("exon|cds|utr"), "02.exons").otherwise(col)
+    """Region of a run's file name: 01.up, 02.exons, 02.CDS, 02.UTR, 03.dw or 04.introns by its ending, nd if it has none of them."""
+    return region_of_run(col)[1]
+
+
+def region_of_run(col: Column) -> tuple[Column, Column]:
+    """(name, region) of a run's file name; both nd if it does not end as one of the feature sets does."""
+    rules = [(r"^(.*)\.UTRs$", "02.UTR"), (r"^(.*)\.CDS$", "02.CDS"), (r"^(.*)\.dw\..+?\.corr$", "03.dw"), (r"^(.*)\.up\..+?\.corr$", "01.up"), (r"^(.*)\.introns\..+?$", "04.introns"), (r"^(.*)\.exons$", "02.exons")]
+    name, region = F.lit("nd"), F.lit("nd")
+    for rule, label in reversed(rules):
+        name, region = F.when(col.rlike(rule), F.regexp_extract(col, rule, 1)).otherwise(name), F.when(col.rlike(rule), label).otherwise(region)
+    return name, region
 
 
 def merge_class_tables(long: DataFrame, classes: Sequence[str], value: str = "value") -> DataFrame:
@@ -44,9 +52,13 @@ def merge_age_tables(long: DataFrame) -> DataFrame:
 
 
 def run_subset(col: Column) -> tuple[Column, Column]:
-    """A run's name up to the first dot and the part that names its subset (empty if none)."""
-    rest = F.when(F.instr(col, ".") > 0, F.regexp_extract(col, r"^[^.]*\.(.*)$", 1)).otherwise(F.lit(""))
-    return F.substring_index(col, ".", 1), rest
+    """A run's file name without its last two parts, and these (filter.parse), which name its subset.
+
+    A name of fewer than three parts is all subset; a missing filter is empty.
+    """
+    p = F.split(col, r"\.")
+    name = F.when(F.size(p) > 2, F.array_join(F.slice(p, 1, F.greatest(F.size(p) - 2, F.lit(0))), ".")).otherwise(F.lit(""))
+    return name, F.when(F.size(p) > 1, F.substring_index(col, ".", -2)).otherwise(F.concat(F.lit("."), col))
 
 
 def merge_enrichment(long: DataFrame, runs: Sequence[str], values: Sequence[str] = ("obs", "p")) -> DataFrame:

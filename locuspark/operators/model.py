@@ -66,17 +66,14 @@ def exon_structure(exons: DataFrame) -> DataFrame:
 
 
 def cds_structure(cds: DataFrame, summary: DataFrame) -> DataFrame:
-    """Add cds_no and cds_type: by the codon positions it holds, indet if the summary has neither codon."""
+    """Add cds_no and cds_type: by whether the part begins or ends at a codon; indet where it does neither nor lies between them."""
     w = Window.partitionBy("tr").orderBy("start", "end")
     s = summary.select("tr", "atg", "stop")
-    inside = lambda c: F.col(c).between(F.col("start"), F.col("end"))
-    kind = (
-        F.when(F.col("atg").isNull() & F.col("stop").isNull(), "indet")
-        .when(inside("atg") & inside("stop"), "SINGLE")
-        .when(inside("atg"), "FIRST")
-        .when(inside("stop"), "LAST")
-        .otherwise("MIDDLE")
-    )
+    minus = F.col("strand") == "-"
+    head, tail = F.when(minus, F.col("end")).otherwise(F.col("start")), F.when(minus, F.col("start")).otherwise(F.col("end"))
+    first, last = head == F.col("atg"), tail == F.col("stop")
+    between = F.when(minus, (F.col("start") > F.col("stop")) & (F.col("end") < F.col("atg"))).otherwise((F.col("start") > F.col("atg")) & (F.col("end") < F.col("stop")))
+    kind = F.when(first & last, "SINGLE").when(between, "MIDDLE").when(last, "LAST").when(first, "FIRST").otherwise("indet")
     return cds.withColumn("cds_no", F.row_number().over(w).cast("long")).join(s, "tr", "left").withColumn("cds_type", kind)
 
 
@@ -190,9 +187,10 @@ def order_transcripts(tr: DataFrame) -> DataFrame:
 
 
 def mrna_metrics(exons: DataFrame, cds: DataFrame) -> DataFrame:
-    """(tr, mature_len, cds_start, cds_end, cds_len, protein_len); protein length without the stop codon."""
+    """(tr, mature_len, cds_start, cds_end, cds_len, protein_len); start and end in reading direction, protein length without the stop codon."""
     m = exons.groupBy("tr").agg(F.sum(_length()).cast("long").alias("mature_len"))
-    c = cds.groupBy("tr").agg(F.min("start").alias("cds_start"), F.max("end").alias("cds_end"), F.sum(_length()).cast("long").alias("cds_len"))
+    minus = F.min("strand") == "-"
+    c = cds.groupBy("tr").agg(F.when(minus, F.max("end")).otherwise(F.min("start")).alias("cds_start"), F.when(minus, F.min("start")).otherwise(F.max("end")).alias("cds_end"), F.sum(_length()).cast("long").alias("cds_len"))
     return m.join(c, "tr").withColumn("protein_len", F.floor(F.col("cds_len") / 3) - 1)
 
 

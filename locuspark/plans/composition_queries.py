@@ -11,7 +11,7 @@ from locuspark.operators import compose as cm
 from locuspark.operators import model as md
 from locuspark.plans.fixtures import Fixtures
 from locuspark.plans.interval_queries import MERGE
-from locuspark.plans.model_queries import CATS, SITES, STRUCT, structure, with_cats
+from locuspark.plans.model_queries import CATS, NUMBER, REAL, REAL_HIT, SHUFFLE, SITES, STRUCT, by_number, real, structure, with_cats, with_shuffle_cats
 from locuspark.plans.registry import query
 
 #: Non-redundant overlap length per {by}, in DuckDB.
@@ -20,7 +20,7 @@ NR = """SELECT {by}, CAST(sum(en - st + 1) AS BIGINT) AS nr_len FROM (SELECT {by
     SELECT *, max(en) OVER (PARTITION BY {by}, chrom ORDER BY st, en, o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM (
       SELECT {by}, chrom, greatest(te_st, st) AS st, least(te_en, en) AS en, row_number() OVER (ORDER BY te_id, tr, k) AS o FROM {t}))) GROUP BY {by}, chrom, isl) GROUP BY {by}"""
 INFO = "ti AS (SELECT 'R' || i AS rname, 'L' || (i % 5) AS lineage, CASE WHEN i % 2 = 0 THEN 'Ancient' ELSE 'LineageSpe' END AS age, CAST(i AS DOUBLE) AS pct_div FROM range(0, 50) t(i))"
-SIX = "CASE WHEN rclass = 'RC' THEN 'Others' WHEN rclass = 'Simple_repeat' THEN 'nonTE' ELSE rclass END"
+SIX = "CASE WHEN rclass = 'RC' THEN 'DNA' WHEN rclass = 'Simple_repeat' THEN 'Others' ELSE rclass END"
 
 
 def te_info(fx: Fixtures) -> DataFrame:
@@ -49,7 +49,7 @@ def a2c(fx: Fixtures) -> DataFrame:
     return cm.nr_length(hits(fx), ["rname"], parity=True)
 
 
-@query("a3_fragment_counts", "hit", sql="SELECT rname, count(DISTINCT te_id) AS fragments, count(DISTINCT (rname, block, chrom)) AS nr_fragments, count(DISTINCT chrom) AS n_chrom FROM hit GROUP BY rname")
+@query("a3_fragment_counts", "hit", sql="SELECT rname, count(*) AS fragments, count(DISTINCT (rname, block, chrom)) AS nr_fragments, count(DISTINCT chrom) AS n_chrom FROM hit GROUP BY rname")
 def a3(fx: Fixtures) -> DataFrame:
     return cm.fragment_counts(hits(fx))
 
@@ -67,9 +67,11 @@ def a6(fx: Fixtures) -> DataFrame:
     return ft.add_age(hits(fx), te_info(fx)).where("age IS NOT NULL").groupBy("age", "lineage").agg(F.countDistinct("tr", "k").alias("hits"))
 
 
-@query("a7_hits_by_category", "hit", "exon", "tr", sql=f"WITH {STRUCT}, {CATS} SELECT category, tr_type, count(DISTINCT (ct.tr, k)) AS exon_hits, count(DISTINCT ct.gene) AS gene_hits FROM ct JOIN tr ON ct.tr = tr.tr GROUP BY category, tr_type")
+@query("a7_hits_by_category", "hit", "tr", sql=f"""WITH {SHUFFLE.format(hit='hit')} SELECT tr_type, category, coalesce(rclass, 'tot') AS rclass, coalesce(rfam, 'tot') AS rfam, coalesce(rname, 'tot') AS rname, count(DISTINCT (tr, k)) AS hits FROM sc
+    GROUP BY GROUPING SETS ((tr_type, category), (tr_type, category, rclass), (tr_type, category, rclass, rfam), (tr_type, category, rclass, rfam, rname))
+  UNION ALL SELECT tr_type, 'transcript', 'tot', 'tot', 'tot', count(DISTINCT gene) FROM sc GROUP BY tr_type""")
 def a7(fx: Fixtures) -> DataFrame:
-    return with_cats(fx).groupBy("category", "tr_type").agg(F.countDistinct("tr", "k").alias("exon_hits"), F.countDistinct("gene").alias("gene_hits"))
+    return cm.hits_by_category(with_shuffle_cats(fx), ["tr_type"])
 
 
 @query("a8_genome_counts", "te", sql=LEVELS.format(agg="count(*) AS n", t="te"))
@@ -77,10 +79,10 @@ def a8(fx: Fixtures) -> DataFrame:
     return cm.genome_counts(fx.te)
 
 
-RATIO = f"""WITH nl AS ({NR.format(by='rname', t='hit')}), fc AS (SELECT rname, count(DISTINCT te_id) AS fragments, count(DISTINCT (rname, block, chrom)) AS nr_fragments, count(DISTINCT chrom) AS n_chrom FROM hit GROUP BY rname),
+RATIO = f"""WITH nl AS ({NR.format(by='rname', t='hit')}), fc AS (SELECT rname, count(*) AS fragments, count(DISTINCT (rname, block, chrom)) AS nr_fragments, count(DISTINCT chrom) AS n_chrom FROM hit GROUP BY rname),
   g AS (SELECT rname, CAST(sum(en - st + 1) AS BIGINT) AS g_len, count(*) AS g_count, count(DISTINCT (block, chrom)) AS g_nr FROM te GROUP BY rname)
   SELECT rname, nr_len, fragments, nr_fragments, n_chrom, g_len, g_count, g_nr, round(100 * nr_len / (SELECT sum(nr_len) FROM nl), 6) AS pct_len, round(100 * nr_fragments / (SELECT sum(nr_fragments) FROM fc), 6) AS pct_nr,
-    round((nr_len / (SELECT sum(nr_len) FROM nl)) / (g_len / (SELECT sum(g_len) FROM g)), 6) AS len_ratio, round((nr_fragments / (SELECT sum(nr_fragments) FROM fc)) / (g_nr / (SELECT sum(g_nr) FROM g)), 6) AS nr_ratio
+    round((nr_len / (SELECT sum(nr_len) FROM nl)) / (g_len / (SELECT sum(g_len) FROM g WHERE rname IN (SELECT rname FROM nl))), 6) AS len_ratio, round((nr_fragments / (SELECT sum(nr_fragments) FROM fc)) / (g_nr / (SELECT sum(g_nr) FROM g WHERE rname IN (SELECT rname FROM nl))), 6) AS nr_ratio
   FROM nl JOIN fc USING (rname) LEFT JOIN g USING (rname)"""
 
 
@@ -90,23 +92,30 @@ def a9(fx: Fixtures) -> DataFrame:
     return r.withColumns({c: F.round(c, 6) for c in ("pct_len", "pct_nr", "len_ratio", "nr_ratio")})
 
 
-SUPER = "CASE WHEN rclass = 'RC' THEN 'RC' WHEN rclass = 'Simple_repeat' THEN 'nonTE' ELSE rclass || '/other' END"
-SUPERS = ("LTR/other", "LINE/other", "SINE/other", "DNA/other", "RC", "nonTE")
+def buckets_sql(col: str, by: str, buckets) -> str:
+    """The four metrics of each bucket, in DuckDB: lengths and counts per {by}, summed over the bucket, and their shares."""
+    each = lambda v, kind: ", ".join(f"CAST(coalesce(sum({v}) FILTER (b = '{x}'), 0) AS DOUBLE){kind} AS \"{x}\"" for x in buckets)
+    part = lambda m, v, share: f"SELECT '{m}' AS metric, {each(v, f' * 100 / sum({v})' if share else '')} FROM m"
+    lengths = NR.format(by=f"{by}, {col}", t="rh")
+    return f"n AS ({lengths}), q AS (SELECT {by}, {col}, count(DISTINCT (rname, block, chrom)) AS nr FROM rh GROUP BY {by}, {col}), m AS MATERIALIZED (SELECT {col} AS b, nr_len, nr FROM n JOIN q USING ({by}, {col})), w AS (" + " UNION ALL ".join(
+        part(*x) for x in (("Length", "nr_len", False), ("nrCounts", "nr", False), ("%len", "nr_len", True), ("%nrCounts", "nr", True))
+    ) + ")"
 
 
-@query("a10_superfamily_table", "hit", sql="WITH h AS (SELECT *, " + SUPER + " AS sf FROM hit), n AS (" + NR.format(by="sf", t="h") + ") SELECT " + ", ".join(f"CAST(coalesce(sum(nr_len) FILTER (sf = '{s}'), 0) AS BIGINT) AS \"{s}\"" for s in SUPERS) + " FROM n")
-def a10(fx: Fixtures) -> DataFrame:
-    lens = cm.nr_length(cl.te_bucket(hits(fx)), ["superfamily"])
-    return cm.bucket_table(lens, "superfamily", SUPERS, F.sum("nr_len"))
+def rounded_buckets(df: DataFrame, buckets) -> DataFrame:
+    return df.withColumns({b: F.round(F.col(f"`{b}`"), 6) for b in buckets})
 
 
-CLASSES = ("LTR", "LINE", "SINE", "DNA", "Others", "nonTE")
+@query("a10_superfamily_table", "hit", sql=f"WITH {REAL_HIT}, {buckets_sql('sf', 'rclass, rfam', cl.SUPERFAMILIES)} SELECT metric, " + ", ".join(f'round("{s}", 6) AS "{s}"' for s in cl.SUPERFAMILIES) + " FROM w")
+def a10(fx: Fixtures) -> DataFrame:
+    return rounded_buckets(cm.bucket_table(cl.te_bucket(real(hits(fx))), "superfamily", cl.SUPERFAMILIES, ["rclass", "rfam"]), cl.SUPERFAMILIES)
 
 
-@query("a11_class_table", "hit", "exon", sql=f"WITH h AS (SELECT *, {SIX} AS c6 FROM hit), n AS ({NR.format(by='c6', t='h')}) SELECT " + ", ".join(f"CAST(coalesce(sum(nr_len) FILTER (c6 = '{s}'), 0) AS BIGINT) AS \"{s}\"" for s in CLASSES) + ", CAST(sum(nr_len) AS BIGINT) AS \"TOTAL\", round(100 * sum(nr_len) / (SELECT count(*) FROM exon), 6) AS pct_tot FROM n")
+@query("a11_class_table", "hit", "exon", sql=f"WITH {REAL_HIT}, {buckets_sql('c6', 'rclass', cl.CLASSES)}, t AS (SELECT CAST(sum(nr_len) AS DOUBLE) AS t, 100 * sum(nr_len) / (SELECT sum(en - st + 1) FROM exon) AS p FROM m) SELECT metric, " + ", ".join(f'round("{s}", 6) AS "{s}"' for s in cl.CLASSES) + ", CASE WHEN metric = 'Length' THEN t END AS \"TOTAL\", CASE WHEN metric = 'Length' THEN round(p, 6) END AS pct_tot FROM w, t")
 def a11(fx: Fixtures) -> DataFrame:
-    n = fx.exon.agg(F.count(F.lit(1))).first()[0]
-    return cm.class_table(cl.te_bucket(hits(fx)), CLASSES, F.lit(n)).withColumn("pct_tot", F.round("pct_tot", 6))
+    n = fx.exon.agg(F.sum(F.col("end") - F.col("start") + 1)).first()[0]
+    t = cm.class_table(cl.te_bucket(real(hits(fx))), cl.CLASSES, n)
+    return rounded_buckets(t, cl.CLASSES).withColumn("pct_tot", F.round("pct_tot", 6))
 
 
 @query("a12_age_table", "hit", sql=f"WITH {INFO}, h AS (SELECT hit.*, lineage, age FROM hit JOIN ti USING (rname)) {NR.format(by='lineage, age', t='h')}")
@@ -114,15 +123,16 @@ def a12(fx: Fixtures) -> DataFrame:
     return cm.nr_length(ft.add_age(hits(fx), te_info(fx)).where("age IS NOT NULL"), ["lineage", "age"])
 
 
-@query("a13_site_summary", "hit", "exon", "tr", sql=f"""WITH {STRUCT}, {SITES}, a AS (SELECT tr_type, site, count(DISTINCT (chrom, pos)) AS n FROM sr GROUP BY ALL),
-  i AS (SELECT tr_type, site, count(DISTINCT (s.chrom, s.pos)) AS in_te FROM sr s WHERE EXISTS (SELECT 1 FROM hit h WHERE h.tr = s.tr AND s.pos BETWEEN h.te_st AND h.te_en AND s.pos BETWEEN h.st AND h.en) GROUP BY ALL)
-  SELECT tr_type, site, coalesce(in_te, 0) AS in_te, n, round(100 * coalesce(in_te, 0) / n, 6) AS pct FROM a LEFT JOIN i USING (tr_type, site)""")
+@query("a13_site_summary", "hit", "exon", "tr", sql=f"""WITH {STRUCT}, {SITES}, {CATS}, a AS (SELECT tr_type, site, count(DISTINCT (chrom, pos)) AS n FROM sr GROUP BY ALL UNION ALL SELECT tr_type, 'transcripts', count(*) FROM tr GROUP BY tr_type),
+  c AS (SELECT ct.*, tr_type, CASE WHEN ct.strand = '-' THEN t.en ELSE t.st END AS a5, CASE WHEN ct.strand = '-' THEN t.st ELSE t.en END AS a3, CASE WHEN ct.strand = '-' THEN ct.en ELSE ct.st END AS e5, CASE WHEN ct.strand = '-' THEN ct.st ELSE ct.en END AS e3 FROM ct JOIN tr t ON ct.tr = t.tr),
+  i AS (SELECT tr_type, 'TSS' AS site, count(DISTINCT (chrom, a5)) AS in_te FROM c WHERE category LIKE '%TSS%' GROUP BY tr_type UNION ALL SELECT tr_type, 'polyA', count(DISTINCT (chrom, a3)) FROM c WHERE category LIKE '%polyA%' GROUP BY tr_type
+    UNION ALL SELECT tr_type, '3SPL', count(DISTINCT (chrom, e5)) FROM c WHERE category LIKE '%3SPL%' GROUP BY tr_type UNION ALL SELECT tr_type, '5SPL', count(DISTINCT (chrom, e3)) FROM c WHERE category LIKE '%5SPL%' GROUP BY tr_type
+    UNION ALL SELECT tr_type, 'transcripts', count(DISTINCT tr) FROM c GROUP BY tr_type)
+  SELECT tr_type, site, in_te, n, round(100 * in_te / n, 6) AS pct FROM i JOIN a USING (tr_type, site)""")
 def a13(fx: Fixtures) -> DataFrame:
-    sites = md.site_rows(structure(fx))
-    n = sites.groupBy("tr_type", "site").agg(F.countDistinct("chrom", "pos").alias("n"))
-    h = hits(fx).select("tr", "te_st", "te_en", "st", "en")
-    inside = sites.join(h, "tr").where("pos BETWEEN te_st AND te_en AND pos BETWEEN st AND en")
-    return cm.site_summary(inside, n).withColumn("pct", F.round("pct", 6))
+    ends = fx.tr.select("tr", F.col("start").alias("tr_st"), F.col("end").alias("tr_en"))
+    taken = cm.site_hits(with_cats(fx).join(ends, "tr"))
+    return cm.site_summary(taken, md.distinct_sites(structure(fx))).withColumn("pct", F.round("pct", 6))
 
 
 @query("a33_feature_count", "hit", "exon", sql="SELECT (SELECT count(*) FROM exon) AS n, (SELECT count(DISTINCT (tr, k)) FROM hit) AS n_hit, (SELECT count(*) FROM exon) - (SELECT count(DISTINCT (tr, k)) FROM hit) AS n_unhit")
@@ -144,15 +154,31 @@ def j6(fx: Fixtures) -> DataFrame:
     return n.join(g, F.lower("rname") == F.col("l"), "left").drop("l")
 
 
-@query("f1_split_class_family", "te", sql="SELECT rname, rclass || '/' || rfam || '/x' AS classfam, rclass, rfam || '_x' AS rfam, count(*) AS n FROM te GROUP BY ALL")
+@query("f1_split_class_family", "te", sql="""SELECT m, rname, classfam, CASE m WHEN 3 THEN 'Unknown' WHEN 4 THEN 'LTR' ELSE rclass END AS rclass,
+  CASE m WHEN 0 THEN rfam || '_x' WHEN 2 THEN 'sub.' || rfam WHEN 3 THEN 'Unknown' WHEN 4 THEN CASE WHEN i % 3 = 2 THEN 'ERV' || rfam ELSE 'ERV' || rfam || '--int' END ELSE rfam END AS rfam, count(*) AS n
+  FROM (SELECT m, i, rclass, rfam, rname || CASE WHEN m < 4 THEN '' WHEN i % 3 = 0 THEN '-int' WHEN i % 3 = 1 THEN '_I' ELSE '-i' END AS rname,
+    CASE m WHEN 0 THEN rclass || '/' || rfam || '/x' WHEN 1 THEN rclass || '/' || rfam WHEN 2 THEN 'sub.' || rfam || '.' || rclass WHEN 3 THEN 'Unknown' ELSE 'LTR/ERV' || rfam END AS classfam
+    FROM (SELECT *, te_id % 5 AS m, CAST(replace(rname, 'R', '') AS INT) AS i FROM te)) GROUP BY ALL""")
 def f1(fx: Fixtures) -> DataFrame:
-    t = fx.te.select("rname", F.concat_ws("/", "rclass", "rfam", F.lit("x")).alias("classfam"))
-    return ft.split_class_family(t).groupBy("rname", "classfam", "rclass", "rfam").agg(F.count(F.lit(1)).alias("n"))
+    m, i = F.col("te_id") % 5, F.regexp_extract("rname", r"(\d+)", 1).cast("int") % 3
+    mark = F.when(m < 4, "").when(i == 0, "-int").when(i == 1, "_I").otherwise("-i")
+    name = F.when(m == 0, F.concat_ws("/", "rclass", "rfam", F.lit("x"))).when(m == 1, F.concat_ws("/", "rclass", "rfam")).when(m == 2, F.concat_ws(".", F.lit("sub"), "rfam", "rclass")).when(m == 3, "Unknown").otherwise(F.concat(F.lit("LTR/ERV"), "rfam"))
+    t = fx.te.select(m.alias("m"), F.concat("rname", mark).alias("rname"), name.alias("classfam"))
+    return ft.split_class_family(t).groupBy("m", "rname", "classfam", "rclass", "rfam").agg(F.count(F.lit(1)).alias("n"))
+
+
+#: Classes for the filter's modes, and which modes keep them, worked out by hand.
+FILTERED = (
+    ("LTR", "all no_low no_nonTE none"), ("Unknown", "all no_low no_nonTE none"), ("nonTE", "all no_low"), ("tRNA", "all no_low no_nonTE"), ("srpRNA", "all no_low no_nonTE"), ("snRNA?", "all no_low no_nonTE"),
+    ("Simple_repeat", "all no_nonTE"), ("simple_repeat", "all no_nonTE"), ("Low_complexity", "all no_nonTE"), ("Satellite", "all no_low no_nonTE"), ("ARTEFACT", "all no_low no_nonTE"), ("Segmental", "all no_low no_nonTE none"),
+)
 
 
-@query("f2_filter_nonte", "te", sql="SELECT te_id, rclass FROM te WHERE rclass <> 'Simple_repeat'")
+@query("f2_filter_nonte", "te", sql="SELECT mode, v.rclass, count(*) AS n FROM te JOIN (VALUES " + ", ".join(f"({k}, '{c}', '{m}')" for k, (c, ms) in enumerate(FILTERED) for m in ms.split()) + ") v(k, rclass, mode) ON te_id % 12 = k GROUP BY ALL")
 def f2(fx: Fixtures) -> DataFrame:
-    return ft.filter_nonte(fx.te, "no_nonTE").select("te_id", "rclass")
+    t = fx.te.withColumn("rclass", F.element_at(F.array(*[F.lit(c) for c, _ in FILTERED]), (F.col("te_id") % 12 + 1).cast("int")))
+    modes = [ft.filter_nonte(t, m).select(F.lit(m).alias("mode"), "rclass") for m in ft.NON_TE]
+    return modes[0].union(modes[1]).union(modes[2]).union(modes[3]).groupBy("mode", "rclass").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("f3_filter_repeat", "te", sql="SELECT te_id, rname FROM te WHERE contains(lower(rname), 'r1') AND rclass = 'LINE'")

@@ -65,6 +65,18 @@ EXP = POSITIONS + """, ob AS MATERIALIZED (SELECT coalesce(rclass, 'tot') AS rcl
   fl AS MATERIALIZED (SELECT k.rclass, r AS round, coalesce(hits, 0) AS hits FROM (SELECT rclass FROM ob UNION SELECT rclass FROM ex) k CROSS JOIN range(1, 5) x(r) LEFT JOIN ex ON ex.rclass = k.rclass AND ex.round = x.r)"""
 
 
+def log_choose(n, k):
+    """log of n over k as a column, by the Stirling series (exact to 1e-9 from 10 on; below by the shift to 10)."""
+    def log_factorial(x):
+        big = x.cast("double") + 10
+        lifted = (big + 0.5) * F.ln(big) - big + 0.9189385332046727 + 1 / (12 * big) - 1 / (360 * big * big * big) + 1 / (1260 * big * big * big * big * big)
+        for i in range(1, 11):
+            lifted = lifted - F.ln(x + i)
+        return lifted
+
+    return log_factorial(n) - log_factorial(k) - log_factorial(n - k)
+
+
 def class_hits(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
     """Observed and expected hits of classes and in total."""
     feature = ["tr", "k"]
@@ -108,12 +120,20 @@ def w5(fx: Fixtures) -> DataFrame:
 
 @query("r5_binomial_test", sql="""WITH b AS (SELECT l_linenumber, CAST(l_quantity AS INT) AS n, count(*) FILTER (l_returnflag = 'A') AS c FROM lineitem GROUP BY ALL), x AS (SELECT l_linenumber, n, c % (n + 1) AS x, 0.05 + l_linenumber / 10.0 AS p FROM b),
   f AS (SELECT l_linenumber, n, x, p, k, lgamma(n + 1) - CASE WHEN k = 0 THEN 0 ELSE lgamma(k + 1) END - CASE WHEN k = n THEN 0 ELSE lgamma(n - k + 1) END + k * ln(p) + (n - k) * ln(1 - p) AS l FROM x, LATERAL (SELECT unnest(range(0, n + 1)) AS k))
-  SELECT l_linenumber, n, x, round(least(1, sum(exp(f.l))), 6) AS binom_p FROM f JOIN (SELECT l_linenumber, n, l AS lx FROM f WHERE k = x) g USING (l_linenumber, n) WHERE f.l <= lx + 1e-7 GROUP BY ALL""")
+  SELECT l_linenumber, n, x, round(least(1, sum(exp(f.l))), 9) AS binom_p FROM f JOIN (SELECT l_linenumber, n, l AS lx FROM f WHERE k = x) g USING (l_linenumber, n) WHERE f.l <= lx + 1e-7 GROUP BY ALL""")
 def r5(fx: Fixtures) -> DataFrame:
     q = F.col("l_quantity").cast("int")
     b = fx.table("lineitem").groupBy("l_linenumber", q.alias("n")).agg(F.count(F.when(F.col("l_returnflag") == "A", 1)).alias("c"))
     b = b.select("l_linenumber", "n", (F.col("c") % (F.col("n") + 1)).alias("x"), (0.05 + F.col("l_linenumber") / 10).alias("prob"))
-    return binomial_test(b, "x", "n", "prob", interval=False).select("l_linenumber", "n", "x", F.round("binom_p", 6).alias("binom_p"))
+    return binomial_test(b, "x", "n", "prob", interval=False).select("l_linenumber", "n", "x", F.round("binom_p", 9).alias("binom_p"))
+
+
+#: Both limits of the interval leave 2.5 % in their tails, added up in DuckDB from the limits that the query gives back.
+@query("r5_binomial_tails", sql="SELECT CAST(l_linenumber AS INT) AS l_linenumber, count(*) AS n, count(*) FILTER (l_returnflag = 'A') AS x, 0.025 AS upper_tail, 0.025 AS lower_tail FROM lineitem GROUP BY l_linenumber")
+def r5c(fx: Fixtures) -> DataFrame:
+    k = lambda lo, hi, p: F.aggregate(F.sequence(lo.cast("int"), hi.cast("int")), F.lit(0.0), lambda acc, i: acc + F.exp(log_choose(F.col("n"), i) + i * F.ln(p) + (F.col("n") - i) * F.ln(1 - p)))
+    t = r5b(fx)
+    return t.select(F.col("l_linenumber").cast("int").alias("l_linenumber"), "n", "x", F.round(k(F.col("x"), F.col("n"), F.col("ci_low")), 6).alias("upper_tail"), F.round(k(F.lit(0), F.col("x"), F.col("ci_high")), 6).alias("lower_tail"))
 
 
 @query("r5_binomial_interval")

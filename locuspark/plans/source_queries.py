@@ -87,23 +87,30 @@ def s6(fx: Fixtures) -> DataFrame:
     return rd.read_mapped(fx.spark, path, rd.parse_colmap(fx.spark, m), [4])
 
 
-@query("s7_read_te_info", "te", sql="SELECT lower(rname) AS rname_lc, rclass, rfam || '_x' AS rfam, CAST(replace(rname, 'R', '') AS DOUBLE) AS pct_div FROM te GROUP BY ALL")
+@query("s7_read_te_info", "te", sql="""SELECT lower(rname) || CASE WHEN i % 7 = 0 THEN '-int' ELSE '' END AS rname_lc, rclass, CASE WHEN i % 7 = 0 THEN 'ERV_x--int' WHEN i % 7 = 1 THEN 'ERV_x' ELSE rfam || '_x' END AS rfam, CAST(i AS DOUBLE) AS pct_div
+  FROM (SELECT DISTINCT rname, rclass, rfam, CAST(replace(rname, 'R', '') AS INT) AS i FROM te)""")
 def s7(fx: Fixtures) -> DataFrame:
-    t = fx.te.select("rname", "rclass", "rfam").distinct()
-    t = t.union(t.select(F.lower("rname"), "rclass", "rfam"))
+    i = F.regexp_extract("rname", r"(\d+)", 1).cast("int")
+    t = fx.te.select("rname", "rclass", "rfam").distinct().select(F.concat("rname", F.when(i % 7 == 0, "-int").otherwise("")).alias("rname"), "rclass", F.when(i % 7 < 2, "ERV").otherwise(F.col("rfam")).alias("rfam"))
     path = written(fx, "teinfo", t, tab("rname", "rclass", F.concat("rfam", F.lit("/x")), F.concat_ws("/", "rclass", "rfam"), F.regexp_extract("rname", r"(\d+)", 1), F.lit("L"), F.lit("Ancient")), ["#Rname\tRclass\tRfam"])
-    return rd.read_te_info(fx.spark, path).select("rname_lc", "rclass", "rfam", "pct_div")
+    again = written(fx, "teinfo2", t, tab(F.lower("rname"), "rclass", F.concat("rfam", F.lit("/x")), F.lit("a"), F.regexp_extract("rname", r"(\d+)", 1), F.lit("L"), F.lit("Ancient")), ["Rname\tRclass\tRfam"])
+    return rd.read_te_info(fx.spark, [path, again]).select("rname_lc", "rclass", "rfam", "pct_div")
 
 
-@query("s8_read_parsed_rm", "te", sql="SELECT lower(rname) AS rname_lc, CAST(sum(en - st + 1) - count(*) AS BIGINT) AS g_len, count(*) AS g_count FROM te GROUP BY 1")
+@query("s8_read_parsed_rm", "te", sql="""WITH p AS (SELECT rname, strand, rclass, rfam, CAST(sum(en - st + 1) AS BIGINT) AS l, count(*) AS c, CASE WHEN strand = '+' THEN 5 ELSE 0 END AS o FROM te GROUP BY ALL)
+  SELECT layout, lower(rname) AS rname_lc, rclass, rfam, CAST(sum(l - o) AS BIGINT) AS g_len, CAST(sum(c) AS BIGINT) AS g_count, CAST(sum(c - 1) AS BIGINT) AS g_nr, round(sum(0.5 - CASE WHEN o > 0 THEN 0.25 ELSE 0 END), 6) AS g_pct FROM p, (VALUES ('new'), ('old'), ('old with Rlen')) v(layout) GROUP BY ALL""")
 def s8(fx: Fixtures) -> DataFrame:
-    t = fx.te.groupBy("rname", "strand").agg(F.sum(F.col("end") - F.col("start") + 1).alias("l"), F.count(F.lit(1)).alias("n"))
-    path = written(fx, "parsedrm", t.coalesce(1), tab("rname", "l", F.lit("0.5"), "n", "n", "n"))
-    head = written(fx, "parsedrm-h", fx.spark.createDataFrame([("#Rname\tlen\tpct\tcount\tnr_count\tlen_overlap",)], "l string"), F.col("l"))
-    both = fx.spark.read.text(head).union(fx.spark.read.text(path)).coalesce(1)
-    one = wr.shared_path(fx.spark, "parsedrm-all")
-    both.write.text(one)
-    return rd.read_parsed_rm(fx.spark, one).select("rname_lc", "g_len", "g_count")
+    t = fx.te.groupBy("rname", "strand", "rclass", "rfam").agg(F.sum(F.col("end") - F.col("start") + 1).alias("l"), F.count(F.lit(1)).alias("n"))
+    plus, x = F.col("strand") == "+", F.lit("1.0")
+    over, share = F.when(plus, "5").otherwise("0"), F.when(plus, "0.25").otherwise("0")
+    names, full, less = ["rname", "rclass", "rfam"], F.concat_ws("#", "rname", "rclass"), F.col("n") - 1
+    layouts = {
+        "new": (tab(*names, F.lit(900), "n", less, "l", *[x] * 7, F.lit("0.5"), over, share, x), "#Rname\tRclass\tRfam\tRlen\tFRG_NB_all\tFRG_NB_Reconstructed_repeats\tLEN_MASKED_NR"),
+        "old": (tab(*names, full, x, "n", x, less, *[x] * 6, "l", x, x, F.lit("0.5"), over, share, x), "#Rname\tRclass\tRfam\tRfullname\tx\tFRG_NB\tFRG_NB_StartToEnd\tNR_FRG_NB\tMED_LEN_MASKED"),
+        "old with Rlen": (tab(*names, full, F.lit(900), x, "n", x, less, *[x] * 6, "l", x, x, F.lit("0.5"), over, share, x), "#Rname\tRclass\tRfam\tRfullname\tRlen\tx\tFRG_NB\tFRG_NB_StartToEnd\tNR_FRG_NB\tMED_LEN_MASKED"),
+    }
+    got = [rd.read_parsed_rm(fx.spark, written(fx, "parsedrm", t, line, [head])).withColumn("layout", F.lit(k)) for k, (line, head) in layouts.items()]
+    return rd.concat_inputs(*got).withColumn("g_pct", F.round("g_pct", 6))
 
 
 @query("s9_read_genome_sizes", "sizes", sql="SELECT chrom, length FROM sizes")
@@ -144,7 +151,7 @@ def s27(fx: Fixtures) -> DataFrame:
     path = wr.shared_path(fx.spark, "many")
     for s, n in (("+", "p"), ("-", "m")):
         wr.write_bed(fx.exon.where(F.col("strand") == s), f"{path}/strand={n}")
-    got = fx.spark.read.option("recursiveFileLookup", True).text(path).select(F.regexp_extract(F.input_file_name(), r"(strand=[^/]+)/", 1).alias("run"))
+    got = rd.read_many(fx.spark, f"{path}/*", rd.read_bed, r"(strand=[^/]+)/")
     return got.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
 
 

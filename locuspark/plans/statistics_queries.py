@@ -15,6 +15,7 @@ from locuspark.operators import compose as cm
 from locuspark.functions import features as ft
 from locuspark.plans.fixtures import Fixtures
 from locuspark.plans.registry import query
+from locuspark.storage import checkpoint
 
 
 def li(fx: Fixtures) -> DataFrame:
@@ -113,12 +114,11 @@ def a32(fx: Fixtures) -> DataFrame:
     return st.drop_outlier(fx.table("events"), "value", lambda v, m: F.abs(v - m) > 100, "event_id", ["event_type"]).select("event_id")
 
 
-@query("w6_exponential_smoothing", sql="""WITH RECURSIVE o AS (SELECT user_id AS u, CAST(event_id AS BIGINT) AS event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events WHERE event_id % 20 = 0),
+@query("w6_exponential_smoothing", sql="""WITH RECURSIVE o AS (SELECT user_id AS u, CAST(event_id AS BIGINT) AS event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
   s AS (SELECT u, event_id, k, value AS x FROM o WHERE k = 1 UNION ALL SELECT o.u, o.event_id, o.k, 0.4 * s.x + (1 - 0.4) * o.value FROM s JOIN o ON o.u = s.u AND o.k = s.k + 1)
   SELECT u AS user_id, event_id, round(x, 6) AS smoothed FROM s""")
 def w6(fx: Fixtures) -> DataFrame:
-    e = fx.table("events").where("event_id % 20 = 0")
-    return rounded(st.exp_smooth(e, ["user_id"], "event_id", "value", 0.4), "smoothed")
+    return rounded(w6_all(fx), "smoothed")
 
 
 @query("w6_exponential_smoothing_all")
@@ -126,10 +126,14 @@ def w6_all(fx: Fixtures) -> DataFrame:
     return st.exp_smooth(fx.table("events"), ["user_id"], "event_id", "value", 0.4)
 
 
-@query("w7_weighted_smoothing")
+@query("w7_weighted_smoothing", sql="""WITH RECURSIVE o AS (SELECT user_id AS u, CAST(event_id AS BIGINT) AS event_id, value AS x, CAST(1 + event_id % 5 AS DOUBLE) AS n, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
+  r AS (SELECT u, event_id, i, x, n AS w FROM o WHERE i = 1 UNION ALL
+    SELECT o.u, o.event_id, o.i, (r.x * (0.4 * r.w / (r.w + o.n)) + o.x * (0.6 * o.n / (r.w + o.n))) / (0.4 * r.w / (r.w + o.n) + 0.6 * o.n / (r.w + o.n)), (r.w * (0.4 * r.w / (r.w + o.n)) + o.n * (0.6 * o.n / (r.w + o.n))) / (0.4 * r.w / (r.w + o.n) + 0.6 * o.n / (r.w + o.n))
+    FROM r JOIN o ON o.u = r.u AND o.i = r.i + 1)
+  SELECT u AS user_id, event_id, round(x, 6) AS smoothed FROM r""")
 def w7(fx: Fixtures) -> DataFrame:
     e = fx.table("events").withColumn("samples", 1 + F.col("event_id") % 5)
-    return st.weighted_smooth(e.select("user_id", "event_id", "value", "samples"), ["user_id"], "event_id", "value", "samples", 0.4)
+    return rounded(st.weighted_smooth(e.select("user_id", "event_id", "value", "samples"), ["user_id"], "event_id", "value", "samples", 0.4), "smoothed")
 
 
 @query("u1_summarise", "exon", sql="SELECT chrom, count(*) AS n, CAST(sum(en - st + 1) AS BIGINT) AS total, round(avg(en - st + 1), 6) AS mean, round(var_samp(en - st + 1), 6) AS variance, round(stddev_samp(en - st + 1), 6) AS sd, min(en - st + 1) AS min, max(en - st + 1) AS max, max(en - st + 1) - min(en - st + 1) AS range FROM exon GROUP BY chrom")
@@ -188,7 +192,7 @@ def q6(fx: Fixtures) -> DataFrame:
     return li(fx).agg(*[F.count(F.when(sq.float_cmp(F.col("l_tax"), F.col("l_discount"), op), 1)).alias(n) for op, n in (("<=", "le"), ("<", "lt"), (">=", "ge"), (">", "gt"))])
 
 
-@query("s12_n_runs", sql=f"""WITH {SEQ}, c AS (SELECT doc_id, i, substr(seq, i, 1) AS b FROM (SELECT doc_id, substr(seq, 1, 100000) AS seq FROM sq), LATERAL (SELECT unnest(range(1, length(seq) + 1)) AS i)),
+@query("s12_n_runs", sql=f"""WITH {SEQ}, c AS (SELECT doc_id, unnest(string_split(seq, '')) AS b, generate_subscripts(string_split(seq, ''), 1) AS i FROM sq WHERE seq <> ''),
   r AS (SELECT doc_id, min(i) AS st, max(i) AS en FROM (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS g FROM c WHERE b = 'N') GROUP BY doc_id, g) SELECT CAST(doc_id AS VARCHAR) AS chrom, st, en FROM r WHERE en - st + 1 >= 2""")
 def s12(fx: Fixtures) -> DataFrame:
     s = seqs(fx).select(F.col("doc_id").cast("string").alias("chrom"), "seq")
@@ -196,26 +200,28 @@ def s12(fx: Fixtures) -> DataFrame:
 
 
 # consensus coverage
-CON = """co AS (SELECT *, CASE WHEN te_strand = '-' THEN rep_end - (os - te_st) - (oe - os) ELSE rep_start + (os - te_st) END AS cs, CASE WHEN te_strand = '-' THEN rep_end - (os - te_st) ELSE rep_start + (os - te_st) + (oe - os) END AS ce FROM (
-  SELECT h.*, r.rep_start, r.rep_start + r.en - r.st AS rep_end, r.rep_left, greatest(h.te_st, h.st) AS os, least(h.te_en, h.en) AS oe FROM hit h JOIN te r ON h.te_id = r.te_id))"""
+#: Consensus ends with insertions and deletions, and the lift of each end by its own anchor.
+REP_END = "rep_start + {en} - {st} + te_id % 41 - 20"
+CON = f"""co AS MATERIALIZED (SELECT *, least(a, b) AS cs, greatest(a, b) AS ce FROM (SELECT *, CASE WHEN te_strand = '+' THEN rep_start + (os - te_st) ELSE rep_start + (te_en - oe) END AS a, CASE WHEN te_strand = '+' THEN rep_end - (te_en - oe) ELSE rep_end - (os - te_st) END AS b FROM (
+  SELECT h.*, r.rep_start, {REP_END.format(en='r.en', st='r.st').replace('te_id', 'r.te_id').replace('rep_start', 'r.rep_start')} AS rep_end, r.rep_left, greatest(h.te_st, h.st) AS os, least(h.te_en, h.en) AS oe FROM hit h JOIN te r ON h.te_id = r.te_id)))"""
 
 
 def te_raw(fx: Fixtures) -> DataFrame:
     """Repeats with the three raw consensus columns as the annotation writes them."""
-    end = F.col("rep_start") + F.col("end") - F.col("start")
+    end = F.expr(REP_END.format(en="end", st="start"))
     s, left = F.col("rep_start").cast("string"), F.concat(F.lit("("), F.col("rep_left").cast("string"), F.lit(")"))
     minus = F.col("strand") == "-"
     return fx.te.withColumns({"r11": F.when(minus, left).otherwise(s), "r12": end.cast("string"), "r13": F.when(minus, s).otherwise(left)}).drop("rep_start", "rep_left")
 
 
-@query("v1_consensus_coords", "te", sql="SELECT te_id, rep_start, rep_start + en - st AS rep_end, rep_left FROM te")
+@query("v1_consensus_coords", "te", sql=f"SELECT te_id, rep_start, {REP_END.format(en='en', st='st')} AS rep_end, rep_left FROM te")
 def v1(fx: Fixtures) -> DataFrame:
     return cv.consensus_coords(te_raw(fx)).select("te_id", "rep_start", "rep_end", "rep_left")
 
 
 def lifted(fx: Fixtures) -> DataFrame:
     j = cv.with_consensus(hits(fx), cv.consensus_coords(te_raw(fx))).withColumns({"o_st": F.greatest("te_st", "st"), "o_en": F.least("te_en", "en")})
-    return cv.lift_to_consensus(j)
+    return checkpoint(cv.lift_to_consensus(j).select("te_id", "tr", "k", "rname", "con_start", "con_end", "con_left", "rep_end", "rep_left"))
 
 
 @query("j10_consensus_lookup", "hit", "te", sql="SELECT h.te_id, tr, k, min(r.rep_start) AS rep_start FROM hit h JOIN te r ON h.rname = r.rname AND h.chrom = r.chrom AND h.te_st = r.st AND h.te_en = r.en AND h.block = r.block GROUP BY ALL")
@@ -223,9 +229,9 @@ def j10(fx: Fixtures) -> DataFrame:
     return cv.with_consensus(hits(fx), cv.consensus_coords(te_raw(fx))).groupBy("te_id", "tr", "k").agg(F.min("rep_start").alias("rep_start"))
 
 
-@query("v2_lift_to_consensus", "hit", "te", sql=f"WITH {CON} SELECT te_id, tr, k, cs AS con_start, ce AS con_end FROM co")
+@query("v2_lift_to_consensus", "hit", "te", sql=f"WITH {CON} SELECT te_id, tr, k, cs AS con_start, ce AS con_end, rep_left + rep_end - ce AS con_left FROM co")
 def v2(fx: Fixtures) -> DataFrame:
-    return lifted(fx).select("te_id", "tr", "k", "con_start", "con_end")
+    return lifted(fx).select("te_id", "tr", "k", "con_start", "con_end", "con_left")
 
 
 LENS = "ln AS (SELECT rname, length FROM (SELECT rname, rep_end + rep_left AS length, count(*) AS n FROM co GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY rname ORDER BY n DESC, length DESC) = 1)"
@@ -249,8 +255,10 @@ def a19(fx: Fixtures) -> DataFrame:
 
 @query("a19_coverage_wide_all")
 def a19_all(fx: Fixtures) -> DataFrame:
-    names = cv.consensus_lengths(lifted(fx)).select("rname").distinct().orderBy("rname").collect()  # one column each
-    return cv.coverage_wide(a18(fx), [r.rname for r in names])
+    j = lifted(fx)
+    lengths = cv.consensus_lengths(j)
+    names = lengths.select("rname").distinct().orderBy("rname").collect()  # one column each
+    return cv.coverage_wide(cv.depth_per_base(j, lengths), [r.rname for r in names])
 
 
 @query("a20_fragment_filters", "hit", "te", sql=f"WITH {CON}, {LENS}, f AS (SELECT te_id, tr, k, co.rname FROM co JOIN ln ON co.rname = ln.rname WHERE length >= 100 AND abs(rep_end + rep_left - length) <= 150) SELECT te_id, tr, k FROM f WHERE rname IN (SELECT rname FROM f GROUP BY rname HAVING count(*) >= 2)")
@@ -266,10 +274,10 @@ def v3(fx: Fixtures) -> DataFrame:
 # merged reports: the runs are the strands of the features
 def runs(fx: Fixtures) -> dict[str, DataFrame]:
     h = cl.te_bucket(hits(fx))
-    return {"a.up_plus": h.where("strand = '+'"), "b.exons_minus": h.where("strand = '-'")}
+    return {"a.up.1000.corr": h.where("strand = '+'"), "b.UTRs": h.where("strand = '-'")}
 
 
-RUN = f"hr AS (SELECT *, CASE WHEN strand = '+' THEN 'a.up_plus' ELSE 'b.exons_minus' END AS run, {SIX} AS class6 FROM hit)"
+RUN = f"hr AS (SELECT *, CASE WHEN strand = '+' THEN 'a.up.1000.corr' ELSE 'b.UTRs' END AS run, {SIX} AS class6 FROM hit)"
 
 
 def class_long(fx: Fixtures) -> DataFrame:
@@ -284,33 +292,33 @@ def m1(fx: Fixtures) -> DataFrame:
 CLS = ("LTR", "LINE", "SINE", "DNA", "Others", "nonTE")
 
 
-@query("m2_merge_class_tables", "hit", sql=f"WITH {RUN}, n AS ({NR.format(by='run, class6', t='hr')}) SELECT run, CASE WHEN run LIKE '%up%' THEN '01.up' ELSE '02.exons' END AS region, 'length' AS metric, " + ", ".join(f"CAST(coalesce(sum(nr_len) FILTER (class6 = '{c}'), 0) AS BIGINT) AS \"{c}\"" for c in CLS) + " FROM n GROUP BY run")
+@query("m2_merge_class_tables", "hit", sql=f"WITH {RUN}, n AS ({NR.format(by='run, class6', t='hr')}) SELECT run, CASE WHEN run LIKE '%up%' THEN '01.up' ELSE '02.UTR' END AS region, 'length' AS metric, " + ", ".join(f"CAST(coalesce(sum(nr_len) FILTER (class6 = '{c}'), 0) AS BIGINT) AS \"{c}\"" for c in CLS) + " FROM n GROUP BY run")
 def m2(fx: Fixtures) -> DataFrame:
     return mg.merge_class_tables(class_long(fx), CLS)
 
 
-@query("m3_merge_age_tables", "hit", sql=f"WITH {RUN}, {INFO}, h2 AS (SELECT hr.*, lineage AS type, age AS category FROM hr JOIN ti USING (rname) WHERE run = 'a.up_plus' OR lineage <> 'L1'), n AS ({NR.format(by='run, type, category', t='h2')}) SELECT run, type, category, coalesce(nr_len, 0) AS amount, round(coalesce(100 * nr_len / 1000, 0), 6) AS pct FROM (SELECT DISTINCT run FROM n) CROSS JOIN (SELECT DISTINCT type, category FROM n) LEFT JOIN n USING (run, type, category)")
+@query("m3_merge_age_tables", "hit", sql=f"WITH {RUN}, {INFO}, h2 AS (SELECT hr.*, lineage AS type, age AS category FROM hr JOIN ti USING (rname) WHERE run = 'a.up.1000.corr' OR lineage <> 'L1'), n AS ({NR.format(by='run, type, category', t='h2')}) SELECT run, type, category, coalesce(nr_len, 0) AS amount, round(coalesce(100 * nr_len / 1000, 0), 6) AS pct FROM (SELECT DISTINCT run FROM n) CROSS JOIN (SELECT DISTINCT type, category FROM n) LEFT JOIN n USING (run, type, category)")
 def m3(fx: Fixtures) -> DataFrame:
-    parts = {n: ft.add_age(h, te_info(fx)).where("age IS NOT NULL" + ("" if n == "a.up_plus" else " AND lineage <> 'L1'")) for n, h in runs(fx).items()}
+    parts = {n: ft.add_age(h, te_info(fx)).where("age IS NOT NULL" + ("" if n == "a.up.1000.corr" else " AND lineage <> 'L1'")) for n, h in runs(fx).items()}
     long = mg.merge_summaries({n: cm.nr_length(h, ["lineage", "age"]).select(F.col("lineage").alias("type"), F.col("age").alias("category"), F.col("nr_len").alias("amount"), F.lit(1000).alias("set_len")) for n, h in parts.items()})
     return rounded(mg.merge_age_tables(long), "pct").withColumn("amount", F.col("amount").cast("long"))
 
 
-@query("m4_split_run_name", sql="SELECT event_type || '.' || CAST(user_id AS VARCHAR) || '.tab' AS run, event_type AS name, CAST(user_id AS VARCHAR) || '.tab' AS subset, count(*) AS n FROM events GROUP BY ALL")
+@query("m4_split_run_name", sql="SELECT event_type || '.gtf.' || CAST(user_id AS VARCHAR) || '.tab' AS run, event_type || '.gtf' AS name, CAST(user_id AS VARCHAR) || '.tab' AS subset, count(*) AS n FROM events GROUP BY ALL")
 def m4(fx: Fixtures) -> DataFrame:
-    e = fx.table("events").select(F.concat_ws(".", "event_type", F.col("user_id").cast("string"), F.lit("tab")).alias("run"))
+    e = fx.table("events").select(F.concat_ws(".", "event_type", F.lit("gtf"), F.col("user_id").cast("string"), F.lit("tab")).alias("run"))
     name, subset = mg.run_subset(F.col("run"))
     return e.select("run", name.alias("name"), subset.alias("subset")).groupBy("run", "name", "subset").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("m5_merge_enrichment", "hit", sql=f"WITH {RUN}, o AS (SELECT run, rclass, rfam, rname, count(DISTINCT (tr, k)) AS obs, round(1 / (1 + count(*)), 6) AS p FROM hr GROUP BY ALL) SELECT rclass, rfam, rname, " + ", ".join(f"coalesce(max(obs) FILTER (run = '{r}'), 0) AS \"{r}_obs\", max(p) FILTER (run = '{r}') AS \"{r}_p\"" for r in ("a.up_plus", "b.exons_minus")) + " FROM o GROUP BY ALL")
+@query("m5_merge_enrichment", "hit", sql=f"WITH {RUN}, o AS (SELECT run, rclass, rfam, rname, count(DISTINCT (tr, k)) AS obs, round(1 / (1 + count(*)), 6) AS p FROM hr GROUP BY ALL) SELECT rclass, rfam, rname, " + ", ".join(f"coalesce(max(obs) FILTER (run = '{r}'), 0) AS \"{r}_obs\", max(p) FILTER (run = '{r}') AS \"{r}_p\"" for r in ("a.up.1000.corr", "b.UTRs")) + " FROM o GROUP BY ALL")
 def m5(fx: Fixtures) -> DataFrame:
     long = mg.merge_summaries({n: h.groupBy("rclass", "rfam", "rname").agg(F.countDistinct("tr", "k").alias("obs"), F.round(1 / (1 + F.count(F.lit(1))), 6).alias("p")) for n, h in runs(fx).items()})
-    return mg.merge_enrichment(long, ["a.up_plus", "b.exons_minus"])
+    return mg.merge_enrichment(long, ["a.up.1000.corr", "b.UTRs"])
 
 
-@query("u2_outlier_predicate", sql="""WITH m AS (SELECT avg(l_extendedprice) AS m FROM lineitem), f AS (SELECT l_orderkey, abs(l_extendedprice - m) AS d FROM lineitem, m ORDER BY d DESC, l_orderkey LIMIT 1)
-  SELECT count(*) AS n, round(sum(l_quantity), 2) AS total FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM f)""")
+@query("u2_outlier_predicate", sql="""WITH m AS (SELECT avg(l_extendedprice) AS m FROM lineitem), f AS (SELECT l_quantity, abs(l_extendedprice - m) AS d FROM lineitem, m ORDER BY d DESC, l_orderkey, l_linenumber LIMIT 1)
+  SELECT count(*) - 1 AS n, round(sum(l_quantity) - (SELECT l_quantity FROM f), 2) AS total FROM lineitem""")
 def u2(fx: Fixtures) -> DataFrame:
     kept = st.drop_outlier(li(fx), "l_extendedprice", lambda v, m: F.abs(v - m) > 1, "l_orderkey")
     return kept.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("total"))

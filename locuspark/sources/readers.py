@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from locuspark.functions.features import split_class_family
+from locuspark.functions.features import internal_mark, split_class_family
 from locuspark.functions.sequences import expand_iupac
 
 #: Metadata and comment lines.
@@ -30,13 +30,6 @@ def header_lines(df: DataFrame, pattern: str, parse: Callable[[DataFrame], DataF
     return parse(df.where(F.col("value").rlike(pattern)))
 
 
-def before_marker(spark: SparkSession, path: str, marker: str) -> DataFrame:
-    """Lines of each file before its end-of-data marker; files are cut at it in the reader, by record separator."""
-    head = spark.read.option("lineSep", marker).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"))
-    first = head.groupBy("file").agg(F.min(F.struct("_at", "value"))["value"].alias("value"))
-    return first.select("file", F.explode(F.split("value", "\n")).alias("value"))
-
-
 def read_rmsk(spark: SparkSession, path: str | Sequence[str], base: int = 1) -> DataFrame:
     """RepeatMasker output: one row per repeat, start raised by one for zero-based files.
 
@@ -106,8 +99,12 @@ _GFF = ("seqid", "source", "type", "start", "end", "score", "strand", "phase", "
 
 
 def read_gff3(spark: SparkSession, path: str) -> DataFrame:
-    """GFF3 up to ##FASTA as features; a feature without ID gets type_digest of its whole line."""
-    rows = before_marker(spark, path, "##FASTA").where(~F.col("value").rlike(COMMENT)).select(F.split("value", r"\t").alias("p"), "value")
+    """GFF3 lines as features; a feature without ID gets type_digest of its whole line.
+
+    Lines are told apart one by one, so files of any size are split: a feature has nine columns;
+    sequences after ##FASTA have none of them, and their headers begin with >.
+    """
+    rows = spark.read.text(path).where(~F.col("value").rlike(COMMENT + "|^>")).select(F.split("value", r"\t").alias("p"), "value").where(F.size("p") >= 9)
     t = rows.select(*[(F.col("p")[i].cast("long") if c in ("start", "end") else F.col("p")[i]).alias(c) for i, c in enumerate(_GFF[:8])], F.col("p")[8].alias("_a"), "value")
     t = t.withColumn("attributes", list_attributes("_a"))
     own = F.try_element_at(F.try_element_at(F.col("attributes"), F.lit("ID")), F.lit(1))
@@ -132,24 +129,42 @@ def parse_colmap(spark: SparkSession, path: str) -> dict[str, int]:
 
 
 def read_te_info(spark: SparkSession, path: str) -> DataFrame:
-    """Repeat table: rname, rclass, rfam, pct_div, lineage, age; first row per lower-case name; / in families becomes _."""
+    """Repeat table: rname, rclass, rfam, pct_div, lineage, age; first row per lower-case name.
+
+    The first / in a family becomes _; internal ERV parts get --int on the family.
+    """
     c = skip_records(lines(spark, path), COMMENT + "|^(?i:rname)").withColumn("p", F.split("value", r"\t"))
     at = lambda i: F.try_element_at("p", F.lit(i))
-    t = c.select(at(1).alias("rname"), at(2).alias("rclass"), F.regexp_replace(at(3), "/", "_").alias("rfam"), at(5).try_cast("double").alias("pct_div"), at(6).alias("lineage"), at(7).alias("age"))
+    t = c.select(at(1).alias("rname"), at(2).alias("rclass"), internal_mark(F.concat_ws("_", F.substring_index(at(3), "/", 1), F.when(F.instr(at(3), "/") > 0, F.regexp_replace(at(3), "^[^/]*/", ""))), at(1)).alias("rfam"), at(5).try_cast("double").alias("pct_div"), at(6).alias("lineage"), at(7).alias("age"))
     return t.withColumn("rname_lc", F.lower("rname")).dropDuplicates(["rname_lc"])
 
 
+#: Column numbers (from 0) of a parsed summary table by layout (fixed values); the older one has one more column before them if its header names Rlen.
+PARSED_RM = {
+    "new": {"count": 4, "nr_count": 5, "len": 6, "pct": 14, "len_overlap": 15, "pct_overlap": 16},
+    "old": {"count": 5, "nr_count": 7, "len": 14, "pct": 17, "len_overlap": 18, "pct_overlap": 19},
+}
+
+
 def read_parsed_rm(spark: SparkSession, path: str) -> DataFrame:
-    """Genome totals per repeat of a summary table with named columns: rname_lc, g_len, g_pct, g_count, g_nr.
+    """Genome totals per repeat of a summary table, either layout: rname_lc, rclass, rfam, g_len, g_pct, g_count, g_nr.
 
-    The old layout has total columns only; the new one has an overlap that is taken off. Found from the header line.
+    A header with Rfullname and MED_LEN_MASKED means the old layout. Overlaps (length and
+    percent, where both are given) are taken off; several rows of one lower-case name add
+    up. A table whose percentages are nd was made without a genome size: an error.
     """
-    c = spark.read.csv(path, sep="\t", header=True)
-    names = {x.lower().lstrip("#").strip(): x for x in c.columns}
-    num = lambda x: F.col(f"`{names[x]}`").try_cast("double")
-    less = lambda a, b: num(a) - F.coalesce(num(b), F.lit(0.0)) if b in names else num(a)
-    t = c.select(F.lower(F.col(f"`{names['rname']}`")).alias("rname_lc"), less("len", "len_overlap").alias("l"), less("pct", "pct_overlap").alias("p"), num("count").alias("c"), num("nr_count").alias("n"))
-    return t.groupBy("rname_lc").agg(F.sum("l").cast("long").alias("g_len"), F.sum("p").alias("g_pct"), F.sum("c").cast("long").alias("g_count"), F.sum("n").cast("long").alias("g_nr"))
+    rows = skip_records(lines(spark, path), COMMENT + "|^Rname").withColumn("p", F.split("value", r"\t"))
+    heads = spark.read.text(path).where(F.col("value").rlike("Rfullname")).agg(F.max(F.col("value").contains("MED_LEN_MASKED")).alias("old"), F.max(F.col("value").contains("Rlen")).alias("rlen")).first()
+    at, shift = PARSED_RM["old" if heads["old"] else "new"], int(bool(heads["old"] and heads["rlen"]))
+    text = lambda k: F.try_element_at("p", F.lit(at[k] + shift + 1))
+    num = lambda k: text(k).try_cast("double")
+    given = ~(F.coalesce(text("len_overlap"), F.lit("")).isin("", "0") | F.coalesce(text("pct_overlap"), F.lit("")).isin("", "0"))
+    less = lambda a, b: num(a) - F.when(given, F.coalesce(num(b), F.lit(0.0))).otherwise(0.0)
+    pct = F.when(text("pct") == "nd", F.raise_error(F.lit("the percent of the genome is missing (nd) in the parsed table"))).otherwise(less("pct", "pct_overlap")).cast("double")
+    cell = lambda i: F.try_element_at("p", F.lit(i))
+    fam = internal_mark(F.concat_ws("_", F.substring_index(cell(3), "/", 1), F.when(F.instr(cell(3), "/") > 0, F.regexp_replace(cell(3), "^[^/]*/", ""))), cell(1))
+    t = rows.select(F.lower(cell(1)).alias("rname_lc"), cell(2).alias("rclass"), fam.alias("rfam"), less("len", "len_overlap").alias("l"), pct.alias("p"), num("count").alias("c"), num("nr_count").alias("n"))
+    return t.groupBy("rname_lc").agg(F.max("rclass").alias("rclass"), F.max("rfam").alias("rfam"), F.sum("l").cast("long").alias("g_len"), F.sum("p").alias("g_pct"), F.sum("c").cast("long").alias("g_count"), F.sum("n").cast("long").alias("g_nr"))
 
 
 def read_sizes(spark: SparkSession, path: str) -> DataFrame:
@@ -157,15 +172,34 @@ def read_sizes(spark: SparkSession, path: str) -> DataFrame:
     return skip_records(lines(spark, path)).select(p[0].alias("chrom"), p[1].cast("long").alias("length"))
 
 
+def fasta_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """(chrom, start, seq): the lines of FASTA sequences, each with its 1-based place; the name is the header's first word.
+
+    Files are split at any line. A line's sequence and place come from running sums inside its split
+    and one carried row per split, so neither a sequence nor a file is ever one row.
+    """
+    rows = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_at"))
+    head = F.col("value").startswith(">")
+    rows = rows.withColumns({"_head": head.cast("int"), "_seq": F.when(head, "").otherwise(F.regexp_replace("value", r"\s", ""))})
+    upto = Window.partitionBy("_file", "_split").orderBy("_at")
+    rows = rows.withColumns({"_no": F.sum("_head").over(upto), "_sum": F.sum(F.length("_seq")).over(upto) - F.length("_seq")})
+    earlier = Window.partitionBy("_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    carried = rows.groupBy("_file", "_split").agg(F.sum("_head").alias("_h"), F.sum(F.length("_seq")).alias("_n"))
+    carried = carried.select("_file", "_split", F.coalesce(F.sum("_h").over(earlier), F.lit(0)).alias("_h0"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"))
+    rows = rows.join(carried, ["_file", "_split"]).withColumns({"_no": F.col("_no") + F.col("_h0"), "_sum": F.col("_sum") + F.col("_n0")})
+    names = rows.where("_head = 1").select("_file", "_no", F.split(F.trim(F.substring("value", 2, 1 << 30)), r"\s+")[0].alias("chrom"), F.col("_sum").alias("_from"))
+    lines_ = rows.where("_head = 0 AND _seq <> ''").join(names, ["_file", "_no"])
+    return lines_.select("chrom", (F.col("_sum") - F.col("_from") + 1).cast("long").alias("start"), F.col("_seq").alias("seq"))
+
+
 def fasta_records(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, seq): sequences of a FASTA file, records split at >; the name is the header's first word."""
-    r = spark.read.option("lineSep", ">").text(path).where(F.length(F.trim("value")) > 0)
-    head = F.substring_index("value", "\n", 1)
-    return r.select(F.split(F.trim(head), r"\s+")[0].alias("chrom"), F.regexp_replace(F.substring(F.col("value"), F.length(head) + 1, F.length("value")), r"\s", "").alias("seq"))
+    """(chrom, seq): whole sequences, for genes and other short ones; chromosomes are read as fasta_chunks."""
+    parts = F.array_sort(F.collect_list(F.struct("start", "seq")))
+    return fasta_chunks(spark, path).groupBy("chrom").agg(F.array_join(F.transform(parts, lambda x: x["seq"]), "").alias("seq"))
 
 
 def fasta_lengths(spark: SparkSession, path: str) -> DataFrame:
-    return fasta_records(spark, path).groupBy("chrom").agg(F.sum(F.length("seq")).cast("long").alias("length"))
+    return fasta_chunks(spark, path).groupBy("chrom").agg(F.sum(F.length("seq")).cast("long").alias("length"))
 
 
 def read_gaps(spark: SparkSession, path: str) -> DataFrame:
@@ -192,10 +226,12 @@ def exon_intervals(gtf: DataFrame) -> DataFrame:
     return e.select("chrom", "start", "end", name.alias("name"), "strand")
 
 
-def read_many(spark: SparkSession, pattern: str, reader: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    """Every file that matches, as one table with the file's name as run; the reader must keep file order no further than rows."""
-    out = reader(spark, pattern)
-    return out.withColumn("run", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
+def read_many(spark: SparkSession, pattern: str, reader: Callable[[SparkSession, str], DataFrame], name: str = r"([^/]+)$") -> DataFrame:
+    """Every file that matches, in one scan, as one table with run taken from each file's path by ``name``.
+
+    For readers that go line by line, as all here but fasta_chunks and read_te_info do.
+    """
+    return reader(spark, pattern).withColumn("run", F.regexp_extract(F.input_file_name(), name, 1))
 
 
 def read_vcf(spark: SparkSession, path: str) -> DataFrame:

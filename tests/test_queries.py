@@ -8,17 +8,10 @@ from locuspark.plans import registry
 from tests.oracle import connect, normal
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-#: A sample of each group by default; LOCUSPARK_ALL=1 runs them all.
-QUICK = (
-    "repeat_composition j1_overlap_join_long j2_subtract_intervals j3_nearest w1_merge_intervals x4_interval_xor x8_parse_ranges t6_utrs t16_aed t18_genome_to_transcript c1_te_contribution_exon "
-    "a2_nr_length_by_class a5_hits_by_level a9_te_ratios a23_order_statistics a26_moments r2_shuffle_positions r3_shuffle_keep_tss_distance r4_permutation_test r5_binomial_test "
-    "a18_depth_per_base m3_merge_age_tables q4_extract_sequence s1_read_rmsk s5_read_gff3 s14_read_vcf s19_validate_features j8_descendants"
-).split()
-NAMES = sorted(registry.ORACLE_SQL) if os.environ.get("LOCUSPARK_ALL") else QUICK
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables are not here")
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_matches_sql(spark, name):
     got = registry.QUERIES[name](spark, SF).toPandas()
     want = connect(SF).execute(registry.ORACLE_SQL[name]).df()
