@@ -214,9 +214,9 @@ def weighted_smooth(df: DataFrame, by: Sequence[str], order: str, col: str, weig
         if state is None:
             return (x, n), x
         s, w = state
-        a, b = coeff * w, (1 - coeff) * n  # the common divisor cancels out
-        if a + b:
-            s, w = (a * s + b * x) / (a + b), (a * w + b * n) / (a + b)
+        if w + n:
+            a, b = coeff * w / (w + n), (1 - coeff) * n / (w + n)
+            s, w = (s * a + x * b) / (a + b), (w * a + n * b) / (a + b)
         return (s, w), s
 
     return _smoothed(df, by, order, [col, weight], step)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from locuspark.operators.intervals import interval_complement, interval_intersection, nearest
 from locuspark.operators.model import seeded_key
+from locuspark.storage import checkpoint
 
 
 def _rounds(df: DataFrame, rounds: int, first: int = 1) -> DataFrame:
@@ -21,17 +24,38 @@ def inside(start: Column, end: Column, length: Column) -> tuple[Column, Column]:
     return start + shift, F.least(end + shift, length)
 
 
+#: Ids and keys of one bucket of a rank.
+ID_STEP, KEY_BITS = 4_000_000, 24
+
+
+def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], bucket: Column) -> DataFrame:
+    """Add _i: the row's number (from 1) among those of equal ``by`` in the given order.
+
+    Rows are numbered per ``bucket`` (ascending with the order), after the number of rows in
+    the buckets before it, so no task sorts a chromosome.
+    """
+    by = list(by)
+    marked = df.withColumn("_bucket", bucket)
+    earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = marked.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_c")).select(*by, "_bucket", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_carry"))
+    number = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order)) + F.col("_carry")
+    return marked.join(carried, [*by, "_bucket"]).withColumn("_i", number).drop("_bucket", "_carry")
+
+
 def shuffle_positions(te: DataFrame, sizes: DataFrame, rounds: int, seed: int = 1, first: int = 1) -> DataFrame:
-    """Permute midpoints among the repeats of each chromosome; lengths stay: te's columns with new start, end, and round."""
-    r = _rounds(te.join(sizes.select("chrom", "length"), "chrom"), rounds, first)
-    by = ("round", "chrom")
-    place = r.withColumn("_i", F.row_number().over(Window.partitionBy(*by).orderBy("te_id")))
-    drawn = r.select("round", "chrom", F.floor((F.col("start") + F.col("end")) / 2).alias("_mid"), "te_id")
-    drawn = drawn.withColumn("_i", F.row_number().over(Window.partitionBy(*by).orderBy(seeded_key(F.col("te_id"), F.col("round"), seed), "te_id"))).drop("te_id")
+    """Permute midpoints among the repeats of each chromosome; lengths stay: te's columns with new start, end, and round.
+
+    The repeats are written once; their order by id is the same in every round.
+    """
+    base = checkpoint(te.join(sizes.select("chrom", "length"), "chrom"))
+    place = _rounds(ranked(base, ["chrom"], ["te_id"], F.floor(F.col("te_id") / ID_STEP)), rounds, first)
+    drawn = _rounds(base.select("chrom", F.floor((F.col("start") + F.col("end")) / 2).alias("_mid"), "te_id"), rounds, first)
+    drawn = drawn.withColumn("_key", seeded_key(F.col("te_id"), F.col("round"), seed))
+    drawn = ranked(drawn, ["round", "chrom"], ["_key", "te_id"], F.shiftright("_key", KEY_BITS)).select("round", "chrom", "_i", "_mid")
     n = F.col("end") - F.col("start")
     s = F.col("_mid") - F.floor(n / 2)
     a, b = inside(s, s + n, F.col("length"))
-    return place.join(drawn, [*by, "_i"]).withColumns({"start": a, "end": b}).select(*te.columns, "round")
+    return place.join(drawn, ["round", "chrom", "_i"]).withColumns({"start": a, "end": b}).select(*te.columns, "round")
 
 
 def shuffle_tss(te: DataFrame, tss: DataFrame, sizes: DataFrame, rounds: int, seed: int = 1, first: int = 1) -> DataFrame:
@@ -41,10 +65,10 @@ def shuffle_tss(te: DataFrame, tss: DataFrame, sizes: DataFrame, rounds: int, se
     are fewer than repeats. Out of the chromosome, a repeat goes to the site's other side, then is shifted in.
     """
     d = nearest(te, tss, "te_id", "tss_id").select("te_id", "distance")
-    r = _rounds(te.join(d, "te_id").join(sizes.select("chrom", "length"), "chrom"), rounds, first)
-    order = Window.partitionBy("round", "chrom").orderBy(seeded_key(F.col("te_id"), F.col("round"), seed), "te_id")
-    r = r.withColumn("_rank", F.row_number().over(order).cast("long") - 1)
-    counted = tss.withColumns({"_slot": F.row_number().over(Window.partitionBy("chrom").orderBy("tss_id")).cast("long") - 1})
+    r = _rounds(checkpoint(te.join(d, "te_id").join(sizes.select("chrom", "length"), "chrom")), rounds, first)
+    r = r.withColumn("_key", seeded_key(F.col("te_id"), F.col("round"), seed))
+    r = ranked(r, ["round", "chrom"], ["_key", "te_id"], F.shiftright("_key", KEY_BITS)).withColumn("_rank", F.col("_i").cast("long") - 1)
+    counted = ranked(tss, ["chrom"], ["tss_id"], F.floor(F.col("tss_id") / ID_STEP)).withColumn("_slot", F.col("_i").cast("long") - 1)
     n = tss.groupBy("chrom").agg(F.count(F.lit(1)).alias("_n"))
     slots = counted.select("chrom", "_slot", F.col("start").alias("_p"), F.col("strand").alias("_st"))
     j = r.join(n, "chrom").withColumn("_slot", F.pmod("_rank", "_n")).join(slots, ["chrom", "_slot"])
