@@ -20,6 +20,8 @@ from pyspark.sql.types import FloatType
 
 from locuspark.llm.shared import block_rows, checkpoint, components, min_labels, run_bounds, whole_runs
 
+#: Vectors that one task hashes, and widths that are planned before.
+HASHED, PLANNED = 20_000, 8
 #: Rows of one block of a bucket, and tables beyond which shorter codes are taken.
 BLOCK, MOST_TABLES = 1024, 60
 
@@ -195,12 +197,18 @@ def embedding_neighbours(
         .agg(F.min("vec_id").alias("rep"), F.countDistinct("vec_id").alias("many"))
     )
     sized = classes.withColumn("w", F.size("v"))
-    sized = sized.join(sized.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "w")
+    # hashing is dear and its input small: a number of partitions of its own, which no coalescing undoes
+    parts = max(classes.sparkSession.sparkContext.defaultParallelism, classes.count() // HASHED)
+    sized = sized.join(sized.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "w").repartition(parts, "rep")
+
+    # the commonest widths are planned once, here; tasks plan the rest, each for itself
+    common = classes.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").limit(PLANNED).collect()
+    plans = {(r["w"], r["count"]): plan_tables(r["count"], r["w"], threshold, probes, recall) for r in common}
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for big in batches:
             for (w, n), same in big.groupby(["w", "n"], sort=False):
-                tables, codes = plan_tables(int(n), int(w), threshold, probes, recall)
+                tables, codes = plans.get((w, n)) or plan_tables(int(n), int(w), threshold, probes, recall)
                 for at in range(0, len(same), 256):
                     part = same.iloc[at : at + 256]
                     vec = np.stack(part["v"].to_numpy()).astype(kind)
