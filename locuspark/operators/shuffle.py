@@ -28,34 +28,41 @@ def inside(start: Column, end: Column, length: Column) -> tuple[Column, Column]:
 ID_STEP, KEY_BITS = 4_000_000, 24
 
 
-def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], bucket: Column) -> DataFrame:
-    """Add _i: the row's number (from 1) among those of equal ``by`` in the given order.
+def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], bucket: Column, value: Column) -> DataFrame:
+    """Add _before: the sum of ``value`` over the rows of equal ``by`` that come before in the given order.
 
-    Rows are numbered per ``bucket`` (ascending with the order), after the number of rows in
-    the buckets before it, so no task sorts a chromosome.
+    Sums run per ``bucket`` (ascending with the order), after the sum of the buckets before
+    it, so no task sorts a chromosome.
     """
     by = list(by)
-    marked = df.withColumn("_bucket", bucket)
+    marked = df.withColumns({"_bucket": bucket, "_value": value})
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = marked.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_c")).select(*by, "_bucket", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_carry"))
-    number = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order)) + F.col("_carry")
-    return marked.join(carried, [*by, "_bucket"]).withColumn("_i", number).drop("_bucket", "_carry")
+    carried = marked.groupBy(*by, "_bucket").agg(F.sum("_value").alias("_c")).select(*by, "_bucket", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_carry"))
+    inner = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_value").over(inner), F.lit(0)) + F.col("_carry")
+    return marked.join(carried, [*by, "_bucket"]).withColumn("_before", before).drop("_bucket", "_value", "_carry")
+
+
+def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], bucket: Column) -> DataFrame:
+    """Add _i: the row's number (from 1) among those of equal ``by`` in the given order."""
+    return running_sum(df, by, order, bucket, F.lit(1)).withColumn("_i", F.col("_before") + 1).drop("_before")
 
 
 def shuffle_positions(te: DataFrame, sizes: DataFrame, rounds: int, seed: int = 1, first: int = 1) -> DataFrame:
     """Permute midpoints among the repeats of each chromosome; lengths stay: te's columns with new start, end, and round.
 
-    The repeats are written once; their order by id is the same in every round.
+    The repeats are written once; their order by id is the same in every round, so each meets
+    its places of all rounds in one join and only the drawn places are shuffled per round.
     """
     base = checkpoint(te.join(sizes.select("chrom", "length"), "chrom"))
-    place = _rounds(ranked(base, ["chrom"], ["te_id"], F.floor(F.col("te_id") / ID_STEP)), rounds, first)
+    place = ranked(base, ["chrom"], ["te_id"], F.floor(F.col("te_id") / ID_STEP))
     drawn = _rounds(base.select("chrom", F.floor((F.col("start") + F.col("end")) / 2).alias("_mid"), "te_id"), rounds, first)
     drawn = drawn.withColumn("_key", seeded_key(F.col("te_id"), F.col("round"), seed))
     drawn = ranked(drawn, ["round", "chrom"], ["_key", "te_id"], F.shiftright("_key", KEY_BITS)).select("round", "chrom", "_i", "_mid")
     n = F.col("end") - F.col("start")
     s = F.col("_mid") - F.floor(n / 2)
     a, b = inside(s, s + n, F.col("length"))
-    return place.join(drawn, ["round", "chrom", "_i"]).withColumns({"start": a, "end": b}).select(*te.columns, "round")
+    return place.join(drawn, ["chrom", "_i"]).withColumns({"start": a, "end": b}).select(*te.columns, "round")
 
 
 def shuffle_tss(te: DataFrame, tss: DataFrame, sizes: DataFrame, rounds: int, seed: int = 1, first: int = 1) -> DataFrame:
@@ -114,22 +121,87 @@ def _drawn(draws: pd.DataFrame, gaps: pd.DataFrame) -> pd.DataFrame:
         mid = (lo + hi + 1) // 2
         below = cum[mid] - mid * span <= u
         lo, hi = np.where(below, mid, lo), np.where(below, hi, mid - 1)
-    return draws[["te_id", "round"]].assign(_new=at[lo] + u - (cum[lo] - lo * span))
+    return draws[["chrom", "te_id", "round", "_span"]].assign(_gap=at[lo], _new=at[lo] + u - (cum[lo] - lo * span))
+
+
+def _draw(items: DataFrame, gaps: DataFrame, by: Sequence[str], seed: int) -> DataFrame:
+    """(chrom, te_id, round, _span, _gap, _new): the drawn gap and start of each item that fits in a gap of equal ``by``.
+
+    Tasks take a share of the placements (``PLACEMENTS``) and their gaps.
+    """
+    parts = items.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / PLACEMENTS).cast("int").alias("_parts"))
+    gaps = gaps.select(*[F.col(c).alias(c) for c in gaps.columns])  # columns of their own beside the items
+    gaps = gaps.join(parts, [*by]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    draws = items.join(parts, [*by]).withColumn("_key", F.xxhash64("te_id", "round", F.lit(seed))).withColumn("_part", F.pmod(F.xxhash64("te_id", "round", F.lit("part")), F.col("_parts")).cast("int")).drop("_parts")
+    shape = f"chrom string, te_id {dict(items.dtypes)['te_id']}, round long, _span long, _gap long, _new long"
+    return draws.groupBy(*by, "_part").cogroup(gaps.groupBy(*by, "_part")).applyInPandas(_drawn, shape)
+
+
+#: Keys that put placements in order, and how many of them are one bucket.
+PLACE_KEYS, PLACE_STEP = 1 << 40, 1 << 32
+
 
+def _place_key(seed: int, turn: int) -> Column:
+    return F.pmod(F.xxhash64("te_id", "round", F.lit(seed), F.lit(turn)), F.lit(PLACE_KEYS))
 
-def shuffle_random(te: DataFrame, sizes: DataFrame, rounds: int, excl: DataFrame | None = None, incl: DataFrame | None = None, seed: int = 1, first: int = 1) -> DataFrame:
+
+def _draw_apart(items: DataFrame, gaps: DataFrame, seed: int) -> DataFrame:
+    """As _draw, without overlaps within a round.
+
+    Each item draws a gap; in random order, those that the gap's room holds stay and the
+    others draw again among the room that is left, until all have a gap or fit in none.
+    Then the free positions of each gap are dealt at random between the items it holds: an
+    item's place follows from its rank's share of them and the lengths before it. The first
+    item of a gap always fits, so every turn places some of those left.
+    """
+    by = ["chrom", "round", "_gap"]
+    order, bucket = ["_key", "te_id"], F.floor(F.col("_key") / PLACE_STEP)
+    rounds = items.select("chrom", "round").distinct()
+    whole = gaps.join(rounds, "chrom").select("chrom", "round", F.col("start").alias("_gap"), (F.col("end") - F.col("start") + 1).cast("long").alias("_room"))
+    whole = checkpoint(whole)
+    room, placed, turn = whole, None, 0
+    while True:
+        free = room.where("_room > 0").select("chrom", "round", F.col("_gap").alias("start"), (F.col("_gap") + F.col("_room") - 1).alias("end"))
+        drawn = _draw(items, free, ["chrom", "round"], seed + turn).withColumns({"_length": F.col("_span") + 1, "_key": _place_key(seed, turn)})
+        drawn = running_sum(drawn, by, order, bucket, F.col("_length")).join(room, by)
+        drawn = checkpoint(drawn.select("te_id", *by, "_span", "_length", (F.col("_before") + F.col("_length") <= F.col("_room")).alias("_stays")))
+        stay = drawn.where("_stays").drop("_stays")
+        placed = stay if placed is None else placed.unionByName(stay)
+        items = drawn.where("NOT _stays").select("chrom", "te_id", "round", "_span")
+        if items.isEmpty():
+            break
+        used = stay.groupBy(*by).agg(F.sum("_length").alias("_used"))
+        room = checkpoint(room.join(used, by, "left").select(*by, (F.col("_room") - F.coalesce("_used", F.lit(0))).alias("_room")))
+        turn += 1
+    used = placed.groupBy(*by).agg(F.sum("_length").alias("_used"))
+    slack = whole.join(used, by).select(*by, (F.col("_room") - F.col("_used")).alias("_slack"))
+    at = running_sum(placed.withColumn("_key", _place_key(seed, -1)), by, order, bucket, F.col("_length")).join(slack, by)
+    ahead = F.least(F.floor(F.col("_key") / PLACE_KEYS * (F.col("_slack") + 1)), F.col("_slack"))  # grows with the order
+    return at.select("chrom", "te_id", "round", "_span", "_gap", (F.col("_gap") + ahead + F.col("_before")).cast("long").alias("_new"))
+
+
+def shuffle_random(
+    te: DataFrame,
+    sizes: DataFrame,
+    rounds: int,
+    excl: DataFrame | None = None,
+    incl: DataFrame | None = None,
+    seed: int = 1,
+    first: int = 1,
+    no_overlap: bool = False,
+) -> DataFrame:
     """Place each repeat at random on its chromosome, whole inside the allowed space.
 
     One draw over the exact number of starts at which the repeat fits is uniform over them
-    and never rejected. A repeat that fits nowhere is left out. Tasks take a share of a
-    chromosome's placements (``PLACEMENTS``) and its gaps.
+    and never rejected. A repeat that fits nowhere is left out. With ``no_overlap`` the
+    repeats of a round share no position; one that no room is left for is left out too.
     """
-    parts = te.groupBy("chrom").agg(F.ceil(F.count(F.lit(1)) * rounds / PLACEMENTS).cast("int").alias("_parts"))
-    gaps = allowed_space(sizes, excl, incl).select("chrom", "start", "end").join(parts, "chrom").withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
-    draws = _rounds(te.join(parts, "chrom").select("chrom", "te_id", "_parts", (F.col("end") - F.col("start")).cast("long").alias("_span")), rounds, first)
-    draws = draws.withColumn("_key", F.xxhash64("te_id", "round", F.lit(seed))).withColumn("_part", F.pmod(F.xxhash64("te_id", "round", F.lit("part")), F.col("_parts")).cast("int")).drop("_parts")
-    by = ["chrom", "_part"]
-    placed = draws.groupBy(*by).cogroup(gaps.groupBy(*by)).applyInPandas(_drawn, f"te_id {dict(te.dtypes)['te_id']}, round long, _new long")
-    base = _rounds(te, rounds, first).join(placed, ["te_id", "round"])
-    span = F.col("end") - F.col("start")
+    gaps = allowed_space(sizes, excl, incl).select("chrom", "start", "end")
+    span = (F.col("end") - F.col("start")).cast("long")
+    items = _rounds(te.select("chrom", "te_id", span.alias("_span")), rounds, first)
+    if no_overlap:
+        placed = _draw_apart(items, gaps, seed)
+    else:
+        placed = _draw(items, gaps, ["chrom"], seed)
+    base = te.join(placed.select("te_id", "round", "_new"), "te_id")
     return base.withColumns({"end": F.col("_new") + span, "start": F.col("_new")}).select(*te.columns, "round")

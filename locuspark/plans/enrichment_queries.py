@@ -59,6 +59,11 @@ def r1(fx: Fixtures) -> DataFrame:
     return sh.shuffle_random(fx.te, fx.sizes, DEFAULT_ROUNDS, excl=fx.exon).select("round", "te_id", "chrom", "start", "end")
 
 
+@query("r1_shuffle_random_apart")
+def r1_apart(fx: Fixtures) -> DataFrame:
+    return sh.shuffle_random(fx.te, fx.sizes, DEFAULT_ROUNDS, excl=fx.exon, no_overlap=True).select("round", "te_id", "chrom", "start", "end")
+
+
 EXP = POSITIONS + """, ob AS MATERIALIZED (SELECT coalesce(rclass, 'tot') AS rclass, count(DISTINCT (tr, k)) AS hits FROM hit GROUP BY ROLLUP (rclass)),
   ex AS MATERIALIZED (SELECT round, coalesce(rclass, 'tot') AS rclass, count(DISTINCT (tr, k)) AS hits FROM (SELECT s.round, s.rclass, e.tr, e.k FROM sp s JOIN exon e ON s.chrom = e.chrom AND s.st <= e.en AND e.st <= s.en WHERE least(s.en, e.en) - greatest(s.st, e.st) + 1 >= 10)
     GROUP BY GROUPING SETS ((round), (round, rclass))),

@@ -71,9 +71,13 @@ class Fixtures:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._opened: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A driver's table, opened once: each opening is a job that reads the file's schema."""
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._opened[name]
 
     def raw(self, name: str) -> DataFrame:
         if name in FIXTURES:

@@ -130,6 +130,39 @@ def test_random_placement_is_uniform_over_fitting_starts(spark):
         assert sum((n - 1000 / len(want)) ** 2 for n in (at[s] for s in want)) / (1000 / len(want)) < 2 * len(want)
 
 
+def test_random_placement_apart_shares_no_position(spark):
+    spans = {i: (i * 7) % 23 for i in range(1, 201)}
+    te = spark.createDataFrame([(i, "c", 1, 1 + n) for i, n in spans.items()] + [(900, "c", 1, 500)], "te_id long, chrom string, start long, end long")
+    sizes = spark.createDataFrame([("c", 4000), ("empty", 50)], "chrom string, length long")
+    excl = spark.createDataFrame([("c", 200 * i + 150 + i, 200 * i + 160) for i in range(10)], "chrom string, start long, end long")
+    barred = {p for i in range(10) for p in range(200 * i + 150 + i, 200 * i + 161)}
+    out = sh.shuffle_random(te, sizes, 4, excl, no_overlap=True)
+    got = out.collect()
+    assert sorted((r.te_id, r.round) for r in got if r.te_id != 900) == sorted((i, r) for i in spans for r in range(1, 5))  # room for all, but one draw does not do
+    for k in range(1, 5):
+        rows = sorted((r.start, r.end, r.te_id) for r in got if r.round == k)
+        assert all(a[1] < b[0] for a, b in zip(rows, rows[1:]))
+        assert all(1 <= s and e <= 4000 and not barred & set(range(s, e + 1)) and (i == 900 or e - s == spans[i]) for s, e, i in rows)
+    assert len({r.start for r in got if r.te_id == 1}) > 1
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, got))  # the same draws again
+
+
+def test_random_placement_apart_fills_what_fits_and_spreads(spark):
+    sizes = spark.createDataFrame([("c", 40), ("d", 1000)], "chrom string, length long")
+    full = spark.createDataFrame([(i, "c", 1, 10) for i in range(1, 7)], "te_id long, chrom string, start long, end long")
+    got = sh.shuffle_random(full, sizes, 3, no_overlap=True).collect()
+    assert all(sorted(r.start for r in got if r.round == k) == [1, 11, 21, 31] for k in (1, 2, 3))
+    two = spark.createDataFrame([(1, "d", 1, 100), (2, "d", 1, 100)], "te_id long, chrom string, start long, end long")
+    starts = [(r.round, r.te_id, r.start) for r in sh.shuffle_random(two, sizes, 400, no_overlap=True).collect()]
+    at = {(k, i): s for k, i, s in starts}
+    assert len(at) == 800 and all(abs(at[k, 1] - at[k, 2]) >= 100 for k in range(1, 401))
+    assert 150 < sum(at[k, 1] < at[k, 2] for k in range(1, 401)) < 250
+    low = [min(at[k, 1], at[k, 2]) for k in range(1, 401)]
+    assert abs(sum(low) / 400 - (1 + 800 / 3)) < 40  # the smaller of two uniform draws of 0..800
+    none = spark.createDataFrame([], "te_id long, chrom string, start long, end long")
+    assert sh.shuffle_random(none, sizes, 2, no_overlap=True).count() == 0
+
+
 def test_smoothing_and_wide_coverage_of_the_whole_tables(spark):
     sf = "/root/testdata/sf0.001"
     if not os.path.isdir(sf):
