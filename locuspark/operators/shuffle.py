@@ -28,24 +28,29 @@ def inside(start: Column, end: Column, length: Column) -> tuple[Column, Column]:
 ID_STEP, KEY_BITS = 4_000_000, 24
 
 
-def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], bucket: Column, value: Column) -> DataFrame:
-    """Add _before: the sum of ``value`` over the rows of equal ``by`` that come before in the given order.
-
-    Sums run per ``bucket`` (ascending with the order), after the sum of the buckets before
-    it, so no task sorts a chromosome.
-    """
-    by = list(by)
+def _dealt(df: DataFrame, by: Sequence[str], bucket: Column, value: Column) -> DataFrame:
+    """Add _bucket, _value and _carry: the sum of ``value`` in the buckets of equal ``by`` before the row's own."""
     marked = df.withColumns({"_bucket": bucket, "_value": value})
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = marked.groupBy(*by, "_bucket").agg(F.sum("_value").alias("_c")).select(*by, "_bucket", F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_carry"))
-    inner = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_value").over(inner), F.lit(0)) + F.col("_carry")
-    return marked.join(carried, [*by, "_bucket"]).withColumn("_before", before).drop("_bucket", "_value", "_carry")
+    return marked.join(carried, [*by, "_bucket"])
 
 
 def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], bucket: Column) -> DataFrame:
-    """Add _i: the row's number (from 1) among those of equal ``by`` in the given order."""
-    return running_sum(df, by, order, bucket, F.lit(1)).withColumn("_i", F.col("_before") + 1).drop("_before")
+    """Add _i: the row's number (from 1) among those of equal ``by`` in the given order.
+
+    Rows are numbered per ``bucket`` (ascending with the order), after the number of rows in
+    the buckets before it, so no task sorts a chromosome.
+    """
+    number = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order)) + F.col("_carry")
+    return _dealt(df, by, bucket, F.lit(1)).withColumn("_i", number).drop("_bucket", "_value", "_carry")
+
+
+def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], bucket: Column, value: Column) -> DataFrame:
+    """Add _before: the sum of ``value`` over the rows of equal ``by`` that come before, bucket by bucket as in ranked."""
+    inner = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_value").over(inner), F.lit(0)) + F.col("_carry")
+    return _dealt(df, by, bucket, value).withColumn("_before", before).drop("_bucket", "_value", "_carry")
 
 
 def shuffle_positions(te: DataFrame, sizes: DataFrame, rounds: int, seed: int = 1, first: int = 1) -> DataFrame:
