@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locuspark.llm import bpe, decontamination, embedding_dedup, html_text, pii, quality, sharding, simhash_dedup, token_counts, warc
+from locuspark.llm import alignment, bpe, decontamination, embedding_dedup, html_text, lexical_search, packing, pii, quality, sharding, simhash_dedup, token_counts, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,9 +64,35 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked_search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_embedding_dedup, op2_html_extraction, op3_simhash_dedup, op4_sharding, op5_pii, op6_token_counts, op7_bpe, op8_decontamination, op9_quality, op10_warc)
+    for f in (
+        op1_embedding_dedup,
+        op2_html_extraction,
+        op3_simhash_dedup,
+        op4_sharding,
+        op5_pii,
+        op6_token_counts,
+        op7_bpe,
+        op8_decontamination,
+        op9_quality,
+        op10_warc,
+        op11_lexical_search,
+        op12_packing,
+        op13_token_alignment,
+    )
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_decontamination": decontamination.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op8_decontamination": decontamination.ORACLE_SQL, "op11_lexical_search": lexical_search.ORACLE_SQL}

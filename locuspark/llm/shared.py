@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -140,3 +141,22 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
     top = now.select(F.col("lo").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(top)
+
+
+_SAFE = re.compile(r"(?<=\S) (?=\S)")
+
+
+def text_blocks(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """A text in blocks of about ``size`` characters, cut at a space between two words.
+
+    The space starts the next block. A text without such a space is one block.
+    """
+    at = 0
+    while len(text) - at > size:
+        found = _SAFE.search(text, at + size)
+        if not found:
+            break
+        cut = found.start()
+        yield text[at:cut]
+        at = cut
+    yield text[at:] if at else text
