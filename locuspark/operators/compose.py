@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locuspark.operators.intervals import merge_intervals, previous_row
-from locuspark.storage import checkpoint
+from locuspark.storage import checkpoint, if_small
 
 
 def overlap_intervals(hits: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -70,6 +70,49 @@ def genome_counts(te: DataFrame) -> DataFrame:
     return r.select(*[F.coalesce(c, F.lit("tot")).alias(c) for c in ("rclass", "rfam", "rname")], "n")
 
 
+#: The class that age levels are counted under, and the families of its two groupings (fixed values).
+AGE, AGE_GROUPS = "age", ("cat.1", "cat.2")
+
+
+def with_ages(df: DataFrame, ages: DataFrame) -> DataFrame:
+    """Add age1 and age2 by repeat name, as written; null where ``ages`` (rname, age1, age2; a row per name) lacks the name."""
+    few = ages.select("rname", F.nullif("age1", F.lit("")).alias("age1"), F.nullif("age2", F.lit("")).alias("age2"))
+    return df.join(if_small(few, few.count()), "rname", "left")
+
+
+def _age_levels() -> Column:
+    """Levels of a repeat with an age: both groupings in total, its first age, and its second one if there is any."""
+    level = lambda k, name: F.struct(F.lit(AGE).alias("c"), F.lit(AGE_GROUPS[k]).alias("f"), name.alias("n"))
+    own = [F.when(F.col(c).isNotNull(), level(k, F.col(c))) for k, c in enumerate(("age1", "age2"))]
+    return F.array_compact(F.array(level(0, F.lit("tot")), level(1, F.lit("tot")), *own))
+
+
+def age_hits(hits: DataFrame, feature: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+    """(*extra, rclass, rfam, rname, hits): features hit at least once by repeats with an age, in total and per age of both groupings.
+
+    The second hierarchy beside hits_by_level: rclass is ``age``, rfam the grouping, rname the age or ``tot``.
+    """
+    once = hits.where(F.col("age1").isNotNull()).select(*extra, *feature, "age1", "age2").distinct()
+    rows = once.select(*extra, *feature, F.explode(_age_levels()).alias("l")).distinct()
+    return rows.groupBy(*extra, F.col("l.c").alias("rclass"), F.col("l.f").alias("rfam"), F.col("l.n").alias("rname")).agg(F.count(F.lit(1)).alias("hits"))
+
+
+def age_hits_by_category(rows: DataFrame, extra: Sequence[str] = (), feature: Sequence[str] = ("tr", "k"), order: Sequence[str] = ("te_st", "te_en", "te_id")) -> DataFrame:
+    """(*extra, category, rclass, rfam, rname, hits): as age_hits, a feature counting once per age in all categories: in that of its first hit.
+
+    First is the least ``order``, the repeats' places in a sorted file. The totals of both groupings are equal.
+    """
+    aged = rows.where(F.col("age1").isNotNull()).select(*extra, *feature, "category", F.struct(*order).alias("_o"), F.explode(_age_levels()).alias("l"))
+    first = aged.groupBy(*extra, *feature, "l").agg(F.min(F.struct("_o", "category"))["category"].alias("category"))
+    return first.groupBy(*extra, "category", F.col("l.c").alias("rclass"), F.col("l.f").alias("rfam"), F.col("l.n").alias("rname")).agg(F.count(F.lit(1)).alias("hits"))
+
+
+def genome_ages(te: DataFrame) -> DataFrame:
+    """(rclass, rfam, rname, n): repeats in the genome with an age, in total and per age of both groupings."""
+    counts = te.where(F.col("age1").isNotNull()).groupBy("age1", "age2").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("n", F.explode(_age_levels()).alias("l")).groupBy(F.col("l.c").alias("rclass"), F.col("l.f").alias("rfam"), F.col("l.n").alias("rname")).agg(F.sum("n").alias("n"))
+
+
 def genome_totals(te: DataFrame, by: Sequence[str] = ("rname",)) -> DataFrame:
     """(*by, g_len, g_count, g_nr): genome-wide length, fragments and block-corrected fragments."""
     return te.groupBy(*by).agg(F.sum(F.col("end") - F.col("start") + 1).cast("long").alias("g_len"), F.count(F.lit(1)).alias("g_count"), F.countDistinct("block", "chrom").alias("g_nr"))

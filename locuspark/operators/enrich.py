@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from locuspark.functions.binomial import binomial_test
 from locuspark.operators.classify import classify_shuffle, stars
-from locuspark.operators.compose import genome_counts, hits_by_category, hits_by_level
+from locuspark.operators.compose import age_hits, age_hits_by_category, genome_ages, genome_counts, hits_by_category, hits_by_level, with_ages
 from locuspark.operators.intervals import overlap_join
 from locuspark.operators.model import pick_transcript
 from locuspark.storage import checkpoint
@@ -33,12 +33,12 @@ def expected_distribution(exp: DataFrame, keys: Sequence[str]) -> DataFrame:
     return exp.groupBy(*keys).agg(F.array_sort(F.collect_list("hits")).alias("counts"))
 
 
-def permutation_test(obs: DataFrame, exp: DataFrame, keys: Sequence[str], rounds: int, strict: bool | Column = False) -> DataFrame:
+def permutation_test(obs: DataFrame, exp: DataFrame, keys: Sequence[str], rounds: int, strict: bool | Column = False, parity: bool = False) -> DataFrame:
     """(*keys, obs, exp_mean, exp_sd, rank, p): two-tailed p of the observed count's rank among the rounds.
 
     The rank is 1 + the rounds with at most the observed count (fewer than it if ``strict``);
-    p is 2 rank / N in the lower half, 2 (N + 2 - rank) / N in the upper. One pass over the
-    rows of ``exp``: a round without a row counts as 0 hits.
+    p is 2 rank / N in the lower half, 2 (N + 2 - rank) / N in the upper, at most 1 (``parity``:
+    the middle rank may give more). One pass over the rows of ``exp``: a round without a row counts as 0 hits.
     """
     keys = list(keys)
     both = exp.select(*keys, F.col("hits").alias("_e")).join(obs.select(*keys, F.col("hits").alias("_o")), keys, "full").withColumn("_o", F.coalesce("_o", F.lit(0)))
@@ -54,28 +54,36 @@ def permutation_test(obs: DataFrame, exp: DataFrame, keys: Sequence[str], rounds
     )
     zeros = F.when(strict & (F.col("obs") <= 0), 0).otherwise(F.col("_none"))
     a = a.withColumn("rank", 1 + F.col("_less") + F.when(strict, 0).otherwise(F.col("_same")) + zeros).drop("_less", "_same", "_none")
-    return a.withColumn("p", F.when(F.col("rank") <= rounds / 2, 2 * F.col("rank") / rounds).otherwise(2 * (rounds + 2 - F.col("rank")) / rounds))
+    p = F.when(F.col("rank") <= rounds / 2, 2 * F.col("rank") / rounds).otherwise(2 * (rounds + 2 - F.col("rank")) / rounds)
+    return a.withColumn("p", p if parity else F.least(F.lit(1.0), p))
 
 
-def observed_hits(te: DataFrame, features: DataFrame, feature: Sequence[str], min_nt: int = 10, extra: Sequence[str] = ()) -> DataFrame:
-    """Hits per level of repeats over features; ``extra`` columns of the repeats (a round) stay apart."""
+def observed_hits(te: DataFrame, features: DataFrame, feature: Sequence[str], min_nt: int = 10, extra: Sequence[str] = (), ages: DataFrame | None = None) -> DataFrame:
+    """Hits per level of repeats over features, and per age if ``ages`` are given; ``extra`` columns of the repeats (a round) stay apart."""
     j = overlap_join(te.select("chrom", "start", "end", *LEVELS, *extra), features.select("chrom", "start", "end", *feature), min_nt=min_nt)
-    rows = j.select(*[F.col(f"a_{c}").alias(c) for c in (*LEVELS, *extra)], *[F.col(f"b_{c}").alias(c) for c in feature])
-    return hits_by_level(rows, feature, extra)
+    rows = j.select(*[F.col(f"a_{c}").alias(c) for c in (*LEVELS, *extra)], *[F.col(f"b_{c}").alias(c) for c in feature]).distinct()
+    if ages is None:
+        return hits_by_level(rows, feature, extra)
+    rows = checkpoint(rows)  # both hierarchies read it
+    return hits_by_level(rows, feature, extra).unionByName(age_hits(with_ages(rows, ages), feature, extra))
 
 
-def enrichment(te: DataFrame, features: DataFrame, shuffled: DataFrame, rounds: int, feature: Sequence[str] = ("feature",), min_nt: int = 10) -> DataFrame:
+def _genome(te: DataFrame, ages: DataFrame | None) -> DataFrame:
+    return genome_counts(te) if ages is None else genome_counts(te).unionByName(genome_ages(with_ages(te.select("rname"), ages)))
+
+
+def enrichment(te: DataFrame, features: DataFrame, shuffled: DataFrame, rounds: int, feature: Sequence[str] = ("feature",), min_nt: int = 10, ages: DataFrame | None = None) -> DataFrame:
     """Simple features, end to end: observed and expected hits per level, permutation and binomial tests.
 
     ``shuffled`` holds all rounds (column round), so expected hits are one join. The binomial
     test asks for obs successes of as many trials as the genome has such repeats, at the
-    expected mean's rate.
+    expected mean's rate. With ``ages`` (rname, age1, age2) there are rows of class ``age`` too.
     """
-    obs = observed_hits(te, features, feature, min_nt)
-    exp = observed_hits(shuffled, features, feature, min_nt, ("round",))
+    obs = observed_hits(te, features, feature, min_nt, ages=ages)
+    exp = observed_hits(shuffled, features, feature, min_nt, ("round",), ages)
     t = permutation_test(obs, exp, LEVELS, rounds)
     total = features.select(*feature).distinct().agg(F.count(F.lit(1)).alias("n_features"))
-    t = t.join(genome_counts(te), list(LEVELS), "left").withColumn("prob", F.col("exp_mean") / F.col("n")).crossJoin(F.broadcast(total))  # one row
+    t = t.join(_genome(te, ages), list(LEVELS), "left").withColumn("prob", F.col("exp_mean") / F.col("n")).crossJoin(F.broadcast(total))  # one row
     t = t.withColumns({"obs_pct": 100 * F.col("obs") / F.col("n_features"), "exp_pct": 100 * F.col("exp_mean") / F.col("n_features"), "unhit": F.col("n_features") - F.col("obs")})
     return binomial_test(t).withColumn("significance", stars(F.col("p")))
 
@@ -93,39 +101,46 @@ def feature_totals(picked: DataFrame) -> DataFrame:
     return picked.select("round", F.explode(each).alias("c")).groupBy("round", "c.category").agg(F.sum("c.n").alias("n"))
 
 
-def category_hits(te: DataFrame, exons: DataFrame, picked: DataFrame, min_nt: int = 10, rounds_of_te: bool = False) -> DataFrame:
+def category_hits(te: DataFrame, exons: DataFrame, picked: DataFrame, min_nt: int = 10, rounds_of_te: bool = False, ages: DataFrame | None = None) -> DataFrame:
     """(round, category, rclass, rfam, rname, hits): exons of the picked transcripts hit per category and level of repeats; genes hit as transcript.
 
     Transcript ends are found once per transcript and meet the hits, not all rounds. With
     ``rounds_of_te`` repeats have a round of their own, which must be the transcripts'.
+    With ``ages``, an exon counts once per age, in the category of its first repeat with that
+    age by place (start, end, te_id).
     """
     ends = exons.groupBy("gene", "tr").agg(F.min("start").alias("tr_st"), F.max("end").alias("tr_en"), F.count(F.lit(1)).alias("n_exons"))
-    keep = ["chrom", "start", "end", *LEVELS, *(["round"] if rounds_of_te else [])]
+    keep = ["chrom", "start", "end", *LEVELS, *(["round"] if rounds_of_te else []), *(["te_id"] if ages is not None else [])]
     j = overlap_join(te.select(*keep), exons.join(ends, ["gene", "tr"]).select("chrom", "start", "end", "gene", "tr", "k", "strand", "n_exons", "tr_st", "tr_en"), min_nt=min_nt)
-    named = {"a_start": "te_st", "a_end": "te_en", "b_start": "st", "b_end": "en", **{f"b_{c}": c for c in ("gene", "tr", "k", "strand", "n_exons", "tr_st", "tr_en")}, **{f"a_{c}": c for c in (*LEVELS, "round")}}
+    named = {"a_start": "te_st", "a_end": "te_en", "b_start": "st", "b_end": "en", **{f"b_{c}": c for c in ("gene", "tr", "k", "strand", "n_exons", "tr_st", "tr_en")}, **{f"a_{c}": c for c in (*LEVELS, "round", "te_id")}}
     rows = classify_shuffle(j.select(*[F.col(a).alias(b) for a, b in named.items() if a in j.columns]))
     on = ["tr", "round"] if rounds_of_te else ["tr"]
-    return hits_by_category(rows.join(picked.select("round", "tr"), on), ["round"])
+    rows = rows.join(picked.select("round", "tr"), on)
+    if ages is None:
+        return hits_by_category(rows, ["round"])
+    rows = checkpoint(rows.select("round", "gene", "tr", "k", "category", *LEVELS, "te_st", "te_en", "te_id"))  # both hierarchies read it
+    return hits_by_category(rows, ["round"]).unionByName(age_hits_by_category(with_ages(rows, ages), ["round"]))
 
 
-def enrichment_transcripts(te: DataFrame, exons: DataFrame, shuffled: DataFrame, rounds: int, seed: int = 1, min_nt: int = 10) -> DataFrame:
+def enrichment_transcripts(te: DataFrame, exons: DataFrame, shuffled: DataFrame, rounds: int, seed: int = 1, min_nt: int = 10, ages: DataFrame | None = None) -> DataFrame:
     """Transcripts, end to end: one transcript per gene and round; observed means, expected counts and tests.
 
     Rows with test = category have no level (tot): each category's features against what
     the picked transcripts offer, ranked among the rounds with fewer hits. Rows with test =
     repeat are per category and level of repeats: against the repeats of the genome, ranked
     among the rounds with at most as many. Observed hits are repeated over the rounds'
-    transcript choices; their mean is ranked, rounded for the binomial test.
+    transcript choices; their mean is ranked, rounded for the binomial test. With ``ages``
+    (rname, age1, age2) there are rows of class ``age`` per category too.
     """
     index = exons.groupBy("gene", "tr").agg(F.count(F.lit(1)).alias("n_exons"))
     picked = checkpoint(pick_transcript(index, rounds, seed))
     keys = ["test", "category", *LEVELS]
     tests = F.explode(F.when(F.col("rclass") == "tot", F.array(F.lit("category"), F.lit("repeat"))).otherwise(F.array(F.lit("repeat")))).alias("test")
-    obs = category_hits(te, exons, picked, min_nt).groupBy("category", *LEVELS).agg((F.sum("hits") / rounds).alias("hits")).select("*", tests)
-    exp = category_hits(shuffled, exons, picked, min_nt, rounds_of_te=True).select("*", tests)
+    obs = category_hits(te, exons, picked, min_nt, ages=ages).groupBy("category", *LEVELS).agg((F.sum("hits") / rounds).alias("hits")).select("*", tests)
+    exp = category_hits(shuffled, exons, picked, min_nt, rounds_of_te=True, ages=ages).select("*", tests)
     t = permutation_test(obs, exp, keys, rounds, strict=F.col("test") == "category").withColumn("hits", F.round("obs").cast("long"))
     offered = feature_totals(picked).groupBy("category").agg(F.round(F.avg("n")).cast("long").alias("_offered"))
-    t = t.join(offered, "category", "left").join(genome_counts(te).withColumnRenamed("n", "_genome"), list(LEVELS), "left")
+    t = t.join(offered, "category", "left").join(_genome(te, ages).withColumnRenamed("n", "_genome"), list(LEVELS), "left")
     t = t.withColumn("n", F.when(F.col("test") == "category", F.col("_offered")).otherwise(F.col("_genome"))).drop("_offered", "_genome")
     t = t.withColumn("prob", F.col("exp_mean") / F.col("n"))
     return binomial_test(t, x="hits").withColumn("significance", stars(F.col("p")))

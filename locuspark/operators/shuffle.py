@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locuspark.operators.intervals import interval_complement, interval_intersection, nearest
-from locuspark.operators.model import seeded_key
-from locuspark.storage import checkpoint
+from locuspark.storage import checkpoint, if_small, ordinals
 
 
 def _rounds(df: DataFrame, rounds: int, first: int = 1) -> DataFrame:
@@ -24,8 +23,35 @@ def inside(start: Column, end: Column, length: Column) -> tuple[Column, Column]:
     return start + shift, F.least(end + shift, length)
 
 
-#: Ids and keys of one bucket of a rank.
-ID_STEP, KEY_BITS = 4_000_000, 24
+#: Steps of a permutation; with each, half of the places go to their mirror image.
+STEPS = 12
+#: Numbers of the key's arithmetic (fixed values, those of the SQL beside the queries too).
+MULTIPLIER, TOP, PRIME = 1103515245, 2147483648, 2147483647
+
+
+def permutation(seed: int) -> Callable[[Column, Column, Column], Column]:
+    """A function of place, number of places and round (columns) to the place that the round's permutation gives it.
+
+    A keyed bijection of 0..n-1: the places are rotated, then each step mirrors them about a point of the key and
+    swaps those pairs for which a bit of the key and the pair says so. A mirror is its own inverse and both of a
+    pair see the same bit, so no place is given twice, whatever n; nothing is sorted or kept. n is under 2^32.
+    """
+
+    @F.pandas_udf("long")
+    def place(i: pd.Series, n: pd.Series, r: pd.Series) -> pd.Series:
+        x, n, r = i.to_numpy(np.int64), n.to_numpy(np.int64), r.to_numpy(np.int64)
+        mix = lambda y: (y * (y % 65521 + 3)) % PRIME
+        for s in range(STEPS + 1):
+            key = mix(((r * 64 + s) * MULTIPLIER + seed) % TOP)
+            if s == 0:
+                x = (x + key) % n
+                continue
+            mirror = (key % n + n - x) % n
+            bit = mix((np.maximum(x, mirror) * MULTIPLIER + key) % TOP) & 128
+            x = np.where(bit, mirror, x)
+        return pd.Series(x)
+
+    return place
 
 
 def _dealt(df: DataFrame, by: Sequence[str], bucket: Column, value: Column) -> DataFrame:
@@ -36,38 +62,27 @@ def _dealt(df: DataFrame, by: Sequence[str], bucket: Column, value: Column) -> D
     return marked.join(carried, [*by, "_bucket"])
 
 
-def ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], bucket: Column) -> DataFrame:
-    """Add _i: the row's number (from 1) among those of equal ``by`` in the given order.
-
-    Rows are numbered per ``bucket`` (ascending with the order), after the number of rows in
-    the buckets before it, so no task sorts a chromosome.
-    """
-    number = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy(*order)) + F.col("_carry")
-    return _dealt(df, by, bucket, F.lit(1)).withColumn("_i", number).drop("_bucket", "_value", "_carry")
-
-
 def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], bucket: Column, value: Column) -> DataFrame:
-    """Add _before: the sum of ``value`` over the rows of equal ``by`` that come before, bucket by bucket as in ranked."""
+    """Add _before: the sum of ``value`` over the rows of equal ``by`` that come before, bucket by bucket."""
     inner = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_value").over(inner), F.lit(0)) + F.col("_carry")
     return _dealt(df, by, bucket, value).withColumn("_before", before).drop("_bucket", "_value", "_carry")
 
 
-def shuffle_positions(te: DataFrame, sizes: DataFrame, rounds: int, seed: int = 1, first: int = 1) -> DataFrame:
-    """Permute midpoints among the repeats of each chromosome; lengths stay: te's columns with new start, end, and round.
+def shuffle_positions(te: DataFrame, sizes: DataFrame, rounds: int, seed: int = 1, first: int = 1, keep: Sequence[str] | None = None) -> DataFrame:
+    """Permute midpoints among the repeats of each chromosome; lengths stay: te's columns (or ``keep``) with new start, end, and round.
 
-    The repeats are written once; their order by id is the same in every round, so each meets
-    its places of all rounds in one join and only the drawn places are shuffled per round.
+    The repeats are put in the order of their ids once; a round's permutation then gives each one the midpoint at
+    another place of its chromosome by arithmetic, so no round is sorted. ``te_id`` may be of any type.
     """
-    base = checkpoint(te.join(sizes.select("chrom", "length"), "chrom"))
-    place = ranked(base, ["chrom"], ["te_id"], F.floor(F.col("te_id") / ID_STEP))
-    drawn = _rounds(base.select("chrom", F.floor((F.col("start") + F.col("end")) / 2).alias("_mid"), "te_id"), rounds, first)
-    drawn = drawn.withColumn("_key", seeded_key(F.col("te_id"), F.col("round"), seed))
-    drawn = ranked(drawn, ["round", "chrom"], ["_key", "te_id"], F.shiftright("_key", KEY_BITS)).select("round", "chrom", "_i", "_mid")
+    keep = [c for c in te.columns if keep is None or c in keep]
+    base = ordinals(te.join(sizes.select("chrom", "length"), "chrom").select(*{*keep, "chrom", "te_id", "start", "end"}, "length"), ["chrom"], ["te_id"])
+    mids = base.select("chrom", F.col("_i").alias("_j"), F.floor((F.col("start") + F.col("end")) / 2).alias("_mid"))
+    drawn = _rounds(base, rounds, first).withColumn("_j", permutation(seed)("_i", "_n", "round"))
     n = F.col("end") - F.col("start")
     s = F.col("_mid") - F.floor(n / 2)
     a, b = inside(s, s + n, F.col("length"))
-    return place.join(drawn, ["chrom", "_i"]).withColumns({"start": a, "end": b}).select(*te.columns, "round")
+    return drawn.join(if_small(mids, mids.count()), ["chrom", "_j"]).withColumns({"start": a, "end": b}).select(*keep, "round")
 
 
 def shuffle_tss(te: DataFrame, tss: DataFrame, sizes: DataFrame, rounds: int, seed: int = 1, first: int = 1) -> DataFrame:
@@ -77,13 +92,11 @@ def shuffle_tss(te: DataFrame, tss: DataFrame, sizes: DataFrame, rounds: int, se
     are fewer than repeats. Out of the chromosome, a repeat goes to the site's other side, then is shifted in.
     """
     d = nearest(te, tss, "te_id", "tss_id").select("te_id", "distance")
-    r = _rounds(checkpoint(te.join(d, "te_id").join(sizes.select("chrom", "length"), "chrom")), rounds, first)
-    r = r.withColumn("_key", seeded_key(F.col("te_id"), F.col("round"), seed))
-    r = ranked(r, ["round", "chrom"], ["_key", "te_id"], F.shiftright("_key", KEY_BITS)).withColumn("_rank", F.col("_i").cast("long") - 1)
-    counted = ranked(tss, ["chrom"], ["tss_id"], F.floor(F.col("tss_id") / ID_STEP)).withColumn("_slot", F.col("_i").cast("long") - 1)
+    r = _rounds(ordinals(te.join(d, "te_id").join(sizes.select("chrom", "length"), "chrom"), ["chrom"], ["te_id"]), rounds, first)
+    r = r.withColumn("_rank", permutation(seed)("_i", "_n", "round")).drop("_i", "_n")
+    slots = ordinals(tss, ["chrom"], ["tss_id"]).select("chrom", F.col("_i").alias("_slot"), F.col("start").alias("_p"), F.col("strand").alias("_st"))
     n = tss.groupBy("chrom").agg(F.count(F.lit(1)).alias("_n"))
-    slots = counted.select("chrom", "_slot", F.col("start").alias("_p"), F.col("strand").alias("_st"))
-    j = r.join(n, "chrom").withColumn("_slot", F.pmod("_rank", "_n")).join(slots, ["chrom", "_slot"])
+    j = r.join(n, "chrom").withColumn("_slot", F.pmod("_rank", "_n")).join(if_small(slots, slots.count()), ["chrom", "_slot"])
     span, gap = F.col("end") - F.col("start"), F.abs("distance")
     right = (F.col("distance") > 0) == (F.col("_st") == "+")
     at = lambda on_right: F.when(on_right, F.col("_p") + gap).otherwise(F.col("_p") - gap - span)

@@ -11,20 +11,32 @@ from locuspark.operators import shuffle as sh
 from locuspark.operators.intervals import first_per
 from locuspark.operators.model import pick_transcript, seeded_key
 from locuspark.plans.fixtures import Fixtures
-from locuspark.plans.model_queries import rand_key
+from locuspark.plans.model_queries import SHUFFLE, rand_key
 from locuspark.plans.registry import query
 
-ROUNDS = 4  # of the queries with SQL
-DEFAULT_ROUNDS = 10  # the reference's, of random placement, which has no SQL either
-TEST_ROUNDS = 100  # of the tests end to end, which have none: the smallest p is 2 / TEST_ROUNDS
+ROUNDS = 10  # the reference's default
+TEST_ROUNDS = 100  # of the tests end to end that have no SQL: the smallest p is 2 / TEST_ROUNDS
 INSIDE = "s + CASE WHEN s < 1 THEN 1 - s WHEN e > length THEN greatest(length - e, 1 - s) ELSE 0 END AS st, least(e + CASE WHEN s < 1 THEN 1 - s WHEN e > length THEN greatest(length - e, 1 - s) ELSE 0 END, length) AS en"
-POSITIONS = f"""rd AS MATERIALIZED (SELECT r AS round, t.*, length FROM te t JOIN sizes USING (chrom), range(1, {ROUNDS + 1}) x(r)),
-  sp AS MATERIALIZED (SELECT round, te_id, chrom, rname, rfam, rclass, {INSIDE} FROM (SELECT *, m - (en - st) // 2 AS s, m - (en - st) // 2 + en - st AS e FROM (SELECT *, row_number() OVER (PARTITION BY round, chrom ORDER BY te_id) AS i FROM rd)
-    JOIN (SELECT round, chrom, (st + en) // 2 AS m, row_number() OVER (PARTITION BY round, chrom ORDER BY {rand_key('te_id', 'round', 1)}, te_id) AS i FROM rd) USING (round, chrom, i)))"""
+
+
+def permuted(i: str, n: str, r: str, seed: int = 1) -> str:
+    """DuckDB: the place of i of n in round r, rotated and mirrored as in operators.shuffle.permutation."""
+    mix = lambda y: f"((({y}) * (({y}) % 65521 + 3)) % {sh.PRIME})"
+    key = lambda s: mix(f"((({r}) * 64 + {s}) * {sh.MULTIPLIER} + {seed}) % {sh.TOP}")
+    mirror = f"(({key('s')} % ({n}) + ({n}) - x) % ({n}))"
+    bit = mix(f"(greatest(x, {mirror}) * {sh.MULTIPLIER} + {key('s')}) % {sh.TOP}")
+    return f"list_reduce(list_concat([(({i}) + {key('0')}) % ({n})], range(1, {sh.STEPS + 1})), lambda x, s: CASE WHEN {bit} & 128 = 0 THEN x ELSE {mirror} END)"
+
+
+PLACES = "CAST(row_number() OVER (PARTITION BY chrom ORDER BY te_id) - 1 AS BIGINT) AS i, count(*) OVER (PARTITION BY chrom) AS n"
+POSITIONS = f"""pl AS MATERIALIZED (SELECT t.*, length, {PLACES} FROM te t JOIN sizes USING (chrom)),
+  md AS MATERIALIZED (SELECT chrom, i AS j, (st + en) // 2 AS m FROM pl),
+  dr AS MATERIALIZED (SELECT r AS round, pl.*, {permuted('i', 'n', 'r')} AS j FROM pl, range(1, {ROUNDS + 1}) x(r)),
+  sp AS MATERIALIZED (SELECT round, te_id, chrom, rname, rfam, rclass, {INSIDE} FROM (SELECT dr.*, m - (en - st) // 2 AS s, m - (en - st) // 2 + en - st AS e FROM dr JOIN md USING (chrom, j)))"""
 
 
 def shuffled(fx: Fixtures, rounds: int = ROUNDS) -> DataFrame:
-    return sh.shuffle_positions(fx.te, fx.sizes, rounds)
+    return sh.shuffle_positions(fx.te, fx.sizes, rounds, keep=("te_id", "chrom", "start", "end", *en.LEVELS))
 
 
 def tss(fx: Fixtures) -> DataFrame:
@@ -45,29 +57,35 @@ def j11(fx: Fixtures) -> DataFrame:
 @query("r3_shuffle_keep_tss_distance", "te", "tr", "sizes", sql=f"""WITH ts AS MATERIALIZED (SELECT tr, chrom, strand, CASE WHEN strand = '-' THEN en ELSE st END AS p, row_number() OVER (PARTITION BY chrom ORDER BY tr) - 1 AS slot, count(*) OVER (PARTITION BY chrom) AS n FROM tr),
   d AS MATERIALIZED (SELECT te_id, CAST(CASE WHEN t.st > p THEN t.st - p WHEN t.en < p THEN p - t.en ELSE 0 END * CASE WHEN (t.st > p) = (s.strand = '-') THEN -1 ELSE 1 END AS BIGINT) AS d FROM te t JOIN ts s ON t.chrom = s.chrom
     QUALIFY row_number() OVER (PARTITION BY te_id ORDER BY CASE WHEN t.st > p THEN t.st - p WHEN t.en < p THEN p - t.en ELSE 0 END, s.tr) = 1),
-  r AS (SELECT x.r AS round, t.te_id, t.chrom, t.en - t.st AS span, d, abs(d) AS g, length, row_number() OVER (PARTITION BY x.r, t.chrom ORDER BY {rand_key('t.te_id', 'x.r', 1)}, t.te_id) - 1 AS k FROM te t JOIN d USING (te_id) JOIN sizes z ON z.chrom = t.chrom, range(1, 3) x(r)),
+  pl AS MATERIALIZED (SELECT t.te_id, t.chrom, t.en - t.st AS span, d, abs(d) AS g, length, {PLACES.replace('chrom', 't.chrom').replace('te_id', 't.te_id')} FROM te t JOIN d USING (te_id) JOIN sizes z ON z.chrom = t.chrom),
+  r AS (SELECT x.r AS round, pl.te_id, pl.chrom, span, d, g, length, {permuted('i', 'n', 'x.r')} AS k FROM pl, range(1, {ROUNDS + 1}) x(r)),
   q AS (SELECT r.*, p, (d > 0) = (strand = '+') AS rt FROM r JOIN ts ON ts.chrom = r.chrom AND ts.slot = r.k % ts.n),
   w AS (SELECT *, CASE WHEN rt THEN p + g ELSE p - g - span END AS a, CASE WHEN rt THEN p - g - span ELSE p + g END AS b FROM q),
   y AS (SELECT *, CASE WHEN d = 0 THEN p - span // 2 WHEN a < 1 OR a + span > length THEN b ELSE a END AS s FROM w),
   z AS (SELECT *, s + span AS e FROM y) SELECT round, te_id, chrom, {INSIDE} FROM z""")
 def r3(fx: Fixtures) -> DataFrame:
-    return sh.shuffle_tss(fx.te, tss(fx), fx.sizes, 2).select("round", "te_id", "chrom", "start", "end")
+    return sh.shuffle_tss(fx.te, tss(fx), fx.sizes, ROUNDS).select("round", "te_id", "chrom", "start", "end")
 
 
 @query("r1_shuffle_random")
 def r1(fx: Fixtures) -> DataFrame:
-    return sh.shuffle_random(fx.te, fx.sizes, DEFAULT_ROUNDS, excl=fx.exon).select("round", "te_id", "chrom", "start", "end")
+    return sh.shuffle_random(fx.te, fx.sizes, ROUNDS, excl=fx.exon).select("round", "te_id", "chrom", "start", "end")
 
 
 @query("r1_shuffle_random_apart")
 def r1_apart(fx: Fixtures) -> DataFrame:
-    return sh.shuffle_random(fx.te, fx.sizes, DEFAULT_ROUNDS, excl=fx.exon, no_overlap=True).select("round", "te_id", "chrom", "start", "end")
+    return sh.shuffle_random(fx.te, fx.sizes, ROUNDS, excl=fx.exon, no_overlap=True).select("round", "te_id", "chrom", "start", "end")
 
 
-EXP = POSITIONS + """, ob AS MATERIALIZED (SELECT coalesce(rclass, 'tot') AS rclass, count(DISTINCT (tr, k)) AS hits FROM hit GROUP BY ROLLUP (rclass)),
-  ex AS MATERIALIZED (SELECT round, coalesce(rclass, 'tot') AS rclass, count(DISTINCT (tr, k)) AS hits FROM (SELECT s.round, s.rclass, e.tr, e.k FROM sp s JOIN exon e ON s.chrom = e.chrom AND s.st <= e.en AND e.st <= s.en WHERE least(s.en, e.en) - greatest(s.st, e.st) + 1 >= 10)
-    GROUP BY GROUPING SETS ((round), (round, rclass))),
-  fl AS MATERIALIZED (SELECT k.rclass, r AS round, coalesce(hits, 0) AS hits FROM (SELECT rclass FROM ob UNION SELECT rclass FROM ex) k CROSS JOIN range(1, 5) x(r) LEFT JOIN ex ON ex.rclass = k.rclass AND ex.round = x.r)"""
+#: Hits of shuffled repeats over exons; both sides are cut into bins of 1,000, and hits are counted distinct.
+SHUFFLED_HITS = """eb AS MATERIALIZED (SELECT e.*, unnest(range(st // 1000, en // 1000 + 1)) AS bin FROM exon e),
+  hx AS MATERIALIZED (SELECT s.round, s.te_id, s.rname, s.rfam, s.rclass, s.st AS te_st, s.en AS te_en, e.gene, e.tr, e.k, e.strand, e.st, e.en FROM (SELECT *, unnest(range(st // 1000, en // 1000 + 1)) AS bin FROM sp) s JOIN eb e ON s.chrom = e.chrom AND s.bin = e.bin
+    WHERE least(s.en, e.en) - greatest(s.st, e.st) + 1 >= 10)"""
+EXP = f"""{POSITIONS}, {SHUFFLED_HITS}, ob AS MATERIALIZED (SELECT coalesce(rclass, 'tot') AS rclass, count(DISTINCT (tr, k)) AS hits FROM hit GROUP BY ROLLUP (rclass)),
+  ex AS MATERIALIZED (SELECT round, coalesce(rclass, 'tot') AS rclass, count(DISTINCT (tr, k)) AS hits FROM hx GROUP BY GROUPING SETS ((round), (round, rclass))),
+  fl AS MATERIALIZED (SELECT k.rclass, r AS round, coalesce(hits, 0) AS hits FROM (SELECT rclass FROM ob UNION SELECT rclass FROM ex) k CROSS JOIN range(1, {ROUNDS + 1}) x(r) LEFT JOIN ex ON ex.rclass = k.rclass AND ex.round = x.r)"""
+#: Two-tailed p of a rank among the rounds.
+P = f"least(1.0, CASE WHEN rank <= {ROUNDS / 2} THEN 2 * rank / {ROUNDS}.0 ELSE 2 * ({ROUNDS + 2} - rank) / {ROUNDS}.0 END)"
 
 
 def log_choose(n, k):
@@ -110,7 +128,7 @@ def r10(fx: Fixtures) -> DataFrame:
 
 
 @query("r4_permutation_test", "te", "sizes", "exon", "hit", sql=f"""WITH {EXP}, t AS (SELECT rclass, coalesce(max(ob.hits), 0) AS obs, avg(fl.hits) AS m, stddev_samp(fl.hits) AS sd, 1 + count(*) FILTER (fl.hits <= coalesce(ob.hits, 0)) AS rank FROM fl LEFT JOIN ob USING (rclass) GROUP BY rclass)
-  SELECT rclass, obs, round(m, 6) AS exp_mean, round(sd, 6) AS exp_sd, rank, CASE WHEN rank <= 2 THEN 2 * rank / 4.0 ELSE 2 * (6 - rank) / 4.0 END AS p FROM t""")
+  SELECT rclass, obs, round(m, 6) AS exp_mean, round(sd, 6) AS exp_sd, rank, {P} AS p FROM t""")
 def r4(fx: Fixtures) -> DataFrame:
     obs, exp = class_hits(fx)
     t = en.permutation_test(obs, exp, ["rclass"], ROUNDS)
@@ -147,24 +165,87 @@ def r5b(fx: Fixtures) -> DataFrame:
     return binomial_test(b.withColumn("prob", F.lit(0.3)), "x", "n", "prob")
 
 
+PICK = f"pk AS MATERIALIZED (SELECT r AS round, gene, tr, n_exons FROM (SELECT gene, tr, count(*) AS n_exons FROM exon GROUP BY gene, tr), range(1, {ROUNDS + 1}) s(r) QUALIFY row_number() OVER (PARTITION BY r, gene ORDER BY {rand_key('tr', 'r', 1)}, tr) = 1)"
+#: Two ages of most repeat names, the second one of two names in three.
+NAME_NO = "CAST(replace(rname, 'R', '') AS INT)"
+AGE1, AGE2, AGED = f"'a' || CAST({NAME_NO} % 4 AS STRING)", f"CASE {NAME_NO} % 3 WHEN 0 THEN 'old' WHEN 1 THEN 'young' END", f"{NAME_NO} % 10 <> 9"
+AGES = f"ag AS MATERIALIZED (SELECT DISTINCT rname, {AGE1} AS age1, {AGE2} AS age2 FROM te WHERE {AGED})"
+AGE_LEVELS = "unnest([{'f': 'cat.1', 'nm': 'tot'}, {'f': 'cat.2', 'nm': 'tot'}, {'f': 'cat.1', 'nm': age1}, {'f': 'cat.2', 'nm': age2}]) AS l"
+
+
+def ages(fx: Fixtures) -> DataFrame:
+    return fx.te.select("rname").distinct().where(F.expr(AGED)).select("rname", F.expr(AGE1).alias("age1"), F.expr(AGE2).alias("age2"))
+
+
+def level_counts(t: str, by: str, count: str = "count(DISTINCT (tr, k))") -> str:
+    """DuckDB: hits in total and per class, family and name of a table's rows, for each ``by``."""
+    sets = ", ".join(f"({x})" for x in (by, f"{by}, rclass", f"{by}, rclass, rfam", f"{by}, rclass, rfam, rname"))
+    return f"SELECT {by}, coalesce(rclass, 'tot') AS rclass, coalesce(rfam, 'tot') AS rfam, coalesce(rname, 'tot') AS rname, {count} AS hits FROM {t} GROUP BY GROUPING SETS ({sets})"
+
+
+def age_counts(t: str, by: str, count: str = "count(DISTINCT (tr, k))") -> str:
+    return f"SELECT {by}, 'age' AS rclass, l.f AS rfam, l.nm AS rname, {count} AS hits FROM (SELECT t.*, {AGE_LEVELS} FROM {t} t JOIN ag USING (rname)) WHERE l.nm IS NOT NULL GROUP BY ALL"
+
+
+GENOME = f"gn AS MATERIALIZED (SELECT * RENAME (hits AS n) FROM ({level_counts('(SELECT *, 0 AS one FROM te)', 'one', 'count(*)')} UNION ALL {age_counts('(SELECT *, 0 AS one FROM te)', 'one', 'count(*)')}))"
+
+
+@query("r6_enrichment_levels", "te", "sizes", "exon", "hit", sql=f"""WITH {POSITIONS}, {SHUFFLED_HITS}, {AGES}, {GENOME},
+  ob AS MATERIALIZED ({level_counts('(SELECT *, 0 AS round FROM hit)', 'round')} UNION ALL {age_counts('(SELECT *, 0 AS round FROM hit)', 'round')}),
+  ex AS MATERIALIZED ({level_counts('hx', 'round')} UNION ALL {age_counts('hx', 'round')}),
+  fl AS (SELECT k.rclass, k.rfam, k.rname, r AS round, coalesce(ex.hits, 0) AS e, coalesce(ob.hits, 0) AS o FROM (SELECT rclass, rfam, rname FROM ob UNION SELECT rclass, rfam, rname FROM ex) k CROSS JOIN range(1, {ROUNDS + 1}) x(r)
+    LEFT JOIN ex ON ex.rclass = k.rclass AND ex.rfam = k.rfam AND ex.rname = k.rname AND ex.round = x.r LEFT JOIN ob ON ob.rclass = k.rclass AND ob.rfam = k.rfam AND ob.rname = k.rname),
+  t AS (SELECT rclass, rfam, rname, max(o) AS obs, avg(e) AS m, stddev_samp(e) AS sd, 1 + count(*) FILTER (e <= o) AS rank FROM fl GROUP BY ALL)
+  SELECT rclass, rfam, rname, obs, round(m, 6) AS exp_mean, round(sd, 6) AS exp_sd, rank, {P} AS p, n, (SELECT count(*) FROM exon) - obs AS unhit FROM t LEFT JOIN gn USING (rclass, rfam, rname)""")
+def r6_levels(fx: Fixtures) -> DataFrame:
+    t = simple(fx, ROUNDS).withColumns({"exp_mean": F.round("exp_mean", 6), "exp_sd": F.round("exp_sd", 6)})
+    return t.select(*en.LEVELS, "obs", "exp_mean", "exp_sd", "rank", "p", "n", "unhit")
+
+
+def simple(fx: Fixtures, rounds: int) -> DataFrame:
+    features = fx.exon.select("chrom", "start", "end", F.concat_ws("#", F.col("tr").cast("string"), F.col("k").cast("string")).alias("feature"))
+    return en.enrichment(fx.te, features, shuffled(fx, rounds), rounds, ages=ages(fx))
+
+
 @query("r6_enrichment_simple")
 def r6(fx: Fixtures) -> DataFrame:
-    features = fx.exon.select("chrom", "start", "end", F.concat_ws("#", F.col("tr").cast("string"), F.col("k").cast("string")).alias("feature"))
-    return en.enrichment(fx.te, features, shuffled(fx, TEST_ROUNDS), TEST_ROUNDS)
+    return simple(fx, TEST_ROUNDS)
 
 
-@query("r7_enrichment_transcripts")
-def r7(fx: Fixtures) -> DataFrame:
-    return en.enrichment_transcripts(fx.te, fx.exon, shuffled(fx, TEST_ROUNDS), TEST_ROUNDS)
+def category_counts(t: str) -> str:
+    """DuckDB: hits per round, category and level, genes as category transcript, and an exon's ages by its first repeat."""
+    first = f"SELECT round, tr, k, l, arg_min(category, (te_st, te_en, te_id)) AS category FROM (SELECT t.*, {AGE_LEVELS} FROM {t} t JOIN ag USING (rname)) WHERE l.nm IS NOT NULL GROUP BY ALL"
+    tot = "'tot' AS rclass, 'tot' AS rfam, 'tot' AS rname"
+    return f"{level_counts(t, 'round, category')} UNION ALL SELECT round, 'transcript', {tot}, count(DISTINCT gene) FROM {t} GROUP BY round UNION ALL SELECT round, category, 'age', l.f, l.nm, count(*) FROM ({first}) GROUP BY ALL"
+
+
+OFFERED = (("transcript", "1"), ("TSS_polyA", "1"), ("TSS", "1"), ("polyA", "1"), ("exonized", "n_exons"), ("TSS_5SPL", "CAST(n_exons > 1 AS INT)"), ("3SPL_polyA", "CAST(n_exons > 1 AS INT)"), ("5SPL", "greatest(n_exons - 1, 0)"), ("3SPL", "greatest(n_exons - 1, 0)"), ("3SPL_exon_5SPL", "greatest(n_exons - 2, 0)"))
+TOTALS = "SELECT round, c AS category, CAST(sum(v) AS BIGINT) AS n FROM (" + " UNION ALL ".join(f"SELECT round, '{c}' AS c, {v} AS v FROM pk" for c, v in OFFERED) + ") GROUP BY ALL"
+
 
+@query("r7_enrichment_levels", "te", "sizes", "exon", "tr", "hit", sql=f"""WITH {POSITIONS}, {SHUFFLED_HITS}, {AGES}, {GENOME}, {PICK}, {SHUFFLE.format(hit='hit')}, {SHUFFLE.format(hit='(SELECT DISTINCT * FROM hx)').replace('sc AS', 'se AS')},
+  so AS MATERIALIZED (SELECT sc.*, pk.round FROM sc JOIN pk ON sc.tr = pk.tr), sx AS MATERIALIZED (SELECT se.* FROM se JOIN pk ON se.tr = pk.tr AND se.round = pk.round),
+  ob AS MATERIALIZED (SELECT category, rclass, rfam, rname, sum(hits) / {ROUNDS}.0 AS o FROM ({category_counts('so')}) GROUP BY ALL), ex AS MATERIALIZED ({category_counts('sx')}),
+  fl AS (SELECT k.*, r, coalesce(hits, 0) AS e, coalesce(o, 0) AS o FROM (SELECT category, rclass, rfam, rname FROM ob UNION SELECT category, rclass, rfam, rname FROM ex) k CROSS JOIN range(1, {ROUNDS + 1}) x(r)
+    LEFT JOIN ex ON ex.category = k.category AND ex.rclass = k.rclass AND ex.rfam = k.rfam AND ex.rname = k.rname AND ex.round = x.r LEFT JOIN ob ON ob.category = k.category AND ob.rclass = k.rclass AND ob.rfam = k.rfam AND ob.rname = k.rname),
+  t AS (SELECT category, rclass, rfam, rname, max(o) AS obs, avg(e) AS m, 1 + count(*) FILTER (e <= o) AS rank, 1 + count(*) FILTER (e < o) AS strict FROM fl GROUP BY ALL),
+  u AS (SELECT 'repeat' AS test, * EXCLUDE (strict) FROM t UNION ALL SELECT 'category', * EXCLUDE (rank) FROM t WHERE rclass = 'tot'),
+  tt AS (SELECT category, CAST(round(avg(n)) AS BIGINT) AS n FROM ({TOTALS}) GROUP BY ALL)
+  SELECT test, u.category, rclass, rfam, rname, round(obs, 6) AS obs, round(m, 6) AS exp_mean, rank, {P} AS p, CASE WHEN test = 'category' THEN tt.n ELSE gn.n END AS n FROM u LEFT JOIN gn USING (rclass, rfam, rname) LEFT JOIN tt ON tt.category = u.category""")
+def r7_levels(fx: Fixtures) -> DataFrame:
+    t = en.enrichment_transcripts(fx.te, fx.exon, shuffled(fx), ROUNDS, ages=ages(fx))
+    return t.select("test", "category", *en.LEVELS, F.round("obs", 6).alias("obs"), F.round("exp_mean", 6).alias("exp_mean"), "rank", "p", "n")
 
-PICK = f"pk AS MATERIALIZED (SELECT r AS round, gene, tr, n_exons FROM (SELECT gene, tr, count(*) AS n_exons FROM exon GROUP BY gene, tr), range(1, 4) s(r) QUALIFY row_number() OVER (PARTITION BY r, gene ORDER BY {rand_key('tr', 'r', 1)}, tr) = 1)"
+
+@query("r7_enrichment_transcripts")
+def r7(fx: Fixtures) -> DataFrame:
+    return en.enrichment_transcripts(fx.te, fx.exon, shuffled(fx, TEST_ROUNDS), TEST_ROUNDS, ages=ages(fx))
 
 
-@query("a14_expected_feature_totals", "exon", sql=f"WITH {PICK} SELECT round, c AS category, CAST(sum(v) AS BIGINT) AS n FROM (" + " UNION ALL ".join(f"SELECT round, '{c}' AS c, {v} AS v FROM pk" for c, v in (("transcript", "1"), ("TSS_polyA", "1"), ("TSS", "1"), ("polyA", "1"), ("exonized", "n_exons"), ("TSS_5SPL", "CAST(n_exons > 1 AS INT)"), ("3SPL_polyA", "CAST(n_exons > 1 AS INT)"), ("5SPL", "greatest(n_exons - 1, 0)"), ("3SPL", "greatest(n_exons - 1, 0)"), ("3SPL_exon_5SPL", "greatest(n_exons - 2, 0)"))) + ") GROUP BY ALL")
+@query("a14_expected_feature_totals", "exon", sql=f"WITH {PICK} {TOTALS}")
 def a14(fx: Fixtures) -> DataFrame:
     index = fx.exon.groupBy("gene", "tr").agg(F.count(F.lit(1)).alias("n_exons"))
-    return en.feature_totals(pick_transcript(index, 3))
+    return en.feature_totals(pick_transcript(index, ROUNDS))
 
 
 @query("a16_percent_of_features", "te", "sizes", "exon", "hit", sql=f"WITH {EXP}, n AS (SELECT count(*) AS nf FROM exon) SELECT rclass, round(100 * max(ob.hits) / max(nf), 6) AS obs_pct, round(100 * avg(fl.hits) / max(nf), 6) AS exp_pct, max(nf) - max(ob.hits) AS unhit FROM fl JOIN ob USING (rclass), n GROUP BY rclass")
@@ -174,7 +255,7 @@ def a16(fx: Fixtures) -> DataFrame:
     return t.select("rclass", F.round("obs_pct", 6).alias("obs_pct"), F.round("exp_pct", 6).alias("exp_pct"), "unhit")
 
 
-@query("m6_enrichment_matrices", "te", "sizes", "exon", "hit", sql=f"WITH {EXP}, t AS (SELECT rclass, coalesce(max(ob.hits), 0) AS obs, avg(fl.hits) AS m, 1 + count(*) FILTER (fl.hits <= coalesce(ob.hits, 0)) AS rank FROM fl LEFT JOIN ob USING (rclass) GROUP BY rclass) SELECT rclass, CASE WHEN rank <= 2 THEN 'DEPLETED' ELSE 'ENRICHED' END AS direction, round(obs / nullif(m, 0), 6) AS odds FROM t")
+@query("m6_enrichment_matrices", "te", "sizes", "exon", "hit", sql=f"WITH {EXP}, t AS (SELECT rclass, coalesce(max(ob.hits), 0) AS obs, avg(fl.hits) AS m, 1 + count(*) FILTER (fl.hits <= coalesce(ob.hits, 0)) AS rank FROM fl LEFT JOIN ob USING (rclass) GROUP BY rclass) SELECT rclass, CASE WHEN rank <= {ROUNDS / 2} THEN 'DEPLETED' ELSE 'ENRICHED' END AS direction, round(obs / nullif(m, 0), 6) AS odds FROM t")
 def m6(fx: Fixtures) -> DataFrame:
     from locuspark.operators.merge import enrichment_matrix
 
