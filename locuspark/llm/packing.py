@@ -11,6 +11,8 @@ only their last sequence is padded. Full sequences are dealt to step groups of e
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,80 +26,82 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locuspark.llm.bpe import byte_alphabet
 from locuspark.llm.shared import column, shared_path, text_blocks, text_slices
+from locuspark.llm.token_counts import ASCII_PIECES, PIECES
 
 #: Context sizes, longest first.
 TIERS = (2048, 1024, 512, 256)
 #: Pieces that wait in a task before they are packed; tasks whose rests are packed together.
 POOL, TASKS = 2048, 64
-#: Entries of one generation of a worker's cache, and the longest word that is kept.
-CACHE, LONGEST = 250_000, 64
+#: Entries of one generation of a worker's cache (and of its pieces), and the longest word that is kept.
+CACHE, LONGEST = 400_000, 64
 
 
-class _Cache(dict):
-    """Words and what they encode to, in two generations; words that neither holds are asked for."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.older: dict = {}
-        self.asked: set[str] = set()
-
-    def __missing__(self, word: str) -> bytes | None:
-        found = self.older.get(word)
-        if found is None:
-            self.asked.add(word)
-        else:
-            self[word] = found
-        return found
+def cut_up(data: bytes, ends: np.ndarray) -> list[bytes]:
+    """The stretches of ``data`` that end at each of ``ends``."""
+    at = ends.tolist()
+    return [data[x:y] for x, y in zip([0, *at], at, strict=False)]
 
 
 class WordIds:
-    """Ids of texts for a vocabulary that drops white space, word by word: no token crosses white space."""
+    """Ids of texts for a vocabulary that drops white space, word by word: no token crosses white space.
+
+    New words are split into pieces, new pieces encoded by the model alone; both are kept, words in two generations.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.model.no_truncation()
-        self.model.no_padding()
-        self.added = {a.content: np.uint32(i).tobytes() for i, a in self.model.get_added_tokens_decoder().items()}
+        whole = Tokenizer.from_file(path)
+        self.model = Tokenizer(whole.model)
+        self.added = {a.content: np.uint32(i).tobytes() for i, a in whole.get_added_tokens_decoder().items()}
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        self.model.encode_special_tokens = True  # they are split off before, in any other spelling they are text
         self.space, self.odd = regex.compile(r"\p{White_Space}+"), regex.compile("[\x1c-\x1f]")
-        self.cache = _Cache()
+        self.piece, self.ascii_piece = regex.compile("\n|" + PIECES), re.compile("\n|" + ASCII_PIECES)
+        self.letters = byte_alphabet()
+        self.words, self.older, self.pieces = dict(self.added), {}, {"\n": b""}
+
+    def split(self, text: str) -> list[str]:
+        """The stretches between white space, and special strings; four control characters are white space to Python alone."""
+        out: list[str] = []
+        for k, part in enumerate(self.special.split(text) if any(s in text for s in self.added) else [text]):
+            out += [part] if k % 2 else [w for w in self.space.split(part) if w] if self.odd.search(part) else part.split()
+        return out
 
-    def words(self, text: str) -> list[str]:
-        """The stretches between white space; four control characters are white space to Python alone."""
-        return [w for w in self.space.split(text) if w] if self.odd.search(text) else text.split()
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words: their pieces as the vocabulary's rules cut them, lower-cased character by character."""
+        plain = [w for w in words if w.isascii()]
+        other = [w for w in words if not w.isascii()]
+        found = self.ascii_piece.findall("\n".join([*plain, ""]).lower())
+        found += self.piece.findall(unicodedata.normalize("NFC", "\n".join([*other, ""])).replace("Σ", "σ").lower()) if other else []
+        if len(self.pieces) > CACHE:
+            self.pieces = {"\n": b""}
+        new = list(set(found).difference(self.pieces))
+        shown = [p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.letters) for p in new]
+        for at in range(0, len(new), 4096):
+            done = self.model.encode(shown[at : at + 4096], is_pretokenized=True, add_special_tokens=False)
+            ends = np.searchsorted(done.word_ids, np.arange(len(new[at : at + 4096])), side="right")
+            self.pieces.update(zip(new[at : at + 4096], cut_up(np.array(done.ids, np.uint32).tobytes(), 4 * ends), strict=True))
+        values = list(map(self.pieces.__getitem__, found))
+        size = np.fromiter(map(len, values), np.int64, len(values))
+        return dict(zip(plain + other, cut_up(b"".join(values), np.cumsum(size)[size == 0]), strict=True))  # only the line ends between words are empty
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text; words that are not known are encoded together."""
-        if len(self.cache) > CACHE:
-            older, self.cache = self.cache, _Cache()
-            older.older = {}
-            self.cache.older = older
-        rows: list[list] = []
-        for t in texts:
-            parts = self.special.split(t) if any(s in t for s in self.added) else [t]
-            row: list = []
-            for k, part in enumerate(parts):
-                row += [part] if k % 2 else self.words(part)
-            rows.append(row)
-        cache, own = self.cache, self.added
-        get = cache.__getitem__
-        if any(s in t for t in texts for s in own):
-            get = lambda w: own.get(w) or cache[w]
-        out = [list(map(get, row)) for row in rows]
-        if cache.asked:
-            asked = list(cache.asked)
-            cache.asked.clear()
-            fresh = {w: np.array(e.ids, np.uint32).tobytes() for w, e in zip(asked, self.model.encode_batch(asked, add_special_tokens=False), strict=True)}
-            for k, row in enumerate(out):
-                if None in row:
-                    out[k] = [fresh[w] if d is None else d for w, d in zip(rows[k], row, strict=True)]
-            cache.update((w, d) for w, d in fresh.items() if len(w) <= LONGEST)
-        return [b"".join(row) for row in out]
+        """Little-endian 32-bit ids of each text."""
+        if len(self.words) > CACHE:
+            self.words, self.older = dict(self.added), self.words
+        rows = [self.split(t) for t in texts]
+        asked = set().union(*rows).difference(self.words)
+        fresh = asked.difference(self.older)
+        self.words.update((w, self.older[w]) for w in asked - fresh)
+        self.words.update(self.learn(list(fresh)))
+        out = [b"".join(map(self.words.__getitem__, row)) for row in rows]
+        for w in fresh:
+            if len(w) > LONGEST:
+                del self.words[w]
+        return out
 
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         """The same for texts of any length, a long one block by block."""

@@ -28,7 +28,7 @@ from locuspark.llm.shared import column, text_slices
 #: The pre-token pattern of the vocabulary file (fixed values).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 #: The same for lower-case ASCII texts, which the plain engine scans in half the time.
-_ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+"
+ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+"
 #: Entries of one generation of a worker's cache, and the longest piece that is kept.
 CACHE, LONGEST = 300_000, 64
 
@@ -64,7 +64,7 @@ class PieceCounter:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))))
-        self.piece, self.ascii_piece = regex.compile(PIECES), re.compile(_ASCII_PIECES)
+        self.piece, self.ascii_piece = regex.compile(PIECES), re.compile(ASCII_PIECES)
         self.start(frequent)
 
     def start(self, frequent: dict[str, int]) -> None:
