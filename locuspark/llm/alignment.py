@@ -3,18 +3,18 @@
 Both token rows cover the same bytes. In an interval that begins and ends at shared cuts, an end
 common to both near the middle is located by bisection, and both halves are taken in turn; an
 interval without one is a leaf group. A space between two words is a cut of both tokenizers, so a
-text falls into words first, each aligned once and kept in the worker's bounded cache. Counts of
-id pairs over the corpus come from sums per slice of documents, joined back per slice.
+text falls into words first; new words are aligned together, each once, and kept in the worker's
+bounded cache. Counts of id pairs over the corpus come from sums per slice of documents, joined
+back per slice.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,56 +24,71 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from locuspark.llm.bpe import byte_alphabet
+from locuspark.llm.packing import cut_up
 from locuspark.llm.shared import column, if_small, shared_path, text_blocks, text_slices
 
 #: Documents of a slice, and characters after which it is closed.
 SLICE_DOCS, SLICE_CHARS = 2048, 8 << 20
 #: Entries of one generation of a worker's cache, and the longest word that is kept.
-CACHE, LONGEST = 150_000, 64
+CACHE, LONGEST = 250_000, 64
 #: An id pair is one number: A id, then B id in so many bits.
 B_BITS = 20
 _DOUBLE, _CUT, _BYTE = regex.compile(r"^\s|\s\s|\s$"), regex.compile(r"(?<=\S) (?=\S)"), regex.compile("<0x([0-9A-F]{2})>")
 
 
-def middle_cut(a: list[int], b: list[int], i: int, j: int, k: int, m: int) -> tuple[int, int] | None:
-    """(x, y) with a[x] == b[y], nearest to the middle of a[i:j] and under both last ends; None if there is none.
+def middle_cuts(ea: np.ndarray, eb: np.ndarray, i: np.ndarray, j: np.ndarray, k: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each interval (tokens i:j of A, k:m of B, with the same last end) the places of a common end near its middle; -1 if it has none but the last.
 
-    a[i:j] and b[k:m] are ascending ends with the same last one.
+    From A's middle end the search bisects to the next end of B, from that to the next end of A, and so on until
+    two are equal; where the interval ends first, it goes back from the middle the same way.
     """
-    if j - i < 2 or m - k < 2:
-        return None
+    x_of, y_of = np.full(len(i), -1), np.full(len(i), -1)
+    todo = np.flatnonzero((j - i > 1) & (m - k > 1))
     mid = (i + j - 1) >> 1
-    for step in range(j - i):  # mid, mid + 1, mid - 1, mid + 2, ...
-        x = mid + ((step + 1) >> 1) * (1 if step % 2 else -1)
-        if i <= x < j - 1:
-            y = bisect_left(b, a[x], k, m)
-            if y < m - 1 and b[y] == a[x]:
-                return x, y
-    return None
-
-
-def align(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
-    """Leaf groups (a from, a to, b from, b to) of two rows of token ends that share the last one, in order."""
-    out, todo = [], [(0, len(a), 0, len(b))] if a else []
-    while todo:
-        i, j, k, m = todo.pop()
-        cut = middle_cut(a, b, i, j, k, m)
-        if cut is None:
-            out.append((i, j, k, m))
-        else:
-            x, y = cut
-            todo += [(x + 1, j, y + 1, m), (i, x + 1, k, y + 1)]
-    return out
-
-
-def links(a: list[int], b: list[int], ga: tuple[int, int], gb: tuple[int, int]) -> list[tuple[int, int]]:
-    """Pairs of tokens of one group whose ranges end together: all that end where the group ends, tokens without bytes too."""
-    last = a[ga[1] - 1]
-    return [(x, y) for x in range(bisect_left(a, last, *ga), ga[1]) for y in range(bisect_left(b, last, *gb), gb[1])]
+
+    def found(at: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        hit = eb[y] == ea[x]
+        x_of[at[hit]], y_of[at[hit]] = x[hit], y[hit]
+        return ~hit
+
+    at, x = todo, mid[todo]
+    while len(at):
+        y = np.searchsorted(eb, ea[x])
+        on = found(at, x, y)
+        at, x = at[on], np.searchsorted(ea, eb[y[on]])
+        inside = x < j[at] - 1
+        at, x = at[inside], x[inside]
+    at = todo[x_of[todo] < 0]
+    x = mid[at] - 1
+    while len(at):
+        inside = x >= i[at]
+        at, x = at[inside], x[inside]
+        y = np.searchsorted(eb, ea[x], "right") - 1
+        inside = y >= k[at]
+        at, x, y = at[inside], x[inside], y[inside]
+        on = found(at, x, y)
+        at, x = at[on], np.searchsorted(ea, eb[y[on]], "right") - 1
+    return x_of, y_of
+
+
+def align(ea: np.ndarray, eb: np.ndarray, i: np.ndarray, j: np.ndarray, k: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Leaf groups as columns (A from, A to, B from, B to), in order, of intervals whose last ends are equal.
+
+    ``ea`` and ``eb`` are the ascending byte ends of the tokens. All intervals are halved together, level by level.
+    """
+    leaves = [np.zeros((4, 0), np.int64)]
+    while len(i):
+        x, y = middle_cuts(ea, eb, i, j, k, m)
+        cut = x >= 0
+        leaves.append(np.stack([i, j, k, m])[:, ~cut])
+        i, j, k, m, x, y = (v[cut] for v in (i, j, k, m, x, y))
+        i, j, k, m = np.r_[i, x + 1], np.r_[x + 1, j], np.r_[k, y + 1], np.r_[y + 1, m]
+    out = np.concatenate(leaves, axis=1)
+    return out[:, np.argsort(out[0])]
 
 
 class Aligner:
-    """Aligns texts word by word for a byte-level vocabulary (A) and a sentencepiece model (B)."""
+    """Aligns texts word by word for a byte-level vocabulary (A) and a sentencepiece model (B); new words are aligned together."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -85,52 +100,78 @@ class Aligner:
         self.a.no_padding()
         self.a.encode_special_tokens = True  # their strings are plain text
         value = {c: b for b, c in byte_alphabet().items()}
-        plain = self.a.get_vocab(with_added_tokens=True)
-        self.a_bytes = {i: bytes(value[c] for c in t) if all(c in value for c in t) else t.encode() for t, i in plain.items()}
+        entries = self.a.get_vocab(with_added_tokens=True)
+        a_bytes = {i: bytes(value[c] for c in t) if all(c in value for c in t) else t.encode() for t, i in entries.items()}
+        self.a_bytes = [a_bytes.get(i, b"") for i in range(max(a_bytes) + 1)]
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(i)
-            byte = _BYTE.fullmatch(piece)
-            self.b_bytes.append(bytes([int(byte[1], 16)]) if byte and self.b.is_byte(i) else piece.replace("▁", " ").encode())
-        self.a_size, self.b_size = {i: len(x) for i, x in self.a_bytes.items()}, [len(x) for x in self.b_bytes]
+            byte = _BYTE.fullmatch(self.b.id_to_piece(i))
+            self.b_bytes.append(bytes([int(byte[1], 16)]) if byte and self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode())
+        if not all(a_bytes.values()) or not all(self.b_bytes):
+            raise ValueError("a token without bytes: several tokens could end at one place")
+        self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        shown = lambda n, sep: np.array([f"{i}{sep}" for i in range(n)], object)
+        self.a_text = shown(len(self.a_bytes), ","), shown(len(self.a_bytes), "|")
+        self.b_text = shown(len(self.b_bytes), ","), shown(len(self.b_bytes), ";")
         self.known: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
 
-    def one(self, word: str, a: list[int], b: list[int]) -> tuple | None:
-        """(A tokens, B tokens, groups, groups as text, pair numbers as bytes) of a word; None if bytes differ from space and word."""
-        want = b" " + word.encode()
-        if b"".join([self.a_bytes[i] for i in a]) != want or b"".join([self.b_bytes[i] for i in b]) != want:
-            return None
-        ea, eb = list(accumulate(map(self.a_size.__getitem__, a))), list(accumulate(map(self.b_size.__getitem__, b)))
-        groups = align(ea, eb)
-        text = ";".join([",".join(map(str, a[i:j])) + "|" + ",".join(map(str, b[k:m])) for i, j, k, m in groups])
-        pairs = [(a[x] << B_BITS) | b[y] for i, j, k, m in groups for x, y in links(ea, eb, (i, j), (k, m))]
-        return len(a), len(b), len(groups), text, np.array(pairs, np.int64).tobytes()
+    def encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A of all words after a space, tokens per word; the same of B."""
+        ids, many = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), 4096):
+            part = [" " + w for w in words[at : at + 4096]]
+            done = self.a.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(done.ids, np.int64))
+            many.append(np.bincount(np.array(done.word_ids, np.int64), minlength=len(part)))
+        rows = self.b.encode(words, num_threads=1)
+        return np.concatenate(ids), np.concatenate(many), np.fromiter(chain.from_iterable(rows), np.int64), np.fromiter(map(len, rows), np.int64, len(rows))
+
+    def learn(self, words: list[str]) -> dict[str, tuple | None]:
+        """(A tokens, B tokens, groups, their text, pair numbers as bytes) of each word; None if its tokens do not spell space and word."""
+        a, na, b, nb = self.encoded(words)
+        want = [b" " + w.encode() for w in words]
+        size = np.fromiter(map(len, want), np.int64, len(want))
+        good = np.ones(len(words), bool)
+        for ids, n, spelled, sizes in ((a, na, self.a_bytes, self.a_size), (b, nb, self.b_bytes, self.b_size)):
+            own = np.bincount(np.repeat(np.arange(len(words)), n), sizes[ids], len(words)).astype(np.int64)
+            made = b"".join(map(spelled.__getitem__, ids.tolist()))
+            if made != b"".join(want) or (own != size).any():
+                good &= [x == y for x, y in zip(cut_up(made, np.cumsum(own)), want, strict=True)]
+        out: dict[str, tuple | None] = dict.fromkeys(words)
+        a, b, na, nb = a[np.repeat(good, na)], b[np.repeat(good, nb)], na[good], nb[good]
+        j, m = np.cumsum(na), np.cumsum(nb)
+        ga, ja, gb, mb = align(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), j - na, j, m - nb, m)
+        groups = np.searchsorted(ga, np.r_[0, j])  # each word's first group
+        pairs = ((a[ja - 1] << B_BITS) | b[mb - 1]).astype(np.int64).tobytes()  # tokens have bytes, so only the last ones of a group end together
+        text = np.empty(len(a) + len(b), object)
+        last_a, last_b = np.zeros(len(a), np.int8), np.zeros(len(b), np.int8)
+        last_a[ja - 1], last_b[mb - 1] = 1, 1
+        text[np.arange(len(a)) + np.repeat(gb, ja - ga)] = np.where(last_a, self.a_text[1][a], self.a_text[0][a])
+        text[np.arange(len(b)) + np.repeat(ja, mb - gb)] = np.where(last_b, self.b_text[1][b], self.b_text[0][b])
+        text, at = text.tolist(), (j + m).tolist()
+        lines = ["".join(text[x:y]) for x, y in zip([0, *at], at, strict=False)]
+        kept = [w for w, ok in zip(words, good.tolist(), strict=True) if ok]
+        out.update(zip(kept, zip(na.tolist(), nb.tolist(), np.diff(groups).tolist(), lines, cut_up(pairs, 8 * groups[1:]), strict=True), strict=True))
+        return out
 
     def words(self, text: str) -> list[str]:
         """The parts between single spaces that stand between two words."""
         return _CUT.split(text) if _DOUBLE.search(text) else text.split(" ")
 
     def aligned(self, texts: list[str]) -> list[list[tuple | None]]:
-        """What ``one`` says of each text's words; words that are not known are encoded together."""
+        """What ``learn`` says of each text's words; words that are not known are aligned together."""
         if len(self.known) > CACHE:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
         rows = [self.words(t) for t in texts]
-        asked = []
-        for w in {w for row in rows for w in row}:
-            if w not in known:
-                if w in older:
-                    known[w] = older[w]
-                else:
-                    asked.append(w)
-        if asked:
-            enc = self.a.encode_batch([" " + w for w in asked], add_special_tokens=False)
-            for w, e, b in zip(asked, enc, self.b.encode(asked, num_threads=1), strict=True):
-                known[w] = self.one(w, e.ids, b)
+        asked = set().union(*rows).difference(known)
+        fresh = asked.difference(older)
+        known.update((w, older[w]) for w in asked - fresh)
+        known.update(self.learn(list(fresh)))
         out = [list(map(known.__getitem__, row)) for row in rows]
-        for w in asked:
+        for w in fresh:
             if len(w) > LONGEST:
                 del known[w]
         return out
@@ -156,7 +197,7 @@ class _Sums:
         if self.n[2]:
             self.sha.update(b";")
         self.n += (sum([w[0] for w in words]), sum([w[1] for w in words]), sum([w[2] for w in words]))
-        self.sha.update(";".join([w[3] for w in words]).encode())
+        self.sha.update("".join([w[3] for w in words])[:-1].encode())
         keys, many = np.unique(np.frombuffer(b"".join([w[4] for w in words]), np.int64), return_counts=True)
         self.keys, self.many = (keys, many) if not len(self.keys) else merged([self.keys, keys], [self.many, many])
 

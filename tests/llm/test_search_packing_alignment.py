@@ -255,9 +255,20 @@ def test_alignment_of_long_texts_null_ids_and_empty_tables(spark):
 @pytest.mark.parametrize("seed", range(40))
 def test_leaf_groups_are_the_gaps_between_common_ends(seed):
     rng = random.Random(seed)
-    n = rng.randint(1, 60)
-    a, b = (sorted({*rng.sample(range(1, n + 1), rng.randint(1, n)), n}) for _ in range(2))
-    got = alignment.align(a, b)
-    assert [a[j - 1] for _, j, _, _ in got] == sorted(set(a) & set(b)) == [b[m - 1] for *_, m in got]
-    assert [g[0] for g in got] == [0, *[g[1] for g in got[:-1]]] and [g[2] for g in got] == [0, *[g[3] for g in got[:-1]]]
-    assert alignment.align([], []) == []
+    ends, parts, at = ([], []), [], 0
+    for _ in range(rng.randint(1, 30)):  # intervals side by side
+        n = rng.randint(1, 60)
+        here = [sorted({*rng.sample(range(1, n + 1), rng.randint(1, n)), n}) for _ in range(2)]
+        parts.append([len(ends[0]), len(ends[0]) + len(here[0]), len(ends[1]), len(ends[1]) + len(here[1])])
+        for row, add in zip(ends, here, strict=True):
+            row += [at + e for e in add]
+        at += n
+    i, j, k, m = np.array(parts).T
+    ga, ja, gb, mb = (x.tolist() for x in alignment.align(np.array(ends[0]), np.array(ends[1]), i, j, k, m))
+    assert [ends[0][x - 1] for x in ja] == sorted(set(ends[0]) & set(ends[1])) == [ends[1][x - 1] for x in mb]
+    assert ga == [0, *ja[:-1]] and gb == [0, *mb[:-1]]
+
+
+def test_no_intervals_no_groups():
+    none = np.zeros(0, np.int64)
+    assert alignment.align(none, none, none, none, none, none).shape == (4, 0)
