@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locuspark.operators.classify import punctual
 from locuspark.storage import checkpoint
 
+#: Categories whose place is one base (fixed values).
+SITES = ("TSS", "polyA", "5SPL", "3SPL")
+
 
 def consensus_coords(te: DataFrame) -> DataFrame:
     """rep_start, rep_end, rep_left from the three raw columns r11, r12, r13, by strand; brackets stripped."""
@@ -86,9 +90,48 @@ def with_consensus(hits: DataFrame, te: DataFrame) -> DataFrame:
     return j.withColumns({"rep_start": F.coalesce("rep_start", F.lit(1)), "rep_end": F.coalesce("rep_end", n), "rep_left": F.coalesce("rep_left", F.lit(0))}).drop("_n", "_c", "_s", "_e", "_b")
 
 
-def consensus_coverage(hits: DataFrame, te: DataFrame, min_fragments: int = 1, min_length: int = 1, max_deviation: int | None = None, force: str | None = None) -> DataFrame:
-    """The whole job: hits to depth per consensus base, (rname, pos, depth)."""
-    j = with_consensus(hits, te).withColumns({"o_st": F.greatest("te_st", "st"), "o_en": F.least("te_en", "en")})
-    lifted = checkpoint(lift_to_consensus(j, force).select("rname", "con_start", "con_end", "rep_end", "rep_left"))  # read by lengths, filters and depths
+def category_places(rows: DataFrame, category: str, order: Sequence[str] = ("te_st", "te_en", "te_id")) -> DataFrame:
+    """Hits of transcripts with a category, each reduced to the category's place (st, en), counted once.
+
+    A hit takes part if its category contains ``category``; ``exonized`` takes all, with the whole exon. TSS, polyA,
+    5SPL and 3SPL are one base each, by the transcript's strand. Of the hits that share place, strand, category and
+    repeat name the first in ``order`` stays, so that a place counts once however many transcripts or pieces have it.
+    """
+    if category != "exonized":
+        rows = rows.where(F.col("category").contains(category))
+    if category in SITES:
+        rows = punctual(rows, category)
+    first = Window.partitionBy("chrom", "st", "en", "strand", "category", "rname").orderBy(*order)
+    return rows.withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r")
+
+
+def consensus_pieces(hits: DataFrame | None, te: DataFrame, kind: str = "TEjoin", category: str = "exonized", force: str | None = None) -> DataFrame:
+    """(rname, con_start, con_end, rep_end, rep_left): what each fragment or hit covers of its consensus.
+
+    ``RMout`` takes the fragments of ``te`` as they are, ``TEjoin`` the overlapping pieces of hits with any features,
+    ``TrInfos`` hits of transcripts with their category, at the category's place. Places outside their repeat go.
+    """
+    cols = ["rname", "con_start", "con_end", "rep_end", "rep_left"]
+    if kind == "RMout":
+        return te.withColumns({"con_start": F.least("rep_start", "rep_end"), "con_end": F.greatest("rep_start", "rep_end")}).select(*cols)
+    if kind not in ("TEjoin", "TrInfos"):
+        raise ValueError(f"kind is RMout, TEjoin or TrInfos, not {kind}")
+    rows = category_places(hits, category) if kind == "TrInfos" else hits
+    j = with_consensus(rows, te).withColumns({"o_st": F.greatest("te_st", "st"), "o_en": F.least("te_en", "en")}).where("o_st <= o_en")
+    return lift_to_consensus(j, force).select(*cols)
+
+
+def consensus_coverage(
+    hits: DataFrame | None,
+    te: DataFrame,
+    min_fragments: int = 1,
+    min_length: int = 1,
+    max_deviation: int | None = None,
+    force: str | None = None,
+    kind: str = "TEjoin",
+    category: str = "exonized",
+) -> DataFrame:
+    """The whole job: fragments or hits to depth per consensus base, (rname, pos, depth); kinds and categories as in consensus_pieces."""
+    lifted = checkpoint(consensus_pieces(hits, te, kind, category, force))  # read by lengths, filters and depths
     cov = filter_coverage(lifted, min_fragments, min_length, max_deviation)
     return depth_per_base(cov, consensus_lengths(cov))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from locuspark.operators.intervals import interval_complement, interval_intersection, nearest
+from locuspark.operators.intervals import interval_complement, interval_intersection, merge_intervals, nearest
 from locuspark.storage import checkpoint, if_small, ordinals
 
 
@@ -142,17 +143,78 @@ def _drawn(draws: pd.DataFrame, gaps: pd.DataFrame) -> pd.DataFrame:
     return draws[["chrom", "te_id", "round", "_span"]].assign(_gap=at[lo], _new=at[lo] + u - (cum[lo] - lo * span))
 
 
-def _draw(items: DataFrame, gaps: DataFrame, by: Sequence[str], seed: int) -> DataFrame:
+def admissible_starts(regions: np.ndarray, excluded: np.ndarray, span: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs (first start, number) of the starts at which an interval of span + 1 positions lies in a region and shares at most ``most`` with what is excluded.
+
+    Both are sorted disjoint intervals (rows of start and end). The shared length as a function of the start is
+    linear, with slope -1, 0 or 1, between the places where either end of the interval enters or leaves something.
+    """
+    rs, re = regions.T
+    es, ee = excluded.T
+    before = np.r_[0, np.cumsum(ee - es + 1)]
+
+    def covered(p: np.ndarray) -> np.ndarray:
+        """Excluded positions up to p."""
+        k = np.searchsorted(es, p, "right")
+        inside = np.minimum(p, np.r_[0, ee][k]) - np.r_[0, es][k] + 1
+        return np.where(k > 0, before[np.maximum(k - 1, 0)] + inside, 0)
+
+    at = np.unique(np.concatenate([rs, re - span + 1, es, ee + 1, es - span, ee + 1 - span]))
+    if len(at) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, n = at[:-1], np.diff(at)
+    region = np.searchsorted(rs, at, "right") - 1
+    fits = (region >= 0) & (at <= re[np.maximum(region, 0)] - span)
+    at, n = at[fits], n[fits]
+    shared = covered(at + span) - covered(at - 1)
+    slope = np.where(n > 1, covered(at + 1 + span) - covered(at) - shared, 0)
+    low = np.where(slope < 0, np.clip(shared - most, 0, n), np.where(shared <= most, 0, n))
+    high = np.where(slope > 0, np.clip(most - shared + 1, 0, n), n)
+    keep = high > low
+    return (at + low)[keep], (high - low)[keep]
+
+
+def _drawn_within(fraction: float) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """The drawn start of each placement among all at which at most ``fraction`` of its positions are excluded."""
+
+    def run(draws: pd.DataFrame, space: pd.DataFrame) -> pd.DataFrame:
+        both = space[["start", "end", "_excluded"]].sort_values("start").to_numpy(np.int64)
+        regions, excluded = both[both[:, 2] == 0, :2], both[both[:, 2] == 1, :2]
+        out = []
+        for span, rows in draws.groupby("_span"):
+            at, n = admissible_starts(regions, excluded, int(span), math.floor(fraction * (int(span) + 1)))
+            if not len(at):
+                continue
+            cum = np.cumsum(n)
+            u = rows["_key"].to_numpy(np.int64) % cum[-1]
+            k = np.searchsorted(cum, u, "right")
+            new = at[k] + u - (cum[k] - n[k])
+            out.append(rows[["chrom", "te_id", "round", "_span"]].assign(_gap=new, _new=new))
+        return pd.concat(out) if out else draws[["chrom", "te_id", "round", "_span"]].head(0).assign(_gap=0, _new=0)
+
+    return run
+
+
+def _draw(items: DataFrame, gaps: DataFrame, by: Sequence[str], seed: int, fraction: float = 0.0) -> DataFrame:
     """(chrom, te_id, round, _span, _gap, _new): the drawn gap and start of each item that fits in a gap of equal ``by``.
 
-    Tasks take a share of the placements (``PLACEMENTS``) and their gaps.
+    Tasks take a share of the placements (``PLACEMENTS``) and their gaps. With a ``fraction``, ``gaps`` are regions
+    and what is excluded of them (_excluded), shares are dealt by length, and a length of many placements is cut.
     """
     parts = items.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / PLACEMENTS).cast("int").alias("_parts"))
     gaps = gaps.select(*[F.col(c).alias(c) for c in gaps.columns])  # columns of their own beside the items
-    gaps = gaps.join(parts, [*by]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
-    draws = items.join(parts, [*by]).withColumn("_key", F.xxhash64("te_id", "round", F.lit(seed))).withColumn("_part", F.pmod(F.xxhash64("te_id", "round", F.lit("part")), F.col("_parts")).cast("int")).drop("_parts")
+    which = F.xxhash64("te_id", "round", F.lit("part"))
+    if fraction:
+        spans = items.groupBy(*by, "_span").agg(F.count(F.lit(1)).alias("_k")).groupBy(*by).agg(F.ceil(F.max("_k") / PLACEMENTS).cast("int").alias("_cuts"))
+        parts = parts.join(spans, [*by])
+        which = F.pmod(F.xxhash64("_span"), F.col("_parts")) * F.col("_cuts") + F.pmod(which, F.col("_cuts"))
+        parts = parts.withColumn("_all", F.col("_parts") * F.col("_cuts"))
+    else:
+        parts = parts.withColumn("_all", F.col("_parts"))
+    gaps = gaps.join(parts, [*by]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_all") - 1))).select(*gaps.columns, "_part")
+    draws = items.join(parts, [*by]).withColumn("_key", F.xxhash64("te_id", "round", F.lit(seed))).withColumn("_part", F.pmod(which, F.col("_all")).cast("int")).select(*items.columns, "_key", "_part")
     shape = f"chrom string, te_id {dict(items.dtypes)['te_id']}, round long, _span long, _gap long, _new long"
-    return draws.groupBy(*by, "_part").cogroup(gaps.groupBy(*by, "_part")).applyInPandas(_drawn, shape)
+    return draws.groupBy(*by, "_part").cogroup(gaps.groupBy(*by, "_part")).applyInPandas(_drawn_within(fraction) if fraction else _drawn, shape)
 
 
 #: Keys that put placements in order, and how many of them are one bucket.
@@ -207,19 +269,29 @@ def shuffle_random(
     seed: int = 1,
     first: int = 1,
     no_overlap: bool = False,
+    max_excl_fraction: float = 0.0,
 ) -> DataFrame:
     """Place each repeat at random on its chromosome, whole inside the allowed space.
 
     One draw over the exact number of starts at which the repeat fits is uniform over them
     and never rejected. A repeat that fits nowhere is left out. With ``no_overlap`` the
     repeats of a round share no position; one that no room is left for is left out too.
+    With ``max_excl_fraction`` up to that share of a repeat's positions may be excluded ones
+    (rounded down); it still lies whole in its chromosome and an included region. The two
+    options do not go together.
     """
-    gaps = allowed_space(sizes, excl, incl).select("chrom", "start", "end")
+    if max_excl_fraction and no_overlap:
+        raise ValueError("placements without overlaps tolerate no excluded positions")
+    tolerant = bool(max_excl_fraction) and excl is not None
+    gaps = allowed_space(sizes, None if tolerant else excl, incl).select("chrom", "start", "end")
+    if tolerant:
+        bars = merge_intervals(excl).select("chrom", "start", "end", F.lit(1).alias("_excluded"))
+        gaps = gaps.withColumn("_excluded", F.lit(0)).unionByName(bars)
     span = (F.col("end") - F.col("start")).cast("long")
     items = _rounds(te.select("chrom", "te_id", span.alias("_span")), rounds, first)
     if no_overlap:
         placed = _draw_apart(items, gaps, seed)
     else:
-        placed = _draw(items, gaps, ["chrom"], seed)
+        placed = _draw(items, gaps, ["chrom"], seed, max_excl_fraction if tolerant else 0.0)
     base = te.join(placed.select("te_id", "round", "_new"), "te_id")
     return base.withColumns({"end": F.col("_new") + span, "start": F.col("_new")}).select(*te.columns, "round")

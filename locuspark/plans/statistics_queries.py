@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from locuspark.functions import statistics as st
 from locuspark.operators import coverage as cv
 from locuspark.operators import merge as mg
 from locuspark.plans.composition_queries import INFO, NR, SIX, hits, te_info
+from locuspark.plans.model_queries import CATS, STRUCT, with_cats
 from locuspark.operators import classify as cl
 from locuspark.operators import compose as cm
 from locuspark.functions import features as ft
@@ -271,6 +274,27 @@ def v3(fx: Fixtures) -> DataFrame:
     return cv.consensus_coverage(hits(fx), cv.consensus_coords(te_raw(fx)), min_fragments=2, min_length=50)
 
 
+#: Hits with their category at the category's place, once per place, strand, category and repeat name; then as before.
+PLACED = f"""{STRUCT}, {CATS}, si AS (SELECT unnest(['exonized', 'TSS', 'polyA', '5SPL', '3SPL']) AS site),
+  pp AS (SELECT site, ct.te_id, ct.chrom, ct.strand, te_strand, category, rname, te_st, te_en, CASE WHEN site = 'exonized' THEN ct.st WHEN (site IN ('TSS', '3SPL')) = (ct.strand = '-') THEN ct.en ELSE ct.st END AS st, CASE WHEN site = 'exonized' THEN ct.en WHEN (site IN ('TSS', '3SPL')) = (ct.strand = '-') THEN ct.en ELSE ct.st END AS en
+    FROM ct JOIN si ON site = 'exonized' OR contains(category, site)),
+  po AS (SELECT pp.*, r.rep_start, {REP_END.format(en='r.en', st='r.st').replace('te_id', 'r.te_id').replace('rep_start', 'r.rep_start')} AS rep_end, r.rep_left, greatest(pp.te_st, pp.st) AS os, least(pp.te_en, pp.en) AS oe FROM (SELECT * FROM pp QUALIFY row_number() OVER (PARTITION BY site, chrom, st, en, strand, category, rname ORDER BY te_st, te_en, te_id) = 1) pp JOIN te r ON pp.te_id = r.te_id),
+  co AS MATERIALIZED (SELECT *, least(a, b) AS cs, greatest(a, b) AS ce FROM (SELECT *, CASE WHEN te_strand = '+' THEN rep_start + (os - te_st) ELSE rep_start + (te_en - oe) END AS a, CASE WHEN te_strand = '+' THEN rep_end - (te_en - oe) ELSE rep_end - (os - te_st) END AS b FROM po WHERE os <= oe)),
+  ln AS (SELECT site, rname, length FROM (SELECT site, rname, rep_end + rep_left AS length, count(*) AS n FROM co GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY site, rname ORDER BY n DESC, length DESC) = 1)"""
+
+
+@query("v3_coverage_by_category", "hit", "exon", "tr", "te", sql=f"WITH {PLACED} SELECT l.site, l.rname, pos, count(c.rname) AS depth FROM (SELECT site, rname, unnest(range(1, length + 1)) AS pos FROM ln) l LEFT JOIN co c ON c.site = l.site AND c.rname = l.rname AND pos BETWEEN cs AND ce GROUP BY ALL")
+def v3_category(fx: Fixtures) -> DataFrame:
+    rows, te = checkpoint(with_cats(fx)), cv.consensus_coords(te_raw(fx))
+    each = [cv.consensus_coverage(rows, te, kind="TrInfos", category=c).select(F.lit(c).alias("site"), "rname", "pos", "depth") for c in ("exonized", *cv.SITES)]
+    return functools.reduce(DataFrame.unionByName, each)
+
+
+@query("v3_coverage_fragments", "te", sql=f"WITH co AS (SELECT rname, least(rep_start, rep_end) AS cs, greatest(rep_start, rep_end) AS ce, rep_end, rep_left FROM (SELECT rname, rep_start, rep_left, {REP_END.format(en='en', st='st')} AS rep_end FROM te)), {LENS} SELECT l.rname, pos, count(c.rname) AS depth FROM (SELECT rname, unnest(range(1, length + 1)) AS pos FROM ln) l LEFT JOIN co c ON c.rname = l.rname AND pos BETWEEN cs AND ce GROUP BY ALL")
+def v3_fragments(fx: Fixtures) -> DataFrame:
+    return cv.consensus_coverage(None, cv.consensus_coords(te_raw(fx)), kind="RMout")
+
+
 # merged reports: the runs are the strands of the features
 def runs(fx: Fixtures) -> dict[str, DataFrame]:
     h = cl.te_bucket(hits(fx))
