@@ -54,11 +54,19 @@ def filter_repeat(df: DataFrame, kind: str, value: str, contains: bool = False,
     return df.where(c.contains(v) if contains else c == v)
 
 
+def one_per_name(info: DataFrame, *cols: Column) -> DataFrame:
+    """A row per lower-case rname (_l) with ``cols``: of repeated names the last by file and place if ``info`` has them, else the greatest values."""
+    names = [F.lower("rname").alias("_l"), F.struct(*cols).alias("_v")]
+    if {"file", "place"} <= set(info.columns):
+        return info.select(*names, F.struct("file", "place").alias("_o")).groupBy("_l").agg(F.max_by("_v", "_o").alias("_v")).select("_l", "_v.*")
+    return info.select(*names).groupBy("_l").agg(F.max("_v").alias("_v")).select("_l", "_v.*")
+
+
 def override_class(te: DataFrame, te_info: DataFrame | None = None, rm_info: DataFrame | None = None) -> DataFrame:
     """Class and family from the TE table, else the parsed table, else the row's own; matched on lower-case names."""
     out = te.withColumn("_l", F.lower("rname"))
     for k, info in enumerate(x for x in (te_info, rm_info) if x is not None):
-        i = info.select(F.lower("rname").alias("_l"), F.col("rclass").alias(f"_c{k}"), F.col("rfam").alias(f"_f{k}")).dropDuplicates(["_l"])
+        i = one_per_name(info, F.col("rclass").alias(f"_c{k}"), F.col("rfam").alias(f"_f{k}"))
         out = out.join(i, "_l", "left")
     cs, fs = [c for c in out.columns if c.startswith("_c")], [c for c in out.columns if c.startswith("_f")]
     return out.withColumns({"rclass": F.coalesce(*cs, "rclass"), "rfam": F.coalesce(*fs, "rfam")}).drop("_l", *cs, *fs)
@@ -151,10 +159,10 @@ def all_bins() -> Column:
 
 def add_age(df: DataFrame, te_info: DataFrame, rm_info: DataFrame | None = None) -> DataFrame:
     """Add lineage, age and pct_div of each repeat; the divergence falls back to the parsed table's."""
-    i = te_info.select(F.lower("rname").alias("_l"), "lineage", "age", F.col("pct_div").alias("_d1")).dropDuplicates(["_l"])
+    i = one_per_name(te_info, F.col("lineage"), F.col("age"), F.col("pct_div").alias("_d1"))
     out = df.withColumn("_l", F.lower("rname")).join(i, "_l", "left")
     if rm_info is not None:
-        out = out.join(rm_info.select(F.lower("rname").alias("_l"), F.col("pct_div").alias("_d2")).dropDuplicates(["_l"]), "_l", "left")
+        out = out.join(one_per_name(rm_info, F.col("pct_div").alias("_d2")), "_l", "left")
     return out.withColumn("pct_div", F.coalesce(*[c for c in ("_d1", "_d2") if c in out.columns])).drop("_l", "_d1", "_d2")
 
 

@@ -7,9 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locuspark.storage import checkpoint
+
 
 def mean_sd(df: DataFrame, by: Sequence[str], col: str, parity: bool = False) -> DataFrame:
     """(*by, mean, sd): sample deviation, null for a single value; ``parity`` leaves zeros out of the squared sum."""
@@ -194,13 +197,44 @@ def _smoothed(df: DataFrame, by: Sequence[str], order: str, cols: Sequence[str],
 
 
 def exp_smooth(df: DataFrame, by: Sequence[str], order: str, col: str, coeff: float) -> DataFrame:
-    """(*by, order, smoothed): S0 = x0, S = coeff x previous + (1 - coeff) x value, along each group's order."""
+    """(*by, order, smoothed): S0 = x0, S = coeff x previous + (1 - coeff) x value, along each group's order.
 
-    def step(s: float | None, x: float) -> tuple[float, float]:
-        s = x if s is None else coeff * s + (1 - coeff) * x
-        return s, s
+    A scan: n steps map the value before to coeff^n times it plus what they add, so rows are sorted by ranges over
+    all partitions, each partition runs from zero, and one row per partition and group hands on the value before
+    (x0 before the first). No task holds a group.
+    """
+    by = list(by)
+    keys = by or ["_all"]
+    rows = df.where(F.col(col).isNotNull()).select(*by, order, F.col(col).cast("double").alias("_x"))
+    rows = rows if by else rows.withColumn("_all", F.lit(0))
+    kinds = dict(rows.dtypes)
+    shape = ", ".join([*[f"{c} {kinds[c]}" for c in (*keys, order)], "_part int, _n long, _x double, _s double"])
 
-    return _smoothed(df, by, order, [col], step)
+    def run(batches):
+        part, last, s, n = TaskContext.get().partitionId(), None, 0.0, 0
+        for b in batches:
+            sums, places = [], []
+            for g, x in zip(zip(*(b[c] for c in keys), strict=True), b["_x"].tolist(), strict=True):
+                if g != last:
+                    last, s, n = g, 0.0, 0
+                s, n = coeff * s + (1 - coeff) * x, n + 1
+                sums.append(s)
+                places.append(n)
+            yield b[[*keys, order]].assign(_part=part, _n=places, _x=b["_x"], _s=sums)
+
+    local = checkpoint(rows.repartitionByRange(*keys, order).sortWithinPartitions(*keys, order).mapInPandas(run, shape))
+
+    def chain(frame):
+        frame = frame.sort_values("_part", ignore_index=True)
+        s, before = frame["_x0"].iloc[0], []
+        for n, add in zip(frame["_n"].tolist(), frame["_s"].tolist(), strict=True):
+            before.append(s)
+            s = coeff**n * s + add
+        return frame[[*keys, "_part"]].assign(_before=before)
+
+    ends = local.groupBy(*keys, "_part").agg(F.max("_n").alias("_n"), F.max_by("_s", "_n").alias("_s"), F.min_by("_x", "_n").alias("_x0"))  # a row per partition and group
+    before = ends.groupBy(*keys).applyInPandas(chain, ", ".join([*[f"{c} {kinds[c]}" for c in keys], "_part int, _before double"]))
+    return local.join(before, [*keys, "_part"]).select(*by, order, (F.col("_s") + F.pow(F.lit(float(coeff)), "_n") * F.col("_before")).alias("smoothed"))
 
 
 def weighted_smooth(df: DataFrame, by: Sequence[str], order: str, col: str, weight: str, coeff: float) -> DataFrame:

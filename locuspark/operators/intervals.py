@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from locuspark.storage import checkpoint, if_small
+
 #: Length of a bin; about twice the length of a usual interval or more.
 BIN = 10_000
 #: Length of the bins that windows over a chromosome are cut into.
@@ -44,6 +46,7 @@ def overlap_join(
     right: str = "b_",
     long_intervals: bool = False,
     how: str = "inner",
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """All pairs of ``a`` and ``b`` that share ``min_nt`` positions or more, with ``overlap``.
 
@@ -52,6 +55,9 @@ def overlap_join(
     ``long_intervals`` adds coarser bins (32 and 1,024 times as long) for intervals that
     would fall into too many fine ones; each pair meets at the coarser of its two levels.
     ``how`` left keeps rows of ``a`` without a partner, once per bin, with nulls.
+    ``hot_rows`` counts the rows of each bin first and cuts a bin with more rows than that on either side into a grid
+    of blocks, each a key of its own: a's rows go to one of the row blocks, b's to one of the column blocks, and every
+    pair of blocks is joined. It goes with inner joins.
     """
     a, b = prefixed(a, left), prefixed(b, right)
     sizes = [bin_size * 32**k for k in range(3)] if long_intervals else [bin_size]
@@ -68,7 +74,14 @@ def overlap_join(
 
     first = F.greatest(f"{left}start", f"{right}start")
     on = [F.col(left + k) == F.col(right + k) for k in keys]
-    x, y = dealt(a, left), dealt(b, right).withColumnRenamed("_bin", "_bin2")
+    x, y = dealt(a, left), dealt(b, right)
+    if hot_rows is not None:
+        if how != "inner":
+            raise ValueError("hot bins are cut for inner joins only")
+        x, y = _cut_hot(x, y, [left + k for k in keys], [right + k for k in keys], ["_bin", *(["_level"] if long_intervals else [])], hot_rows)
+        y = y.withColumnsRenamed({"_row": "_row2", "_column": "_column2"})
+        on += [F.col("_row") == F.col("_row2"), F.col("_column") == F.col("_column2")]
+    y = y.withColumnRenamed("_bin", "_bin2")
     on.append(F.col("_bin") == F.col("_bin2"))
     if long_intervals:
         y = y.withColumnRenamed("_level", "_level2")
@@ -83,7 +96,24 @@ def overlap_join(
         out = x.join(y, [*on, overlap_length(coords, left, right) >= min_nt], how).withColumn("overlap", overlap_length(coords, left, right).cast("long"))
     if min_pct is not None:
         out = out.where(100 * F.col("overlap") >= min_pct * (F.col(f"{right}end") - F.col(f"{right}start") + 1))
-    return out.drop("_bin", "_bin2", "_level", "_level2", f"{left}_own", f"{right}_own")
+    return out.drop("_bin", "_bin2", "_level", "_level2", f"{left}_own", f"{right}_own", "_row", "_row2", "_column", "_column2")
+
+
+def _cut_hot(x: DataFrame, y: DataFrame, x_keys: list[str], y_keys: list[str], bins: list[str], most: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with _row and _column: in bins of more than ``most`` rows x is dealt to rows and repeated over columns, y the other way round."""
+    count = lambda df, keys, n: df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *bins).agg(F.count(F.lit(1)).alias(n))
+    names = [*[f"_k{i}" for i in range(len(x_keys))], *bins]
+    both = count(x, x_keys, "_nx").join(count(y, y_keys, "_ny"), names).where((F.col("_nx") > most) | (F.col("_ny") > most))
+    hot = checkpoint(both.select(*names, F.ceil(F.col("_nx") / most).cast("int").alias("_rows"), F.ceil(F.col("_ny") / most).cast("int").alias("_columns")))
+    few = if_small(hot, hot.count(), 100_000)
+
+    def blocks(df: DataFrame, keys: list[str], own: str, other: str) -> DataFrame:
+        renamed = few.withColumnsRenamed({f"_k{i}": k for i, k in enumerate(keys)})
+        one, all_ = F.pmod(F.xxhash64(*df.columns), F.coalesce(own, F.lit(1))).cast("int"), F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
+        mine, theirs = ("_row", "_column") if own == "_rows" else ("_column", "_row")
+        return df.join(renamed, [*keys, *bins], "left").withColumn(mine, one).withColumn(theirs, all_).drop("_rows", "_columns")
+
+    return blocks(x, x_keys, "_rows", "_columns"), blocks(y, y_keys, "_columns", "_rows")
 
 
 def min_overlap(joined: DataFrame, nt: int | None = None, pct: float | None = None, right: str = "b_") -> DataFrame:
@@ -117,29 +147,37 @@ def merge_intervals(df: DataFrame, by: Sequence[str] = ("chrom",), gap: int = 0,
     return flagged.join(last, [*by, "_bin"]).withColumn("_island", island).groupBy(*by, "_island").agg(F.max("end").alias("end"), F.count(F.lit(1)).alias("n")).select(*by, F.col("_island").alias("start"), "end", "n")
 
 
-def subtract_intervals(a: DataFrame, b: DataFrame, bin_size: int = BIN) -> DataFrame:
-    """``a`` minus the union of ``b``: what is left of each row, with a's other columns.
+def subtract_intervals(a: DataFrame, b: DataFrame, bin_size: int = BIN, stretch: int | None = None) -> DataFrame:
+    """``a`` minus the union of ``b``: what is left of each row, with a's other columns; repeated rows repeat.
 
-    One left join; a row's cuts come together by its columns, and rows that nothing cuts
-    stay whole. A row's pieces are one array, so rows are meant to be features: what is left of
-    whole chromosomes is interval_complement.
+    A sweep: rows get a number and are written; a row's cuts, and a mark before its start, each leave the piece up to
+    the next of them. The next one is found per row and stretch of it, the first of later stretches is handed back, so
+    a row of a whole chromosome is many rows, never one array.
     """
-    cols = a.columns
-    rows = a.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    hit = overlap_join(rows, merge_intervals(b), bin_size=bin_size, how="left")
-    keys = [F.col("a_" + c).alias(c) for c in (*cols, "_n")]
-    block = F.when(F.col("b_start").isNotNull(), F.struct(F.col("b_start").alias("s"), F.col("b_end").alias("e")))
-    cut = hit.groupBy(*keys).agg(F.array_sort(F.collect_list(block)).alias("_cut"))
-    n = F.size("_cut")
-    piece = F.transform(
-        F.sequence(F.lit(0), n),
-        lambda i: F.struct(
-            F.when(i == 0, F.col("start")).otherwise(F.try_element_at(F.col("_cut"), F.greatest(i, F.lit(1)))["e"] + 1).alias("s"),
-            F.when(i == n, F.col("end")).otherwise(F.try_element_at(F.col("_cut"), F.greatest(F.least(i + 1, n), F.lit(1)))["s"] - 1).alias("e"),
-        ),
-    )
-    left = cut.withColumn("_p", F.explode(F.filter(piece, lambda p: p["s"] <= p["e"]))).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    return left.select(*[F.col("_p.s").alias(c) if c == "start" else F.col("_p.e").alias(c) if c == "end" else F.col(c) for c in cols])
+    stretch, cols = stretch or STRETCH, a.columns
+    rows = checkpoint(a.withColumn("_id", F.monotonically_increasing_id()))
+    more = [c for c in cols if c not in ("chrom", "start", "end")]
+    place = rows.select("_id", "chrom", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    merged = merge_intervals(b).select("chrom", "start", "end")
+    long = F.col("end") - F.col("start") >= stretch
+
+    def marks(df: DataFrame) -> DataFrame:
+        """(_id, chrom, start, end, s, e): each row's cuts s..e, and an empty one before its start."""
+        cut = overlap_join(df, merged, bin_size=bin_size).select(*[F.col(f"a_{c}").alias(c) for c in ("_id", "chrom", "start", "end")], F.greatest("b_start", "a_start").alias("s"), F.col("b_end").alias("e"))
+        out = cut.unionByName(df.withColumns({"s": F.col("start") - 1, "e": F.col("start") - 1}))
+        return out.withColumn("_bin", F.floor(F.greatest(F.col("s") - F.col("start"), F.lit(0)) / stretch))  # rows under a stretch have one bin
+
+    w = Window.partitionBy("_id", "_bin").orderBy("s")
+    swept = marks(place).withColumn("_next", F.lead("s").over(w))
+    if not place.where(long).isEmpty():
+        later = Window.partitionBy("_id").orderBy("_bin")
+        firsts = marks(place.where(long)).groupBy("_id", "_bin").agg(F.min("s").alias("_s")).select("_id", "_bin", F.lead("_s").over(later).alias("_later"))
+        swept = swept.join(firsts, ["_id", "_bin"], "left").withColumn("_next", F.coalesce("_next", "_later"))
+    s, e = F.greatest(F.col("start"), F.col("e") + 1), F.coalesce(F.col("_next"), F.col("end") + 1) - 1
+    pieces = swept.select("_id", "chrom", s.alias("start"), e.alias("end")).where("start <= end")
+    if more:
+        pieces = pieces.join(rows.select("_id", *more), "_id")
+    return pieces.select(*cols)
 
 
 def running_max(rows: DataFrame, by: Sequence[str], pos: str, value: str, order: Sequence[Column], back: bool = False, stretch: int = STRETCH) -> DataFrame:
@@ -156,29 +194,35 @@ def running_max(rows: DataFrame, by: Sequence[str], pos: str, value: str, order:
     return rows.join(tops, [*by, "_bin"]).withColumn("_before", F.coalesce(F.max(value).over(inner), F.col("_carry"))).drop("_bin", "_carry")
 
 
-def nearest(a: DataFrame, b: DataFrame, a_id: str, b_id: str) -> DataFrame:
+def nearest(a: DataFrame, b: DataFrame, a_id: str, b_id: str, stretch: int | None = None) -> DataFrame:
     """The closest ``b`` of each ``a``: (a_id, b_id, distance), negative if a lies upstream of b on b's strand.
 
-    Distance 0 if they overlap, else the number of steps from edge to edge. Of ties the
-    overlapping or smallest b_id wins. Neighbours on both sides come from a sorted pass over
-    both tables per stretch of a chromosome, with one row carried between stretches; overlaps
-    from the binned join.
+    Distance 0 if they overlap, else the number of steps from edge to edge. Of all that are equally close, on either
+    side, the smallest b_id wins, in the order of its own type. Neighbours on both sides come from one pass over both
+    tables per stretch of a chromosome, with one row carried between stretches; overlaps from the binned join.
     """
-    av = a.select("chrom", F.col("start").alias("pos"), F.col("end").alias("far"), F.col(a_id).alias("aid"), F.lit(1).alias("kind"), F.lit(None).cast("struct<e:bigint,s:bigint,i:bigint,m:boolean>").alias("b"))
+    stretch = stretch or STRETCH
     minus = F.col("strand") == "-"
-    bs = F.struct(F.col("end").cast("long").alias("e"), F.col("start").cast("long").alias("s"), (-F.col(b_id)).cast("long").alias("i"), minus.alias("m"))
-    nothing = F.lit(None).cast("long")
-    # left neighbours: the largest end before a.start; right: the smallest start after a.end
-    ends = b.select("chrom", F.col("end").alias("pos"), nothing.alias("far"), nothing.alias("aid"), F.lit(0).alias("kind"), bs.alias("b"))
-    down = running_max(av.unionByName(ends), ["chrom"], "pos", "b", [F.asc("pos"), F.desc("kind")])
-    down = down.where("kind = 1").select("aid", F.col("pos").alias("s"), F.col("_before").alias("x"))
-    starts = b.select("chrom", F.col("start").alias("pos"), nothing.alias("aid"), F.lit(0).alias("kind"), F.struct((-F.col("start")).cast("long").alias("e"), F.col("end").cast("long").alias("s"), (-F.col(b_id)).cast("long").alias("i"), minus.alias("m")).alias("b"))
-    ups = a.select("chrom", F.col("end").alias("pos"), F.col(a_id).alias("aid"), F.lit(1).alias("kind"), F.lit(None).cast("struct<e:bigint,s:bigint,i:bigint,m:boolean>").alias("b"))
-    up = running_max(ups.unionByName(starts), ["chrom"], "pos", "b", [F.desc("pos"), F.desc("kind")], back=True)
-    up = up.where("kind = 1").select("aid", F.col("pos").alias("e"), F.col("_before").alias("x"))
-    sign = lambda before: F.when(F.col("x.m"), -1 if not before else 1).otherwise(1 if not before else -1)
-    cand = down.where("x is not null and x.e < s").select("aid", (-F.col("x.i")).alias("bid"), ((F.col("s") - F.col("x.e")) * sign(False)).alias("distance"))
-    cand = cand.union(up.where("x is not null and -x.e > e").select("aid", (-F.col("x.i")).alias("bid"), ((-F.col("x.e") - F.col("e")) * sign(True)).alias("distance")))
+    site = F.struct(F.col(b_id).alias("i"), minus.alias("m"))
+    at = lambda c: b.groupBy("chrom", F.col(c).cast("long").alias("pos")).agg(F.min(site).alias("site"))  # noqa: E731  the smallest id of each end
+    none = F.lit(None)
+    asked = a.select("chrom", F.explode(F.array(F.struct(F.col("start").cast("long").alias("pos"), F.lit(True).alias("left")), F.struct(F.col("end").cast("long").alias("pos"), F.lit(False).alias("left")))).alias("x"), F.col(a_id).alias("aid"))
+    asked = asked.select("chrom", "x.pos", "x.left", "aid", F.lit(1).alias("kind"), none.alias("low"), none.alias("high"))
+    ends = at("end").select("chrom", "pos", none.alias("left"), none.alias("aid"), F.lit(0).alias("kind"), F.struct("pos", "site").alias("low"), none.alias("high"))
+    starts = at("start").select("chrom", "pos", none.alias("left"), none.alias("aid"), F.lit(0).alias("kind"), none.alias("low"), F.struct("pos", "site").alias("high"))
+    rows = asked.unionByName(ends).unionByName(starts).withColumn("_bin", F.floor(F.col("pos") / stretch))
+    before, after = Window.partitionBy("chrom").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("chrom").orderBy("_bin").rowsBetween(1, Window.unboundedFollowing)
+    tops = rows.groupBy("chrom", "_bin").agg(F.max("low").alias("_low"), F.min("high").alias("_high"))
+    tops = tops.select("chrom", "_bin", F.max("_low").over(before).alias("_low"), F.min("_high").over(after).alias("_high"))
+    # questions come before answers of the same place in either direction, so that only what lies beyond an edge counts
+    up = Window.partitionBy("chrom", "_bin").orderBy("pos", F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy("chrom", "_bin").orderBy(F.desc("pos"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
+    low, high = F.coalesce(F.max("low").over(up), F.col("_low")), F.coalesce(F.min("high").over(down), F.col("_high"))
+    sides = rows.join(tops, ["chrom", "_bin"]).withColumns({"_l": low, "_h": high}).where("kind = 1")
+    x = F.when(F.col("left"), F.col("_l")).otherwise(F.col("_h"))
+    sides = sides.select("aid", "left", "pos", x.alias("x")).where("x IS NOT NULL")
+    sign = F.when(F.col("x.site.m") == F.col("left"), -1).otherwise(1)
+    cand = sides.select("aid", F.col("x.site.i").alias("bid"), (F.abs(F.col("x.pos") - F.col("pos")) * sign).cast("long").alias("distance"))
     over = overlap_join(a.select("chrom", "start", "end", F.col(a_id).alias("aid")), b.select("chrom", "start", "end", F.col(b_id).alias("bid")))
     cand = cand.union(over.select("a_aid", "b_bid", F.lit(0).cast("long")))
     best = cand.groupBy("aid").agg(F.min(F.struct(F.abs("distance").alias("d"), F.col("bid"), F.col("distance").alias("distance"))).alias("m"))

@@ -215,9 +215,23 @@ def aed(pairs: DataFrame, exons: DataFrame) -> DataFrame:
 
 
 def splice_complexity(exons: DataFrame) -> DataFrame:
-    """(gene, complexity): mean pairwise edit distance, null with fewer than two transcripts."""
-    d = aed(transcript_pairs(exons), exons).groupBy("gene").agg(F.avg("aed").alias("complexity"))
-    return exons.select("gene").distinct().join(d, "gene", "left")
+    """(gene, complexity): mean edit distance of a gene's transcript pairs, null with fewer than two transcripts.
+
+    The mean is linear in the shared bases, so no pair is made: where c transcripts of a gene have exons, a base adds
+    (c - 1) / own bases for each of them. The gene's exons are cut at all their ends; running sums of the
+    transcripts that begin and end there give c and the sum of 1 / own bases on each segment.
+    """
+    m = merge_intervals(exons, ["gene", "tr", "chrom"]).select("gene", "tr", "chrom", "start", "end")
+    own = m.groupBy("gene", "tr").agg(F.sum(_length()).alias("_bases"))
+    ends = F.array(F.struct(F.col("start").alias("pos"), F.lit(1).alias("d")), F.struct((F.col("end") + 1).alias("pos"), F.lit(-1).alias("d")))
+    change = m.join(own, ["gene", "tr"]).select("gene", "chrom", F.explode(ends).alias("x"), (1 / F.col("_bases")).alias("w"))
+    change = change.groupBy("gene", "chrom", F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d"), F.sum(F.col("x.d") * F.col("w")).alias("w"))
+    w = Window.partitionBy("gene", "chrom").orderBy("pos")
+    seg = change.select("gene", (F.lead("pos").over(w) - F.col("pos")).alias("n"), F.sum("d").over(w).alias("c"), F.sum("w").over(w).alias("s"))
+    shared = seg.where("c > 1").groupBy("gene").agg(F.sum(F.col("n") * (F.col("c") - 1) * F.col("s")).alias("_shared"))
+    t = own.groupBy("gene").agg(F.count(F.lit(1)).alias("_t"))
+    mean = 1 - F.coalesce("_shared", F.lit(0.0)) / (F.col("_t") * (F.col("_t") - 1))
+    return t.join(shared, "gene", "left").select("gene", F.when(F.col("_t") > 1, mean).alias("complexity"))
 
 
 def with_offsets(parts: DataFrame, key: str = "tr") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from locuspark.functions.features import internal_mark, split_class_family
 from locuspark.functions.sequences import expand_iupac
+from locuspark.storage import if_small
 
 #: Metadata and comment lines.
 COMMENT = r"^\s*(#|$)"
@@ -16,7 +17,13 @@ COMMENT = r"^\s*(#|$)"
 
 def lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(value, file): text lines with their file."""
-    return spark.read.text(path).select("value", F.input_file_name().alias("file"))
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def placed_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(value, file, place): text lines with their place in the file, the offset of the split and a number that grows within it."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"))
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
 
 
 def skip_records(df: DataFrame, comment: str = COMMENT, metadata: str | None = None) -> DataFrame:
@@ -25,6 +32,26 @@ def skip_records(df: DataFrame, comment: str = COMMENT, metadata: str | None = N
     return out.where(~F.col("value").rlike(metadata)) if metadata else out
 
 
+def read_records(
+    spark: SparkSession, path: str | Sequence[str], comment: str = r"^\s*#", metadata: str | None = None, header_count: int = 0, end_of_data: str | None = None
+) -> DataFrame:
+    """(value, file): the records of text files of any size, split anywhere.
+
+    From the first line that matches ``end_of_data`` on a file gives nothing, whatever the line is. Blank, metadata
+    and comment lines go; of the lines that are left, the first ``header_count`` of each file are headers and go too.
+    """
+    rows = placed_lines(spark, path)
+    if end_of_data is not None:
+        stop = rows.where(F.col("value").rlike(end_of_data)).groupBy("file").agg(F.min("place").alias("_stop"))  # a row per file
+        rows = rows.join(if_small(stop, stop.count(), 100_000), "file", "left").where(F.col("_stop").isNull() | (F.col("place") < F.col("_stop"))).drop("_stop")
+    rows = skip_records(rows.where(F.trim("value") != ""), comment, metadata)
+    if header_count:
+        first = lambda df, *by: df.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("place"))).where(F.col("_r") <= header_count).drop("_r")
+        heads = first(first(rows.select("file", "place"), "file", "place.split"), "file")  # a split hands on as many lines at most
+        rows = rows.join(if_small(heads, heads.count(), 100_000), ["file", "place"], "left_anti")
+    return rows.select("value", "file")
+
+
 def header_lines(df: DataFrame, pattern: str, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Hand the comment or metadata lines to a user's function of a DataFrame."""
     return parse(df.where(F.col("value").rlike(pattern)))
@@ -128,15 +155,18 @@ def parse_colmap(spark: SparkSession, path: str) -> dict[str, int]:
     return {r[0]: int(r[1]) for r in rows.select(F.regexp_extract("value", r"^\s*(\w+)", 1), F.regexp_extract("value", r"=\s*(\d+)", 1)).collect()}
 
 
-def read_te_info(spark: SparkSession, path: str) -> DataFrame:
-    """Repeat table: rname, rclass, rfam, pct_div, lineage, age; first row per lower-case name.
+def read_te_info(spark: SparkSession, path: str | Sequence[str], per_file: bool = False) -> DataFrame:
+    """Repeat table: rname, rclass, rfam, pct_div, lineage, age; of a lower-case name given more than once the last row.
 
-    The first / in a family becomes _; internal ERV parts get --int on the family.
+    The first / in a family becomes _; internal ERV parts get --int on the family. Several files are one table, in the
+    order of their names, or with ``per_file`` a table each, with the column file.
     """
-    c = skip_records(lines(spark, path), COMMENT + "|^(?i:rname)").withColumn("p", F.split("value", r"\t"))
+    c = skip_records(placed_lines(spark, path), COMMENT + "|^(?i:rname)").withColumn("p", F.split("value", r"\t"))
     at = lambda i: F.try_element_at("p", F.lit(i))
-    t = c.select(at(1).alias("rname"), at(2).alias("rclass"), internal_mark(F.concat_ws("_", F.substring_index(at(3), "/", 1), F.when(F.instr(at(3), "/") > 0, F.regexp_replace(at(3), "^[^/]*/", ""))), at(1)).alias("rfam"), at(5).try_cast("double").alias("pct_div"), at(6).alias("lineage"), at(7).alias("age"))
-    return t.withColumn("rname_lc", F.lower("rname")).dropDuplicates(["rname_lc"])
+    t = c.select(at(1).alias("rname"), at(2).alias("rclass"), internal_mark(F.concat_ws("_", F.substring_index(at(3), "/", 1), F.when(F.instr(at(3), "/") > 0, F.regexp_replace(at(3), "^[^/]*/", ""))), at(1)).alias("rfam"), at(5).try_cast("double").alias("pct_div"), at(6).alias("lineage"), at(7).alias("age"), "file", "place")
+    by = [*(["file"] if per_file else []), F.lower("rname").alias("rname_lc")]
+    last = t.groupBy(*by).agg(F.max_by(F.struct("rname", "rclass", "rfam", "pct_div", "lineage", "age"), F.struct("file", "place")).alias("_t"))
+    return last.select("_t.*", "rname_lc", *by[:-1])
 
 
 #: Column numbers (from 0) of a parsed summary table by layout (fixed values); the older one has one more column before them if its header names Rlen.
@@ -172,9 +202,11 @@ def read_sizes(spark: SparkSession, path: str) -> DataFrame:
     return skip_records(lines(spark, path)).select(p[0].alias("chrom"), p[1].cast("long").alias("length"))
 
 
-def fasta_chunks(spark: SparkSession, path: str) -> DataFrame:
+def fasta_chunks(spark: SparkSession, path: str, per_file: bool = False) -> DataFrame:
     """(chrom, start, seq): the lines of FASTA sequences, each with its 1-based place; the name is the header's first word.
 
+    With ``per_file`` the column file too.
+
     Files are split at any line. A line's sequence and place come from running sums inside its split
     and one carried row per split, so neither a sequence nor a file is ever one row.
     """
@@ -189,7 +221,7 @@ def fasta_chunks(spark: SparkSession, path: str) -> DataFrame:
     rows = rows.join(carried, ["_file", "_split"]).withColumns({"_no": F.col("_no") + F.col("_h0"), "_sum": F.col("_sum") + F.col("_n0")})
     names = rows.where("_head = 1").select("_file", "_no", F.split(F.trim(F.substring("value", 2, 1 << 30)), r"\s+")[0].alias("chrom"), F.col("_sum").alias("_from"))
     lines_ = rows.where("_head = 0 AND _seq <> ''").join(names, ["_file", "_no"])
-    return lines_.select("chrom", (F.col("_sum") - F.col("_from") + 1).cast("long").alias("start"), F.col("_seq").alias("seq"))
+    return lines_.select("chrom", (F.col("_sum") - F.col("_from") + 1).cast("long").alias("start"), F.col("_seq").alias("seq"), *([F.col("_file").alias("file")] if per_file else []))
 
 
 def fasta_records(spark: SparkSession, path: str) -> DataFrame:
@@ -229,9 +261,12 @@ def exon_intervals(gtf: DataFrame) -> DataFrame:
 def read_many(spark: SparkSession, pattern: str, reader: Callable[[SparkSession, str], DataFrame], name: str = r"([^/]+)$") -> DataFrame:
     """Every file that matches, in one scan, as one table with run taken from each file's path by ``name``.
 
-    For readers that go line by line, as all here but fasta_chunks and read_te_info do.
+    Readers that go line by line need nothing more; those that shuffle keep their rows' file with ``per_file``
+    (``functools.partial(read_te_info, per_file=True)``), and it gives the run.
     """
-    return reader(spark, pattern).withColumn("run", F.regexp_extract(F.input_file_name(), name, 1))
+    rows = reader(spark, pattern)
+    file = F.col("file") if "file" in rows.columns else F.input_file_name()
+    return rows.withColumn("run", F.regexp_extract(file, name, 1)).drop("file")
 
 
 def read_vcf(spark: SparkSession, path: str) -> DataFrame:
@@ -318,20 +353,54 @@ EFFECTS: dict[str, dict[str, tuple[str, str]]] = {
         "synonymous SNV": ("synonymous_variant", "mRNA"),
         "stopgain SNV": ("stop_gained", "mRNA"),
         "stoploss SNV": ("stop_lost", "mRNA"),
-        "frameshift insertion": ("frameshift_variant", "mRNA"),
-        "frameshift deletion": ("frameshift_variant", "mRNA"),
+        "frameshift insertion": ("frameshift_elongation", "mRNA"),
+        "frameshift deletion": ("frameshift_truncation", "mRNA"),
+        "frameshift block substitution": ("frameshift_variant", "mRNA"),
+        "nonframeshift insertion": ("inframe_insertion", "mRNA"),
+        "nonframeshift deletion": ("inframe_deletion", "mRNA"),
+        "nonframeshift block substitution": ("inframe_variant", "mRNA"),
+        "unknown": ("sequence_variant", "mRNA"),
+        "exonic": ("exon_variant", "exon"),
+        "splicing": ("splice_site_variant", "splice_site"),
+        "ncRNA": ("non_coding_transcript_variant", "ncRNA"),
+        "UTR5": ("5_prime_UTR_variant", "five_prime_UTR"),
+        "UTR3": ("3_prime_UTR_variant", "three_prime_UTR"),
         "intronic": ("intron_variant", "transcript"),
+        "upstream": ("upstream_gene_variant", "gene"),
+        "downstream": ("downstream_gene_variant", "gene"),
         "intergenic": ("intergenic_variant", "intergenic_region"),
     },
 }
 
+#: Variant types that an ANNOVAR word implies (fixed values); a block substitution within the frame is an MNP if its lengths are equal.
+ANNOVAR_TYPES = {
+    "frameshift insertion": "insertion",
+    "frameshift deletion": "deletion",
+    "frameshift block substitution": "complex_substitution",
+    "nonframeshift insertion": "insertion",
+    "nonframeshift deletion": "deletion",
+    "stopgain SNV": "SNV",
+    "stoploss SNV": "SNV",
+    "nonsynonymous SNV": "SNV",
+    "synonymous SNV": "SNV",
+    "unknown": "sequence_alteration",
+}
+
+
+def annovar_type(word: Column, reference: Column, allele: Column) -> Column:
+    """The variant's type by its ANNOVAR word and alleles; null for words that imply none."""
+    table = F.create_map(*[F.lit(x) for pair in ANNOVAR_TYPES.items() for x in pair])
+    block = F.when(F.length(reference) == F.length(allele), "MNP").otherwise("complex_substitution")
+    return F.when(word == "nonframeshift block substitution", block).otherwise(F.try_element_at(table, word))
+
 
 def variant_effects(variants: DataFrame, dialect: str, col: str = "effects") -> DataFrame:
     """(feature_id, allele, effect, feature_type, target): one row per effect, allele and feature.
 
     ``col`` is the annotator's text: snpeff WORD(..|..), vep Allele|Gene|Feature|Type|effect&effect, others
     word:target, several joined by commas. A word of several terms gives a row for each. Words without an
-    entry stay as they are, of unknown type.
+    entry stay as they are, of unknown type. For annovar, where variants have a reference_seq, variant_type is
+    the type that word and alleles imply.
     """
     each = variants.withColumn("_e", F.explode(F.split(col, ",")))
     if dialect == "vep":
@@ -342,11 +411,13 @@ def variant_effects(variants: DataFrame, dialect: str, col: str = "effects") ->
         p = F.split("_e", r"[|(]")
         rows = each.select("feature_id", F.col("variant_seq"), p[0].alias("word"), F.regexp_replace(F.coalesce(F.try_element_at(p, F.lit(10)), F.lit("")), r"\)$", "").alias("target"))
     else:
-        rows = each.select("feature_id", F.col("variant_seq"), F.substring_index("_e", ":", 1).alias("word"), F.when(F.instr("_e", ":") > 0, F.regexp_replace("_e", "^[^:]*:", "")).otherwise("").alias("target"))
+        typed = dialect == "annovar" and "reference_seq" in variants.columns
+        rows = each.select("feature_id", *(["reference_seq"] if typed else []), F.col("variant_seq"), F.trim(F.substring_index("_e", ":", 1)).alias("word"), F.when(F.instr("_e", ":") > 0, F.regexp_replace("_e", "^[^:]*:", "")).otherwise("").alias("target"))
     table = variants.sparkSession.createDataFrame([(w, t.split(), f) for w, (t, f) in EFFECTS[dialect].items()], "word string, terms array<string>, kind string")
     j = rows.join(F.broadcast(table), "word", "left")  # the table is fixed
-    j = j.withColumn("effect", F.explode(F.coalesce("terms", F.array("word"))))
-    return j.select("feature_id", F.explode("variant_seq").alias("allele"), "effect", F.coalesce("kind", F.lit("unknown")).alias("feature_type"), "target").distinct()
+    j = j.withColumn("effect", F.explode(F.coalesce("terms", F.array("word")))).withColumn("allele", F.explode("variant_seq"))
+    more = [annovar_type(F.col("word"), F.col("reference_seq"), F.col("allele")).alias("variant_type")] if "reference_seq" in j.columns else []
+    return j.select("feature_id", "allele", "effect", F.coalesce("kind", F.lit("unknown")).alias("feature_type"), "target", *more).distinct()
 
 
 def expand_gene_table(df: DataFrame) -> DataFrame:
