@@ -5,8 +5,11 @@ summed over a sliding window of lines; where the sum surges a region of main tex
 where it dives to nothing the region ends, and the text between is kept. Window sums
 decide on every page; markup only changes what a line weighs. Text of menus, headers,
 footers, sidebars, notices, adverts, forms and comments weighs nothing, linked text
-little, text in an article or main element more, and text beside such an element the less
-the more of the page's text the element holds.
+little, a line of an article or main element enough to surge by itself, and text beside
+such an element the less the more of the page's text the element holds. A name that only
+holds a word of such a part, as in ``search-results``, is a hint: the text weighs a tenth,
+and stands where it outweighs all that is kept without it. On a page of nothing but links
+its linked paragraphs stand.
 """
 
 from __future__ import annotations
@@ -50,18 +53,27 @@ _WHETHER = re.compile(r"(?<!\S)(?:has|with|no|without)[_-]\S+")  # how a page is
 _TEASER = re.compile(r"(?:^|\s)(?:comments?|comment-body|reply|replies|ads?|adverts?|advertisements?|sponsored|promo|teaser|related|share|social)(?:$|\s)", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 _MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|main|body)[_-]?(?:content|body|text)?(?:$|\s)", re.I)
-_RIGHTS = re.compile(r"^(?:©|\(c\) ?\d{4}|copyright\b)|\ball rights reserved\b", re.I)
+#: Words that add nothing to the name of a part: ``comment-list`` names one as ``comments`` does.
+_PLAIN_NAME = re.compile(
+    r"(?:(?:site|page|top|bottom|left|right|main|primary|secondary|global|user|post|article|entry|block|js|is|the|sub|inner|mobile|fixed)[_-])*"
+    r"(?:ads?|adverts?|advertisements?|banner|sponsor(?:ed)?|promo|sidebar|side-?bar|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|cookies?|consent|notice|popup|modal|newsletter|"
+    r"subscribe|signup|login|share|sharing|social|related|recommend(?:ed|ations)?|comments?|replies|respond|disqus|widget|toolbar|pagination|pager|search|copyright|skip-?link)"
+    r"(?:[_-]+(?:box|bar|list|links?|area|section|wrapper|wrap|container|block|widgets?|menu|nav|form|buttons?|items?|inner|unit|slot|panel|group|row|thread|body|text|banner|notice|posts?|articles?|stories|icons?|tools?|\d+))*",
+    re.I,
+)
+_RIGHTS = re.compile(r"^(?:©|\(c\) ?\d{4}|copyright\s*(?:©|\(c\)|\d{4}))|\ball rights reserved\b", re.I)
 _UNFINISHED = re.compile(r"<[A-Za-z/!?]")
 _CRUMBS = re.compile(r"[^.!?|·»>•]{1,30}(?: [|·»>•] [^.!?|·»>•]{1,30})+")
 
 
 class Line(NamedTuple):
-    """A block's text (empty where all of it is set apart), how much of it is linked, and where it stands."""
+    """A block's text (empty where all of it is set apart), how much of it is linked, and where it stands; hinted if a name hints at another part."""
 
     text: str
     linked: float = 0.0
     main: bool = False
     item: bool = False
+    hinted: bool = False
 
 
 class _Lines(HTMLParser):
@@ -69,7 +81,7 @@ class _Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, bool, bool]] = []  # tag, silent, apart, main
+        self.stack: list[tuple[str, bool, bool, bool, bool]] = []  # tag, silent, apart, main, hinted
         self.at: dict[str, list[int]] = {}  # where in the stack each tag is open
         self.parts: list[str] = []
         self.linked = self.in_link = 0
@@ -77,13 +89,13 @@ class _Lines(HTMLParser):
         self.lines: list[Line] = []
 
     @property
-    def top(self) -> tuple[str, bool, bool, bool]:
-        return self.stack[-1] if self.stack else ("", False, False, False)
+    def top(self) -> tuple[str, bool, bool, bool, bool]:
+        return self.stack[-1] if self.stack else ("", False, False, False, False)
 
     def cut(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append(Line(text, min(1.0, self.linked / len(text)), self.top[3], bool(self.at.get("li"))))
+            self.lines.append(Line(text, min(1.0, self.linked / len(text)), self.top[3], bool(self.at.get("li")), self.top[4]))
         elif self.beside:
             self.lines.append(Line(""))
         self.parts, self.linked, self.beside = [], 0, False
@@ -100,20 +112,22 @@ class _Lines(HTMLParser):
             return
         for t in _IMPLIED.get(tag, ()):
             self.close(t, implied=True)
-        _, silent, apart, main = self.top
+        _, silent, apart, main, hinted = self.top
         if attrs or not inline or tag in _SILENT:
             a = dict(attrs)
             names = _WHETHER.sub("", f"{a.get('class') or ''} {a.get('id') or ''}")
             noise = tag not in ("html", "body", "main") and bool((_TEASER if inline or tag == "article" else _NOISE).search(names))
             if tag == "main":  # a wrapper's name does not set the main element apart
                 apart = False
-            apart = apart or tag in _APART or noise or (a.get("role") or "").lower() in _ROLES or "hidden" in a or (a.get("aria-hidden") or "") == "true"
+            plain = noise and any(_PLAIN_NAME.fullmatch(x) for x in names.split())
+            hinted = (hinted or (noise and not plain)) and tag != "main"
+            apart = apart or tag in _APART or plain or (a.get("role") or "").lower() in _ROLES or "hidden" in a or (a.get("aria-hidden") or "") == "true"
             apart = apart or (tag == "header" and not main)
             named = tag not in ("html", "body") and not inline and bool(_MAIN_NAMES.search(names))
             main = main or (not noise and (tag in _MAIN or named)) or a.get("role") == "main"
             silent = silent or tag in _SILENT
         self.at.setdefault(tag, []).append(len(self.stack))
-        self.stack.append((tag, silent, apart, main))
+        self.stack.append((tag, silent, apart, main, hinted))
 
     def close(self, tag: str, implied: bool = False) -> None:
         if not self.at.get(tag):
@@ -140,7 +154,7 @@ class _Lines(HTMLParser):
         self.close(tag)
 
     def handle_data(self, data: str) -> None:
-        _, silent, apart, _ = self.top
+        _, silent, apart, _, _ = self.top
         if silent:
             return
         if apart:
@@ -151,19 +165,23 @@ class _Lines(HTMLParser):
             self.linked += len(data)
 
 
-def weights(lines: list[Line]) -> np.ndarray:
-    """What each line weighs in the window sums; 0 for what is never main text."""
+def weights(lines: list[Line], hints: bool = False, links: bool = False) -> np.ndarray:
+    """What each line weighs in the window sums; 0 for what is not main text.
+
+    ``hints`` lets hinted lines weigh a tenth, ``links`` lets linked paragraphs weigh a fifth, instead of nothing.
+    """
     size = np.array([len(x.text) for x in lines], float)
-    main = np.array([x.main for x in lines], bool)
-    share = size[main].sum() / max(size.sum(), 1.0)  # of the page's text, in main elements
-    linked = np.array([x.linked > 0.5 for x in lines], bool)
+    main, hinted = np.array([x.main for x in lines], bool), np.array([x.hinted for x in lines], bool)
+    share = size[main & ~hinted].sum() / max(size.sum(), 1.0)  # of the page's text, in main elements
+    linked, item = np.array([x.linked > 0.5 for x in lines], bool), np.array([x.item for x in lines], bool)
     beside = np.zeros(len(lines), bool)
     beside[1:] |= linked[:-1]
     beside[:-1] |= linked[1:]
-    menu = linked & (beside | np.array([x.item for x in lines], bool))
-    plain = np.array([bool(_RIGHTS.search(x.text) if len(x.text) < 200 else False) or bool(_CRUMBS.fullmatch(x.text)) for x in lines], bool)
+    menu = linked & (item | (size < 40)) if links else linked & (beside | item)
+    plain = np.array([(bool(_RIGHTS.search(x.text)) if len(x.text) < 200 else False) or bool(_CRUMBS.fullmatch(x.text)) for x in lines], bool)
     outside = np.where(menu | plain, 0.0, size * (1 - np.array([x.linked for x in lines]) * 0.8) * max(1 - share, 0.02))
-    return np.where(main, np.where(size > 0, 2 * size + 40, 0), outside)
+    out = np.where(main, np.where(size > 0, 2 * size + SURGE, 0), outside)
+    return np.where(hinted, size * (0.1 if hints else 0.0), out)
 
 
 def regions(weight: np.ndarray) -> np.ndarray:
@@ -195,7 +213,16 @@ def main_text(page: str | None) -> str:
     lines = reader.lines
     if not lines:
         return ""
-    return "\n".join(lines[i].text for i in np.flatnonzero(regions(weights(lines))))
+    keep = regions(weights(lines))
+    size = np.array([len(x.text) for x in lines])
+    hinted = np.array([x.hinted for x in lines], bool) & np.array([x.linked <= 0.5 for x in lines], bool)
+    if 0.1 * size[hinted].sum() > size[keep].sum():
+        keep |= regions(weights(lines, hints=True)) & hinted
+    if not keep.any():
+        keep = regions(weights(lines, links=True))
+    if not keep.any():  # lines of rights or paths alone
+        keep = regions(np.array([0.0 if x.linked > 0.5 or x.hinted else len(x.text) for x in lines]))
+    return "\n".join(lines[i].text for i in np.flatnonzero(keep))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

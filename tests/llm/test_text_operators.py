@@ -131,6 +131,38 @@ def plain_base(t):
     return out
 
 
+ONLY = "The only text of this page goes on for a while and says what it has to say, in one paragraph of its own."
+
+
+@pytest.mark.parametrize("names", ['id="content-search"', 'class="share-page-article"', 'class="search-results"', 'class="widget-area-less"', 'class="my-share-of-the-story"', 'id="modal-verbs-explained"'])
+def test_a_name_that_only_hints_does_not_lose_the_only_text(names):
+    assert html_text.main_text(f"<body><header>Site</header><div {names}><p>{ONLY}</p></div><footer>Foot</footer></body>") == ONLY
+    assert html_text.main_text(f"<body><p>Home</p><div {names}><p>{ONLY}</p></div></body>").endswith(ONLY)
+
+
+@pytest.mark.parametrize("names", ['class="comment-list"', 'id="post-comments"', 'class="ad-slot-3"', 'class="cookie-notice"', 'class="left sidebar"', 'class="related-posts"'])
+def test_plain_names_of_other_parts_stay_out_even_alone(names):
+    assert html_text.main_text(f"<body><div {names}><p>{ONLY}</p></div></body>") == ""
+    assert html_text.main_text(f"<body><article><p>Short.</p></article><div {names}><p>{ONLY * 30}</p></div></body>") == "Short."
+
+
+def test_lines_of_articles_stay_whatever_stands_between():
+    long = "x" * 240
+    advert = '<div class="ad"><p>a</p><p>b</p><p>c</p></div>'
+    assert html_text.main_text(f"<article><p>{long}</p>{advert}<p>The end.</p></article>") == f"{long}\nThe end."
+    assert html_text.main_text(f"<article><h2>A</h2>{advert}<p>{long}</p></article>") == f"A\n{long}"
+    assert html_text.main_text(f"<article><p>A | B</p>{advert}<p>Copyright 2020 was the year.</p></article>") == "A | B\nCopyright 2020 was the year."
+
+
+def test_rights_paths_and_links_alone_on_a_page():
+    assert html_text.main_text("<p>Copyright law is the subject here and nothing else.</p>") == "Copyright law is the subject here and nothing else."
+    assert html_text.main_text("<div>A | B</div>") == "A | B"
+    assert html_text.main_text(f"<p>{ONLY}</p><p>{ONLY}</p><p>© 2024 A Company. All rights reserved.</p>") == f"{ONLY}\n{ONLY}"
+    linked = f"<p><a href=x>{ONLY}</a></p>" * 3
+    assert html_text.main_text(f"<ul><li><a href=/>Home</a><li><a href=b>Blog</a></ul>{linked}") == "\n".join([ONLY] * 3)
+    assert html_text.main_text("<ul><li><a href=/>Home</a><li><a href=b>Blog</a></ul>") == ""
+
+
 def test_base_spans_equal_the_patterns():
     r = random.Random(6)
     for _ in range(3000):
