@@ -1,9 +1,9 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field for what they miss.
 
 The field works on chains of atoms (digit groups with short separators between them, or the
-names of a written-out address). A segment of up to ``MAX_ATOMS`` atoms gets a label; features look
-at the whole span: digits in all, groups, separators, checksum, octets, cue words. The
-best segmentation, boundaries and labels together, is found by dynamic programming over
+names of a written-out address). A segment gets a label; its length is bounded by what the kinds
+allow: 19 digits, or a written address from its first name on. Features look at the whole span:
+digits in all, groups, separators, checksum, octets, cue words. The best segmentation, boundaries and labels together, is found by dynamic programming over
 segment ends. Spans of the fixed patterns are given: the field labels only what is
 outside them. Weights are fitted here by maximum likelihood on generated examples.
 """
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from locuspark.llm.shared import column, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_ATOMS = 6
+#: Digits of the longest entity.
+MOST_DIGITS = 19
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -174,7 +175,8 @@ class SemiMarkov:
     def segments(text: str, atoms: list, barred: tuple[list[int], list[int]]) -> dict[int, list[tuple[int, str, list[str]]]]:
         """By end: (start, label, traits); labels other than O only where no given span is.
 
-        A phone number has 9 to 15 digits, a card 13 to 19, an address four groups of up to three.
+        A phone number has 9 to 15 digits, not all of them apart, a card 13 to 19 that pass Luhn, an address four
+        groups of up to three; a written address begins with its chain.
         """
         out: dict[int, list] = {}
         written = len(atoms) > 1 and not _GAP.match(text[atoms[0][1] : atoms[1][0]])
@@ -183,13 +185,16 @@ class SemiMarkov:
             upto.append(upto[-1] + e - s)
         for j in range(1, len(atoms) + 1):
             out[j] = [(j - 1, "O", ["one"])]
-            for i in range(max(0, j - MAX_ATOMS), j):
+            for i in (0,) if written else range(j - 1, -1, -1):
                 n = upto[j] - upto[i]
                 if written:
                     kinds = ("email",)
+                elif n > MOST_DIGITS:
+                    break
                 else:
                     four = j - i == 4 and n <= 12 and all(b - a <= 3 for a, b in atoms[i:j])
-                    kinds = (*(("ip",) if four else ()), *(("card",) if 13 <= n <= 19 else ()), *(("phone",) if 9 <= n <= 15 else ()))
+                    card = 13 <= n <= 19 and luhn("".join([text[a:b] for a, b in atoms[i:j]]))
+                    kinds = (*(("ip",) if four else ()), *(("card",) if card else ()), *(("phone",) if 9 <= n <= 15 and n > j - i else ()))
                 if not kinds:
                     continue
                 s, e = span_of(text, atoms, i, j)
@@ -273,7 +278,7 @@ def examples(n: int, seed: int) -> Iterator[tuple[str, str, int, int]]:
         kind = rng.choice((*KINDS, "O", "O", "O"))
         cue, follow = rng.choice(("", "", *_CUES.get(kind, ("no", "item")))) + " ", " and"
         if kind == "email":
-            dot, names = rng.choice((" (dot) ", " [dot] ", ".")), [rng.choice(("host", "mail", "my-site", "example", "x1")) for _ in range(rng.choice((1, 1, 2)))]
+            dot, names = rng.choice((" (dot) ", " [dot] ", ".")), [rng.choice(("host", "mail", "my-site", "example", "x1")) for _ in range(rng.choice((1, 1, 2, 2, 7)))]
             body = f"{rng.choice(('jo', 'ann.b', 'x_1'))} {rng.choice(('(at)', '[at]'))} {dot.join([*names, rng.choice(('org', 'com', 'de', 'net', 'info'))])}"
             follow = rng.choice((" and", " and", ". Then", ". Please", ". We"))
         elif kind == "ip":
@@ -283,14 +288,15 @@ def examples(n: int, seed: int) -> Iterator[tuple[str, str, int, int]]:
         elif kind == "card":
             d = rng.choice("3456") + digits(14)
             d += next(c for c in "0123456789" if luhn(d + c))
-            body = rng.choice((".", "/", " - ", ". ")).join(d[k : k + 4] for k in range(0, 16, 4))
+            n = rng.choice((4, 4, 1))
+            body = rng.choice((".", "/", " - ", ". ") if n == 4 else ("/", ".", " / ")).join(d[k : k + n] for k in range(0, 16, n))
         elif kind == "phone":
             sep = rng.choice("-. ")
             body = rng.choice((f"({digits(3)}) {digits(3)}{sep}{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}", f"1-{digits(3)}-{digits(3)}-{digits(4)}"))
         else:
             sep = rng.choice((" ", "-", ".", "/", ", "))
             first = rng.randrange(1, 5)
-            body = rng.choice((digits(9), digits(10), digits(16), digits(22), rng.choice((" ", ". ", ".) ")).join(str(first + k) for k in range(rng.randrange(4, 8))), " ".join(digits(rng.randrange(1, 4)) for _ in range(rng.randrange(4, 9))), sep.join(digits(rng.randrange(1, 6)) for _ in range(rng.randrange(2, 7))), f"20{digits(2)}-{digits(2)}-{digits(2)} {digits(2)}-{digits(2)}"))
+            body = rng.choice((digits(9), digits(10), digits(16), digits(22), rng.choice(("/", ".", " ", " / ", "-")).join(digits(rng.randrange(6, 24))), rng.choice((" ", ". ", ".) ")).join(str(first + k) for k in range(rng.randrange(4, 8))), " ".join(digits(rng.randrange(1, 4)) for _ in range(rng.randrange(4, 9))), sep.join(digits(rng.randrange(1, 6)) for _ in range(rng.randrange(2, 7))), f"20{digits(2)}-{digits(2)}-{digits(2)} {digits(2)}-{digits(2)}"))
         yield f"on {cue}{body}{follow}", kind, len(cue) + 3, len(cue) + 3 + len(body)
 
 
@@ -305,7 +311,7 @@ def fitted(n: int = 420, epochs: int = 6, seed: int = 3) -> SemiMarkov:
                 gold = {}
                 if kind != "O":
                     inside = [k for k, (a, b) in enumerate(atoms) if s <= a and b <= e]
-                    if inside and len(inside) <= MAX_ATOMS:
+                    if inside:
                         gold[inside[0], inside[-1] + 1] = kind
                 model.step(text, atoms, gold, 0.3 / (1 + epoch))
     return model
@@ -334,8 +340,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     One row per input row, repeated rows included. Null and empty texts hold none. Extra
     columns are ignored, whatever their names; an empty table gives no rows; a null id stays
-    null; texts are read whole, in time linear in their length. An added span has at most
-    ``MAX_ATOMS`` digit groups or names.
+    null; texts are read whole, in time linear in their length.
     """
     model = fitted()
     one = "array<struct<kind:string,start:long,end:long>>"

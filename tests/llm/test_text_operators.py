@@ -203,7 +203,7 @@ def all_segmentations(n):
     if n == 0:
         yield []
         return
-    for i in range(max(0, n - pii.MAX_ATOMS), n):
+    for i in range(n):
         for rest in all_segmentations(i):
             yield [*rest, (i, n)]
 
@@ -234,6 +234,14 @@ def test_best_equals_all_segmentations(text):
             assert got == score(want)
 
 
+def test_entities_of_many_groups_and_names():
+    found = lambda t: [(k, t[s:e]) for k, s, e in pii.find_spans(t, pii.fitted())[1]]
+    assert found("write to jo [at] a.b.c.d.e.f.g.com now") == [("email", "jo [at] a.b.c.d.e.f.g.com")]
+    assert found("card 4/1/1/1/1/1/1/1/1/1/1/1/1/1/1/1 here") == [("card", "4/1/1/1/1/1/1/1/1/1/1/1/1/1/1/1")]
+    for t in ("scores 1/2/3/4/5/6/7/8/9/1/2/3 here", "row 0 1 1 0 1 0 0 1 1 1 0 1 0 1 1 0 1 0 1 end"):
+        assert all(k == "card" for k, _ in found(t)), t
+
+
 def test_gradient_equals_finite_differences():
     rng = random.Random(2)
     model = pii.SemiMarkov()
