@@ -22,8 +22,8 @@ from locuspark.llm.shared import block_rows, checkpoint, components, min_labels,
 
 #: Vectors that one task hashes, and widths that are planned before.
 HASHED, PLANNED = 20_000, 8
-#: Rows of one block of a bucket, and tables beyond which shorter codes are taken.
-BLOCK, MOST_TABLES = 1024, 60
+#: Rows of one block of a bucket, rows that a bucket is meant to hold, and tables beyond which shorter codes are taken.
+BLOCK, FILL, MOST_TABLES = 1024, 128, 60
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -82,17 +82,18 @@ def bucket_codes(x: np.ndarray, tables: int, codes: int, probes: int, seed: int
 
 
 @lru_cache(maxsize=64)
-def plan_tables(rows: int, width: int, threshold: float, probes: int, recall: float) -> tuple[int, int]:
-    """(tables, codes): codes grow with the rows; tables follow from pairs drawn at the threshold.
+def plan_tables(rows: int, width: int, threshold: float, probes: int, recall: float) -> tuple[int, int, int]:
+    """(tables, codes, probes): codes grow with the rows; tables follow from pairs drawn at the threshold.
 
-    Up to ``BLOCK`` rows are one bucket (no codes), where every pair meets. Where pairs at the
-    threshold meet too seldom, codes are given up until the promised recall takes no more than
+    Up to ``BLOCK`` rows are one bucket (no codes), where every pair meets. Of up to ``probes``
+    buckets a table, as many are visited as take the fewest visits in all for the promised recall. Where pairs at
+    the threshold meet too seldom, codes are given up until it takes no more than
     ``MOST_TABLES`` tables; at one code it takes as many as it takes.
     """
     if rows <= BLOCK:
-        return 1, 0
+        return 1, 0, 1
     d = padded_width(width)
-    codes = max(1, math.ceil(math.log(max(rows, 2) / 16) / math.log(2 * d)))
+    codes = max(1, round(math.log(rows / FILL) / math.log(2 * d)))
     rng, draws = np.random.default_rng(3), min(4000, max(500, (1 << 20) // d))
     a = rng.normal(size=(draws, width))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
@@ -102,10 +103,14 @@ def plan_tables(rows: int, width: int, threshold: float, probes: int, recall: fl
     b = threshold * a + math.sqrt(1 - threshold**2) * b
     while True:
         x, y = bucket_codes(a, 2, codes, probes, 99), bucket_codes(b, 2, codes, probes, 99)
-        met = float(((x[:, :, :1] == y).any(2) | (y[:, :, :1] == x).any(2)).mean())
-        tables = max(2, math.ceil(math.log(1 - recall) / math.log1p(-min(met, 0.999)))) if met else None
-        if tables is not None and (tables <= MOST_TABLES or codes == 1):
-            return tables, codes
+        plans = []
+        for p in range(min(2, probes), probes + 1):
+            met = float(((x[:, :, :1] == y[:, :, :p]).any(2) | (y[:, :, :1] == x[:, :, :p]).any(2)).mean())
+            if met:
+                tables = max(2, math.ceil(math.log(1 - recall) / math.log1p(-min(met, 0.999))))
+                plans.append((tables * p, tables, codes, p))
+        if plans and (min(plans)[1] <= MOST_TABLES or codes == 1):
+            return min(plans)[1:]
         if codes == 1:
             raise ValueError(f"no drawn pair at a cosine of {threshold} met: the threshold is too low for hashing")
         codes -= 1
@@ -118,31 +123,34 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 
-def _links(batches: Iterator[pd.DataFrame], threshold: float, probes: int, kind: str) -> Iterator[pd.DataFrame]:
-    """For each block: how many vectors each one is linked with, and the smallest id of its links."""
+def _links(batches: Iterator[pd.DataFrame], threshold: float, kind: str) -> Iterator[pd.DataFrame]:
+    """For each block: how many vectors each one is linked with, and the smallest id of its links.
+
+    Home rows (role 0) meet all rows of the bucket; in a block of a hot bucket they meet its visitors (role 1), which
+    hold the bucket's own home rows once more.
+    """
     keys = ["w", "tab", "bucket", "hb", "vb"]
     for frame in whole_runs(batches, keys):
         starts, ends = run_bounds(frame, keys)
         role = frame["role"].to_numpy()
         ids, many = frame["rep"].to_numpy(), frame["many"].to_numpy()
-        raw, code = frame["vec"].to_numpy(), frame["codes"].to_numpy()
+        raw, code, hot = frame["vec"].to_numpy(), frame["codes"].to_numpy(), frame["hot"].to_numpy()
         out_id, out_n, out_low = [], [], []
         for s, e in zip(starts, ends, strict=True):
-            homes = s + int((role[s:e] == 0).sum())
-            if homes == s or homes == e or e - s < 2:
-                continue
-            if e - s == 2 and ids[s] == ids[s + 1]:
+            h = int((role[s:e] == 0).sum())
+            first = h if hot[s] else 0  # of the rows that home rows meet
+            if not h or first == e - s or e - s < 2:
                 continue
             v = unit(np.stack([np.frombuffer(x, kind) for x in raw[s:e]]).astype(np.float64))
-            h = homes - s
-            i, j = np.nonzero(v[:h] @ v[h:].T >= threshold)
-            j = j + h
+            i, j = np.nonzero(v[:h] @ v[first:].T >= threshold)
+            j = j + first
             own = ids[s:e]
             keep = own[i] != own[j]
             i, j = i[keep], j[keep]
             if not len(i):
                 continue
-            c = np.stack([np.frombuffer(x, "<u4") for x in code[s:e]]).reshape(e - s, -1, probes)
+            c = np.stack([np.frombuffer(x, "<u4") for x in code[s:e]])
+            c = c[:, 1:].reshape(e - s, -1, int(c[0, 0]))  # tables x probes
             t = int(frame["tab"].iloc[s])
             x, y = c[i], c[j]
             met_x = (x[:, :, :1] == y).any(2)
@@ -208,28 +216,30 @@ def embedding_neighbours(
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for big in batches:
             for (w, n), same in big.groupby(["w", "n"], sort=False):
-                tables, codes = plans.get((w, n)) or plan_tables(int(n), int(w), threshold, probes, recall)
+                tables, codes, visited = plans.get((w, n)) or plan_tables(int(n), int(w), threshold, probes, recall)
                 for at in range(0, len(same), 256):
                     part = same.iloc[at : at + 256]
                     vec = np.stack(part["v"].to_numpy()).astype(kind)
-                    c = bucket_codes(unit(vec.astype(np.float64)), tables, codes, probes)
+                    c = bucket_codes(unit(vec.astype(np.float64)), tables, codes, visited)
                     first = np.ones(c.shape, bool)  # a bucket visited twice counts once
-                    for k in range(1, probes):
+                    for k in range(1, visited):
                         first[:, :, k] = (c[:, :, k : k + 1] != c[:, :, :k]).all(2)
-                    # table, role and bucket of each visit in one number
-                    place = (np.arange(tables, dtype=np.int64) << 33)[None, :, None] | c.astype(np.int64)
-                    visits = [np.concatenate([place[i, :, 0], place[i][first[i]] | (1 << 32)]) for i in range(len(part))]
-                    yield pd.DataFrame({"w": part["w"], "rep": part["rep"], "many": part["many"], "vec": [r.tobytes() for r in vec], "codes": [r.tobytes() for r in c.astype("<u4")], "visits": visits})
+                    # table, whether the home bucket is visited by its own row, role and bucket of each visit in one number
+                    place = (np.arange(tables, dtype=np.int64) << 34)[None, :, None] | c.astype(np.int64)
+                    place[:, :, 0] |= 1 << 33
+                    visits = [np.concatenate([place[i, :, 0] & ~(1 << 33), place[i][first[i]] | (1 << 32)]) for i in range(len(part))]
+                    shown = [np.concatenate([[visited], r.ravel()]).astype("<u4").tobytes() for r in c]
+                    yield pd.DataFrame({"w": part["w"], "rep": part["rep"], "many": part["many"], "vec": [r.tobytes() for r in vec], "codes": shown, "visits": visits})
 
     coded = checkpoint(sized.mapInPandas(hashed, "w int, rep long, many long, vec binary, codes binary, visits array<long>"))
     visit = F.col("visit")
-    place = [F.shiftright(visit, 33).cast("int").alias("tab"), F.shiftright(visit, 32).bitwiseAND(1).cast("int").alias("role"), visit.bitwiseAND(0xFFFFFFFF).alias("bucket")]
+    place = [F.shiftright(visit, 34).cast("int").alias("tab"), (F.shiftright(visit, 33).bitwiseAND(1) == 1).alias("own"), F.shiftright(visit, 32).bitwiseAND(1).cast("int").alias("role"), visit.bitwiseAND(0xFFFFFFFF).alias("bucket")]
     rows = coded.withColumn("visit", F.explode("visits")).select("w", *place, "rep", "many", "vec", "codes")
     slim = coded.select("w", F.explode("visits").alias("visit")).select("w", *place)
-    blocks = block_rows(rows, slim, ["w", "tab", "bucket"], BLOCK, "rep")
+    blocks = block_rows(rows, slim, ["w", "tab", "bucket"], BLOCK, "rep").where("hot OR NOT own").drop("own")  # elsewhere home rows meet each other as they are
     order = ["w", "tab", "bucket", "hb", "vb"]
     linked = checkpoint(
-        blocks.repartition(*order).sortWithinPartitions(*order, "role").mapInPandas(lambda b: _links(b, threshold, probes, kind), "rep long, n long, low long")
+        blocks.repartition(*order).sortWithinPartitions(*order, "role").mapInPandas(lambda b: _links(b, threshold, kind), "rep long, n long, low long")
     )
     counts = linked.groupBy("rep").agg(F.sum("n").alias("n"))
     comps = components(linked.select("rep", "low"))

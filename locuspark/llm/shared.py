@@ -84,7 +84,7 @@ def block_rows(rows: DataFrame, slim: DataFrame, keys: list[str], most: int, sal
     A key whose rows number at most ``most`` is one block. A hotter key is cut into a grid:
     home rows by ``salt`` into row blocks, visitors into column blocks, and each block pair
     is a task of its own, so every home row still meets every visitor, exactly once.
-    ``slim`` holds keys and role of the same rows, for counting.
+    ``slim`` holds keys and role of the same rows, for counting. ``hot`` says which keys were cut.
     """
     counted = slim.groupBy(*keys).agg(F.sum(1 - F.col("role")).alias("homes"), F.sum("role").alias("visits"))
     hot = checkpoint(
@@ -95,7 +95,7 @@ def block_rows(rows: DataFrame, slim: DataFrame, keys: list[str], most: int, sal
         )
     )
     if hot.isEmpty():
-        return rows.withColumns({"hb": F.lit(0), "vb": F.lit(0)})
+        return rows.withColumns({"hb": F.lit(0), "vb": F.lit(0), "hot": F.lit(False)})
     at = F.xxhash64(salt, F.lit(11))
     every = lambda n: F.sequence(F.lit(0), n - 1)
     one = lambda n: F.array(F.pmod(at, n).cast("int"))
@@ -104,6 +104,7 @@ def block_rows(rows: DataFrame, slim: DataFrame, keys: list[str], most: int, sal
     nh = F.greatest(nh, F.lit(1))
     return (
         rows.join(hot, keys, "left")
+        .withColumn("hot", F.col("nh").isNotNull())
         .withColumn("hb", F.explode(F.when(home, one(nh)).otherwise(every(nh))))
         .withColumn("vb", F.explode(F.when(home, every(nv)).otherwise(one(nv))))
         .drop("nh", "nv")

@@ -136,9 +136,10 @@ def test_embedding_links_equal_brute_force(spark):
 def test_plan_keeps_the_promised_recall():
     from locuspark.llm.embedding_dedup import plan_tables
 
-    assert plan_tables(500, 64, 0.95, 4, 0.9995) == (1, 0)
+    assert plan_tables(500, 64, 0.95, 4, 0.9995) == (1, 0, 1)
     assert plan_tables(10**9, 64, 0.95, 4, 0.9995)[1] > plan_tables(10**5, 64, 0.95, 4, 0.9995)[1]
-    tables, codes = plan_tables(10**9, 64, 0.6, 4, 0.9995)
+    tables, codes, visited = plan_tables(10**9, 64, 0.6, 4, 0.9995)
+    assert 1 <= visited <= 4
     assert codes == 1 and tables > 8  # codes are given up, not recall
     with pytest.raises(ValueError):
         plan_tables(10**6, 64, -0.999, 1, 0.9995)
