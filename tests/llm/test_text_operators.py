@@ -329,6 +329,17 @@ def test_encoding_equals_the_library_and_decodes_back(spark):
     assert bpe.bpe_encode(df.limit(0), path).count() == 0
 
 
+def test_counts_and_encoding_of_null_ids_and_repeated_rows(spark):
+    rows = [(None, "Some text, 12 words"), (None, None), (4, "twice é"), (4, "twice é"), (4, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = token_counts.token_counts(df, tokenizer_path("word_bpe_49k.json")).collect()
+    encoded = bpe.bpe_encode(df, tokenizer_path("byte_bpe_50k.json"), with_ids=False).collect()
+    for got in (counts, encoded):
+        assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == [(False, 4)] * 3 + [(True, 0)] * 2
+        same = [tuple(r)[1:] for r in got if r.doc_id == 4]
+        assert len(set(same)) == 2 and sum(r.n_tokens == 0 for r in got if r.doc_id is None) == 1
+
+
 # decontamination
 
 
@@ -405,6 +416,21 @@ def test_forest_learns_and_is_traversed_alike(spark):
     assert np.allclose(quality.boost(x[:0], y[:0]).predict(x[:3]), 0.5)
 
 
+def test_the_first_split_is_the_best_of_all(spark):
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 12, size=(300, 5)).astype(float)
+    y = ((x[:, 2] > 6) ^ (rng.random(300) < 0.15)).astype(float)
+    forest = quality.boost(x, y, trees=1, depth=1, least=10)
+    p = y.mean()
+    g, h = y - p, np.full(300, p * (1 - p))
+    gain = lambda m: g[m].sum() ** 2 / (h[m].sum() + 1)
+    best = max((gain(x[:, f] <= c) + gain(x[:, f] > c), f, c) for f in range(5) for c in np.unique(x[:, f]) if min((x[:, f] <= c).sum(), (x[:, f] > c).sum()) >= 10)
+    root = forest.roots[0]
+    assert (forest.feature[root], forest.limit[root]) == best[1:]
+    for side, rows in ((forest.left[root], x[:, best[1]] <= best[2]), (forest.right[root], x[:, best[1]] > best[2])):
+        assert forest.value[side] == pytest.approx(0.1 * g[rows].sum() / (h[rows].sum() + 1))
+
+
 def test_quality_edges_and_accuracy(spark):
     r = random.Random(5)
     words = ["the", "and", "river", "stone", "of", "walks", "slowly", "under", "trees", "we"]
