@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from locuspark.storage import checkpoint
+from locuspark.storage import checkpoint, if_small
 
 
 def mean_sd(df: DataFrame, by: Sequence[str], col: str, parity: bool = False) -> DataFrame:
@@ -39,25 +39,46 @@ def describe(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def ranked_values(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int = 200) -> DataFrame:
+#: Distinct values of a group up to which one task ranks them; more are dealt to buckets. Both give the same ranks.
+ONE_TASK = 1_000_000
+
+
+def ranked_values(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int = 200, one_task: int | None = None) -> DataFrame:
     """(*by, _v, _k, _below, _n): each group's distinct values with how often they occur, how many values are smaller, and all.
 
-    Values are dealt to buckets between approximate quantiles; running sums are per bucket,
-    with the buckets' totals carried over, so that no task holds a group.
+    Values are counted first, and the counts written: the rest works on distinct values. A group of up to ``ONE_TASK``
+    of them is one running sum; where any has more, all are dealt to buckets between approximate quantiles of the
+    distinct values, running sums are per bucket, and the buckets' totals are carried over.
     """
     by = list(by)
     rows = df.where(F.col(col).isNotNull()).select(*by, F.col(col).alias("_v"))
-    per = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_k"))
-    cuts = rows.groupBy(*by).agg(F.percentile_approx("_v", [k / buckets for k in range(1, buckets)], 10_000).alias("_cuts"), F.count(F.lit(1)).alias("_n"))
+    per = checkpoint(rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_k")))
+    group = by or [F.lit(0)]
+    most = per.groupBy(*by).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
+    if most <= (ONE_TASK if one_task is None else one_task):
+        before = Window.partitionBy(*group).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+        return per.withColumns({"_below": F.coalesce(F.sum("_k").over(before), F.lit(0)), "_n": F.sum("_k").over(Window.partitionBy(*group))})
+    cuts = per.groupBy(*by).agg(F.percentile_approx("_v", [k / buckets for k in range(1, buckets)], 10_000).alias("_cuts"), F.sum("_k").alias("_n"))
     per = per.join(cuts, by) if by else per.crossJoin(F.broadcast(cuts))  # one row
     per = per.withColumn("_b", F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
-    group = by or [F.lit(0)]
     earlier = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # over the buckets' rows
     carried = per.groupBy(*by, "_b").agg(F.sum("_k").alias("_t")).select(*by, "_b", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_carry"))
     inner = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     return per.join(carried, [*by, "_b"]).withColumn("_below", F.col("_carry") + F.coalesce(F.sum("_k").over(inner), F.lit(0))).drop("_b", "_carry")
 
 
+def _at(place: Column) -> Column:
+    """The value that stands at a place (from 0) of the ranked values, as an aggregate."""
+    return F.max(F.when((F.col("_below") <= place) & (place < F.col("_below") + F.col("_k")), F.col("_v")))
+
+
+def _quantile(q: float) -> Column:
+    """Type-7 quantile of ranked values, as an aggregate."""
+    h = (F.col("_n") - 1) * q
+    low, high = _at(F.floor(h)), _at(F.ceil(h))
+    return low + (high - low) * (F.max(h) - F.floor(F.max(h)))
+
+
 def order_stats(df: DataFrame, col: str, by: Sequence[str] = (), percent: float = 90, trim: float = 0.1) -> DataFrame:
     """Median, RFC 2330 percentile (null where percent < 100 / n), type-7 quartiles and the trimmed mean.
 
@@ -65,17 +86,10 @@ def order_stats(df: DataFrame, col: str, by: Sequence[str] = (), percent: float
     values' ranks, found bucket by bucket.
     """
     r, n = ranked_values(df, col, by), F.col("_n")
-    at = lambda place: F.max(F.when((F.col("_below") <= place) & (place < F.col("_below") + F.col("_k")), F.col("_v")))
-
-    def quantile(q: float) -> Column:
-        h = (n - 1) * q
-        low, high = at(F.floor(h)), at(F.ceil(h))
-        return low + (high - low) * (F.max(h) - F.floor(F.max(h)))
-
     used = F.greatest(F.lit(0), F.least(F.col("_below") + F.col("_k"), n - F.floor(n * trim)) - F.greatest(F.col("_below"), F.floor(n * trim)))
-    percentile = at(F.greatest(F.ceil(n * F.lit(percent) / 100), F.lit(1)) - 1)
+    percentile = _at(F.greatest(F.ceil(n * F.lit(percent) / 100), F.lit(1)) - 1)
     return r.groupBy(*by).agg(
-        quantile(0.5).alias("median"), quantile(0.25).alias("q1"), quantile(0.75).alias("q3"), F.max("_n").alias("n"),
+        _quantile(0.5).alias("median"), _quantile(0.25).alias("q1"), _quantile(0.75).alias("q3"), F.max("_n").alias("n"),
         F.when(F.lit(percent) >= 100 / F.max("_n"), percentile).alias("percentile"), (F.sum(F.col("_v") * used) / F.sum(used)).alias("trimmed_mean"),
     )
 
@@ -106,10 +120,12 @@ def moments(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def mad(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """Median absolute deviation: each group's median goes back to its rows, one broadcast row per group or in all."""
-    m = df.groupBy(*by).agg(F.median(col).alias("_m"))
-    j = df.join(m, list(by)) if by else df.crossJoin(F.broadcast(m))
-    return j.groupBy(*by).agg(F.median(F.abs(F.col(col) - F.col("_m"))).alias("mad"))
+    """Median absolute deviation; both medians from ranked values, so that no task buffers a group."""
+    by = list(by)
+    rows = df.where(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("_x"))
+    m = checkpoint(ranked_values(rows, "_x", by).groupBy(*by).agg(_quantile(0.5).alias("_m")))
+    j = rows.join(if_small(m, m.count()), by) if by else rows.crossJoin(F.broadcast(m))  # one row
+    return ranked_values(j.select(*by, F.abs(F.col("_x") - F.col("_m")).alias("_d")), "_d", by).groupBy(*by).agg(_quantile(0.5).alias("mad"))
 
 
 def arg_extrema(df: DataFrame, col: str, index: str, by: Sequence[str] = ()) -> DataFrame:
@@ -131,8 +147,12 @@ def frequency(df: DataFrame, col: str, bins: int | Sequence[float]) -> DataFrame
         limits = [lo + step * (k + 1) for k in range(bins - 1)] + [hi]
     else:
         limits = sorted(map(float, bins))
-    below = F.size(F.filter(F.array(*[F.round(F.lit(float(x)), 6) for x in limits]), lambda x: x < F.round("v", 6)))  # limits under the value
-    n = rows.withColumn("k", below).where(F.col("k") < len(limits)).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    table = F.array(*[F.round(F.lit(float(x)), 6) for x in limits])
+    rows = rows.select(F.round("v", 6).alias("v"), F.lit(0).alias("k"))
+    for step in (1 << b for b in range(len(limits).bit_length() - 1, -1, -1)):  # bisection: k limits are under the value
+        on = F.try_element_at(table, F.col("k") + step) < F.col("v")
+        rows = rows.select("v", F.when(on, F.col("k") + step).otherwise(F.col("k")).alias("k"))
+    n = rows.where(F.col("k") < len(limits)).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     spine = df.sparkSession.createDataFrame(list(enumerate(limits)), "k int, upper double")
     return spine.join(F.broadcast(n), "k", "left").select("upper", F.coalesce("n", F.lit(0)).alias("n"))
 

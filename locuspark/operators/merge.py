@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from locuspark.storage import if_small
+
 
 def merge_summaries(runs: dict[str, DataFrame]) -> DataFrame:
     """One long table with the run's name as a column."""
@@ -40,7 +42,7 @@ def filled_grid(long: DataFrame, keys: Sequence[Sequence[str]], values: Sequence
     The key sets are report dimensions (runs, types, categories), few rows each.
     """
     sides = [long.select(*k).distinct() for k in keys]
-    spine = functools.reduce(lambda a, b: a.join(F.broadcast(b), F.lit(True)), sides)
+    spine = functools.reduce(lambda a, b: a.join(if_small(b, b.count(), 100_000), F.lit(True)), sides)  # the grid is their product
     flat = [c for k in keys for c in k]
     return spine.join(long, flat, "left").select(*flat, *[F.coalesce(F.col(v), F.lit(fill)).alias(v) for v in values])
 

@@ -2,6 +2,7 @@
 
 import functools
 import random
+import statistics
 from collections import defaultdict
 
 import pytest
@@ -121,6 +122,29 @@ def test_smoothing_hands_on_between_partitions(spark):
             assert g != 1 or alone[i] == pytest.approx(state[g], abs=1e-12)
 
 
+def test_ranks_in_one_task_and_in_buckets_are_the_same(spark):
+    rng = random.Random(5)
+    df = spark.createDataFrame([(rng.randrange(3), float(rng.randrange(80))) for _ in range(700)] + [(1, None), (9, None)], "g long, v double")
+    for by in (["g"], []):
+        one, many = (sorted(tuple(r[c] for c in (*by, "_v", "_k", "_below", "_n")) for r in st.ranked_values(df, "v", by, buckets=7, one_task=k).collect()) for k in (None, 0))
+        assert one == many and one
+    for r in st.mad(df, "v", ["g"]).where("mad IS NOT NULL").collect():
+        own = [x.v for x in df.where(f"g = {r.g} AND v IS NOT NULL").collect()]
+        m = statistics.median(own)
+        assert r.mad == statistics.median(abs(v - m) for v in own)
+
+
+def test_frequencies_by_bisection(spark):
+    rng = random.Random(6)
+    values = [rng.randrange(-5, 120) / 2 for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    for limits in ([3.0], [0.0, 7.5, 7.500001, 20.0, 41.0], [float(i) for i in range(64)]):
+        got = [(r.upper, r.n) for r in st.frequency(df, "v", limits).orderBy("upper").collect()]
+        low = [float("-inf"), *limits[:-1]]
+        assert got == [(u, sum(a < v <= u for v in values)) for a, u in zip(low, limits)]
+    assert sum(r.n for r in st.frequency(df, "v", 9).collect()) == 500
+
+
 def test_records_end_at_each_files_own_marker(spark, tmp_path):
     def text(name, rows, stop):
         body = [x for k in range(rows) for x in (f"{name} {k}", "# note", "")]

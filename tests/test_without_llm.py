@@ -17,7 +17,14 @@ def test_entry_imports_without_llm(tmp_path):
         "q = e.queries(); assert 'repeat_composition' in q and not any(k.startswith('op1_') for k in q) and 'pipeline' not in q\n"
         "assert set(e.oracle_sql()) <= set(q)\n"
     )
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+    if os.path.isdir("/root/testdata/sf0.001"):  # some queries run, the flagship among them
+        code += (
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.sql.shuffle.partitions', '2').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "assert e.entry(s).count() > 0\n"
+            "for k in ('j1_overlap_join', 'w1_merge_intervals', 'a23_order_statistics', 's20_skip_records', 'w6_exponential_smoothing'): assert q[k](s, '/root/testdata/sf0.001').count() > 0, k\n"
+        )
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=600, env={**os.environ, "PYTHONPATH": str(tmp_path)})
 
 
 def test_nothing_else_imports_llm():
