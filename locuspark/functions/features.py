@@ -10,10 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Internal marks in the names of ERV parts, and how names of the form ``fam.class`` come apart (fixed values).
+INTERNAL = (r"[-_][iI]nt", r"[-_]I$")
+DOTTED_FAMILY, DOTTED_CLASS = r"^(.*)\..*$", r"^.*\.(.*)$"
+
+
 def internal_mark(fam: Column, name: str | Column = "rname") -> Column:
     """The family with --int for ERV parts whose name has an internal mark (-int or _int, -I or _I at its end)."""
     col = F.col(name) if isinstance(name, str) else name
-    return F.when(fam.contains("ERV") & (col.rlike("[-_][iI]nt") | col.rlike("[-_]I$")), F.concat(fam, F.lit("--int"))).otherwise(fam)
+    return F.when(fam.contains("ERV") & (col.rlike(INTERNAL[0]) | col.rlike(INTERNAL[1])), F.concat(fam, F.lit("--int"))).otherwise(fam)
 
 
 def split_class_family(df: DataFrame, col: str = "classfam", internal: bool = True) -> DataFrame:
@@ -24,8 +29,8 @@ def split_class_family(df: DataFrame, col: str = "classfam", internal: bool = Tr
     p = F.split(F.col(col), "/")
     extra = F.coalesce(F.try_element_at(p, F.lit(3)), F.lit(""))
     slash = F.size(p) > 1
-    fam = F.when(slash, F.concat(p[1], F.when(extra.isin("", "0"), "").otherwise(F.concat(F.lit("_"), extra)))).otherwise(F.regexp_replace(F.col(col), r"^(.*)\..*$", "$1"))
-    cls = F.when(slash, p[0]).otherwise(F.regexp_replace(F.col(col), r"^.*\.(.*)$", "$1"))
+    fam = F.when(slash, F.concat(p[1], F.when(extra.isin("", "0"), "").otherwise(F.concat(F.lit("_"), extra)))).otherwise(F.regexp_replace(F.col(col), DOTTED_FAMILY, "$1"))
+    cls = F.when(slash, p[0]).otherwise(F.regexp_replace(F.col(col), DOTTED_CLASS, "$1"))
     if internal and "rname" in df.columns:
         fam = internal_mark(fam)
     return df.withColumns({"rclass": cls, "rfam": fam})

@@ -22,11 +22,21 @@ def region_label(col: Column) -> Column:
     return region_of_run(col)[1]
 
 
+#: Endings of a run's file name and the region each one stands for (fixed values).
+REGIONS = (
+    (r"^(.*)\.UTRs$", "02.UTR"),
+    (r"^(.*)\.CDS$", "02.CDS"),
+    (r"^(.*)\.dw\..+?\.corr$", "03.dw"),
+    (r"^(.*)\.up\..+?\.corr$", "01.up"),
+    (r"^(.*)\.introns\..+?$", "04.introns"),
+    (r"^(.*)\.exons$", "02.exons"),
+)
+
+
 def region_of_run(col: Column) -> tuple[Column, Column]:
     """(name, region) of a run's file name; both nd if it does not end as one of the feature sets does."""
-    rules = [(r"^(.*)\.UTRs$", "02.UTR"), (r"^(.*)\.CDS$", "02.CDS"), (r"^(.*)\.dw\..+?\.corr$", "03.dw"), (r"^(.*)\.up\..+?\.corr$", "01.up"), (r"^(.*)\.introns\..+?$", "04.introns"), (r"^(.*)\.exons$", "02.exons")]
     name, region = F.lit("nd"), F.lit("nd")
-    for rule, label in reversed(rules):
+    for rule, label in reversed(REGIONS):
         name, region = F.when(col.rlike(rule), F.regexp_extract(col, rule, 1)).otherwise(name), F.when(col.rlike(rule), label).otherwise(region)
     return name, region
 

@@ -251,6 +251,20 @@ def s22(fx: Fixtures) -> DataFrame:
     return wr.gff3_lines(features(fx)).select("line")
 
 
+@query("s22_gff3_with_children", *NEED, sql=f"""WITH {FEATURES}, g AS (SELECT id FROM ft WHERE type = 'gene' AND CAST(substr(id, 2) AS BIGINT) % 3 = 0), t AS (SELECT ft.id FROM ft JOIN g ON ft.parent = g.id), w AS (SELECT id FROM g UNION SELECT id FROM t UNION SELECT ft.id FROM ft JOIN t ON ft.parent = t.id)
+  SELECT type, count(*) AS n, CAST(sum(en - st + 1) AS BIGINT) AS bases FROM ft JOIN w USING (id) GROUP BY type""")
+def s22_children(fx: Fixtures) -> DataFrame:
+    f = features(fx)
+    roots = f.where((F.col("type") == "gene") & (F.substring("feature_id", 2, 20).cast("long") % 3 == 0))
+    return wr.with_children(f, roots).groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("end") - F.col("start") + 1).alias("bases"))
+
+
+@query("s23_fasta_headers", *NEED, sql=f"""WITH {FEATURES}, r AS (SELECT id, row_number() OVER (PARTITION BY parent, type ORDER BY CASE WHEN strand = '-' THEN -en ELSE st END, id) AS m, count(*) OVER (PARTITION BY parent, type) AS n FROM ft WHERE parent IS NOT NULL)
+  SELECT id || ' locus=' || chrom || ':' || st || '-' || en || ';strand=' || strand || ';type=' || type || ';' || CASE WHEN parent IS NOT NULL THEN 'parent=' || parent || ';' ELSE '' END || CASE WHEN n > 1 THEN 'sib_count=' || m || ':' || n || ';' ELSE '' END AS header FROM ft LEFT JOIN r USING (id)""")
+def s23_headers(fx: Fixtures) -> DataFrame:
+    return wr.fasta_headers(features(fx)).select("header")
+
+
 @query("s24_write_report", "te", sql="SELECT rclass, CAST(count(*) AS VARCHAR) AS n, CASE WHEN rclass <> 'RC' THEN CAST(max(score) AS VARCHAR) END AS top FROM te GROUP BY rclass")
 def s24(fx: Fixtures) -> DataFrame:
     r = fx.te.groupBy("rclass").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("rclass") != "RC", F.col("score"))).alias("top"))
