@@ -538,3 +538,23 @@ def test_repeated_rows_get_a_record_each(spark):
 def test_ranges_join_neighbours_only():
     rows = [("a", 0, 10), ("a", 10, 5), ("a", 40, 5), ("b", 0, 3), ("b", 100, 50)]
     assert [(p, s, e, len(x)) for p, s, e, x in warc._ranges(iter(rows), gap=10, most=100)] == [("a", 0, 15, 2), ("a", 40, 45, 1), ("b", 0, 3, 1), ("b", 100, 150, 1)]
+
+
+def test_rows_of_one_text_and_id_are_cut_too(spark):
+    from locuspark.llm.sharding import keys_below, weighted_splitters, with_range
+
+    rng = np.random.default_rng(4)
+    splitters = sorted({tuple(rng.integers(0, 4, 3).tolist()) for _ in range(20)})
+    keys = rng.integers(0, 4, (300, 3))
+    got = keys_below([np.array(c) for c in zip(*splitters, strict=True)], list(keys.T))
+    assert got.tolist() == [sum(s <= tuple(k) for s in splitters) for k in keys.tolist()]
+    hot = spark.range(6000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "1L AS size", "7L AS h", "id AS row")
+    ranges = with_range(hot, weighted_splitters(hot, 16)).groupBy("rng").count().collect()
+    assert len(ranges) == 16 and max(r["count"] for r in ranges) < 3 * 6000 / 16
+    df = spark.createDataFrame([(None, "")] * 900 + [(i, f"text {i}") for i in range(300)], "doc_id long, text string")
+    rows = sharding.shard_by_bytes(df).collect()
+    assert len(rows) == 1200
+    for k in range(8):
+        assert sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows)))
+    sizes = [sum(r["size"] for r in rows if r.shard == k) for k in range(8)]
+    assert max(sizes) - min(sizes) <= 2 * max(r["size"] for r in rows)
