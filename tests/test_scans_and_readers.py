@@ -200,3 +200,24 @@ def test_annovar_words(spark):
     for r in rd.variant_effects(spark.createDataFrame(rows, "feature_id string, reference_seq string, variant_seq array<string>, effects string"), "annovar").collect():
         got[r.feature_id].add((r.effect, r.variant_type, r.target))
     assert got == {**{w: {(e, t, "T1")} for w, (e, t) in ANNOVAR.items()}, "mnp": {("inframe_variant", "MNP", "T1")}}
+
+
+def test_lines_with_children_and_sequence_headers(spark, tmp_path):
+    from locuspark.sources import writers as wr
+
+    rows = [
+        ("g1", "gene", 1, 90, "+", None), ("t1", "mRNA", 1, 90, "+", ["g1"]), ("t2", "mRNA", 5, 80, "+", ["g1"]), ("e1", "exon", 1, 20, "+", ["t1", "t2"]), ("e2", "exon", 60, 80, "+", ["t1"]),
+        ("g2", "gene", 200, 300, "-", None), ("t3", "mRNA", 200, 300, "-", ["g2"]), ("e3", "exon", 200, 210, "-", ["t3"]), ("e4", "exon", 250, 300, "-", ["t3"]),
+    ]
+    made = [("c", "src", kind, s, e, ".", strand, ".", i, {"ID": [i], **({"Parent": p} if p else {})}) for i, kind, s, e, strand, p in rows]
+    f = spark.createDataFrame(made, "seqid string, source string, type string, start long, end long, score string, strand string, phase string, feature_id string, attributes map<string,array<string>>")
+    roots = f.where("feature_id IN ('t1', 'g2')").select("feature_id")
+    assert sorted(r.feature_id for r in wr.with_children(f, roots).collect()) == ["e1", "e2", "e3", "e4", "g2", "t1", "t3"]
+    wr.write_gff3(f, str(tmp_path / "out"), roots)
+    lines = [r.value.split("\t") for r in spark.read.text(str(tmp_path / "out")).collect()]
+    assert sorted(x[-1].split(";")[0] for x in lines) == [f"ID={i}" for i in ("e1", "e2", "e3", "e4", "g2", "t1", "t3")]
+    heads = {r.feature_id: r.header for r in wr.fasta_headers(f).collect()}
+    assert heads["g1"] == "g1 locus=c:1-90;strand=+;type=gene;"
+    assert heads["t2"] == "t2 locus=c:5-80;strand=+;type=mRNA;parent=g1;sib_count=2:2;"
+    assert heads["e1"] == "e1 locus=c:1-20;strand=+;type=exon;parent=t1,t2;sib_count=1:2;"
+    assert heads["e4"] == "e4 locus=c:250-300;strand=-;type=exon;parent=t3;sib_count=1:2;" and heads["t3"].endswith("parent=g2;")
