@@ -19,6 +19,7 @@ LEVELS = ("rclass", "rfam", "rname")
 
 def expected_initialised(obs: DataFrame, exp: DataFrame, keys: Sequence[str], rounds: int) -> DataFrame:
     """(*keys, round, hits): expected counts with zeros for rounds and keys without hits, observed-only keys too."""
+    exp = checkpoint(exp.select(*keys, "round", "hits"))  # few rows, read twice
     spine = obs.select(*keys).union(exp.select(*keys)).distinct().withColumn("round", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(rounds).cast("long"))))
     return spine.join(exp, [*keys, "round"], "left").select(*keys, "round", F.coalesce("hits", F.lit(0)).cast("long").alias("hits"))
 
