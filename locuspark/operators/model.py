@@ -155,8 +155,11 @@ def transcript_index(exons: DataFrame, coding: DataFrame) -> DataFrame:
 
 
 def seeded_key(id_col: Column, round_col: Column, seed: int) -> Column:
-    """A reproducible pseudo-random key of an id and a round, in plain integer arithmetic."""
-    x = F.pmod(id_col * F.lit(1103515245).cast("long") + round_col * F.lit(12345).cast("long") + seed, F.lit(2147483648).cast("long"))
+    """A reproducible pseudo-random key of an id and a round, in plain integer arithmetic.
+
+    Only the id's remainder counts, so it is taken first: products stay within 64 bits whatever the id.
+    """
+    x = F.pmod(F.pmod(id_col.cast("long"), F.lit(2147483648).cast("long")) * F.lit(1103515245).cast("long") + round_col * F.lit(12345).cast("long") + seed, F.lit(2147483648).cast("long"))
     return F.pmod(x * (F.pmod(x, F.lit(65521)) + round_col + 1), F.lit(2147483647).cast("long"))
 
 
