@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from locuspark.operators import shuffle as sh
 from locuspark.operators.intervals import overlap_join
+from locuspark.operators.model import seeded_key
 
 
 def repeats(spark, n=4000, seed=5):
@@ -43,3 +44,11 @@ def test_no_repeats_near_anything(spark):
     te = repeats(spark, 5).where("te_id < 0")
     sizes = spark.createDataFrame([("chr0", 700_000)], "chrom string, length long")
     assert sh.shuffle_positions(te, sizes, 3, near=sizes.selectExpr("chrom", "1L AS start", "9L AS end")).count() == 0
+
+
+def test_keys_of_ids_beyond_the_product_of_64_bits(spark):
+    ids = [5, 9_000_000_000, 2**62 + 11]
+    got = spark.createDataFrame([(i,) for i in ids], "id long").select("id", seeded_key(F.col("id"), F.lit(4), 7).alias("k")).collect()
+    for r in got:
+        x = (r.id * 1103515245 + 4 * 12345 + 7) % 2147483648
+        assert r.k == x * (x % 65521 + 5) % 2147483647
