@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from locuspark.operators.intervals import contained_in, interval_complement, interval_intersection, merge_intervals, nearest
+from locuspark.operators.intervals import contained_in, interval_complement, interval_intersection, merge_intervals, nearest, running_max
 from locuspark.storage import checkpoint, if_small, ordinals
 
 
@@ -176,27 +176,56 @@ def allowed_space(sizes: DataFrame, excl: DataFrame | None = None, incl: DataFra
 PLACEMENTS = 500_000
 
 
+#: Gaps of one block, the share of a chromosome's gaps that one task looks draws up in.
+GAP_BLOCK = 20_000
+
+
 def _drawn(draws: pd.DataFrame, gaps: pd.DataFrame) -> pd.DataFrame:
-    """The drawn start of each placement, among all starts at which it lies whole in a gap.
+    """The gap and start of each draw among the gaps of one block, in which it is known to lie.
 
-    Gaps are sorted from the longest on, so those that a repeat fits in come first. A repeat
-    of end - start = span has n - span starts in a gap of n positions, hence cum(k) - k span in
-    the first k gaps: the drawn start's gap is found by bisection, for all repeats at once.
+    A repeat of end - start = span has n - span starts in a gap of n positions, hence _cum - _k span in the _k gaps
+    before one: the gap that holds start number _u is found by bisection, for all draws at once.
     """
-    n = (gaps["end"] - gaps["start"] + 1).to_numpy(np.int64)
-    order = np.lexsort((gaps["start"].to_numpy(np.int64), -n))
-    n, at = n[order], gaps["start"].to_numpy(np.int64)[order]
-    cum = np.concatenate([[0], np.cumsum(n)])
-    span = draws["_span"].to_numpy(np.int64)
-    fits = np.searchsorted(-n, -span, side="left")  # gaps of more than span positions
-    draws, span, fits = draws[fits > 0], span[fits > 0], fits[fits > 0]
-    u = draws["_key"].to_numpy(np.int64) % (cum[fits] - fits * span)
-    lo, hi = np.zeros(len(u), np.int64), fits - 1
+    gaps = gaps.sort_values("_k")
+    at, k, cum = (gaps[c].to_numpy(np.int64) for c in ("start", "_k", "_cum"))
+    span, u, fits = (draws[c].to_numpy(np.int64) for c in ("_span", "_u", "_fits"))
+    if not len(draws):
+        return draws[["chrom", "te_id", "round", "_span"]].assign(_gap=u, _new=u)
+    lo, hi = np.zeros(len(u), np.int64), np.minimum(len(k), fits - k[0]) - 1
     while (lo < hi).any():
         mid = (lo + hi + 1) // 2
-        below = cum[mid] - mid * span <= u
+        below = cum[mid] - k[mid] * span <= u
         lo, hi = np.where(below, mid, lo), np.where(below, hi, mid - 1)
-    return draws[["chrom", "te_id", "round", "_span"]].assign(_gap=at[lo], _new=at[lo] + u - (cum[lo] - lo * span))
+    return draws[["chrom", "te_id", "round", "_span"]].assign(_gap=at[lo], _new=at[lo] + u - (cum[lo] - k[lo] * span))
+
+
+def _draw_exact(items: DataFrame, gaps: DataFrame, by: Sequence[str], seed: int, block: int | None = None) -> DataFrame:
+    """As _draw, where nothing excluded is tolerated.
+
+    Gaps are numbered from the longest on, so those that a repeat fits in come first; with the lengths before each
+    gap the number of starts follows from the span, and a drawn start's block of gaps from the blocks' first gaps.
+    Only the draws of a block meet its gaps, so a gap is repeated per ``PLACEMENTS`` draws that fall into its block.
+    """
+    by, block = list(by), block or GAP_BLOCK
+    n = (F.col("end") - F.col("start") + 1).cast("long")
+    g = ordinals(gaps.select(*by, F.col("start").cast("long").alias("start"), n.alias("_len"), (-n).alias("_short")), by, ["_short", "start"]).withColumnRenamed("_i", "_k").drop("_n", "_short")
+    g = running_sum(g, by, ["_k"], F.floor(F.col("_k") / block), F.col("_len")).withColumnsRenamed({"_before": "_cum"}).withColumn("_block", F.floor(F.col("_k") / block).cast("int"))
+    g = checkpoint(g.select(*by, "start", "_len", "_k", F.col("_cum").cast("long").alias("_cum"), "_block"))
+    longer = g.groupBy(*by, F.col("_len").alias("_pos")).agg(F.struct((F.max("_k") + 1).alias("fits"), F.max(F.col("_cum") + F.col("_len")).alias("total")).alias("_has")).withColumn("_kind", F.lit(1))
+    asked = items.select(*by, F.col("_span").alias("_pos")).distinct().select(*by, "_pos", F.lit(None).cast("struct<fits:bigint,total:bigint>").alias("_has"), F.lit(0).alias("_kind"))
+    room = running_max(longer.unionByName(asked), by, "_pos", "_has", [F.desc("_pos"), F.asc("_kind")], back=True).where("_kind = 0 AND _before IS NOT NULL")
+    room = checkpoint(room.select(*by, F.col("_pos").alias("_span"), F.col("_before.fits").alias("_fits"), (F.col("_before.total") - F.col("_before.fits") * F.col("_pos")).alias("_room")))
+    heads = g.groupBy(*by, "_block").agg(F.struct(F.min("_k").alias("k"), F.min("_cum").alias("c")).alias("_h")).groupBy(*by).agg(F.array_sort(F.collect_list("_h")).alias("_heads"))
+    d = items.join(if_small(room, room.count()), [*by, "_span"]).join(F.broadcast(heads), by)  # a row per group, a pair of numbers per block
+    d = d.withColumn("_u", F.pmod(F.xxhash64("te_id", "round", F.lit(seed)), F.col("_room")))
+    d = d.withColumn("_block", F.size(F.filter("_heads", lambda h: (h["k"] < F.col("_fits")) & (h["c"] - h["k"] * F.col("_span") <= F.col("_u")))) - 1)
+    parts = checkpoint(d.groupBy(*by, "_block").agg(F.ceil(F.count(F.lit(1)) / PLACEMENTS).cast("int").alias("_parts")))
+    few = if_small(parts, parts.count())
+    keys = [*by, "_block", "_part"]
+    d = d.join(few, [*by, "_block"]).withColumn("_part", F.pmod(F.xxhash64("te_id", "round", F.lit("part")), F.col("_parts")).cast("int")).select(*{*keys, "chrom", "te_id", "round"}, "_span", "_u", "_fits")
+    g = g.join(few, [*by, "_block"]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).select(*keys, "start", "_k", "_cum")
+    shape = f"chrom string, te_id {dict(items.dtypes)['te_id']}, round long, _span long, _gap long, _new long"
+    return d.groupBy(*keys).cogroup(g.groupBy(*keys)).applyInPandas(_drawn, shape)
 
 
 def admissible_starts(regions: np.ndarray, excluded: np.ndarray, span: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -254,23 +283,20 @@ def _drawn_within(fraction: float) -> Callable[[pd.DataFrame, pd.DataFrame], pd.
 def _draw(items: DataFrame, gaps: DataFrame, by: Sequence[str], seed: int, fraction: float = 0.0) -> DataFrame:
     """(chrom, te_id, round, _span, _gap, _new): the drawn gap and start of each item that fits in a gap of equal ``by``.
 
-    Tasks take a share of the placements (``PLACEMENTS``) and their gaps. With a ``fraction``, ``gaps`` are regions
-    and what is excluded of them (_excluded), shares are dealt by length, and a length of many placements is cut.
+    With a ``fraction``, ``gaps`` are regions and what is excluded of them (_excluded); tasks take a share of the
+    placements (``PLACEMENTS``), dealt by length, and all of these; a length of many placements is cut.
     """
+    if not fraction:
+        return _draw_exact(items, gaps, by, seed)
     parts = items.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / PLACEMENTS).cast("int").alias("_parts"))
     gaps = gaps.select(*[F.col(c).alias(c) for c in gaps.columns])  # columns of their own beside the items
-    which = F.xxhash64("te_id", "round", F.lit("part"))
-    if fraction:
-        spans = items.groupBy(*by, "_span").agg(F.count(F.lit(1)).alias("_k")).groupBy(*by).agg(F.ceil(F.max("_k") / PLACEMENTS).cast("int").alias("_cuts"))
-        parts = parts.join(spans, [*by])
-        which = F.pmod(F.xxhash64("_span"), F.col("_parts")) * F.col("_cuts") + F.pmod(which, F.col("_cuts"))
-        parts = parts.withColumn("_all", F.col("_parts") * F.col("_cuts"))
-    else:
-        parts = parts.withColumn("_all", F.col("_parts"))
+    spans = items.groupBy(*by, "_span").agg(F.count(F.lit(1)).alias("_k")).groupBy(*by).agg(F.ceil(F.max("_k") / PLACEMENTS).cast("int").alias("_cuts"))
+    parts = parts.join(spans, [*by]).withColumn("_all", F.col("_parts") * F.col("_cuts"))
+    which = F.pmod(F.xxhash64("_span"), F.col("_parts")) * F.col("_cuts") + F.pmod(F.xxhash64("te_id", "round", F.lit("part")), F.col("_cuts"))
     gaps = gaps.join(parts, [*by]).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_all") - 1))).select(*gaps.columns, "_part")
     draws = items.join(parts, [*by]).withColumn("_key", F.xxhash64("te_id", "round", F.lit(seed))).withColumn("_part", F.pmod(which, F.col("_all")).cast("int")).select(*items.columns, "_key", "_part")
     shape = f"chrom string, te_id {dict(items.dtypes)['te_id']}, round long, _span long, _gap long, _new long"
-    return draws.groupBy(*by, "_part").cogroup(gaps.groupBy(*by, "_part")).applyInPandas(_drawn_within(fraction) if fraction else _drawn, shape)
+    return draws.groupBy(*by, "_part").cogroup(gaps.groupBy(*by, "_part")).applyInPandas(_drawn_within(fraction), shape)
 
 
 #: Keys that put placements in order, and how many of them are one bucket.
@@ -326,8 +352,9 @@ def shuffle_random(
     first: int = 1,
     no_overlap: bool = False,
     max_excl_fraction: float = 0.0,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Place each repeat at random on its chromosome, whole inside the allowed space.
+    """Place each repeat at random on its chromosome, whole inside the allowed space: te's columns (or ``keep``) and round.
 
     One draw over the exact number of starts at which the repeat fits is uniform over them
     and never rejected. A repeat that fits nowhere is left out. With ``no_overlap`` the
@@ -344,10 +371,13 @@ def shuffle_random(
         bars = merge_intervals(excl).select("chrom", "start", "end", F.lit(1).alias("_excluded"))
         gaps = gaps.withColumn("_excluded", F.lit(0)).unionByName(bars)
     span = (F.col("end") - F.col("start")).cast("long")
-    items = _rounds(te.select("chrom", "te_id", span.alias("_span")), rounds, first)
+    items = _rounds(checkpoint(te.select("chrom", "te_id", span.alias("_span"))), rounds, first)
     if no_overlap:
         placed = _draw_apart(items, gaps, seed)
     else:
         placed = _draw(items, gaps, ["chrom"], seed, max_excl_fraction if tolerant else 0.0)
+    keep = [c for c in te.columns if keep is None or c in keep]
+    if {*keep} <= {"chrom", "te_id", "start", "end"}:  # a placement's own
+        return placed.withColumns({"start": F.col("_new"), "end": F.col("_new") + F.col("_span")}).select(*keep, "round")
     base = te.join(placed.select("te_id", "round", "_new"), "te_id")
-    return base.withColumns({"end": F.col("_new") + span, "start": F.col("_new")}).select(*te.columns, "round")
+    return base.withColumns({"end": F.col("_new") + span, "start": F.col("_new")}).select(*keep, "round")

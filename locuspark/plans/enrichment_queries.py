@@ -73,18 +73,18 @@ def r3(fx: Fixtures) -> DataFrame:
 
 @query("r1_shuffle_random")
 def r1(fx: Fixtures) -> DataFrame:
-    return sh.shuffle_random(fx.te, fx.sizes, ROUNDS, excl=fx.exon).select("round", "te_id", "chrom", "start", "end")
+    return sh.shuffle_random(fx.te, fx.sizes, ROUNDS, keep=PLACED, excl=fx.exon).select("round", "te_id", "chrom", "start", "end")
 
 
 @query("r1_shuffle_random_tolerant")
 def r1_tolerant(fx: Fixtures) -> DataFrame:
-    out = sh.shuffle_random(fx.te, fx.sizes, ROUNDS, excl=fx.exon, max_excl_fraction=0.1)
+    out = sh.shuffle_random(fx.te, fx.sizes, ROUNDS, keep=PLACED, excl=fx.exon, max_excl_fraction=0.1)
     return out.select("round", "te_id", "chrom", "start", "end")
 
 
 @query("r1_shuffle_random_apart")
 def r1_apart(fx: Fixtures) -> DataFrame:
-    return sh.shuffle_random(fx.te, fx.sizes, ROUNDS, excl=fx.exon, no_overlap=True).select("round", "te_id", "chrom", "start", "end")
+    return sh.shuffle_random(fx.te, fx.sizes, ROUNDS, keep=PLACED, excl=fx.exon, no_overlap=True).select("round", "te_id", "chrom", "start", "end")
 
 
 #: Hits of shuffled repeats over exons; both sides are cut into bins of 1,000, and hits are counted distinct.

@@ -52,3 +52,23 @@ def test_keys_of_ids_beyond_the_product_of_64_bits(spark):
     for r in got:
         x = (r.id * 1103515245 + 4 * 12345 + 7) % 2147483648
         assert r.k == x * (x % 65521 + 5) % 2147483647
+
+
+def test_draws_by_blocks_of_gaps_are_those_of_all_starts(spark):
+    rng = random.Random(8)
+    gaps, at = [], {"c1": 1, "c2": 1}
+    for i in range(60):
+        c, n = rng.choice(["c1", "c2"]), rng.randint(1, 40)
+        gaps.append((c, at[c], at[c] + n - 1))
+        at[c] += n + 3
+    items = [(rng.choice(["c1", "c2"]), i, 1 + i % 3, rng.randint(0, 45)) for i in range(500)]
+    d = spark.createDataFrame(items, "chrom string, te_id long, round long, _span long")
+    keys = {r.te_id: r.k for r in d.select("te_id", F.xxhash64("te_id", "round", F.lit(6)).alias("k")).collect()}
+    g = spark.createDataFrame(gaps, "chrom string, start long, end long")
+    got = {r.te_id: (r._gap, r._new) for r in sh._draw_exact(d, g, ["chrom"], 6, block=4).collect()}
+    want = {}
+    for c, i, _, span in items:
+        starts = [(s, p) for _, s, e in sorted((s - e, s, e) for x, s, e in gaps if x == c) for p in range(s, e - span + 1)]
+        if starts:
+            want[i] = starts[keys[i] % len(starts)]
+    assert got == want and 0 < len(want) < 500
