@@ -36,21 +36,22 @@ def fragment_counts(hits: DataFrame, by: Sequence[str] = ("rname",)) -> DataFram
     return hits.groupBy(*by).agg(F.count(F.lit(1)).alias("fragments"), F.countDistinct("rname", "block", "chrom").alias("nr_fragments"), F.countDistinct("chrom").alias("n_chrom"))
 
 
-def hits_by_level(hits: DataFrame, feature: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+def hits_by_level(hits: DataFrame, feature: Sequence[str], extra: Sequence[str] = (), aged: bool = False) -> DataFrame:
     """(*extra, rclass, rfam, rname, hits): features hit at least once, in total ('tot') and per class, family, name.
 
-    Distinct (level, feature) rows come first, so the count is a plain partial aggregate
-    however many hits a level has.
+    ``aged`` hits have age1 and age2 and are counted by age_hits' levels too. Hits are dealt by feature once, and
+    distinct (level, feature) rows stay there, so the count is a plain partial aggregate however many hits a level has.
     """
-    levels = F.array(
-        F.struct(F.lit("tot").alias("c"), F.lit("tot").alias("f"), F.lit("tot").alias("n")),
-        F.struct(F.col("rclass").alias("c"), F.lit("tot").alias("f"), F.lit("tot").alias("n")),
-        F.struct(F.col("rclass").alias("c"), F.col("rfam").alias("f"), F.lit("tot").alias("n")),
-        F.struct(F.col("rclass").alias("c"), F.col("rfam").alias("f"), F.col("rname").alias("n")),
-    )
-    once = hits.select(*extra, *feature, "rclass", "rfam", "rname").distinct()
-    rows = once.select(*extra, *feature, F.explode(levels).alias("l")).distinct()
-    return rows.groupBy(*extra, F.col("l.c").alias("rclass"), F.col("l.f").alias("rfam"), F.col("l.n").alias("rname")).agg(F.count(F.lit(1)).alias("hits"))
+    level = lambda c, f, n: F.struct(F.lit(False).alias("a"), c.alias("c"), f.alias("f"), n.alias("n"))
+    tot, (rclass, rfam, rname) = F.lit("tot"), map(F.col, ("rclass", "rfam", "rname"))
+    levels = F.array(level(tot, tot, tot), level(rclass, tot, tot), level(rclass, rfam, tot), level(rclass, rfam, rname))
+    if aged:
+        ages = F.transform(_age_levels(), lambda x: F.struct(F.lit(True).alias("a"), x["c"].alias("c"), x["f"].alias("f"), x["n"].alias("n")))
+        levels = F.when(F.col("age1").isNotNull(), F.concat(levels, ages)).otherwise(levels)
+    by = [*extra, *feature]
+    hits = hits.select(*by, "rclass", "rfam", "rname", *(["age1", "age2"] if aged else [])).repartition(*by)
+    rows = hits.select(*by, F.explode(levels).alias("l")).distinct()
+    return rows.groupBy(*extra, "l").agg(F.count(F.lit(1)).alias("hits")).select(*extra, F.col("l.c").alias("rclass"), F.col("l.f").alias("rfam"), F.col("l.n").alias("rname"), "hits")
 
 
 def hits_by_category(rows: DataFrame, extra: Sequence[str] = (), feature: Sequence[str] = ("tr", "k"), gene: str = "gene") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from locuspark.functions.binomial import binomial_test
 from locuspark.operators.classify import classify_shuffle, stars
-from locuspark.operators.compose import age_hits, age_hits_by_category, genome_ages, genome_counts, hits_by_category, hits_by_level, with_ages
+from locuspark.operators.compose import age_hits_by_category, genome_ages, genome_counts, hits_by_category, hits_by_level, with_ages
 from locuspark.operators.intervals import overlap_join
 from locuspark.operators.model import pick_transcript
 from locuspark.storage import checkpoint
@@ -62,26 +62,36 @@ def permutation_test(obs: DataFrame, exp: DataFrame, keys: Sequence[str], rounds
 def observed_hits(te: DataFrame, features: DataFrame, feature: Sequence[str], min_nt: int = 10, extra: Sequence[str] = (), ages: DataFrame | None = None) -> DataFrame:
     """Hits per level of repeats over features, and per age if ``ages`` are given; ``extra`` columns of the repeats (a round) stay apart."""
     j = overlap_join(te.select("chrom", "start", "end", *LEVELS, *extra), features.select("chrom", "start", "end", *feature), min_nt=min_nt)
-    rows = j.select(*[F.col(f"a_{c}").alias(c) for c in (*LEVELS, *extra)], *[F.col(f"b_{c}").alias(c) for c in feature]).distinct()
-    if ages is None:
-        return hits_by_level(rows, feature, extra)
-    rows = checkpoint(rows)  # both hierarchies read it
-    return hits_by_level(rows, feature, extra).unionByName(age_hits(with_ages(rows, ages), feature, extra))
+    rows = j.select(*[F.col(f"a_{c}").alias(c) for c in (*LEVELS, *extra)], *[F.col(f"b_{c}").alias(c) for c in feature])
+    return hits_by_level(rows if ages is None else with_ages(rows, ages), feature, extra, aged=ages is not None)
+
+
+def observed_and_expected(placed: DataFrame, features: DataFrame, feature: Sequence[str], min_nt: int = 10, ages: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Hits per level of the repeats as they are (rows of ``placed`` with a null round), and of the other rows per round.
+
+    One join over the features for both, written once (few rows).
+    """
+    hits = checkpoint(observed_hits(placed, features, feature, min_nt, ("round",), ages))
+    return hits.where("round IS NULL").drop("round"), hits.where("round IS NOT NULL")
 
 
 def _genome(te: DataFrame, ages: DataFrame | None) -> DataFrame:
     return genome_counts(te) if ages is None else genome_counts(te).unionByName(genome_ages(with_ages(te.select("rname"), ages)))
 
 
-def enrichment(te: DataFrame, features: DataFrame, shuffled: DataFrame, rounds: int, feature: Sequence[str] = ("feature",), min_nt: int = 10, ages: DataFrame | None = None) -> DataFrame:
+def enrichment(te: DataFrame, features: DataFrame, shuffled: DataFrame, rounds: int, feature: Sequence[str] = ("feature",), min_nt: int = 10, ages: DataFrame | None = None, as_they_are: bool = False) -> DataFrame:
     """Simple features, end to end: observed and expected hits per level, permutation and binomial tests.
 
-    ``shuffled`` holds all rounds (column round), so expected hits are one join. The binomial
+    ``shuffled`` holds all rounds (column round), so expected hits are one join; with ``as_they_are`` it holds the
+    repeats that can touch a feature too (null round), else ``te`` goes along with it. The binomial
     test asks for obs successes of as many trials as the genome has such repeats, at the
     expected mean's rate. With ``ages`` (rname, age1, age2) there are rows of class ``age`` too.
     """
-    obs = observed_hits(te, features, feature, min_nt, ages=ages)
-    exp = observed_hits(shuffled, features, feature, min_nt, ("round",), ages)
+    cols = ["chrom", "start", "end", *LEVELS]
+    placed = shuffled.select(*cols, F.col("round").cast("long").alias("round"))
+    if not as_they_are:
+        placed = placed.unionByName(te.select(*cols, F.lit(None).cast("long").alias("round")))
+    obs, exp = observed_and_expected(placed, features, feature, min_nt, ages)
     t = permutation_test(obs, exp, LEVELS, rounds)
     total = features.select(*feature).distinct().agg(F.count(F.lit(1)).alias("n_features"))
     t = t.join(_genome(te, ages), list(LEVELS), "left").withColumn("prob", F.col("exp_mean") / F.col("n")).crossJoin(F.broadcast(total))  # one row

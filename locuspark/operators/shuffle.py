@@ -73,29 +73,28 @@ def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
 
 
 def shuffle_positions(
-    te: DataFrame, sizes: DataFrame, rounds: int, seed: int = 1, first: int = 1, keep: Sequence[str] | None = None, near: DataFrame | None = None
+    te: DataFrame, sizes: DataFrame, rounds: int, seed: int = 1, first: int = 1, keep: Sequence[str] | None = None, near: DataFrame | None = None, as_they_are: bool = False
 ) -> DataFrame:
     """Permute midpoints among the repeats of each chromosome; lengths stay: te's columns (or ``keep``) with new start, end, and round.
 
     The repeats are put in the order of their ids once; a round's permutation then gives each one the midpoint at
     another place of its chromosome by arithmetic, so no round is sorted. ``te_id`` may be of any type.
     With ``near`` (chrom, start, end) only placements close to one of these intervals come back, among them every one
-    that shares a position with any: where hits are counted the others need not be made.
+    that shares a position with any: where hits are counted the others need not be made. ``as_they_are`` adds the
+    repeats close to ``near`` where they stand, with a null round, from the same pass over the places.
     """
     keep = [c for c in te.columns if keep is None or c in keep]
-    base = ordinals(te.join(sizes.select("chrom", "length"), "chrom").select(*{*keep, "chrom", "te_id", "start", "end"}, "length"), ["chrom"], ["te_id"])
-    mids = base.select("chrom", F.col("_i").alias("_j"), F.floor((F.col("start") + F.col("end")) / 2).alias("_mid"))
-    n = F.col("end") - F.col("start")
-    s = F.col("_mid") - F.floor(n / 2)
-    a, b = inside(s, s + n, F.col("length"))
+    sizes = checkpoint(sizes.select("chrom", "length"))  # a row per chromosome
+    sizes = if_small(sizes, sizes.count())
     if near is not None:
-        return _placed_near(base, mids, near, rounds, seed, first).withColumns({"start": a, "end": b}).select(*keep, "round")
+        return _placed_near(te, sizes, keep, near, rounds, seed, first, as_they_are)
+    base = ordinals(te.join(sizes, "chrom").select(*{*keep, "chrom", "te_id", "start", "end"}, "length"), ["chrom"], ["te_id"])
     # what travels in every round is a repeat's id, its length and other columns that are kept; the place brings the rest
     other = [c for c in keep if c not in ("chrom", "te_id", "start", "end")]
     s = F.col("_mid") - F.floor(F.col("_span") / 2)
     a, b = inside(s, s + F.col("_span"), F.col("length"))
     base, at = _numbered(base, ["chrom"])
-    drawn = _rounds(base.select("_g0", "_i", "_n", "te_id", n.alias("_span"), *other), rounds, first)
+    drawn = _rounds(base.select("_g0", "_i", "_n", "te_id", (F.col("end") - F.col("start")).alias("_span"), *other), rounds, first)
     drawn = drawn.select((F.col("_g0") + permutation(seed)("_i", "_n", "round")).alias("_g"), F.col("round").cast("int").alias("round"), "te_id", F.col("_span").cast("long"), *other)
     places = at.select("_g", "chrom", "length", F.floor((F.col("start") + F.col("end")) / 2).alias("_mid"))
     out = drawn.join(if_small(places, places.count()), "_g").withColumns({"start": a, "end": b, "round": F.col("round").cast("long")})
@@ -111,29 +110,63 @@ def _numbered(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     return rows, rows.withColumn("_g", F.col("_g0") + F.col("_i"))
 
 
-def _placed_near(base: DataFrame, mids: DataFrame, near: DataFrame, rounds: int, seed: int, first: int) -> DataFrame:
-    """base's rows with round and _mid where the placement can touch ``near``.
+#: Kinds of repeats (distinct values of the columns besides place and id) up to which a number stands for them.
+MOST_KINDS = 100_000
+
+
+def _by_kind(te: DataFrame, other: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
+    """te with _kind, a number in place of its ``other`` columns, and what they are; te as it is and None where kinds are many."""
+    kinds = te.select(*other).distinct()
+    if not other or kinds.limit(MOST_KINDS + 1).count() > MOST_KINDS:
+        return te, None
+    kinds = F.broadcast(checkpoint(kinds.withColumn("_kind", F.monotonically_increasing_id())))
+    named = kinds.select(*[F.col(c).alias(f"_k_{c}") for c in other], "_kind")
+    on = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in other]
+    return te.join(named, on).drop(*[f"_k_{c}" for c in other], *other), kinds
+
+
+def _placed_near(te: DataFrame, sizes: DataFrame, keep: list[str], near: DataFrame, rounds: int, seed: int, first: int, as_they_are: bool) -> DataFrame:
+    """keep and round of the placements that can touch ``near``; ``as_they_are`` the repeats that can, too, with a null round.
 
     A placement holds its midpoint (moved into the chromosome) and so ends within its length of it. Places farther
     than the reach of usual repeats from every interval are left out before the rounds are made; those left ask the
     permutation backwards which repeat they get. Repeats longer than that reach, which are few, are drawn forwards.
+    What all repeats carry through sorting, filter and join is a number per kind, and an id only if it is kept.
     """
-    span = F.col("end") - F.col("start")
-    most, usual = base.agg(F.max(span), F.percentile_approx(span, 0.99)).first()
-    if most is None:
-        return _rounds(base.join(mids, ["chrom"]), rounds, first).where("false")
-    reach = min(most, 4 * usual)
+    other = [c for c in keep if c not in ("chrom", "te_id", "start", "end")]
+    coded, kinds = _by_kind(te, other)
+    more = other if kinds is None else ["_kind"]
+    mine = [*(["te_id"] if "te_id" in keep else []), *more]
+    base = ordinals(coded.select("chrom", "te_id", "start", "end", *more).join(sizes.select("chrom"), "chrom"), ["chrom"], ["te_id"])
+    base = base.withColumn("_span", F.col("end") - F.col("start"))
+    most, usual = base.agg(F.max("_span"), F.percentile_approx("_span", 0.99)).first()
+    reach = 0 if most is None else min(most, 4 * usual)
     wide = merge_intervals(near.select("chrom", (F.col("start") - reach).alias("start"), (F.col("end") + reach).alias("end")))
+    mid = F.floor((F.col("start") + F.col("end")) / 2)
+    own = base.select("chrom", F.col("_i").alias("_j"), "_n", "_span", mid.alias("_mid"), *(mine if as_they_are else [])).join(sizes, "chrom")
     at = F.greatest(F.lit(1), F.least("_mid", "length")).cast("long")
-    places = base.select("chrom", "length", "_n", F.col("_i").alias("_j"), F.floor((F.col("start") + F.col("end")) / 2).alias("_mid"))
-    places = contained_in(places.withColumns({"start": at, "end": at}), wide).select("chrom", "_n", "_j", "_mid")
-    asked = _rounds(places, rounds, first).select("chrom", "round", "_mid", permutation(seed, back=True)("_j", "_n", "round").alias("_i"))
-    drawn = base.where(span <= reach).join(asked, ["chrom", "_i"])
-    if most <= reach:
-        return drawn
-    long = base.where(span > reach)
-    long = if_small(_rounds(long, rounds, first).withColumn("_j", permutation(seed)("_i", "_n", "round")), long.count() * rounds)
-    return drawn.unionByName(long.join(mids, ["chrom", "_j"]).select(drawn.columns))
+    inner = own.where(F.col("_mid") == at).drop("length").withColumns({"start": F.col("_mid"), "end": F.col("_mid")})
+    # midpoints outside of their chromosome are few and stay
+    places = contained_in(inner, wide).drop("start", "end").unionByName(own.where(F.col("_mid") != at).drop("length"))
+    places = checkpoint(places)
+    asked = _rounds(places.select("chrom", "_n", "_j", "_mid"), rounds, first).select("chrom", "round", "_mid", permutation(seed, back=True)("_j", "_n", "round").alias("_i"))
+    drawn = base.where(F.col("_span") <= reach).select("chrom", "_i", "_span", *mine).join(asked, ["chrom", "_i"]).drop("_i")
+    long = base.where(F.col("_span") > reach) if most is not None and most > reach else None
+    if long is not None:
+        mids = base.select("chrom", F.col("_i").alias("_j"), mid.alias("_mid"))
+        far = _rounds(long.select("chrom", "_i", "_n", "_span", *mine), rounds, first).withColumn("_j", permutation(seed)("_i", "_n", "round"))
+        drawn = drawn.unionByName(if_small(far, long.count() * rounds).join(mids, ["chrom", "_j"]).select(drawn.columns))
+    s = F.col("_mid") - F.floor(F.col("_span") / 2)
+    a, b = inside(s, s + F.col("_span"), F.col("length"))
+    out = drawn.join(sizes, "chrom").withColumns({"start": a, "end": b}).select("chrom", "start", "end", *mine, "round")
+    if as_they_are:
+        start = F.col("_mid") - F.floor(F.col("_span") / 2)  # a repeat's own one, as its midpoint is rounded down
+        alone = places.where(F.col("_span") <= reach).select("chrom", start.alias("start"), (start + F.col("_span")).alias("end"), *mine)
+        if long is not None:
+            alone = alone.unionByName(long.select("chrom", "start", "end", *mine))
+        homeless = coded.join(sizes.select("chrom"), "chrom", "left_anti").select("chrom", "start", "end", *mine)  # their chromosome has no length
+        out = out.unionByName(alone.unionByName(homeless).withColumn("round", F.lit(None).cast("long")))
+    return (out if kinds is None else out.join(kinds, "_kind")).select(*keep, "round")
 
 
 def shuffle_tss(te: DataFrame, tss: DataFrame, sizes: DataFrame, rounds: int, seed: int = 1, first: int = 1, keep: Sequence[str] | None = None) -> DataFrame:

@@ -43,6 +43,11 @@ def shuffled(fx: Fixtures, rounds: int = ROUNDS, near: DataFrame | None = None)
     return sh.shuffle_positions(fx.te, fx.sizes, rounds, keep=("te_id", "chrom", "start", "end", *en.LEVELS), near=near)
 
 
+def with_observed(fx: Fixtures, rounds: int = ROUNDS) -> DataFrame:
+    """Placements of all rounds near exons, and the repeats near exons as they are (null round), by levels."""
+    return sh.shuffle_positions(fx.te, fx.sizes, rounds, keep=("chrom", "start", "end", *en.LEVELS), near=fx.exon, as_they_are=True)
+
+
 def tss(fx: Fixtures) -> DataFrame:
     p = F.when(F.col("strand") == "-", F.col("end")).otherwise(F.col("start"))
     return fx.tr.select(F.col("tr").alias("tss_id"), "chrom", "strand", p.alias("start"), p.alias("end"))
@@ -114,8 +119,7 @@ def class_hits(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
     """Observed and expected hits of classes and in total."""
     feature = ["tr", "k"]
     fx.write("exon")
-    obs = en.observed_hits(fx.te, fx.exon, feature)
-    exp = en.observed_hits(shuffled(fx, near=fx.exon), fx.exon, feature, extra=("round",))
+    obs, exp = en.observed_and_expected(with_observed(fx), fx.exon, feature)
     top = lambda d, *extra: d.where("rfam = 'tot'").select(*extra, "rclass", "hits")
     return top(obs), top(exp, "round")
 
@@ -216,7 +220,7 @@ def r6_levels(fx: Fixtures) -> DataFrame:
 def simple(fx: Fixtures, rounds: int) -> DataFrame:
     fx.write("exon")
     features = fx.exon.select("chrom", "start", "end", F.concat_ws("#", F.col("tr").cast("string"), F.col("k").cast("string")).alias("feature"))
-    return en.enrichment(fx.te, features, shuffled(fx, rounds, fx.exon), rounds, ages=ages(fx))
+    return en.enrichment(fx.te, features, with_observed(fx, rounds), rounds, ages=ages(fx), as_they_are=True)
 
 
 @query("r6_enrichment_simple")
@@ -266,7 +270,7 @@ def a14(fx: Fixtures) -> DataFrame:
 def a16(fx: Fixtures) -> DataFrame:
     fx.write("exon")
     features = fx.exon.select("chrom", "start", "end", F.concat_ws("#", F.col("tr").cast("string"), F.col("k").cast("string")).alias("feature"))
-    t = en.enrichment(fx.te, features, shuffled(fx, near=fx.exon), ROUNDS).where("rfam = 'tot'")
+    t = en.enrichment(fx.te, features, with_observed(fx), ROUNDS, as_they_are=True).where("rfam = 'tot'")
     return t.select("rclass", F.round("obs_pct", 6).alias("obs_pct"), F.round("exp_pct", 6).alias("exp_pct"), "unhit")
 
 

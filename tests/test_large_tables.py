@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from locuspark.operators import enrich as en
 from locuspark.operators import shuffle as sh
 from locuspark.operators.intervals import overlap_join
 from locuspark.operators.model import seeded_key
@@ -72,3 +73,18 @@ def test_draws_by_blocks_of_gaps_are_those_of_all_starts(spark):
         if starts:
             want[i] = starts[keys[i] % len(starts)]
     assert got == want and 0 < len(want) < 500
+
+
+def test_repeats_as_they_are_come_from_the_same_pass(spark):
+    te = repeats(spark).withColumns({"rclass": F.concat(F.lit("c"), F.col("te_id") % 3), "rfam": F.lit("f"), "rname": F.when(F.col("te_id") % 7 > 0, F.concat(F.lit("n"), F.col("te_id") % 7))})
+    te = te.unionByName(spark.createDataFrame([(99_999, "other", 5, 90, "c1", "f", None)], te.schema))  # a chromosome without a length
+    te = te.unionByName(spark.createDataFrame([(99_998, "chr0", 700_100, 700_900, "c1", "f", "n1")], te.schema))  # beyond the end
+    sizes = spark.createDataFrame([("chr0", 700_000), ("chr1", 1_300_000), ("chr2", 900_500)], "chrom string, length long")
+    near = spark.createDataFrame([("a", "chr0", 1, 90), ("b", "chr0", 400_000, 400_300), ("c", "chr0", 700_500, 700_600), ("d", "chr2", 5, 2_000), ("e", "other", 60, 99)], "feature string, chrom string, start long, end long")
+    keep = ("chrom", "start", "end", *en.LEVELS)
+    both = sh.shuffle_positions(te, sizes, 4, seed=4, keep=keep, near=near, as_they_are=True)
+    obs, exp = en.observed_and_expected(both, near, ["feature"])
+    rows = lambda d: sorted(map(str, d.select(*[c for c in (*en.LEVELS, "hits", "round") if c in d.columns]).collect()))
+    assert rows(obs) == rows(en.observed_hits(te, near, ["feature"])) and len(rows(obs)) > 10
+    assert rows(exp) == rows(en.observed_hits(sh.shuffle_positions(te, sizes, 4, seed=4, keep=keep), near, ["feature"], extra=("round",)))
+    assert both.where("round IS NULL").count() < te.count() / 10
