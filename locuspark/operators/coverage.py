@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -41,10 +43,10 @@ def lift_to_consensus(j: DataFrame, force: str | None = None) -> DataFrame:
     return j.withColumns({"con_start": F.least(start, end), "con_end": F.greatest(start, end), "con_left": left})
 
 
-def consensus_lengths(cov: DataFrame) -> DataFrame:
-    """(rname, length): the most frequent reconstructed length (end + left), the largest of ties."""
-    n = cov.select("rname", (F.col("rep_end") + F.col("rep_left")).alias("length")).groupBy("rname", "length").agg(F.count(F.lit(1)).alias("n"))
-    return n.groupBy("rname").agg(F.max(F.struct("n", "length"))["length"].alias("length"))
+def consensus_lengths(cov: DataFrame, by: Sequence[str] = ("rname",)) -> DataFrame:
+    """(*by, length): the most frequent reconstructed length (end + left), the largest of ties."""
+    n = cov.select(*by, (F.col("rep_end") + F.col("rep_left")).alias("length")).groupBy(*by, "length").agg(F.count(F.lit(1)).alias("n"))
+    return n.groupBy(*by).agg(F.max(F.struct("n", "length"))["length"].alias("length"))
 
 
 def length_lists(cov: DataFrame) -> DataFrame:
@@ -52,28 +54,30 @@ def length_lists(cov: DataFrame) -> DataFrame:
     return cov.groupBy("rname").agg(F.array_sort(F.collect_set(F.col("rep_end") + F.col("rep_left"))).alias("lengths"))
 
 
-def filter_coverage(cov: DataFrame, min_fragments: int = 1, min_length: int = 1, max_deviation: int | None = None) -> DataFrame:
+def filter_coverage(cov: DataFrame, min_fragments: int = 1, min_length: int = 1, max_deviation: int | None = None, by: Sequence[str] = ("rname",)) -> DataFrame:
     """Keep repeats with enough fragments and a long enough consensus; drop fragments whose length deviates more."""
-    lengths = consensus_lengths(cov).where(F.col("length") >= min_length)
-    out = cov.join(lengths.withColumnRenamed("length", "con_length"), "rname")
+    by = list(by)
+    lengths = consensus_lengths(cov, by).where(F.col("length") >= min_length)
+    out = cov.join(lengths.withColumnRenamed("length", "con_length"), by)
     if max_deviation is not None:
         out = out.where(F.abs(F.col("rep_end") + F.col("rep_left") - F.col("con_length")) <= max_deviation)
-    enough = out.groupBy("rname").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_fragments)
-    return out.join(enough, "rname", "left_semi")
+    enough = out.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_fragments)
+    return out.join(enough, by, "left_semi")
 
 
-def depth_per_base(cov: DataFrame, lengths: DataFrame) -> DataFrame:
-    """(rname, pos, depth) for positions 1..length, zeros kept.
+def depth_per_base(cov: DataFrame, lengths: DataFrame, by: Sequence[str] = ("rname",)) -> DataFrame:
+    """(*by, pos, depth) for positions 1..length, zeros kept.
 
     Starts and ends become +1 and -1 events, summed per position first; no interval is
     expanded. The running sum is per repeat, over at most its consensus' positions.
     """
-    c = cov.join(lengths, "rname").select("rname", F.greatest("con_start", F.lit(1)).alias("s"), F.least("con_end", "length").alias("e")).where("s <= e")
-    ev = c.select("rname", F.explode(F.array(F.struct(F.col("s").alias("pos"), F.lit(1).alias("d")), F.struct((F.col("e") + 1).alias("pos"), F.lit(-1).alias("d")))).alias("x"))
-    change = ev.groupBy("rname", F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d"))
-    spine = lengths.select("rname", F.explode(F.sequence(F.lit(1).cast("long"), F.col("length"))).alias("pos"))
-    w = Window.partitionBy("rname").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    return spine.join(change, ["rname", "pos"], "left").select("rname", "pos", F.coalesce(F.sum("d").over(w), F.lit(0)).cast("long").alias("depth"))
+    by = list(by)
+    c = cov.join(lengths, by).select(*by, F.greatest("con_start", F.lit(1)).alias("s"), F.least("con_end", "length").alias("e")).where("s <= e")
+    ev = c.select(*by, F.explode(F.array(F.struct(F.col("s").alias("pos"), F.lit(1).alias("d")), F.struct((F.col("e") + 1).alias("pos"), F.lit(-1).alias("d")))).alias("x"))
+    change = ev.groupBy(*by, F.col("x.pos").alias("pos")).agg(F.sum("x.d").alias("d"))
+    spine = lengths.select(*by, F.explode(F.sequence(F.lit(1).cast("long"), F.col("length"))).alias("pos"))
+    w = Window.partitionBy(*by).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return spine.join(change, [*by, "pos"], "left").select(*by, "pos", F.coalesce(F.sum("d").over(w), F.lit(0)).cast("long").alias("depth"))
 
 
 def coverage_wide(depth: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -82,10 +86,16 @@ def coverage_wide(depth: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def with_consensus(hits: DataFrame, te: DataFrame) -> DataFrame:
-    """Each hit with its repeat's consensus columns, by name, chromosome, place and block; a stub (1..length) if it has none."""
+    """Each hit with its repeat's consensus columns, by name, chromosome, place and block; a stub (1..length) if it has none.
+
+    The hits, few beside the repeats, are written; repeats cross the network once, and those without a hit go before
+    equal ones are dropped.
+    """
+    hits = checkpoint(hits)
     t = te.select(F.col("rname").alias("_n"), F.col("chrom").alias("_c"), F.col("start").alias("_s"), F.col("end").alias("_e"), F.col("block").alias("_b"), "rep_start", "rep_end", "rep_left")
-    t = t.dropDuplicates(["_n", "_c", "_s", "_e", "_b"])
-    j = hits.join(t, (F.col("rname") == F.col("_n")) & (F.col("chrom") == F.col("_c")) & (F.col("te_st") == F.col("_s")) & (F.col("te_en") == F.col("_e")) & F.col("block").eqNullSafe(F.col("_b")), "left")
+    on = (F.col("rname") == F.col("_n")) & (F.col("chrom") == F.col("_c")) & (F.col("te_st") == F.col("_s")) & (F.col("te_en") == F.col("_e")) & F.col("block").eqNullSafe(F.col("_b"))
+    t = t.join(hits.select("rname", "chrom", "te_st", "te_en", "block"), on, "left_semi").dropDuplicates(["_n", "_c", "_s", "_e", "_b"])
+    j = hits.join(t, on, "left")
     n = F.col("te_en") - F.col("te_st") + 1
     return j.withColumns({"rep_start": F.coalesce("rep_start", F.lit(1)), "rep_end": F.coalesce("rep_end", n), "rep_left": F.coalesce("rep_left", F.lit(0))}).drop("_n", "_c", "_s", "_e", "_b")
 
@@ -117,8 +127,12 @@ def consensus_pieces(hits: DataFrame | None, te: DataFrame, kind: str = "TEjoin"
     if kind not in ("TEjoin", "TrInfos"):
         raise ValueError(f"kind is RMout, TEjoin or TrInfos, not {kind}")
     rows = category_places(hits, category) if kind == "TrInfos" else hits
-    j = with_consensus(rows, te).withColumns({"o_st": F.greatest("te_st", "st"), "o_en": F.least("te_en", "en")}).where("o_st <= o_en")
-    return lift_to_consensus(j, force).select(*cols)
+    return _lifted_pieces(with_consensus(rows, te), force).select(*cols)
+
+
+def _lifted_pieces(j: DataFrame, force: str | None = None) -> DataFrame:
+    """Overlapping pieces of hits with their consensus columns, lifted; places outside their repeat go."""
+    return lift_to_consensus(j.withColumns({"o_st": F.greatest("te_st", "st"), "o_en": F.least("te_en", "en")}).where("o_st <= o_en"), force)
 
 
 def consensus_coverage(
@@ -135,3 +149,18 @@ def consensus_coverage(
     lifted = checkpoint(consensus_pieces(hits, te, kind, category, force))  # read by lengths, filters and depths
     cov = filter_coverage(lifted, min_fragments, min_length, max_deviation)
     return depth_per_base(cov, consensus_lengths(cov))
+
+
+def coverage_by_category(
+    hits: DataFrame, te: DataFrame, categories: Sequence[str] = ("exonized", *SITES), min_fragments: int = 1, min_length: int = 1, max_deviation: int | None = None, force: str | None = None
+) -> DataFrame:
+    """(site, rname, pos, depth): as consensus_coverage of kind ``TrInfos`` for each category, in one job.
+
+    A hit's consensus does not depend on the category, so hits meet the repeats once; lengths, filters and depths are per category.
+    """
+    cols, by = ["rname", "con_start", "con_end", "rep_end", "rep_left"], ["site", "rname"]
+    known = checkpoint(with_consensus(hits, te))  # a row per hit, read by each category
+    each = [_lifted_pieces(category_places(known, c), force).select(F.lit(c).alias("site"), *cols) for c in categories]
+    lifted = checkpoint(functools.reduce(DataFrame.unionByName, each))
+    cov = filter_coverage(lifted, min_fragments, min_length, max_deviation, by)
+    return depth_per_base(cov, consensus_lengths(cov, by), by)

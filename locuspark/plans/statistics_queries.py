@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -285,9 +283,7 @@ PLACED = f"""{STRUCT}, {CATS}, si AS (SELECT unnest(['exonized', 'TSS', 'polyA',
 
 @query("v3_coverage_by_category", "hit", "exon", "tr", "te", sql=f"WITH {PLACED} SELECT l.site, l.rname, pos, count(c.rname) AS depth FROM (SELECT site, rname, unnest(range(1, length + 1)) AS pos FROM ln) l LEFT JOIN co c ON c.site = l.site AND c.rname = l.rname AND pos BETWEEN cs AND ce GROUP BY ALL")
 def v3_category(fx: Fixtures) -> DataFrame:
-    rows, te = checkpoint(with_cats(fx)), cv.consensus_coords(te_raw(fx))
-    each = [cv.consensus_coverage(rows, te, kind="TrInfos", category=c).select(F.lit(c).alias("site"), "rname", "pos", "depth") for c in ("exonized", *cv.SITES)]
-    return functools.reduce(DataFrame.unionByName, each)
+    return cv.coverage_by_category(with_cats(fx), cv.consensus_coords(te_raw(fx)))
 
 
 @query("v3_coverage_fragments", "te", sql=f"WITH co AS (SELECT rname, least(rep_start, rep_end) AS cs, greatest(rep_start, rep_end) AS ce, rep_end, rep_left FROM (SELECT rname, rep_start, rep_left, {REP_END.format(en='en', st='st')} AS rep_end FROM te)), {LENS} SELECT l.rname, pos, count(c.rname) AS depth FROM (SELECT rname, unnest(range(1, length + 1)) AS pos FROM ln) l LEFT JOIN co c ON c.rname = l.rname AND pos BETWEEN cs AND ce GROUP BY ALL")

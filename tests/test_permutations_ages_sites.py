@@ -176,3 +176,17 @@ def test_category_places(spark):
     assert {r.depth for r in whole.where("pos BETWEEN 101 AND 131").collect()} == {2}
     with pytest.raises(ValueError):
         cv.consensus_coverage(df, te, kind="other")
+
+
+def test_all_categories_in_one_job_are_each_by_itself(spark, monkeypatch):
+    cols = "chrom string, te_st long, te_en long, te_id long, te_strand string, rname string, block long, strand string, st long, en long, tr long, category string"
+    cats = ["TSS", "polyA", "5SPL", "3SPL", "TSS_5SPL", "exonized"]
+    df = spark.createDataFrame([("c", 10 + i, 40 + i, i, "+-"[i % 2], f"R{i % 2}", 1, "+-"[i % 3 % 2], 20, 60 + i, i, cats[i % 6]) for i in range(24)], cols)
+    te = spark.createDataFrame([("c", 10 + i, 40 + i, f"R{i % 2}", 1, 101, 131, 9 + i % 2) for i in range(22)] * 2, "chrom string, start long, end long, rname string, block long, rep_start long, rep_end long, rep_left long")
+    looked = []
+    lookup = cv.with_consensus
+    monkeypatch.setattr(cv, "with_consensus", lambda *a: looked.append(1) or lookup(*a))
+    got = sorted(map(tuple, cv.coverage_by_category(df, te).select("site", "rname", "pos", "depth").collect()))
+    assert looked == [1]  # the repeats are met once
+    each = [(c, r.rname, r.pos, r.depth) for c in ("exonized", *cv.SITES) for r in cv.consensus_coverage(df, te, kind="TrInfos", category=c).collect()]
+    assert got == sorted(each) and sum(d for *_, d in got) > 50
