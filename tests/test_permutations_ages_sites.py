@@ -105,6 +105,31 @@ def test_tolerant_placement_is_uniform_over_admissible_starts(spark):
         sh.shuffle_random(te, sizes, 1, excl, no_overlap=True, max_excl_fraction=0.3)
 
 
+@pytest.mark.parametrize("included", [False, True])
+def test_tolerant_placement_keeps_the_exact_step_for_what_many_draws_refuse(spark, monkeypatch, included):
+    rng = random.Random(3)
+    spans = {i: 20_000 if i % 100 == 0 else 9_000 if i == 7 else rng.randint(20, 400) for i in range(600)}
+    te = spark.createDataFrame([("c", 1, 1 + n, i) for i, n in spans.items()] + [("d", 1, 5_000, 900), ("d", 1, 50, 901)], "chrom string, start long, end long, te_id long")
+    sizes = spark.createDataFrame([("c", 400_000), ("d", 6_000)], "chrom string, length long")
+    bars = [(s, s + rng.randint(1, 60)) for s in range(500, 399_000, 2_000)] + [(100_000, 115_000)]
+    excl = spark.createDataFrame([("c", *b) for b in bars] + [("d", 1, 4_000)], "chrom string, start long, end long")
+    parts = [(1, 150_000), (160_000, 400_000)] if included else [(1, 400_000)]
+    incl = spark.createDataFrame([("c", *p) for p in parts] + [("d", 1, 6_000)], "chrom string, start long, end long") if included else None
+    asked, exact = [], sh._draw
+    monkeypatch.setattr(sh, "_draw", lambda items, *a: (asked.append({r.te_id for r in items.collect()}), exact(items, *a))[1])
+    got = sh.shuffle_random(te, sizes, 4, excl, incl, max_excl_fraction=0.1).collect()
+    assert len(asked) == 1 and {900} <= asked[0] <= {900, 901}  # of 602 repeats only one that fits nowhere, and at most one with few places
+    assert sorted((r.te_id, r.round) for r in got) == sorted((i, k) for i in (*spans, 901) for k in (1, 2, 3, 4))
+    bad = np.zeros(400_002, np.int64)
+    for s, e in bars:
+        bad[s : e + 1] = 1
+    before = np.cumsum(bad)
+    for r in got:
+        if r.te_id != 901:
+            assert r.end - r.start == spans[r.te_id] and any(s <= r.start and r.end <= e for s, e in parts)
+            assert before[r.end] - before[r.start - 1] <= math.floor(0.1 * (r.end - r.start + 1))
+
+
 AGES = [("R1", "old", "Eutheria"), ("R2", "old", None), ("R3", "young", "Eutheria"), ("R4", "young", "")]
 
 
