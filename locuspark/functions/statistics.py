@@ -119,13 +119,43 @@ def moments(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(skew.alias("skewness"), kurt.alias("kurtosis"))
 
 
+def _same(by: Sequence[str], p: str) -> Column:
+    """Equal groups, nulls among them, where the other side's columns carry a prefix."""
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(p + c))
+    return on
+
+
+def _medians(rows: DataFrame, col: str, by: Sequence[str], near: float = 0.001) -> DataFrame:
+    """(*by, _m): exact medians, without sending the values.
+
+    Approximate quantiles just below and above the middle bracket it; what lies under, above and at each value between
+    them is counted where the rows are, so a few in a thousand of the values are ranked. The approximation decides only
+    how many those are: should a middle lie outside its bracket, all values are ranked.
+    """
+    by, v = list(by), F.col(col)
+    cuts = rows.groupBy(*by).agg(F.percentile_approx(v, [0.5 - near, 0.5 + near], 10_000).alias("_c")).where("_c IS NOT NULL")
+    cuts = checkpoint(cuts.select(*[F.col(c).alias("_g" + c) for c in by], F.col("_c")[0].alias("_lo"), F.col("_c")[1].alias("_hi")))
+    side = F.when(v < F.col("_lo"), 0).when(v > F.col("_hi"), 2).otherwise(1)
+    j = rows.where(v.isNotNull()).join(if_small(cuts, cuts.count()), _same(by, "_g"))
+    k = j.select(*by, side.alias("_side"), F.when(side == 1, v).alias("_v")).groupBy(*by, "_side", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    group = by or [F.lit(0)]
+    before = Window.partitionBy(*group).orderBy("_side", "_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = k.withColumns({"_below": F.coalesce(F.sum("_k").over(before), F.lit(0)), "_n": F.sum("_k").over(Window.partitionBy(*group))})
+    m = checkpoint(ranked.groupBy(*by).agg(_quantile(0.5).alias("_m")))
+    if m.where("_m IS NULL").isEmpty():
+        return m
+    return checkpoint(ranked_values(rows, col, by).groupBy(*by).agg(_quantile(0.5).alias("_m")))
+
+
 def mad(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """Median absolute deviation; both medians from ranked values, so that no task buffers a group."""
+    """Median absolute deviation; no task buffers or sorts a group, only what lies close to its medians."""
     by = list(by)
     rows = df.where(F.col(col).isNotNull()).select(*by, F.col(col).cast("double").alias("_x"))
-    m = checkpoint(ranked_values(rows, "_x", by).groupBy(*by).agg(_quantile(0.5).alias("_m")))
-    j = rows.join(if_small(m, m.count()), by) if by else rows.crossJoin(F.broadcast(m))  # one row
-    return ranked_values(j.select(*by, F.abs(F.col("_x") - F.col("_m")).alias("_d")), "_d", by).groupBy(*by).agg(_quantile(0.5).alias("mad"))
+    m = _medians(rows, "_x", by)
+    j = rows.join(if_small(m.select(*[F.col(c).alias("_g" + c) for c in by], "_m"), m.count()), _same(by, "_g"))
+    return _medians(j.select(*by, F.abs(F.col("_x") - F.col("_m")).alias("_d")), "_d", by).withColumnRenamed("_m", "mad")
 
 
 def arg_extrema(df: DataFrame, col: str, index: str, by: Sequence[str] = ()) -> DataFrame:
