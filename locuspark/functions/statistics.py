@@ -250,27 +250,29 @@ def exp_smooth(df: DataFrame, by: Sequence[str], order: str, col: str, coeff: fl
     """(*by, order, smoothed): S0 = x0, S = coeff x previous + (1 - coeff) x value, along each group's order.
 
     A scan: n steps map the value before to coeff^n times it plus what they add, so rows are sorted by ranges over
-    all partitions, each partition runs from zero, and one row per partition and group hands on the value before
-    (x0 before the first). No task holds a group.
+    all partitions, each partition runs from zero, and hands on its end to the next where a group goes on there: at
+    most two rows per partition, however many groups there are. No task holds a group; a null is a group like others.
     """
     by = list(by)
     keys = by or ["_all"]
     rows = df.where(F.col(col).isNotNull()).select(*by, order, F.col(col).cast("double").alias("_x"))
     rows = rows if by else rows.withColumn("_all", F.lit(0))
     kinds = dict(rows.dtypes)
-    shape = ", ".join([*[f"{c} {kinds[c]}" for c in (*keys, order)], "_part int, _n long, _x double, _s double"])
+    shape = ", ".join([*[f"{c} {kinds[c]}" for c in (*keys, order)], "_part int, _n long, _x0 double, _s double"])
 
     def run(batches):
-        part, last, s, n = TaskContext.get().partitionId(), None, 0.0, 0
+        part, last, s, n, x0 = TaskContext.get().partitionId(), None, 0.0, 0, 0.0
         for b in batches:
-            sums, places = [], []
-            for g, x in zip(zip(*(b[c] for c in keys), strict=True), b["_x"].tolist(), strict=True):
+            sums, places, firsts = [], [], []
+            groups = zip(*((b[c].astype(object).where(b[c].notna(), None) if b[c].hasnans else b[c]) for c in keys), strict=True)
+            for g, x in zip(groups, b["_x"].tolist(), strict=True):
                 if g != last:
-                    last, s, n = g, 0.0, 0
+                    last, s, n, x0 = g, 0.0, 0, x
                 s, n = coeff * s + (1 - coeff) * x, n + 1
                 sums.append(s)
                 places.append(n)
-            yield b[[*keys, order]].assign(_part=part, _n=places, _x=b["_x"], _s=sums)
+                firsts.append(x0)
+            yield b[[*keys, order]].assign(_part=part, _n=places, _x0=firsts, _s=sums)
 
     local = checkpoint(rows.repartitionByRange(*keys, order).sortWithinPartitions(*keys, order).mapInPandas(run, shape))
 
@@ -282,9 +284,12 @@ def exp_smooth(df: DataFrame, by: Sequence[str], order: str, col: str, coeff: fl
             s = coeff**n * s + add
         return frame[[*keys, "_part"]].assign(_before=before)
 
-    ends = local.groupBy(*keys, "_part").agg(F.max("_n").alias("_n"), F.max_by("_s", "_n").alias("_s"), F.min_by("_x", "_n").alias("_x0"))  # a row per partition and group
-    before = ends.groupBy(*keys).applyInPandas(chain, ", ".join([*[f"{c} {kinds[c]}" for c in keys], "_part int, _before double"]))
-    return local.join(before, [*keys, "_part"]).select(*by, order, (F.col("_s") + F.pow(F.lit(float(coeff)), "_n") * F.col("_before")).alias("smoothed"))
+    ends = local.groupBy(*keys, "_part").agg(F.max("_n").alias("_n"), F.max_by("_s", "_n").alias("_s"), F.min("_x0").alias("_x0"))  # a row per partition and group
+    parted = ends.withColumn("_parts", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where("_parts > 1").drop("_parts")
+    before = parted.groupBy(*keys).applyInPandas(chain, ", ".join([*[f"{c} {kinds[c]}" for c in keys], "_part int, _before double"]))
+    before = checkpoint(before.select(*[F.col(c).alias("_g" + c) for c in keys], F.col("_part").alias("_gpart"), "_before"))
+    j = local.join(if_small(before, before.count()), _same(keys, "_g") & (F.col("_part") == F.col("_gpart")), "left")
+    return j.select(*by, order, (F.col("_s") + F.pow(F.lit(float(coeff)), "_n") * F.coalesce("_before", "_x0")).alias("smoothed"))
 
 
 def weighted_smooth(df: DataFrame, by: Sequence[str], order: str, col: str, weight: str, coeff: float) -> DataFrame:

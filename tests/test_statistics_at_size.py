@@ -30,3 +30,22 @@ def test_medians_outside_the_bracket_are_still_exact(spark, monkeypatch):
     real = F.percentile_approx
     monkeypatch.setattr(st.F, "percentile_approx", lambda c, q, a: F.transform(real(c, q, a), lambda x: x + 1000))
     assert st._medians(df, "x", []).first()._m == statistics.median([i * i % 97 for i in range(50)])
+
+
+def test_smoothing_hands_on_only_groups_that_partitions_share(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(g, i, rng.uniform(-5, 9)) for g in [None, *range(60)] for i in range(400 if g in (None, 7) else 5)]
+    df = spark.createDataFrame(rows, "g int, i int, x double").repartition(3)
+    sizes, real = [], st.checkpoint
+    monkeypatch.setattr(st, "checkpoint", lambda d: (lambda c: (sizes.append(c.count()), c)[1])(real(d)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.g, r.i): r.smoothed for r in st.exp_smooth(df, ["g"], "i", "x", 0.4).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want, s = {}, {}
+    for g, i, x in rows:
+        s[g] = 0.4 * s[g] + 0.6 * x if g in s else x
+        want[g, i] = s[g]
+    assert set(got) == set(want) and max(abs(got[k] - want[k]) for k in want) < 1e-9
+    assert len(sizes) == 2 and 2 <= sizes[1] <= 8
