@@ -164,10 +164,17 @@ def seeded_key(id_col: Column, round_col: Column, seed: int) -> Column:
 
 
 def pick_transcript(index: DataFrame, rounds: int, seed: int = 1) -> DataFrame:
-    """One transcript per gene and round, drawn by the seeded key: (round, gene, tr, n_exons)."""
-    r = index.withColumn("round", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(rounds).cast("long"))))
-    w = Window.partitionBy("round", "gene").orderBy(seeded_key(F.col("tr"), F.col("round"), seed), "tr")
-    return r.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("round", "gene", "tr", "n_exons")
+    """One transcript per gene and round, drawn by the seeded key: (round, gene, tr, n_exons).
+
+    Rounds are made from genes that hold their transcripts, so what is sorted or sent does not grow with the rounds.
+    The number of partitions is given, as the rows before the rounds are too few for all tasks to have some.
+    """
+    spark = index.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    genes = index.select("gene", "tr", F.col("n_exons").alias("n")).repartition(parts, "gene").groupBy("gene").agg(F.collect_list(F.struct("tr", "n")).alias("_all"))
+    r = genes.withColumn("round", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(rounds).cast("long"))))
+    drawn = F.array_min(F.transform("_all", lambda x: F.struct(seeded_key(x["tr"], F.col("round"), seed).alias("key"), x["tr"].alias("tr"), x["n"].alias("n"))))
+    return r.select("round", "gene", drawn.alias("_d")).select("round", "gene", "_d.tr", F.col("_d.n").alias("n_exons"))
 
 
 def split_coding(df: DataFrame, type_col: str = "tr_type") -> DataFrame:
