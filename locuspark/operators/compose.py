@@ -39,19 +39,26 @@ def fragment_counts(hits: DataFrame, by: Sequence[str] = ("rname",)) -> DataFram
 def hits_by_level(hits: DataFrame, feature: Sequence[str], extra: Sequence[str] = (), aged: bool = False) -> DataFrame:
     """(*extra, rclass, rfam, rname, hits): features hit at least once, in total ('tot') and per class, family, name.
 
-    ``aged`` hits have age1 and age2 and are counted by age_hits' levels too. Hits are dealt by feature once, and
-    distinct (level, feature) rows stay there, so the count is a plain partial aggregate however many hits a level has.
+    ``aged`` hits have age1 and age2 and are counted by age_hits' levels too. Hits are dealt by feature once, and each
+    feature becomes one row, the set of the kinds of repeats that hit it. Equal sets are counted before their levels
+    are made, so levels are made once per set, not per hit.
     """
     level = lambda c, f, n: F.struct(F.lit(False).alias("a"), c.alias("c"), f.alias("f"), n.alias("n"))
-    tot, (rclass, rfam, rname) = F.lit("tot"), map(F.col, ("rclass", "rfam", "rname"))
-    levels = F.array(level(tot, tot, tot), level(rclass, tot, tot), level(rclass, rfam, tot), level(rclass, rfam, rname))
-    if aged:
-        ages = F.transform(_age_levels(), lambda x: F.struct(F.lit(True).alias("a"), x["c"].alias("c"), x["f"].alias("f"), x["n"].alias("n")))
-        levels = F.when(F.col("age1").isNotNull(), F.concat(levels, ages)).otherwise(levels)
+    kind = ["rclass", "rfam", "rname", *(["age1", "age2"] if aged else [])]
+
+    def levels(x: Column) -> Column:
+        tot = F.lit("tot")
+        own = F.array(level(tot, tot, tot), level(x["rclass"], tot, tot), level(x["rclass"], x["rfam"], tot), level(x["rclass"], x["rfam"], x["rname"]))
+        if not aged:
+            return own
+        ages = F.transform(_age_levels(x["age1"], x["age2"]), lambda y: F.struct(F.lit(True).alias("a"), y["c"].alias("c"), y["f"].alias("f"), y["n"].alias("n")))
+        return F.when(x["age1"].isNotNull(), F.concat(own, ages)).otherwise(own)
+
     by = [*extra, *feature]
-    hits = hits.select(*by, "rclass", "rfam", "rname", *(["age1", "age2"] if aged else [])).repartition(*by)
-    rows = hits.select(*by, F.explode(levels).alias("l")).distinct()
-    return rows.groupBy(*extra, "l").agg(F.count(F.lit(1)).alias("hits")).select(*extra, F.col("l.c").alias("rclass"), F.col("l.f").alias("rfam"), F.col("l.n").alias("rname"), "hits")
+    sets = hits.select(*by, F.struct(*kind).alias("_kind")).repartition(*by).groupBy(*by).agg(F.array_sort(F.collect_set("_kind")).alias("_kinds"))
+    sets = sets.groupBy(*extra, "_kinds").agg(F.count(F.lit(1)).alias("_k"))
+    rows = sets.select(*extra, "_k", F.explode(F.array_distinct(F.flatten(F.transform("_kinds", levels)))).alias("l"))
+    return rows.groupBy(*extra, "l").agg(F.sum("_k").alias("hits")).select(*extra, F.col("l.c").alias("rclass"), F.col("l.f").alias("rfam"), F.col("l.n").alias("rname"), "hits")
 
 
 def hits_by_category(rows: DataFrame, extra: Sequence[str] = (), feature: Sequence[str] = ("tr", "k"), gene: str = "gene") -> DataFrame:
@@ -81,10 +88,11 @@ def with_ages(df: DataFrame, ages: DataFrame) -> DataFrame:
     return df.join(if_small(few, few.count()), "rname", "left")
 
 
-def _age_levels() -> Column:
+def _age_levels(age1: Column | str = "age1", age2: Column | str = "age2") -> Column:
     """Levels of a repeat with an age: both groupings in total, its first age, and its second one if there is any."""
     level = lambda k, name: F.struct(F.lit(AGE).alias("c"), F.lit(AGE_GROUPS[k]).alias("f"), name.alias("n"))
-    own = [F.when(F.col(c).isNotNull(), level(k, F.col(c))) for k, c in enumerate(("age1", "age2"))]
+    ages = [F.col(c) if isinstance(c, str) else c for c in (age1, age2)]
+    own = [F.when(c.isNotNull(), level(k, c)) for k, c in enumerate(ages)]
     return F.array_compact(F.array(level(0, F.lit("tot")), level(1, F.lit("tot")), *own))
 
 

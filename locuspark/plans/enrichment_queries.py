@@ -37,6 +37,8 @@ POSITIONS = f"""pl AS MATERIALIZED (SELECT t.*, length, {PLACES} FROM te t JOIN
 
 #: The columns that a placement is known by.
 PLACED = ("te_id", "chrom", "start", "end")
+#: What an exon is known by.
+FEATURE = ("tr", "k")
 
 
 def shuffled(fx: Fixtures, rounds: int = ROUNDS, near: DataFrame | None = None) -> DataFrame:
@@ -117,9 +119,8 @@ def log_choose(n, k):
 
 def class_hits(fx: Fixtures) -> tuple[DataFrame, DataFrame]:
     """Observed and expected hits of classes and in total."""
-    feature = ["tr", "k"]
     fx.write("exon")
-    obs, exp = en.observed_and_expected(with_observed(fx), fx.exon, feature)
+    obs, exp = en.observed_and_expected(with_observed(fx), fx.exon, FEATURE)
     top = lambda d, *extra: d.where("rfam = 'tot'").select(*extra, "rclass", "hits")
     return top(obs), top(exp, "round")
 
@@ -219,8 +220,8 @@ def r6_levels(fx: Fixtures) -> DataFrame:
 
 def simple(fx: Fixtures, rounds: int) -> DataFrame:
     fx.write("exon")
-    features = fx.exon.select("chrom", "start", "end", F.concat_ws("#", F.col("tr").cast("string"), F.col("k").cast("string")).alias("feature"))
-    return en.enrichment(fx.te, features, with_observed(fx, rounds), rounds, ages=ages(fx), as_they_are=True)
+    features = fx.exon.select("chrom", "start", "end", *FEATURE)
+    return en.enrichment(fx.te, features, with_observed(fx, rounds), rounds, FEATURE, ages=ages(fx), as_they_are=True)
 
 
 @query("r6_enrichment_simple")
@@ -269,8 +270,8 @@ def a14(fx: Fixtures) -> DataFrame:
 @query("a16_percent_of_features", "te", "sizes", "exon", "hit", sql=f"WITH {EXP}, n AS (SELECT count(*) AS nf FROM exon) SELECT rclass, round(100 * max(ob.hits) / max(nf), 6) AS obs_pct, round(100 * avg(fl.hits) / max(nf), 6) AS exp_pct, max(nf) - max(ob.hits) AS unhit FROM fl JOIN ob USING (rclass), n GROUP BY rclass")
 def a16(fx: Fixtures) -> DataFrame:
     fx.write("exon")
-    features = fx.exon.select("chrom", "start", "end", F.concat_ws("#", F.col("tr").cast("string"), F.col("k").cast("string")).alias("feature"))
-    t = en.enrichment(fx.te, features, with_observed(fx), ROUNDS, as_they_are=True).where("rfam = 'tot'")
+    features = fx.exon.select("chrom", "start", "end", *FEATURE)
+    t = en.enrichment(fx.te, features, with_observed(fx), ROUNDS, FEATURE, as_they_are=True).where("rfam = 'tot'")
     return t.select("rclass", F.round("obs_pct", 6).alias("obs_pct"), F.round("exp_pct", 6).alias("exp_pct"), "unhit")
 
 
