@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from locuspark.storage import checkpoint
+
 #: Complements of the IUPAC codes (fixed values).
 _FROM, _TO = "ACGTRYSWKMBDHVNacgtryswkmbdhvn", "TGCAYRSWMKVHDBNtgcayrswmkvhdbn"
 #: Bases of each IUPAC code (fixed values).
@@ -69,17 +73,29 @@ def extract(parts: DataFrame, chunks: DataFrame, size: int, key: str = "tr") ->
 def n_runs(chunks: DataFrame, min_len: int = 10) -> DataFrame:
     """(chrom, start, end) of runs of N, 1-based; runs that cross chunk edges are put together.
 
-    ``chunks`` as from ``chunked``. Runs inside a chunk come from splitting it at N; the
-    runs of all chunks of a sequence join where they touch.
+    ``chunks`` as from ``chunked``. All letters of a batch are looked at in one array. Runs inside a chunk are whole;
+    only those that touch its edges join where they touch, and runs that are too short for either stay behind.
     """
-    runs = F.regexp_extract_all(F.upper("seq"), F.lit("(N+|[^N]+)"), 1)
-    c = chunks.select("chrom", "start", F.posexplode(runs).alias("i", "run"))
-    w = Window.partitionBy("chrom", "start").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    at = F.col("start") + F.coalesce(F.sum(F.length("run")).over(w), F.lit(0))
-    pieces = c.withColumn("_at", at).where("run LIKE 'N%'").select("chrom", F.col("_at").alias("start"), (F.col("_at") + F.length("run") - 1).alias("end"))
     from locuspark.operators.intervals import merge_intervals
 
-    return merge_intervals(pieces).where(F.col("end") - F.col("start") + 1 >= min_len).select("chrom", "start", "end")
+    def found(batches):
+        for b in batches:
+            length = b["seq"].str.len().to_numpy(np.int64)
+            first = np.r_[0, np.cumsum(length + 1)[:-1]].astype(np.int64)  # a separator follows each chunk
+            letters = np.frombuffer(("\n".join(b["seq"]) + "\n").encode("latin-1", "replace"), np.uint8)
+            change = np.diff(np.r_[0, (letters == ord("N")) | (letters == ord("n")), 0].astype(np.int8))
+            low, high = np.flatnonzero(change == 1), np.flatnonzero(change == -1) - 1
+            k = np.searchsorted(first, low, "right") - 1
+            low, high = low - first[k], high - first[k]
+            edge = (low == 0) | (high == length[k] - 1)
+            keep = edge | (high - low + 1 >= min_len)
+            start = b["start"].to_numpy(np.int64)[k]
+            yield pd.DataFrame({"chrom": b["chrom"].to_numpy()[k], "start": start + low, "end": start + high, "edge": edge})[keep]
+
+    c = chunks.where("seq IS NOT NULL AND seq <> ''").select("chrom", F.col("start").cast("long").alias("start"), "seq")
+    pieces = checkpoint(c.mapInPandas(found, f"chrom {dict(c.dtypes)['chrom']}, start long, end long, edge boolean"))
+    across = merge_intervals(pieces.where("edge")).where(F.col("end") - F.col("start") + 1 >= min_len)
+    return pieces.where("NOT edge").select("chrom", "start", "end").unionByName(across.select("chrom", "start", "end"))
 
 
 def wrapped(seq: Column, width: int = 50) -> Column:
