@@ -224,6 +224,18 @@ def aed(pairs: DataFrame, exons: DataFrame) -> DataFrame:
     return j.select("gene", "tr_a", "tr_b", (1 - (F.col("shared") / F.col("na") + F.col("shared") / F.col("nb")) / 2).alias("aed"))
 
 
+def gene_aed(exons: DataFrame) -> DataFrame:
+    """aed of all transcript_pairs: (gene, tr_a, tr_b, aed). Transcripts travel by gene with their exons, pairs do not travel."""
+    m = merge_intervals(exons, ["tr", "chrom"])
+    own = m.groupBy("tr").agg(F.collect_list(F.struct("chrom", "start", "end")).alias("_e"), F.sum(_length()).cast("long").alias("_n"))
+    t = exons.select("gene", "tr").distinct().join(own, "tr")
+    a, b = (t.select("gene", *[F.col(c).alias(f"{c}_{k}") for c in ("tr", "_e", "_n")]) for k in "ab")
+    common = lambda x, y: F.when(x["chrom"] == y["chrom"], F.greatest(F.least(x["end"], y["end"]) - F.greatest(x["start"], y["start"]) + 1, F.lit(0))).otherwise(0).cast("long")
+    shared = F.aggregate("_e_a", F.lit(0).cast("long"), lambda n, x: F.aggregate("_e_b", n, lambda k, y: k + common(x, y)))
+    j = a.join(b, "gene").where("tr_a < tr_b").select("gene", "tr_a", "tr_b", "_n_a", "_n_b", shared.alias("_s"))
+    return j.select("gene", "tr_a", "tr_b", (1 - (F.col("_s") / F.col("_n_a") + F.col("_s") / F.col("_n_b")) / 2).alias("aed"))
+
+
 def splice_complexity(exons: DataFrame) -> DataFrame:
     """(gene, complexity): mean edit distance of a gene's transcript pairs, null with fewer than two transcripts.
 

@@ -184,7 +184,7 @@ AED = """n AS MATERIALIZED (SELECT gene, tr, sum(en - st + 1) AS b FROM exon GRO
 
 @query("t16_aed", "exon", sql=f"WITH {AED} SELECT gene, tr_a, tr_b, round(aed, 9) AS aed FROM d")
 def t16(fx: Fixtures) -> DataFrame:
-    return md.aed(md.transcript_pairs(fx.exon), fx.exon).withColumn("aed", F.round("aed", 9))
+    return md.gene_aed(fx.exon).withColumn("aed", F.round("aed", 9))
 
 
 @query("t17_splice_complexity", "exon", sql=f"WITH {AED} SELECT gene, round(avg(aed), 9) AS complexity FROM (SELECT DISTINCT gene FROM exon) LEFT JOIN d USING (gene) GROUP BY gene")
