@@ -250,8 +250,23 @@ def interval_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return subtract_intervals(merge_intervals(a).select("chrom", "start", "end"), b)
 
 
-def interval_xor(a: DataFrame, b: DataFrame) -> DataFrame:
-    return merge_intervals(interval_difference(a, b).union(interval_difference(b, a))).select("chrom", "start", "end")
+def interval_xor(a: DataFrame, b: DataFrame, stretch: int = STRETCH) -> DataFrame:
+    """What one of both covers and the other does not, as disjoint runs that do not touch: (chrom, start, end).
+
+    It changes where a run of either starts or has ended, but not where both do; every second change opens a run that
+    the next one closes. A change's number and the next one are found per stretch, with one row carried per stretch.
+    """
+    cols = ["chrom", "start", "end"]
+    runs = merge_intervals(a, stretch=stretch).select(*cols).unionByName(merge_intervals(b, stretch=stretch).select(*cols))
+    changes = runs.select("chrom", F.explode(F.array(F.col("start"), F.col("end") + 1)).alias("pos")).groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("_n"))
+    changes = checkpoint(changes.where("_n = 1").select("chrom", "pos", F.floor(F.col("pos") / stretch).alias("_bin")))
+    order = Window.partitionBy("chrom").orderBy("_bin")
+    earlier = F.coalesce(F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tops = changes.groupBy("chrom", "_bin").agg(F.count(F.lit(1)).alias("_c"), F.min("pos").alias("_p"))
+    tops = tops.select("chrom", "_bin", earlier.alias("_before"), F.lead("_p").over(order).alias("_later"))
+    w = Window.partitionBy("chrom", "_bin").orderBy("pos")
+    numbered = changes.join(tops, ["chrom", "_bin"]).withColumns({"_i": F.row_number().over(w) - 1 + F.col("_before"), "_next": F.coalesce(F.lead("pos").over(w), F.col("_later"))})
+    return numbered.where("_i % 2 = 0").select("chrom", F.col("pos").alias("start"), (F.col("_next") - 1).alias("end"))
 
 
 def interval_complement(a: DataFrame, sizes: DataFrame) -> DataFrame:
